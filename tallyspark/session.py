@@ -37,6 +37,7 @@ def build_session(master: str | None = None, app: str = "tallyspark",
     master = master or os.environ.get("SPARK_MASTER", "local[*]")
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
