@@ -185,6 +185,14 @@ cte("stg_events", ["ev"], """
          WHEN e % 10 = 3 THEN '(not set)'
          WHEN e % 10 = 4 THEN CAST(e + 900000000 AS VARCHAR)
          ELSE CAST(e % 300 AS VARCHAR) END AS transaction_id,
+    CASE WHEN event_type <> 'purchase' THEN NULL
+         WHEN e % 10 = 0 THEN NULL
+         WHEN e % 10 = 1 THEN '  '
+         WHEN e % 10 = 2 THEN 'Not_Set'
+         WHEN e % 10 = 3 THEN '(not set)'
+         WHEN e % 10 = 4 THEN CAST(e + 900000000 AS VARCHAR)
+         WHEN e % 10 = 5 THEN ' ' || CAST(e % 300 AS VARCHAR) || ' '
+         ELSE CAST(e % 300 AS VARCHAR) END AS raw_transaction_id,
     CASE WHEN event_type <> 'purchase' OR e % 7 = 6 THEN NULL
          WHEN o_totalprice IS NOT NULL THEN
            o_totalprice + CASE e % 7 WHEN 0 THEN 5.0 WHEN 1 THEN 0.5 WHEN 2 THEN -25.0 ELSE 0.0 END::DOUBLE
@@ -372,3 +380,273 @@ def model_sql() -> dict[str, str]:
         "fct_channel_revenue": _all("channel_revenue"),
         "fct_funnel": _all("funnel"),
     }
+
+
+# ---------------------------------------------------------------------------
+# Quality suite
+# ---------------------------------------------------------------------------
+MODEL_CTE = {
+    "stg_ga_events": "stg_events", "stg_ga_sessions": "stg_sessions",
+    "stg_ga_purchases": "stg_purchases", "stg_ga_items": "stg_items", "stg_orders": "stg_orders",
+    "stg_order_line_items": "stg_lines", "stg_customers": "stg_customers",
+    "stg_products": "stg_products", "stg_product_variants": "stg_product_variants",
+    "purchase_reconciliation": "reconciliation", "order_attribution": "attribution",
+    "fct_funnel": "funnel", "fct_attributed_orders": "attribution",
+    "fct_channel_revenue": "channel_revenue",
+}
+
+_STATUS = ("CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status")
+
+
+def _summary(model: str, column: str, test: str, severity: str, failures_sql: str) -> str:
+    return (f"SELECT '{model}' AS model, '{column}' AS column_name, '{test}' AS test, "
+            f"'{severity}' AS severity, CAST(({failures_sql}) AS BIGINT) AS failures")
+
+
+def _wrap(parts: list[str], ctes: set[str]) -> str:
+    body = "\nUNION ALL\n".join(parts)
+    return with_(f"SELECT *, {_STATUS} FROM (\n{body}\n)", *sorted(ctes))
+
+
+def _not_null_parts():
+    from tallyspark.plans.quality import NOT_NULL
+    parts, ctes = [], set()
+    for model, cols in NOT_NULL.items():
+        t = MODEL_CTE[model]
+        ctes.add(t)
+        for c, sev in cols:
+            parts.append(_summary(model, c, "not_null", sev, f"SELECT count(*) FROM {t} WHERE {c} IS NULL"))
+    return parts, ctes
+
+
+def _unique_parts():
+    from tallyspark.plans.quality import UNIQUE
+    parts, ctes = [], set()
+    for model, c, sev in UNIQUE:
+        t = MODEL_CTE[model]
+        ctes.add(t)
+        parts.append(_summary(model, c, "unique", sev,
+                              f"SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL "
+                              f"GROUP BY {c} HAVING count(*) > 1)"))
+    return parts, ctes
+
+
+def _accepted_parts():
+    from tallyspark.plans.quality import ACCEPTED_VALUES
+    parts, ctes = [], set()
+    for model, c, vals, sev, where in ACCEPTED_VALUES:
+        t = MODEL_CTE[model]
+        ctes.add(t)
+        lst = ", ".join(f"'{v}'" for v in vals)
+        cond = f"({where}) AND " if where else ""
+        parts.append(_summary(model, c, "accepted_values", sev,
+                              f"SELECT count(*) FROM (SELECT DISTINCT {c} FROM {t} WHERE {cond}{c} NOT IN ({lst}))"))
+    return parts, ctes
+
+
+def _combination_parts():
+    from tallyspark.plans.quality import UNIQUE_COMBINATION
+    parts, ctes = [], set()
+    for model, cols, sev in UNIQUE_COMBINATION:
+        t = MODEL_CTE[model]
+        ctes.add(t)
+        cl = ", ".join(cols)
+        parts.append(_summary(model, ",".join(cols), "unique_combination_of_columns", sev,
+                              f"SELECT count(*) FROM (SELECT {cl} FROM {t} GROUP BY {cl} HAVING count(*) > 1)"))
+    return parts, ctes
+
+
+# Singular tests: failing-row SQL (from the test definitions).
+SINGULAR_SQL = {
+    "dq_purchase_missing_txn": ("stg_purchases",
+        "SELECT event_key, event_date, event_timestamp, user_pseudo_id, session_key, transaction_id "
+        "FROM stg_purchases WHERE transaction_id IS NULL"),
+    "dq_funnel_grain": ("funnel",
+        "SELECT event_date, source, medium, campaign, count(*) AS row_count FROM funnel "
+        "GROUP BY 1, 2, 3, 4 HAVING count(*) > 1"),
+    "dq_funnel_rates": ("funnel",
+        "SELECT event_date, source, medium, campaign, session_to_view_item_rate, session_to_purchase_rate "
+        "FROM funnel WHERE session_to_view_item_rate NOT BETWEEN 0 AND 1 "
+        "OR session_to_purchase_rate NOT BETWEEN 0 AND 1"),
+    "dq_funnel_step_over_one": ("funnel",
+        "SELECT event_date, source, medium, campaign, view_item_to_cart_rate, cart_to_checkout_rate, "
+        "checkout_to_purchase_rate FROM funnel WHERE view_item_to_cart_rate > 1 "
+        "OR cart_to_checkout_rate > 1 OR checkout_to_purchase_rate > 1"),
+    "dq_funnel_non_negative": ("funnel",
+        "SELECT event_date, source, medium, campaign, sessions, page_view_sessions, view_item_sessions, "
+        "add_to_cart_sessions, checkout_sessions, ga4_purchase_sessions, matched_purchase_sessions, "
+        "matched_orders, shopify_revenue FROM funnel WHERE sessions < 0 OR page_view_sessions < 0 "
+        "OR view_item_sessions < 0 OR add_to_cart_sessions < 0 OR checkout_sessions < 0 "
+        "OR ga4_purchase_sessions < 0 OR matched_purchase_sessions < 0 OR matched_orders < 0 "
+        "OR shopify_revenue < 0"),
+    "dq_large_revenue_difference": ("reconciliation",
+        "SELECT ga4_event_key, ga4_transaction_id, shopify_order_id, ga4_purchase_revenue, "
+        "shopify_total_price, revenue_difference FROM reconciliation "
+        "WHERE match_status = 'matched' AND abs(coalesce(revenue_difference, 0)) > 1"),
+    "dq_unmatched_purchases": ("reconciliation",
+        "SELECT ga4_event_key, ga4_event_timestamp, ga4_transaction_id, match_status "
+        "FROM reconciliation WHERE match_status != 'matched'"),
+    "dq_line_quantity": ("stg_lines",
+        "SELECT order_id, order_item_id, quantity FROM stg_lines WHERE quantity <= 0 OR quantity IS NULL"),
+    "dq_order_totals": ("stg_orders",
+        "SELECT order_id, subtotal_price, total_tax, total_discounts, total_price FROM stg_orders "
+        "WHERE coalesce(subtotal_price, 0) < 0 OR coalesce(total_tax, 0) < 0 "
+        "OR coalesce(total_discounts, 0) < 0 OR coalesce(total_price, 0) < 0"),
+}
+
+# Query name of each singular test -> its suite name, model and severity.
+SINGULAR_META = {
+    "dq_purchase_missing_txn": ("purchases_have_transaction_id", "stg_ga_purchases", "warn"),
+    "dq_funnel_grain": ("funnel_unique_grain", "fct_funnel", "error"),
+    "dq_funnel_rates": ("funnel_rates_between_zero_and_one", "fct_funnel", "error"),
+    "dq_funnel_step_over_one": ("funnel_step_rates_over_one", "fct_funnel", "warn"),
+    "dq_funnel_non_negative": ("funnel_metrics_are_non_negative", "fct_funnel", "error"),
+    "dq_large_revenue_difference": ("reconciliation_large_revenue_difference", "purchase_reconciliation", "warn"),
+    "dq_unmatched_purchases": ("reconciliation_unmatched_purchases", "purchase_reconciliation", "warn"),
+    "dq_line_quantity": ("order_line_quantities_are_positive", "stg_order_line_items", "error"),
+    "dq_order_totals": ("order_totals_are_non_negative", "stg_orders", "error"),
+}
+
+
+def _singular_parts():
+    parts, ctes = [], set()
+    for q, (t, sql) in SINGULAR_SQL.items():
+        name, model, sev = SINGULAR_META[q]
+        ctes.add(t)
+        parts.append(_summary(model, "", name, sev, f"SELECT count(*) FROM ({sql})"))
+    return parts, ctes
+
+
+def quality_sql() -> dict[str, str]:
+    out = {}
+    groups = {"dq_not_null": _not_null_parts(), "dq_unique": _unique_parts(),
+              "dq_accepted_values": _accepted_parts(), "dq_unique_combination": _combination_parts()}
+    for k, (parts, ctes) in groups.items():
+        out[k] = _wrap(parts, ctes)
+    for q, (t, sql) in SINGULAR_SQL.items():
+        out[q] = with_(sql, t)
+    all_parts, all_ctes = [], set()
+    for parts, ctes in list(groups.values()) + [_singular_parts()]:
+        all_parts += parts
+        all_ctes |= ctes
+    out["dq_suite"] = _wrap(all_parts, all_ctes)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Analyses, dashboard metrics, tie-outs
+# ---------------------------------------------------------------------------
+def _ratio(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / ({b}) END"
+
+
+def report_sql(top_k: int = 10) -> dict[str, str]:
+    dec = "CAST({} AS DECIMAL(18,2))"
+    return {
+        "orders_daily_profile": with_(f"""
+          SELECT *, {_ratio('total_price', 'orders')} AS average_order_value FROM (
+            SELECT order_created_date, currency, count(*) AS orders, count(DISTINCT customer_id) AS customers,
+              {money('subtotal_price')} AS subtotal_price, {money('total_discounts')} AS total_discounts,
+              {money('total_tax')} AS total_tax, {money('total_price')} AS total_price
+            FROM fct_orders GROUP BY 1, 2)
+          ORDER BY order_created_date DESC, currency""", "fct_orders"),
+        "ga_event_profile": with_("""
+          SELECT event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id, page_location,
+            raw_transaction_id AS transaction_id, purchase_revenue, source_table_suffix
+          FROM stg_events""", "stg_events"),
+        "dash_executive": with_(f"""
+          SELECT total_revenue, orders, {_ratio('total_revenue', 'orders')} AS average_order_value,
+            attributed_revenue, unattributed_revenue, attributed_orders,
+            {_ratio('attributed_revenue', 'total_revenue')} AS revenue_attribution_coverage_rate
+          FROM (SELECT {money('total_revenue')} AS total_revenue, CAST(sum(orders) AS BIGINT) AS orders,
+                  {money('attributed_revenue')} AS attributed_revenue,
+                  {money('unattributed_revenue')} AS unattributed_revenue,
+                  CAST(sum(attributed_orders) AS BIGINT) AS attributed_orders
+                FROM channel_revenue)""", "channel_revenue"),
+        "dash_top_channels": with_(f"""
+          SELECT attributed_source || ' / ' || attributed_medium AS channel,
+            {money('total_revenue')} AS total_revenue, CAST(sum(orders) AS BIGINT) AS orders
+          FROM channel_revenue GROUP BY 1 ORDER BY total_revenue DESC, channel LIMIT {top_k}""",
+                                   "channel_revenue"),
+        "dash_funnel": with_(f"""
+          SELECT *, {_ratio('view_item_sessions', 'sessions')} AS session_to_view_item_rate,
+            {_ratio('add_to_cart_sessions', 'view_item_sessions')} AS view_item_to_cart_rate,
+            {_ratio('checkout_sessions', 'add_to_cart_sessions')} AS cart_to_checkout_rate,
+            {_ratio('matched_purchase_sessions', 'checkout_sessions')} AS checkout_to_purchase_rate,
+            {_ratio('matched_purchase_sessions', 'sessions')} AS session_to_purchase_rate,
+            {_ratio('shopify_revenue', 'sessions')} AS revenue_per_session
+          FROM (SELECT source, medium, campaign,
+                  CAST(sum(sessions) AS BIGINT) AS sessions,
+                  CAST(sum(page_view_sessions) AS BIGINT) AS page_view_sessions,
+                  CAST(sum(view_item_sessions) AS BIGINT) AS view_item_sessions,
+                  CAST(sum(add_to_cart_sessions) AS BIGINT) AS add_to_cart_sessions,
+                  CAST(sum(checkout_sessions) AS BIGINT) AS checkout_sessions,
+                  CAST(sum(ga4_purchase_sessions) AS BIGINT) AS ga4_purchase_sessions,
+                  CAST(sum(matched_purchase_sessions) AS BIGINT) AS matched_purchase_sessions,
+                  CAST(sum(matched_orders) AS BIGINT) AS matched_orders,
+                  {money('shopify_revenue')} AS shopify_revenue
+                FROM funnel GROUP BY 1, 2, 3)""", "funnel"),
+        "dash_channel": with_(f"""
+          SELECT *, {_ratio('attributed_revenue', 'total_revenue')} AS revenue_attribution_coverage_rate,
+            {_ratio('attributed_orders', 'orders')} AS order_attribution_coverage_rate,
+            {_ratio('total_revenue', 'orders')} AS average_order_value
+          FROM (SELECT attributed_source, attributed_medium, attributed_campaign,
+                  {money('total_revenue')} AS total_revenue, {money('attributed_revenue')} AS attributed_revenue,
+                  {money('unattributed_revenue')} AS unattributed_revenue,
+                  CAST(sum(orders) AS BIGINT) AS orders, CAST(sum(attributed_orders) AS BIGINT) AS attributed_orders,
+                  CAST(sum(unattributed_orders) AS BIGINT) AS unattributed_orders
+                FROM channel_revenue GROUP BY 1, 2, 3)""", "channel_revenue"),
+        "dash_reconciliation": with_(f"""
+          SELECT *, {_ratio('matched_purchases', 'purchase_events')} AS match_rate FROM (
+            SELECT count(*) AS purchase_events,
+              count(*) FILTER (WHERE match_status = 'matched') AS matched_purchases,
+              count(*) FILTER (WHERE match_status = 'unmatched_transaction_id') AS unmatched_purchases,
+              count(*) FILTER (WHERE match_status = 'missing_transaction_id') AS missing_transaction_ids,
+              count(*) FILTER (WHERE match_status = 'not_set_transaction_id') AS not_set_transaction_ids,
+              count(*) FILTER (WHERE match_status IN ('missing_transaction_id', 'not_set_transaction_id'))
+                AS invalid_transaction_ids,
+              count(*) FILTER (WHERE same_currency = false) AS currency_mismatches,
+              count(*) FILTER (WHERE match_status = 'matched' AND abs(coalesce(revenue_difference, 0)) > 1)
+                AS large_revenue_differences,
+              {money("CASE WHEN match_status = 'matched' THEN ga4_purchase_revenue END")} AS matched_ga4_revenue,
+              {money("CASE WHEN match_status = 'matched' THEN shopify_total_price END")} AS matched_order_revenue
+            FROM reconciliation)""", "reconciliation"),
+        "tieout_revenue": with_(f"""
+          SELECT CAST(a AS DOUBLE) AS channel_revenue_total, CAST(b AS DOUBLE) AS order_revenue_total,
+            CAST(a - b AS DOUBLE) AS difference, abs(a - b) < 0.005 AS tied
+          FROM (SELECT (SELECT sum({dec.format('total_revenue')}) FROM channel_revenue) AS a,
+                       (SELECT sum({dec.format('total_price')}) FROM fct_orders) AS b)""",
+                                "channel_revenue", "fct_orders"),
+        "tieout_attribution_split": with_(f"""
+          SELECT CAST(att AS DOUBLE) AS attributed_revenue, CAST(un AS DOUBLE) AS unattributed_revenue,
+            CAST(tot AS DOUBLE) AS total_revenue, CAST(att + un - tot AS DOUBLE) AS difference,
+            abs(att + un - tot) < 0.005 AS tied
+          FROM (SELECT sum({dec.format('attributed_revenue')}) AS att,
+                  sum({dec.format('unattributed_revenue')}) AS un, sum({dec.format('total_revenue')}) AS tot
+                FROM channel_revenue)""", "channel_revenue"),
+        "tieout_purchases": with_("""
+          SELECT *, matched + not_matched - purchase_events AS difference,
+            matched + not_matched - purchase_events = 0 AS tied
+          FROM (SELECT count(*) AS purchase_events,
+                  count(*) FILTER (WHERE match_status = 'matched') AS matched,
+                  count(*) FILTER (WHERE match_status != 'matched') AS not_matched
+                FROM reconciliation)""", "reconciliation"),
+        "tieout_layers": with_(f"""
+          SELECT s AS stg_orders, f AS fct_orders, a AS attributed_orders,
+            CAST(fr AS DOUBLE) AS fct_orders_revenue, CAST(ar AS DOUBLE) AS attributed_orders_revenue,
+            s = f AND f = a AS counts_tied, abs(fr - ar) < 0.005 AS revenue_tied
+          FROM (SELECT (SELECT count(*) FROM stg_orders) AS s, (SELECT count(*) FROM fct_orders) AS f,
+                  (SELECT count(*) FROM attribution) AS a,
+                  (SELECT sum({dec.format('total_price')}) FROM fct_orders) AS fr,
+                  (SELECT sum({dec.format('total_price')}) FROM attribution) AS ar)""",
+                               "stg_orders", "fct_orders", "attribution"),
+        "attribution_coverage": with_(f"""
+          SELECT *, {_ratio('attributed_orders', 'orders')} AS order_attribution_rate,
+            {_ratio('attributed_revenue', 'total_revenue')} AS revenue_attribution_rate
+          FROM (SELECT count(*) AS orders, count(*) FILTER (WHERE is_attributed) AS attributed_orders,
+                  count(*) FILTER (WHERE NOT is_attributed) AS unattributed_orders,
+                  {money('CASE WHEN is_attributed THEN total_price END')} AS attributed_revenue,
+                  {money('CASE WHEN NOT is_attributed THEN total_price END')} AS unattributed_revenue,
+                  {money('total_price')} AS total_revenue
+                FROM attribution)""", "attribution"),
+    }

@@ -1,0 +1,73 @@
+"""Data-quality assertions as DataFrames.
+
+An assertion is a query whose rows are failures; it passes when empty.
+Results are summarised as one row per test:
+``(model, column_name, test, severity, failures, status)``.
+
+* not_null: failures = rows where the column is NULL. All not_null tests on
+  one model are folded into a single aggregate pass.
+* unique: failures = distinct non-NULL values occurring more than once.
+* accepted_values: failures = distinct non-NULL values outside the list
+  (optionally on a filtered input).
+* unique_combination: failures = combinations occurring more than once.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+RESULT_COLUMNS = ["model", "column_name", "test", "severity", "failures", "status"]
+
+
+def _status(failures: Column, severity: Column) -> Column:
+    return (F.when(failures == 0, F.lit("pass"))
+            .when(severity == "warn", F.lit("warn")).otherwise(F.lit("fail")))
+
+
+def _result(df: DataFrame) -> DataFrame:
+    return df.select(*RESULT_COLUMNS[:5], _status(F.col("failures"), F.col("severity")).alias("status"))
+
+
+def not_null_summary(df: DataFrame, model: str, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """``columns``: (column, severity) pairs. One pass over ``df``."""
+    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, (c, _) in enumerate(columns)])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(sev).alias("severity"),
+                              F.col(f"_{i}").alias("failures"))
+                     for i, (c, sev) in enumerate(columns)])
+    out = agg.select(F.inline(rows))
+    return _result(out.select(F.lit(model).alias("model"), "column_name",
+                              F.lit("not_null").alias("test"), "severity", "failures"))
+
+
+def _count_to_result(failures: DataFrame, model: str, column: str, test: str, severity: str) -> DataFrame:
+    return _result(failures.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+                                   F.lit(test).alias("test"), F.lit(severity).alias("severity"),
+                                   F.col("failures")))
+
+
+def unique_summary(df: DataFrame, model: str, column: str, severity: str = "error") -> DataFrame:
+    dup = df.where(F.col(column).isNotNull()).groupBy(column).count().where(F.col("count") > 1)
+    return _count_to_result(dup.agg(F.count(F.lit(1)).alias("failures")), model, column, "unique", severity)
+
+
+def accepted_values_summary(df: DataFrame, model: str, column: str, values: Sequence[str],
+                            severity: str = "error", where: str | None = None) -> DataFrame:
+    src = df.where(where) if where else df
+    bad = src.where(~F.col(column).isin(list(values))).select(column).distinct()
+    return _count_to_result(bad.agg(F.count(F.lit(1)).alias("failures")), model, column,
+                            "accepted_values", severity)
+
+
+def unique_combination_summary(df: DataFrame, model: str, columns: Sequence[str],
+                               severity: str = "error") -> DataFrame:
+    dup = df.groupBy(*columns).count().where(F.col("count") > 1)
+    return _count_to_result(dup.agg(F.count(F.lit(1)).alias("failures")), model, ",".join(columns),
+                            "unique_combination_of_columns", severity)
+
+
+def failing_rows_summary(rows: DataFrame, name: str, model: str, severity: str) -> DataFrame:
+    """Summary row of a singular (failing-rows) test."""
+    return _count_to_result(rows.agg(F.count(F.lit(1)).alias("failures")), model, "", name, severity)
