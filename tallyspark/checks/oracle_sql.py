@@ -22,7 +22,9 @@ def cte(name: str, deps: list[str], body: str) -> None:
     CTES[name] = (deps, body)
 
 
-def with_(final: str, *needs: str) -> str:
+def with_(final: str, *needs: str, extra: list[tuple[str, str]] | None = None) -> str:
+    """``WITH`` the needed CTEs (dependencies first), then ``extra`` local
+    CTEs, then ``final``."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -34,10 +36,11 @@ def with_(final: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    if not order:
+    parts = [f"{n} AS (\n{CTES[n][1]}\n)" for n in order]
+    parts += [f"{n} AS (\n{body}\n)" for n, body in (extra or [])]
+    if not parts:
         return final
-    parts = ",\n".join(f"{n} AS (\n{CTES[n][1]}\n)" for n in order)
-    return f"WITH {parts}\n{final}"
+    return "WITH " + ",\n".join(parts) + "\n" + final
 
 
 def cents(x: str) -> str:
@@ -58,20 +61,9 @@ cte("order_versions", [], f"""
   UNION ALL SELECT {_ORDER_COLS}, 3, TIMESTAMP '2002-01-04' FROM orders WHERE o_orderkey % 13 = 0
   UNION ALL SELECT {_ORDER_COLS}, 4, TIMESTAMP '2002-01-03' FROM orders WHERE o_orderkey % 17 = 0""")
 
-cte("order_latest", ["order_versions"], """
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY k ORDER BY payload_updated DESC NULLS LAST,
-                                 ingested_at DESC) AS rn
-    FROM (SELECT *,
-            CASE WHEN v = 3 OR k % 31 = 0 THEN NULL
-                 WHEN v = 2 THEN od + INTERVAL 3 DAY ELSE od + INTERVAL 1 DAY END AS payload_updated,
-            CASE WHEN v = 2 THEN od + INTERVAL 3 DAY ELSE od + INTERVAL 1 DAY END AS raw_updated
-          FROM order_versions)
-  ) WHERE rn = 1""")
-
-cte("stg_orders", ["order_latest"], f"""
-  SELECT 'shop-a' AS shop_domain, k AS order_id, '#' || CAST(1000 + k AS VARCHAR) AS order_name,
-    CAST(1000 + k AS BIGINT) AS order_number,
+cte("order_typed", ["order_versions"], f"""
+  SELECT v, payload_updated, 'shop-a' AS shop_domain, k AS order_id,
+    '#' || CAST(1000 + k AS VARCHAR) AS order_name, CAST(1000 + k AS BIGINT) AS order_number,
     CASE WHEN k % 19 = 0 OR k % 23 = 0 THEN NULL ELSE o_custkey END AS customer_id,
     od AS created_at, od AS processed_at,
     coalesce(payload_updated, raw_updated, od) AS updated_at,
@@ -86,20 +78,32 @@ cte("stg_orders", ["order_latest"], f"""
     CASE WHEN k % 3 = 0 THEN 5.0 ELSE 0.0 END::DOUBLE AS total_discounts,
     o_totalprice AS total_price,
     ingested_at
-  FROM order_latest""")
-
-cte("stg_lines", ["stg_orders"], f"""
-  SELECT o.shop_domain, o.order_id, o.created_at AS order_created_at,
-    o.updated_at AS order_updated_at, o.currency, l.id AS order_item_id,
-    CASE WHEN l.id % 41 = 0 THEN NULL ELSE l.l_partkey END AS product_id,
-    l.l_partkey * 10 + 1 AS variant_id,
-    CASE WHEN l.l_partkey % 10 = 0 THEN '[SALE] ' || p.p_name ELSE p.p_name END AS line_title,
-    CASE WHEN l.id % 53 = 0 THEN NULL ELSE 'SKU-' || CAST(l.l_partkey AS VARCHAR) END AS sku,
-    l.qty AS quantity,
-    {cents('l.l_extendedprice / l.l_quantity')} AS unit_price,
-    {cents('l.l_extendedprice * l.l_discount')} AS line_discount,
-    l.qty * {cents('l.l_extendedprice / l.l_quantity')} AS line_gross_sales,
-    o.customer_id, o.financial_status, o.fulfillment_status
+  FROM (SELECT *,
+          CASE WHEN v = 3 OR k % 31 = 0 THEN NULL
+               WHEN v = 2 THEN od + INTERVAL 3 DAY ELSE od + INTERVAL 1 DAY END AS payload_updated,
+          CASE WHEN v = 2 THEN od + INTERVAL 3 DAY ELSE od + INTERVAL 1 DAY END AS raw_updated
+        FROM order_versions)""")
+
+cte("stg_orders", ["order_typed"], """
+  SELECT * EXCLUDE (v, payload_updated, rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY payload_updated DESC NULLS LAST,
+                                 ingested_at DESC) AS rn
+    FROM order_typed) WHERE rn = 1""")
+
+# The first landed snapshot only (every order's V1).
+cte("stg_orders_v1", ["order_typed"], """
+  SELECT * EXCLUDE (v, payload_updated) FROM order_typed WHERE v = 1""")
+
+cte("line_base", [], f"""
+  SELECT l_orderkey, id AS order_item_id,
+    CASE WHEN id % 41 = 0 THEN NULL ELSE l_partkey END AS product_id,
+    l_partkey * 10 + 1 AS variant_id,
+    CASE WHEN l_partkey % 10 = 0 THEN '[SALE] ' || p.p_name ELSE p.p_name END AS line_title,
+    CASE WHEN id % 53 = 0 THEN NULL ELSE 'SKU-' || CAST(l_partkey AS VARCHAR) END AS sku,
+    qty AS quantity,
+    {cents('l_extendedprice / l_quantity')} AS unit_price,
+    {cents('l_extendedprice * l_discount')} AS line_discount,
+    qty * {cents('l_extendedprice / l_quantity')} AS line_gross_sales
   FROM (
     SELECT *, CASE WHEN id % 97 = 0 THEN 0 WHEN id % 89 = 0 THEN NULL
                    ELSE CAST(l_quantity AS BIGINT) END AS qty
@@ -107,9 +111,21 @@ cte("stg_lines", ["stg_orders"], f"""
             PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS id
           FROM lineitem)
   ) l
-  JOIN stg_orders o ON o.order_id = l.l_orderkey
   LEFT JOIN part p ON p.p_partkey = l.l_partkey""")
 
+
+def _lines_of(orders_cte: str) -> str:
+    return f"""
+  SELECT o.shop_domain, o.order_id, o.created_at AS order_created_at,
+    o.updated_at AS order_updated_at, o.currency, l.order_item_id, l.product_id, l.variant_id,
+    l.line_title, l.sku, l.quantity, l.unit_price, l.line_discount, l.line_gross_sales,
+    o.customer_id, o.financial_status, o.fulfillment_status
+  FROM line_base l JOIN {orders_cte} o ON o.order_id = l.l_orderkey"""
+
+
+cte("stg_lines", ["line_base", "stg_orders"], _lines_of("stg_orders"))
+cte("stg_lines_v1", ["line_base", "stg_orders_v1"], _lines_of("stg_orders_v1"))
+
 cte("fct_orders", ["stg_orders"], f"""
   SELECT shop_domain, order_id, customer_id, created_at AS order_created_at,
     CAST(created_at AS DATE) AS order_created_date, CAST(updated_at AS DATE) AS order_updated_date,
@@ -650,3 +666,84 @@ def report_sql(top_k: int = 10) -> dict[str, str]:
                   {money('total_price')} AS total_revenue
                 FROM attribution)""", "attribution"),
     }
+
+
+# ---------------------------------------------------------------------------
+# Landing and incremental facts
+# ---------------------------------------------------------------------------
+# The first landed snapshot of each order (V1): its payload's updated_at.
+cte("api_orders", [], """
+  SELECT o_orderkey AS order_id,
+    CASE WHEN o_orderkey % 31 = 0 THEN NULL ELSE o_orderdate + INTERVAL 1 DAY END AS updated_at,
+    CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'pending' WHEN 'P' THEN 'partially_refunded'
+    END AS financial_status
+  FROM orders""")
+
+cte("fct_orders_v1", ["stg_orders_v1"], f"""
+  SELECT shop_domain, order_id, customer_id, created_at AS order_created_at,
+    CAST(created_at AS DATE) AS order_created_date, CAST(updated_at AS DATE) AS order_updated_date,
+    updated_at AS order_updated_at, order_number, order_name, currency, financial_status,
+    subtotal_price, total_discounts, total_tax, total_price, '{CHECK_BATCH_NO}' AS transform_batch_no
+  FROM stg_orders_v1 WHERE order_id IS NOT NULL""")
+
+_LINE_FACT = ("shop_domain, order_id, order_item_id, customer_id, order_created_at, order_updated_at, "
+              "financial_status, fulfillment_status, currency, product_id, variant_id, sku, line_title, "
+              "quantity, unit_price, line_discount, line_gross_sales")
+
+
+def landing_sql() -> dict[str, str]:
+    ckpt = "TIMESTAMP '1998-01-01'"
+    return {
+        "landing_unwrap_pages": with_("SELECT * FROM api_orders", "api_orders"),
+        "landing_raw_rows": with_("SELECT 'shop-a' AS shop_domain, order_id, updated_at, CAST(1 AS BIGINT) "
+                                  "AS batch_no FROM api_orders", "api_orders"),
+        "landing_incremental_filter": with_(
+            f"SELECT order_id, updated_at FROM api_orders WHERE updated_at IS NULL OR updated_at > {ckpt}",
+            "api_orders"),
+        "landing_high_watermark": with_(
+            f"SELECT 'order' AS source, max(updated_at) AS last_updated_at FROM api_orders "
+            f"WHERE updated_at IS NULL OR updated_at > {ckpt}", "api_orders"),
+        "landing_state_merge": with_(f"""
+          SELECT 'order' AS source, coalesce((SELECT max(updated_at) FROM api_orders WHERE updated_at > {ckpt}),
+                                             {ckpt}) AS last_updated_at
+          UNION ALL
+          SELECT 'product', coalesce((SELECT max(u) FROM (
+              SELECT CAST(DATE '2001-01-01' + CAST(p_partkey % 365 AS INTEGER) AS TIMESTAMP)
+                     + INTERVAL 1 DAY AS u FROM part) WHERE u > TIMESTAMP '2001-06-01'),
+            TIMESTAMP '2001-06-01')
+          UNION ALL
+          SELECT 'customer', TIMESTAMP '2001-03-01'""", "api_orders"),
+        "landing_append_idempotent": with_(
+            "SELECT order_id, updated_at, CAST(1 AS BIGINT) AS batch_no FROM api_orders "
+            "UNION ALL SELECT order_id, updated_at, CAST(2 AS BIGINT) FROM api_orders WHERE updated_at IS NULL",
+            "api_orders"),
+        "landing_stream_idempotent": with_("SELECT order_id, updated_at FROM api_orders", "api_orders"),
+        "source_freshness": with_("""
+          SELECT 'raw_orders' AS source_name, 'ingested_at' AS loaded_at_field,
+                 max(ingested_at) AS max_loaded_at, count(*) AS row_count FROM order_versions
+          UNION ALL
+          SELECT 'raw_products', 'ingested_at', max(ingested_at), count(*) FROM product_versions
+          UNION ALL
+          SELECT 'raw_customers', 'ingested_at',
+                 CASE WHEN count(*) FILTER (WHERE c_custkey % 6 = 0) > 0 THEN TIMESTAMP '2002-01-02'
+                      ELSE TIMESTAMP '2002-01-01' END,
+                 count(*) + count(*) FILTER (WHERE c_custkey % 6 = 0) FROM customer""",
+                                  "order_versions", "product_versions"),
+        "fct_orders_incremental_merge": with_(
+            "SELECT * FROM upd UNION ALL SELECT * FROM fct_orders_v1 t "
+            "WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.order_id = t.order_id)",
+            "fct_orders_v1", "fct_orders", extra=[
+                ("bound", "SELECT max(order_updated_at) - INTERVAL 1 DAY AS b FROM fct_orders_v1"),
+                ("upd", "SELECT * FROM fct_orders WHERE order_updated_at >= "
+                        "(SELECT coalesce(b, TIMESTAMP '1900-01-01') FROM bound)")]),
+        "fct_order_lines_incremental_merge": with_(
+            "SELECT * FROM upd UNION ALL SELECT * FROM tgt t "
+            "WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.order_item_id = t.order_item_id)",
+            "stg_lines_v1", "stg_lines", "stg_orders", extra=[
+                ("tgt", f"SELECT {_LINE_FACT}, '{CHECK_BATCH_NO}' AS transform_batch_no FROM stg_lines_v1 "
+                        f"WHERE order_id IS NOT NULL"),
+                ("bound", "SELECT max(order_updated_at) - INTERVAL 1 DAY AS b FROM tgt"),
+                ("upd", f"SELECT {_LINE_FACT}, '{CHECK_BATCH_NO}' AS transform_batch_no FROM stg_lines "
+                        f"WHERE order_id IN (SELECT order_id FROM stg_orders WHERE updated_at >= "
+                        f"(SELECT coalesce(b, TIMESTAMP '1900-01-01') FROM bound))")]),
+    }

@@ -131,6 +131,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, params: Params | None = None) -
         ingested = F.when(v == ver, _ts(day)).otherwise(ingested)
 
     payload = F.struct(
+        k.alias("id"),
         F.concat(F.lit("#"), (k + 1000).cast("string")).alias("name"),
         (k + 1000).cast("string").alias("order_number"),
         F.when(k % 19 == 0, F.lit(None)).when(k % 23 == 0, F.lit("abc"))
