@@ -9,37 +9,84 @@ recomputed per mart.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.params import Params
 from tallyspark.plans import marts, reconcile, staging
-from tallyspark.session import prepare
+from tallyspark.session import prepare, shared_dir
 from tallyspark.sources import fixtures
+from tallyspark.sources.schemas import GA_EVENTS_SCHEMA, raw_entity_schema
+
+# Bump when a fixture rule changes (invalidates landed inputs).
+FIXTURE_VERSION = "3"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 class Inputs:
-    """Raw inputs derived from a testdata directory."""
+    """Raw inputs derived from a testdata directory.
+
+    With ``landed=True`` (the default) each raw table is derived once and
+    written under the shared folder -- the stand-in for the raw tables the
+    landing job maintains -- and every model reads the written table. The
+    event export is written partitioned by ``_table_suffix``, so the staging
+    suffix floor prunes partitions. ``landed=False`` derives the inputs
+    inline in every plan.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params, landed: bool | None = None):
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        if landed is None:
+            landed = os.environ.get("TALLYSPARK_INLINE_INPUTS", "") != "1"
+        self.landed = landed
+
+    @cached_property
+    def _root(self) -> str:
+        key = hashlib.sha1(f"{os.path.abspath(self.sf_dir)}|{self.params.shop_domain}|{FIXTURE_VERSION}"
+                           .encode()).hexdigest()[:16]
+        return f"{shared_dir(self.spark).rstrip('/')}/tallyspark-inputs/{key}"
+
+    def _landed(self, name: str, build, schema, partition_by: str | None = None) -> DataFrame:
+        if not self.landed:
+            return build()
+        path = f"{self._root}/{name}"
+        if not _exists(self.spark, f"{path}/_SUCCESS"):
+            w = build().write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(partition_by)
+            w.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return fixtures.raw_orders(self.spark, self.sf_dir, self.params)
+        return self._landed("raw_orders", lambda: fixtures.raw_orders(self.spark, self.sf_dir, self.params),
+                            raw_entity_schema("order"))
 
     @cached_property
     def raw_products(self) -> DataFrame:
-        return fixtures.raw_products(self.spark, self.sf_dir, self.params)
+        return self._landed("raw_products", lambda: fixtures.raw_products(self.spark, self.sf_dir, self.params),
+                            raw_entity_schema("product"))
 
     @cached_property
     def raw_customers(self) -> DataFrame:
-        return fixtures.raw_customers(self.spark, self.sf_dir, self.params)
+        return self._landed("raw_customers",
+                            lambda: fixtures.raw_customers(self.spark, self.sf_dir, self.params),
+                            raw_entity_schema("customer"))
 
     @cached_property
     def ga_events(self) -> DataFrame:
-        return fixtures.ga_events(self.spark, self.sf_dir, self.params.event_suffix_floor)
+        if not self.landed:
+            return fixtures.ga_events(self.spark, self.sf_dir, self.params.event_suffix_floor)
+        return self._landed("ga_events", lambda: fixtures.ga_events(self.spark, self.sf_dir),
+                            GA_EVENTS_SCHEMA, partition_by="_table_suffix")
 
 
 class Models:
@@ -102,7 +149,7 @@ class Models:
 
     @cached_property
     def order_attribution(self) -> DataFrame:
-        return reconcile.order_attribution(self.fct_orders, self.purchase_reconciliation)
+        return reconcile.order_attribution(self.fct_orders, self.stg_ga_purchases)
 
     # marts -----------------------------------------------------------------
     @cached_property

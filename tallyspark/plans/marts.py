@@ -100,48 +100,36 @@ CHANNEL_COLUMNS = CHANNEL_KEYS + [
 def fct_channel_revenue(attributed: DataFrame) -> DataFrame:
     """Revenue by order date, currency and attributed channel.
 
-    ``count(distinct order_id)`` and its two conditional forms share one
-    distinct key, so they are computed from a per-(group, order) partial
-    aggregate instead of Spark's ``Expand`` (one copy of every row per
-    distinct expression). ``count(distinct customer_id)`` is the only other
-    distinct; it is a second aggregate over the same input, joined on the
-    (small) group keys null-safely. Money is summed exactly (decimal).
+    One aggregation over the attributed orders. The three order counts are
+    ``count(DISTINCT order_id)`` with FILTER clauses, so they share one
+    distinct key: Spark's distinct rewrite expands each row into three
+    projections (order ids, customer ids, plain aggregates) in memory, and
+    partial aggregation runs before the single shuffle -- shuffle volume stays
+    about one row per order. Money is summed exactly (decimal).
     """
     a = attributed.select(
         F.col("order_created_date").alias("revenue_date"), "currency", "attributed_source",
         "attributed_medium", "attributed_campaign", "order_id", "customer_id", "is_attributed",
         "subtotal_price", "total_discounts", "total_tax", "total_price")
     att = F.col("is_attributed")
-    per_order = a.groupBy(*CHANNEL_KEYS, "order_id").agg(
-        F.max(att).alias("_any_att"),
-        F.max(~att).alias("_any_unatt"),
-        money_sum("subtotal_price").alias("_sub"),
-        money_sum("total_discounts").alias("_disc"),
-        money_sum("total_tax").alias("_tax"),
-        money_sum("total_price").alias("_tot"),
-        money_sum(F.when(att, F.col("total_price")).otherwise(F.lit(0.0))).alias("_att_rev"),
-        money_sum(F.when(~att, F.col("total_price")).otherwise(F.lit(0.0))).alias("_unatt_rev"),
+    g = a.groupBy(*CHANNEL_KEYS).agg(
+        F.count_distinct("order_id").alias("orders"),
+        F.count_distinct("customer_id").alias("customers"),
+        F.expr("count(DISTINCT order_id) FILTER (WHERE is_attributed)").alias("attributed_orders"),
+        F.expr("count(DISTINCT order_id) FILTER (WHERE NOT is_attributed)").alias("unattributed_orders"),
+        money_sum("subtotal_price").cast("double").alias("subtotal_revenue"),
+        money_sum("total_discounts").cast("double").alias("discounts"),
+        money_sum("total_tax").cast("double").alias("tax"),
+        money_sum("total_price").cast("double").alias("total_revenue"),
+        money_sum(F.when(att, F.col("total_price")).otherwise(F.lit(0.0))).cast("double")
+        .alias("attributed_revenue"),
+        money_sum(F.when(~att, F.col("total_price")).otherwise(F.lit(0.0))).cast("double")
+        .alias("unattributed_revenue"),
     )
-    has_id = F.col("order_id").isNotNull()
-    groups = per_order.groupBy(*CHANNEL_KEYS).agg(
-        F.count("order_id").alias("orders"),
-        F.count_if(has_id & F.col("_any_att")).alias("attributed_orders"),
-        F.count_if(has_id & F.col("_any_unatt")).alias("unattributed_orders"),
-        F.sum("_sub").cast("double").alias("subtotal_revenue"),
-        F.sum("_disc").cast("double").alias("discounts"),
-        F.sum("_tax").cast("double").alias("tax"),
-        F.sum("_tot").cast("double").alias("total_revenue"),
-        F.sum("_att_rev").cast("double").alias("attributed_revenue"),
-        F.sum("_unatt_rev").cast("double").alias("unattributed_revenue"),
-    )
-    customers = a.groupBy(*[F.col(k).alias(f"_c_{k}") for k in CHANNEL_KEYS]).agg(
-        F.count_distinct("customer_id").alias("customers"))
-    cond = [groups[k].eqNullSafe(customers[f"_c_{k}"]) for k in CHANNEL_KEYS]
-    j = groups.join(customers, cond, "left")
-    return j.select(
-        *CHANNEL_KEYS, "orders", F.coalesce("customers", F.lit(0)).alias("customers"),
-        "attributed_orders", "unattributed_orders", "subtotal_revenue", "discounts", "tax",
-        "total_revenue", "attributed_revenue", "unattributed_revenue",
+    return g.select(
+        *CHANNEL_KEYS, "orders", "customers", "attributed_orders", "unattributed_orders",
+        "subtotal_revenue", "discounts", "tax", "total_revenue", "attributed_revenue",
+        "unattributed_revenue",
         ratio("attributed_orders", "orders").alias("order_attribution_coverage_rate"),
         ratio("attributed_revenue", "total_revenue").alias("revenue_attribution_coverage_rate"),
         ratio("total_revenue", "orders").alias("average_order_value"),

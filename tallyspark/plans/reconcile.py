@@ -73,10 +73,51 @@ ATTRIBUTION_COLUMNS = [
 ]
 
 
-def order_attribution(fct_orders: DataFrame, reconciliation: DataFrame) -> DataFrame:
+def order_attribution(fct_orders: DataFrame, purchases: DataFrame) -> DataFrame:
     """Every order, with its first matched purchase (by event time, then
     event key: the reference leaves ties arbitrary, D5) as the attribution
-    touch. Unmatched orders keep their revenue, labelled ``unattributed``."""
+    touch. Unmatched orders keep their revenue, labelled ``unattributed``.
+
+    A purchase matches an order when its transaction id equals the order id
+    as text (M10), so "first matched purchase per order" is "first purchase
+    per transaction id", joined to the order on that id. It is computed from
+    the purchases directly: one partial aggregate per id (a hot id collapses
+    map-side) and one join, instead of re-deriving the reconciliation's
+    order join. Same rows as the M10-based form while ``order_id`` is unique
+    (D2); ``tests`` check the two forms agree.
+    """
+    p = purchases.where(F.col("transaction_id").rlike("^-?[0-9]+$")).select(
+        "transaction_id", "event_timestamp", "event_key", "user_pseudo_id", "session_key",
+        "source", "medium", "campaign", "purchase_revenue",
+        F.col("currency").alias("_ga_currency"))
+    first = first_per_key(p, "transaction_id", ["event_timestamp", "event_key"])
+    o = fct_orders.select("order_id", "customer_id", "order_created_at", "order_created_date",
+                          "currency", "financial_status", "subtotal_price", "total_discounts",
+                          "total_tax", "total_price",
+                          F.col("order_id").cast("string").alias("_order_key"))
+    j = o.join(first, o._order_key == first.transaction_id, "left")
+    matched = F.col("transaction_id").isNotNull()
+    return j.select(
+        "order_id", "customer_id", "order_created_at", "order_created_date", "currency",
+        "financial_status", "subtotal_price", "total_discounts", "total_tax", "total_price",
+        F.col("event_key").alias("ga4_event_key"),
+        F.col("event_timestamp").alias("ga4_event_timestamp"),
+        F.to_date("event_timestamp").alias("ga4_purchase_date"),
+        F.col("transaction_id").alias("ga4_transaction_id"),
+        "user_pseudo_id", "session_key",
+        F.lit(ATTRIBUTION_MODEL).alias("attribution_model"),
+        matched.alias("is_attributed"),
+        F.coalesce(F.col("source"), F.lit(UNATTRIBUTED)).alias("attributed_source"),
+        F.coalesce(F.col("medium"), F.lit(UNATTRIBUTED)).alias("attributed_medium"),
+        F.coalesce(F.col("campaign"), F.lit(UNATTRIBUTED)).alias("attributed_campaign"),
+        (F.col("purchase_revenue") - F.col("total_price")).alias("revenue_difference"),
+        (F.col("_ga_currency") == F.col("currency")).alias("same_currency"),
+    )
+
+
+def order_attribution_via_reconciliation(fct_orders: DataFrame, reconciliation: DataFrame) -> DataFrame:
+    """M11 in the reference's literal form (first matched row of M10 per
+    order). Kept as the cross-check for ``order_attribution``."""
     m = reconciliation.where(F.col("match_status") == "matched").select(
         "shopify_order_id", "ga4_event_timestamp", "ga4_event_key", "ga4_transaction_id",
         "user_pseudo_id", "session_key", "source", "medium", "campaign",

@@ -27,26 +27,29 @@ ORDER_COLUMNS = [
 ]
 
 
-def _latest_payload(raw: DataFrame, keys, sort_path: str) -> DataFrame:
-    """Latest version per key: payload ``sort_path`` desc nulls last, then
-    ``ingested_at`` desc, then payload text (deterministic tiebreak, D5).
-    Only the sort field is read before the shuffle; survivors are parsed."""
-    sort_ts = safe_timestamp(F.get_json_object("payload_json", sort_path))
-    return dedup_latest(raw, keys, [sort_ts.desc_nulls_last(), F.col("ingested_at").desc_nulls_last(),
-                                    F.col("payload_json").desc_nulls_last()])
+def _latest(df: DataFrame, keys, sort_ts) -> DataFrame:
+    """Latest version per key: payload timestamp desc nulls last, then
+    ``ingested_at`` desc, then a hash of the payload text (deterministic
+    tiebreak for exact ties, D5)."""
+    return dedup_latest(df, keys, [sort_ts.desc_nulls_last(), F.col("ingested_at").desc_nulls_last(),
+                                   F.xxhash64("payload_json").desc()])
 
 
 def stg_orders_parsed(raw_orders: DataFrame, params: Params | None = None) -> DataFrame:
-    """M1 plus ``_v``, the payload parsed once (used by the line items)."""
+    """M1 plus ``_v``, the payload parsed once (used by the line items).
+
+    Fields are extracted *before* the dedup shuffle: the parse is per row
+    either way, and this lets column pruning keep the wide payload (with its
+    line items) out of the exchange whenever the consumer does not need it
+    (e.g. the order fact); only the typed columns are shuffled.
+    """
     params = params or Params()
     raw = raw_orders.select("shop_domain", "order_id", F.col("updated_at").alias("raw_updated_at"),
-                            "ingested_at", "payload_json")
-    latest = _latest_payload(raw, ["shop_domain", "order_id"], "$.updated_at")
-    v = parse_json("payload_json")
-    latest = latest.withColumn("_v", v)
+                            "ingested_at", "payload_json", parse_json("payload_json").alias("_v"))
     j = lambda path: json_value("_v", path)
     created = safe_timestamp(j("$.created_at"))
-    return latest.select(
+    payload_updated = safe_timestamp(j("$.updated_at"))
+    typed = raw.select(
         "shop_domain",
         "order_id",
         j("$.name").alias("order_name"),
@@ -54,7 +57,7 @@ def stg_orders_parsed(raw_orders: DataFrame, params: Params | None = None) -> Da
         safe_bigint(j(params.order_customer_path)).alias("customer_id"),
         created.alias("created_at"),
         safe_timestamp(j("$.processed_at")).alias("processed_at"),
-        F.coalesce(safe_timestamp(j("$.updated_at")), F.col("raw_updated_at"), created).alias("updated_at"),
+        F.coalesce(payload_updated, F.col("raw_updated_at"), created).alias("updated_at"),
         safe_timestamp(j("$.cancelled_at")).alias("cancelled_at"),
         j("$.financial_status").alias("financial_status"),
         j("$.fulfillment_status").alias("fulfillment_status"),
@@ -66,7 +69,9 @@ def stg_orders_parsed(raw_orders: DataFrame, params: Params | None = None) -> Da
         "ingested_at",
         "payload_json",
         "_v",
+        payload_updated.alias("_sort_ts"),
     )
+    return _latest(typed, ["shop_domain", "order_id"], F.col("_sort_ts")).drop("_sort_ts")
 
 
 def stg_orders(raw_orders: DataFrame, params: Params | None = None) -> DataFrame:
@@ -118,39 +123,40 @@ def stg_order_line_items(raw_orders: DataFrame, params: Params | None = None) ->
 def stg_customers(raw_customers: DataFrame) -> DataFrame:
     """M3: latest customer by payload ``created_at`` (not updated_at), then
     ingest time. No personal fields are carried."""
-    raw = raw_customers.select("shop_domain", "payload_json", "ingested_at")
-    key = safe_bigint(F.get_json_object("payload_json", "$.id"))
-    latest = _latest_payload(raw.withColumn("_id", key), ["shop_domain", "_id"], "$.created_at")
-    v = parse_json("payload_json")
-    return latest.select(
-        "shop_domain", F.col("_id").alias("customer_id"),
-        safe_timestamp(json_value(v, "$.created_at")).alias("created_at"), "ingested_at")
+    raw = raw_customers.select("shop_domain", "payload_json", "ingested_at",
+                               parse_json("payload_json").alias("_v"))
+    typed = raw.select("shop_domain", safe_bigint(json_value("_v", "$.id")).alias("customer_id"),
+                       safe_timestamp(json_value("_v", "$.created_at")).alias("created_at"),
+                       "ingested_at", "payload_json")
+    latest = _latest(typed, ["shop_domain", "customer_id"], F.col("created_at"))
+    return latest.select("shop_domain", "customer_id", "created_at", "ingested_at")
 
 
 def _stg_products_parsed(raw_products: DataFrame) -> DataFrame:
-    raw = raw_products.select("shop_domain", "payload_json", "ingested_at")
-    key = safe_bigint(F.get_json_object("payload_json", "$.id"))
-    latest = _latest_payload(raw.withColumn("_id", key), ["shop_domain", "_id"], "$.updated_at")
-    return latest.withColumn("_v", parse_json("payload_json"))
-
-
-def stg_products(raw_products: DataFrame) -> DataFrame:
-    """M4: latest product version per (shop_domain, payload id)."""
-    p = _stg_products_parsed(raw_products)
+    raw = raw_products.select("shop_domain", "payload_json", "ingested_at",
+                              parse_json("payload_json").alias("_v"))
     j = lambda path: json_value("_v", path)
-    return p.select(
-        "shop_domain", F.col("_id").alias("product_id"),
+    typed = raw.select(
+        "shop_domain", safe_bigint(j("$.id")).alias("product_id"),
         safe_timestamp(j("$.created_at")).alias("created_at"),
         safe_timestamp(j("$.updated_at")).alias("updated_at"),
         j("$.title").alias("product_title"), j("$.vendor").alias("vendor"),
         j("$.product_type").alias("product_type"), j("$.status").alias("status"),
-        "payload_json", "ingested_at")
+        "payload_json", "ingested_at", "_v")
+    return _latest(typed, ["shop_domain", "product_id"], F.col("updated_at"))
+
+
+def stg_products(raw_products: DataFrame) -> DataFrame:
+    """M4: latest product version per (shop_domain, payload id)."""
+    return _stg_products_parsed(raw_products).select(
+        "shop_domain", "product_id", "created_at", "updated_at", "product_title", "vendor",
+        "product_type", "status", "payload_json", "ingested_at")
 
 
 def stg_product_variants(raw_products: DataFrame) -> DataFrame:
     """M5: one row per element of the latest product's ``$.variants``."""
     p = _stg_products_parsed(raw_products).select(
-        "shop_domain", safe_bigint(json_value("_v", "$.id")).alias("product_id"), "ingested_at",
+        "shop_domain", "product_id", "ingested_at",
         F.explode(json_array("_v", "$.variants")).alias("_var"))
     j = lambda path: json_value("_var", path)
     return p.select(
