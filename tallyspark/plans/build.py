@@ -89,20 +89,43 @@ class Inputs:
                             GA_EVENTS_SCHEMA, partition_by="_table_suffix")
 
 
+def model(fn):
+    """A model of the graph: built once per ``Models`` and passed through
+    ``Models._finish`` (identity, or write-and-read for materialised runs)."""
+    name = fn.__name__
+
+    def get(self) -> DataFrame:
+        cache = self.__dict__.setdefault("_built", {})
+        if name not in cache:
+            cache[name] = self._finish(name, fn(self))
+        return cache[name]
+
+    get.__name__ = name
+    get.__doc__ = fn.__doc__
+    return property(get)
+
+
 class Models:
+    """The model graph over one set of inputs; every model is a lazy
+    DataFrame until an action runs."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None,
                  inputs: Inputs | None = None):
         prepare(spark)
         self.spark = spark
+        self.sf_dir = sf_dir
         self.params = params or Params()
         self.inputs = inputs or Inputs(spark, sf_dir, self.params)
 
+    def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        return df
+
     # staging ---------------------------------------------------------------
     @cached_property
     def stg_orders_parsed(self) -> DataFrame:
         return staging.stg_orders_parsed(self.inputs.raw_orders, self.params)
 
-    @cached_property
+    @model
     def stg_orders(self) -> DataFrame:
         return self.stg_orders_parsed.select(*staging.ORDER_COLUMNS)
 
@@ -110,64 +133,81 @@ class Models:
     def order_lines_wide(self) -> DataFrame:
         return staging.order_lines_wide(self.stg_orders_parsed)
 
-    @cached_property
+    @model
     def stg_order_line_items(self) -> DataFrame:
         return self.order_lines_wide.select(*staging.LINE_COLUMNS)
 
-    @cached_property
+    @model
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.inputs.raw_customers)
 
-    @cached_property
+    @model
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.inputs.raw_products)
 
-    @cached_property
+    @model
     def stg_product_variants(self) -> DataFrame:
         return staging.stg_product_variants(self.inputs.raw_products)
 
-    @cached_property
+    @model
     def stg_ga_events(self) -> DataFrame:
         return staging.stg_ga_events(self.inputs.ga_events, self.params)
 
-    @cached_property
+    @model
     def stg_ga_sessions(self) -> DataFrame:
         return staging.stg_ga_sessions(self.stg_ga_events)
 
-    @cached_property
+    @model
     def stg_ga_purchases(self) -> DataFrame:
         return staging.stg_ga_purchases(self.stg_ga_events)
 
-    @cached_property
+    @model
     def stg_ga_items(self) -> DataFrame:
         return staging.stg_ga_items(self.stg_ga_events)
 
     # intermediate ----------------------------------------------------------
-    @cached_property
+    @model
     def purchase_reconciliation(self) -> DataFrame:
         return reconcile.purchase_reconciliation(self.stg_ga_purchases, self.stg_orders)
 
-    @cached_property
+    @model
     def order_attribution(self) -> DataFrame:
         return reconcile.order_attribution(self.fct_orders, self.stg_ga_purchases)
 
     # marts -----------------------------------------------------------------
-    @cached_property
+    @model
     def fct_orders(self) -> DataFrame:
         return marts.fct_orders(self.stg_orders, self.params)
 
-    @cached_property
+    @model
     def fct_order_lines(self) -> DataFrame:
         return marts.fct_order_lines(self.order_lines_wide, None, self.params)
 
-    @cached_property
+    @model
     def fct_attributed_orders(self) -> DataFrame:
         return marts.fct_attributed_orders(self.order_attribution)
 
-    @cached_property
+    @model
     def fct_channel_revenue(self) -> DataFrame:
         return marts.fct_channel_revenue(self.fct_attributed_orders)
 
-    @cached_property
+    @model
     def fct_funnel(self) -> DataFrame:
         return marts.fct_funnel(self.stg_ga_sessions, self.purchase_reconciliation)
+
+
+class MaterializedModels(Models):
+    """The graph run the way the reference materialises it: each model,
+    when first used, is written as a table under ``root`` and read back, so
+    its downstream models (and repeated readers such as the quality suite)
+    scan the table instead of recomputing it. The written tables also cut
+    lineage, so a lost executor costs one model's tasks, not the chain."""
+
+    def __init__(self, base: Models, root: str):
+        super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
+        self.root = root
+
+    def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)

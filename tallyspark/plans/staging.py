@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.casts import safe_bigint, safe_double, safe_timestamp
 from tallyspark.functions.events import event_param
-from tallyspark.functions.json import json_array, json_value, parse_json
+from tallyspark.functions.json import (number_text, parse_fields, path_value, scalar_text,
+                                       top_level_key)
 from tallyspark.operators.dedup import dedup_latest
 from tallyspark.params import Params
 from tallyspark.sources.schemas import EVENT_PARAM_KINDS, ITEM_STRING_FIELDS
@@ -35,40 +36,51 @@ def _latest(df: DataFrame, keys, sort_ts) -> DataFrame:
                                    F.xxhash64("payload_json").desc()])
 
 
+ORDER_FIELDS = ["name", "order_number", "customer_id", "created_at", "processed_at", "updated_at",
+                "cancelled_at", "financial_status", "fulfillment_status", "currency", "subtotal_price",
+                "total_tax", "total_discounts", "total_price"]
+
+
 def stg_orders_parsed(raw_orders: DataFrame, params: Params | None = None) -> DataFrame:
-    """M1 plus ``_v``, the payload parsed once (used by the line items).
+    """M1 plus ``_li`` (raw text of each line item, used by M2).
 
-    Fields are extracted *before* the dedup shuffle: the parse is per row
-    either way, and this lets column pruning keep the wide payload (with its
-    line items) out of the exchange whenever the consumer does not need it
-    (e.g. the order fact); only the typed columns are shuffled.
+    The payload is parsed once, and fields are extracted *before* the dedup
+    shuffle: the parse is per row either way, and this lets column pruning
+    keep the wide payload (with its line items) out of the exchange whenever
+    the consumer does not need it (e.g. the order fact).
     """
     params = params or Params()
+    cust_key = top_level_key(params.order_customer_path)
+    scalars = ORDER_FIELDS if cust_key in (None, "customer_id") else ORDER_FIELDS + [cust_key]
     raw = raw_orders.select("shop_domain", "order_id", F.col("updated_at").alias("raw_updated_at"),
-                            "ingested_at", "payload_json", parse_json("payload_json").alias("_v"))
-    j = lambda path: json_value("_v", path)
-    created = safe_timestamp(j("$.created_at"))
-    payload_updated = safe_timestamp(j("$.updated_at"))
+                            "ingested_at", "payload_json",
+                            parse_fields("payload_json", scalars, ["line_items"]).alias("_p"))
+    p, doc = F.col("_p"), F.col("payload_json")
+    txt = lambda k: scalar_text(p, doc, k)
+    num = lambda k: number_text(p, k)
+    customer = num(cust_key) if cust_key else path_value(doc, params.order_customer_path)
+    created = safe_timestamp(num("created_at"))
+    payload_updated = safe_timestamp(num("updated_at"))
     typed = raw.select(
         "shop_domain",
         "order_id",
-        j("$.name").alias("order_name"),
-        safe_bigint(j("$.order_number")).alias("order_number"),
-        safe_bigint(j(params.order_customer_path)).alias("customer_id"),
+        txt("name").alias("order_name"),
+        safe_bigint(num("order_number")).alias("order_number"),
+        safe_bigint(customer).alias("customer_id"),
         created.alias("created_at"),
-        safe_timestamp(j("$.processed_at")).alias("processed_at"),
+        safe_timestamp(num("processed_at")).alias("processed_at"),
         F.coalesce(payload_updated, F.col("raw_updated_at"), created).alias("updated_at"),
-        safe_timestamp(j("$.cancelled_at")).alias("cancelled_at"),
-        j("$.financial_status").alias("financial_status"),
-        j("$.fulfillment_status").alias("fulfillment_status"),
-        j("$.currency").alias("currency"),
-        safe_double(j("$.subtotal_price")).alias("subtotal_price"),
-        safe_double(j("$.total_tax")).alias("total_tax"),
-        safe_double(j("$.total_discounts")).alias("total_discounts"),
-        safe_double(j("$.total_price")).alias("total_price"),
+        safe_timestamp(num("cancelled_at")).alias("cancelled_at"),
+        txt("financial_status").alias("financial_status"),
+        txt("fulfillment_status").alias("fulfillment_status"),
+        txt("currency").alias("currency"),
+        safe_double(num("subtotal_price")).alias("subtotal_price"),
+        safe_double(num("total_tax")).alias("total_tax"),
+        safe_double(num("total_discounts")).alias("total_discounts"),
+        safe_double(num("total_price")).alias("total_price"),
         "ingested_at",
         "payload_json",
-        "_v",
+        p["line_items"].alias("_li"),
         payload_updated.alias("_sort_ts"),
     )
     return _latest(typed, ["shop_domain", "order_id"], F.col("_sort_ts")).drop("_sort_ts")
@@ -86,6 +98,9 @@ LINE_COLUMNS = [
 ]
 
 
+LINE_FIELDS = ["id", "product_id", "variant_id", "title", "sku", "quantity", "price", "total_discount"]
+
+
 def order_lines_wide(orders_parsed: DataFrame) -> DataFrame:
     """Exploded ``$.line_items`` of M1, carrying the order's own columns.
 
@@ -96,20 +111,21 @@ def order_lines_wide(orders_parsed: DataFrame) -> DataFrame:
         "shop_domain", "order_id", F.col("created_at").alias("order_created_at"),
         F.col("updated_at").alias("order_updated_at"), "currency", "customer_id",
         "financial_status", "fulfillment_status",
-        F.explode(json_array("_v", "$.line_items")).alias("_li"))
-    j = lambda path: json_value("_li", path)
-    qty = safe_bigint(j("$.quantity"))
-    price = safe_double(j("$.price"))
+        F.explode("_li").alias("_doc"))
+    o = o.withColumn("_p", parse_fields("_doc", LINE_FIELDS))
+    p, doc = F.col("_p"), F.col("_doc")
+    qty = safe_bigint(number_text(p, "quantity"))
+    price = safe_double(number_text(p, "price"))
     return o.select(
         "shop_domain", "order_id", "order_created_at", "order_updated_at", "currency",
-        safe_bigint(j("$.id")).alias("order_item_id"),
-        safe_bigint(j("$.product_id")).alias("product_id"),
-        safe_bigint(j("$.variant_id")).alias("variant_id"),
-        j("$.title").alias("line_title"),
-        j("$.sku").alias("sku"),
+        safe_bigint(number_text(p, "id")).alias("order_item_id"),
+        safe_bigint(number_text(p, "product_id")).alias("product_id"),
+        safe_bigint(number_text(p, "variant_id")).alias("variant_id"),
+        scalar_text(p, doc, "title").alias("line_title"),
+        scalar_text(p, doc, "sku").alias("sku"),
         qty.alias("quantity"),
         price.alias("unit_price"),
-        safe_double(j("$.total_discount")).alias("line_discount"),
+        safe_double(number_text(p, "total_discount")).alias("line_discount"),
         (qty * price).alias("line_gross_sales"),
         "customer_id", "financial_status", "fulfillment_status",
     )
@@ -124,25 +140,31 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
     """M3: latest customer by payload ``created_at`` (not updated_at), then
     ingest time. No personal fields are carried."""
     raw = raw_customers.select("shop_domain", "payload_json", "ingested_at",
-                               parse_json("payload_json").alias("_v"))
-    typed = raw.select("shop_domain", safe_bigint(json_value("_v", "$.id")).alias("customer_id"),
-                       safe_timestamp(json_value("_v", "$.created_at")).alias("created_at"),
+                               parse_fields("payload_json", ["id", "created_at"]).alias("_p"))
+    typed = raw.select("shop_domain", safe_bigint(F.col("_p.id")).alias("customer_id"),
+                       safe_timestamp(F.col("_p.created_at")).alias("created_at"),
                        "ingested_at", "payload_json")
     latest = _latest(typed, ["shop_domain", "customer_id"], F.col("created_at"))
     return latest.select("shop_domain", "customer_id", "created_at", "ingested_at")
 
 
+PRODUCT_FIELDS = ["id", "created_at", "updated_at", "title", "vendor", "product_type", "status"]
+VARIANT_FIELDS = ["id", "title", "sku", "price", "position"]
+
+
 def _stg_products_parsed(raw_products: DataFrame) -> DataFrame:
     raw = raw_products.select("shop_domain", "payload_json", "ingested_at",
-                              parse_json("payload_json").alias("_v"))
-    j = lambda path: json_value("_v", path)
+                              parse_fields("payload_json", PRODUCT_FIELDS, ["variants"]).alias("_p"))
+    p, doc = F.col("_p"), F.col("payload_json")
     typed = raw.select(
-        "shop_domain", safe_bigint(j("$.id")).alias("product_id"),
-        safe_timestamp(j("$.created_at")).alias("created_at"),
-        safe_timestamp(j("$.updated_at")).alias("updated_at"),
-        j("$.title").alias("product_title"), j("$.vendor").alias("vendor"),
-        j("$.product_type").alias("product_type"), j("$.status").alias("status"),
-        "payload_json", "ingested_at", "_v")
+        "shop_domain", safe_bigint(number_text(p, "id")).alias("product_id"),
+        safe_timestamp(number_text(p, "created_at")).alias("created_at"),
+        safe_timestamp(number_text(p, "updated_at")).alias("updated_at"),
+        scalar_text(p, doc, "title").alias("product_title"),
+        scalar_text(p, doc, "vendor").alias("vendor"),
+        scalar_text(p, doc, "product_type").alias("product_type"),
+        scalar_text(p, doc, "status").alias("status"),
+        "payload_json", "ingested_at", p["variants"].alias("_variants"))
     return _latest(typed, ["shop_domain", "product_id"], F.col("updated_at"))
 
 
@@ -155,15 +177,17 @@ def stg_products(raw_products: DataFrame) -> DataFrame:
 
 def stg_product_variants(raw_products: DataFrame) -> DataFrame:
     """M5: one row per element of the latest product's ``$.variants``."""
-    p = _stg_products_parsed(raw_products).select(
-        "shop_domain", "product_id", "ingested_at",
-        F.explode(json_array("_v", "$.variants")).alias("_var"))
-    j = lambda path: json_value("_var", path)
-    return p.select(
+    v = _stg_products_parsed(raw_products).select(
+        "shop_domain", "product_id", "ingested_at", F.explode("_variants").alias("_doc"))
+    v = v.withColumn("_p", parse_fields("_doc", VARIANT_FIELDS))
+    p, doc = F.col("_p"), F.col("_doc")
+    return v.select(
         "shop_domain", "product_id",
-        safe_bigint(j("$.id")).alias("variant_id"), j("$.title").alias("variant_title"),
-        j("$.sku").alias("sku"), safe_double(j("$.price")).alias("price"),
-        safe_bigint(j("$.position")).alias("position"), "ingested_at")
+        safe_bigint(number_text(p, "id")).alias("variant_id"),
+        scalar_text(p, doc, "title").alias("variant_title"),
+        scalar_text(p, doc, "sku").alias("sku"),
+        safe_double(number_text(p, "price")).alias("price"),
+        safe_bigint(number_text(p, "position")).alias("position"), "ingested_at")
 
 
 # --------------------------------------------------------------------------
