@@ -534,7 +534,17 @@ def _singular_parts():
 
 
 def quality_sql() -> dict[str, str]:
-    out = {}
+    # Parameter keys each event carries, from the fixture rules.
+    out = {"dq_duplicate_param_keys": with_("""
+      SELECT 'u' || CAST(u AS VARCHAR) AS user_pseudo_id, epoch_us(ts) AS event_timestamp,
+        event_name, suffix AS _table_suffix
+      FROM (SELECT *, list_filter([
+              CASE WHEN e % 20 <> 7 THEN 'ga_session_id' END, 'ga_session_number', 'page_location',
+              CASE WHEN (e + u) % 5 <> 0 THEN 'source' END, CASE WHEN (e + u) % 2 = 0 THEN 'medium' END,
+              CASE WHEN e % 4 <> 0 THEN 'campaign' END, CASE WHEN e % 9 <> 0 THEN 'currency' END,
+              'page_title'], lambda x: x IS NOT NULL) AS param_keys
+            FROM ev)
+      WHERE len(param_keys) <> len(list_distinct(param_keys))""", "ev")}
     groups = {"dq_not_null": _not_null_parts(), "dq_unique": _unique_parts(),
               "dq_accepted_values": _accepted_parts(), "dq_unique_combination": _combination_parts()}
     for k, (parts, ctes) in groups.items():

@@ -189,6 +189,16 @@ def dq_order_totals(m) -> DataFrame:
     return m.stg_orders.where(cond).select("order_id", *money)
 
 
+def dq_duplicate_param_keys(m) -> DataFrame:
+    """Events whose ``event_params`` repeat a key (D16: the warehouse's
+    scalar subquery would fail on them; here the first value wins)."""
+    ev = m.inputs.ga_events
+    keys = F.transform("event_params", lambda p: p["key"])
+    ev = ev.where(F.col("_table_suffix") >= F.lit(m.params.event_suffix_floor))
+    return ev.where(F.size(keys) != F.size(F.array_distinct(keys))).select(
+        "user_pseudo_id", "event_timestamp", "event_name", "_table_suffix")
+
+
 # (test name, function, model it reads, severity)
 SINGULAR = [
     ("purchases_have_transaction_id", dq_purchase_missing_txn, "stg_ga_purchases", W),

@@ -84,11 +84,39 @@ def state_of(spark: SparkSession, rows: list[tuple[str, _dt.datetime | None]]) -
     return spark.createDataFrame(rows, STATE_SCHEMA)
 
 
+def checkpoint_of(state: DataFrame, source: str) -> DataFrame:
+    """S3: the source's checkpoint row -- a parameter-bound query with
+    ``LIMIT 1`` (at most one row by construction)."""
+    return state.sparkSession.sql(
+        "SELECT source, last_updated_at FROM {state} WHERE source = :source LIMIT 1",
+        args={"source": source}, state=state)
+
+
+def api_lower_bound(ts) -> F.Column:
+    """The request's ``updated_at_min`` -- the checkpoint in UTC,
+    formatted to whole seconds with a ``Z`` suffix (so inclusive of records a
+    fraction of a second before the checkpoint; S4 drops them)."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def source_window(rows: DataFrame, state: DataFrame, source: str) -> DataFrame:
+    """What the source returns for ``updated_at >= updated_at_min``
+    (whole-second bound, inclusive). Records without ``updated_at`` are kept.
+    Applied before S4 it only narrows the input; S4 decides."""
+    ckpt = F.broadcast(checkpoint_of(state, source).select(
+        F.col("source").alias("_src"), F.col("last_updated_at").alias("_ckpt")))
+    j = rows.withColumn("_src", F.lit(source)).join(ckpt, "_src", "left")
+    bound = F.to_timestamp(api_lower_bound(F.col("_ckpt")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    keep = F.col("_ckpt").isNull() | F.col("updated_at").isNull() | (F.col("updated_at") >= bound)
+    return j.where(keep).drop("_src", "_ckpt")
+
+
 def incremental_filter(rows: DataFrame, state: DataFrame, source: str) -> DataFrame:
     """Drop a record iff both the checkpoint and its ``updated_at`` exist
-    and ``updated_at <= checkpoint``."""
-    ckpt = F.broadcast(state.where(F.col("source") == source)
-                       .select(F.col("source").alias("_src"), F.col("last_updated_at").alias("_ckpt")))
+    and ``updated_at <= checkpoint``. The checkpoint slice is one row at most
+    (S3, ``LIMIT 1``), so it is broadcast."""
+    ckpt = F.broadcast(checkpoint_of(state, source).select(
+        F.col("source").alias("_src"), F.col("last_updated_at").alias("_ckpt")))
     j = rows.withColumn("_src", F.lit(source)).join(ckpt, "_src", "left")
     keep = F.col("_ckpt").isNull() | F.col("updated_at").isNull() | (F.col("updated_at") > F.col("_ckpt"))
     return j.where(keep).drop("_src", "_ckpt")
@@ -144,7 +172,8 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
     checkpoint. Returns the kept-row count and the new checkpoint."""
     ensure_raw_table(spark, entity, raw_path)
     state = read_state(spark, state_path)
-    kept = incremental_filter(raw_rows(records, entity, shop_domain, batch_no, ingested_at), state, entity)
+    shaped = raw_rows(records, entity, shop_domain, batch_no, ingested_at)
+    kept = incremental_filter(source_window(shaped, state, entity), state, entity)
     kept = kept.select(*raw_entity_schema(entity).fieldNames())
     kept.write.mode("append").partitionBy("batch_no").parquet(raw_path)
     # The appended batch is read back for the watermark: one partition (the

@@ -43,3 +43,17 @@ def test_event_param_first_match_and_missing(spark):
     r = df.select(event_param("source", "string").alias("s"),
                   event_param("ga_session_id", "int").alias("g")).first()
     assert r.s == "a" and r.g is None
+
+
+def test_duplicate_param_keys_are_reported(spark):
+    from types import SimpleNamespace
+
+    from tallyspark.params import Params
+    from tallyspark.plans.quality import dq_duplicate_param_keys
+    p = {"key": "source", "value": {"string_value": "a", "int_value": None}}
+    rows = [{"event_name": "x", "event_timestamp": i, "event_date": "20240105", "user_pseudo_id": "u",
+             "event_params": [p, p] if i == 1 else [p], "ecommerce": None, "items": None,
+             "_table_suffix": "20240105"} for i in (1, 2)]
+    m = SimpleNamespace(inputs=SimpleNamespace(ga_events=spark.createDataFrame(rows, GA_EVENTS_SCHEMA)),
+                        params=Params(event_suffix_floor="20240101"))
+    assert [r.event_timestamp for r in dq_duplicate_param_keys(m).collect()] == [1]
