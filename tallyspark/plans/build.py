@@ -81,6 +81,18 @@ class Inputs:
                             lambda: fixtures.raw_customers(self.spark, self.sf_dir, self.params),
                             raw_entity_schema("customer"))
 
+    def pages_path(self, entity: str, snapshot) -> str:
+        """API page files for ``entity`` (landed once per inputs; see
+        ``sources.landing.write_pages``)."""
+        from tallyspark.sources.landing import write_pages
+        path = f"{self._root}/pages_{entity}"
+        if not self.landed:
+            from tallyspark.session import fresh_path
+            path = fresh_path(self.spark, f"pages-{entity}")
+        if not _exists(self.spark, f"{path}/_SUCCESS"):
+            write_pages(snapshot(), entity, path)
+        return path
+
     @cached_property
     def ga_events(self) -> DataFrame:
         if not self.landed:
@@ -203,11 +215,32 @@ class MaterializedModels(Models):
     scan the table instead of recomputing it. The written tables also cut
     lineage, so a lost executor costs one model's tasks, not the chain."""
 
-    def __init__(self, base: Models, root: str):
+    def __init__(self, base: Models, root: str, only: set[str] | None = None):
         super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
         self.root = root
+        self.only = only
 
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        if self.only is not None and name not in self.only:
+            return df
         path = f"{self.root}/{name}"
         df.write.parquet(path)
         return self.spark.read.parquet(path)
+
+
+MODEL_NAMES = [
+    "stg_orders", "stg_order_line_items", "stg_customers", "stg_products", "stg_product_variants",
+    "stg_ga_events", "stg_ga_sessions", "stg_ga_purchases", "stg_ga_items",
+    "purchase_reconciliation", "fct_orders", "order_attribution", "fct_order_lines",
+    "fct_attributed_orders", "fct_channel_revenue", "fct_funnel",
+]
+
+
+def build_all(models: Models, root: str) -> MaterializedModels:
+    """Write every model once, in dependency order (each model reads its
+    upstream's written table): the full run. Returns the graph over the
+    written tables for readers such as the quality suite and reports."""
+    mm = MaterializedModels(models, root)
+    for name in MODEL_NAMES:
+        getattr(mm, name)
+    return mm

@@ -30,13 +30,16 @@ def api_snapshot(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("batch_no") == 1).select("payload_json")
 
 
+def _pages_dir(m, entity: str) -> str:
+    raw = {"order": lambda: m.inputs.raw_orders, "product": lambda: m.inputs.raw_products,
+           "customer": lambda: m.inputs.raw_customers}[entity]
+    return m.inputs.pages_path(entity, lambda: api_snapshot(raw()))
+
+
 def landed_pages(m, entity: str = "order") -> DataFrame:
-    """Write the entity's API snapshot as page files and read them back."""
-    raw = {"order": m.inputs.raw_orders, "product": m.inputs.raw_products,
-           "customer": m.inputs.raw_customers}[entity]
-    path = fresh_path(m.spark, f"pages-{entity}")
-    landing.write_pages(api_snapshot(raw), entity, path)
-    return landing.read_pages(m.spark, path)
+    """The entity's API snapshot as landed page files (written once per
+    inputs), read as text lines."""
+    return landing.read_pages(m.spark, _pages_dir(m, entity))
 
 
 def unwrap_orders(m) -> DataFrame:
@@ -102,8 +105,7 @@ def stream_twice(m) -> DataFrame:
     """Streaming landing run twice over the same page files: the second run
     finds no new file and lands nothing."""
     root = fresh_path(m.spark, "landing-stream")
-    pages_dir = fresh_path(m.spark, "pages-stream")
-    landing.write_pages(api_snapshot(m.inputs.raw_orders), "order", pages_dir)
+    pages_dir = _pages_dir(m, "order")
     for _ in range(2):
         land_stream(m.spark, pages_dir, "order", f"{root}/raw_orders", f"{root}/landing_state",
                     f"{root}/_checkpoint", m.params.shop_domain)

@@ -3,7 +3,11 @@
 
 Generic tests are declared as data below and run through
 ``tallyspark.operators.assertions``; all not_null tests of one model share a
-single aggregate pass.
+single aggregate pass. Each summary is one plan over the model graph, so
+Spark reuses identical exchanges across tests; measured at sf0.1 this beats
+writing every model first (e.g. ``dq_unique`` 6.7 s vs 17 s). After a
+materialised run (``build.build_all``) pass the ``MaterializedModels``
+instead and every test scans the written tables.
 """
 
 from __future__ import annotations
@@ -83,35 +87,20 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def materialized(m):
-    """The suite reads every model several times: run it over the
-    materialised graph (each model written once, downstream models reading
-    the written upstream)."""
-    from tallyspark.plans.build import MaterializedModels
-    from tallyspark.session import fresh_path
-    if isinstance(m, MaterializedModels):
-        return m
-    return MaterializedModels(m, fresh_path(m.spark, "models"))
-
-
 def dq_not_null(m) -> DataFrame:
-    m = materialized(m)
     return _union([A.not_null_summary(getattr(m, model), model, cols) for model, cols in NOT_NULL.items()])
 
 
 def dq_unique(m) -> DataFrame:
-    m = materialized(m)
     return _union([A.unique_summary(getattr(m, model), model, col, sev) for model, col, sev in UNIQUE])
 
 
 def dq_accepted_values(m) -> DataFrame:
-    m = materialized(m)
     return _union([A.accepted_values_summary(getattr(m, model), model, col, vals, sev, where)
                    for model, col, vals, sev, where in ACCEPTED_VALUES])
 
 
 def dq_unique_combination(m) -> DataFrame:
-    m = materialized(m)
     return _union([A.unique_combination_summary(getattr(m, model), model, cols, sev)
                    for model, cols, sev in UNIQUE_COMBINATION])
 
@@ -214,12 +203,10 @@ SINGULAR = [
 
 
 def dq_singular_summary(m) -> DataFrame:
-    m = materialized(m)
     return _union([A.failing_rows_summary(fn(m), name, model, sev) for name, fn, model, sev in SINGULAR])
 
 
 def dq_suite(m) -> DataFrame:
     """All 108 tests, one summary row each."""
-    m = materialized(m)
     return _union([dq_not_null(m), dq_unique(m), dq_accepted_values(m), dq_unique_combination(m),
                    dq_singular_summary(m)])

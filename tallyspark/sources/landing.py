@@ -42,7 +42,7 @@ def write_pages(records: DataFrame, entity: str, path: str, key: str = "id",
     pages = records.groupBy(page_no.alias("_page")).agg(
         F.concat(F.lit('{"' + entity + 's": ['),
                  F.array_join(F.collect_list("payload_json"), ","), F.lit("]}")).alias("value"))
-    pages.select("value").write.mode("overwrite").text(path)
+    pages.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:

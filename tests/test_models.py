@@ -160,3 +160,15 @@ def test_hot_transaction_id_is_handled_without_loss(spark):
     rec = reconcile.purchase_reconciliation(p, staging.stg_orders(raw_orders(spark, [
         (1, order_payload(1, "2024-01-02T00:00:00Z"), dt.datetime(2024, 1, 1), None)])))
     assert rec.where("match_status = 'matched'").count() == 2000
+
+
+def test_build_all_writes_every_model_and_suite_reads_it(spark, sf_small):
+    from tallyspark.plans.build import MODEL_NAMES, Models, build_all
+    from tallyspark.plans.quality import dq_suite
+    from tallyspark.session import fresh_path
+    m = Models(spark, sf_small)
+    mm = build_all(m, fresh_path(spark, "t-build"))
+    assert all(f"{mm.root}/{n}" in mm.__dict__["_built"][n].inputFiles()[0] for n in MODEL_NAMES)
+    a = {(r.model, r.column_name, r.test): r.failures for r in dq_suite(mm).collect()}
+    b = {(r.model, r.column_name, r.test): r.failures for r in dq_suite(m).collect()}
+    assert a == b and len(a) == 108
