@@ -42,3 +42,44 @@ def merge_into(target: DataFrame | None, updates: DataFrame, key: Sequence[str])
     keys = list(key)
     kept = target.join(updates.select(*keys), keys, "left_anti")
     return updates.unionByName(kept.select(*updates.columns))
+
+
+def merge_partitions(target_path: str, updates: DataFrame, key: Sequence[str], part_col: str) -> None:
+    """O4 on a table partitioned by ``part_col``, rewriting only the
+    partitions the merge touches (dynamic partition overwrite; untouched
+    partitions are not read or written).
+
+    Touched = partitions of the updates, plus partitions where an updated key
+    lives now (a key whose partition value changed is removed from its old
+    partition). Reading the target's touched partitions and overwriting them in
+    the same job is safe: the new files are committed through a staging
+    directory. A partition left with no rows is not rewritten by a dynamic
+    overwrite, so such partitions -- only those an updated key moved out of can
+    be -- are dropped after the write (a rerun after a crash in between finds
+    and fixes them again). ``updates`` must carry ``part_col``.
+    """
+    spark = updates.sparkSession
+    keys = list(key)
+    target = spark.read.parquet(target_path)
+    upd_keys = updates.select(*keys)
+    upd_parts = updates.select(part_col)
+    # Only the key and partition columns of the target are scanned here.
+    moved_from = target.join(upd_keys, keys, "left_semi").select(part_col)
+    touched = upd_parts.unionByName(moved_from).distinct()
+    current = target.join(touched, part_col, "left_semi")   # partition-pruned at runtime
+    kept = current.join(upd_keys, keys, "left_anti")
+    # Partitions that may end up empty: keys moved out, nothing moved in. One
+    # row per partition value (coarse time buckets), so collecting is bounded.
+    candidates = [r[0] for r in moved_from.subtract(upd_parts).distinct().collect()]
+    emptied = []
+    if candidates:
+        still = {r[0] for r in kept.where(F.col(part_col).isin(candidates)).select(part_col).distinct().collect()}
+        emptied = [c for c in candidates if c not in still]
+    out = updates.unionByName(kept.select(*updates.columns))
+    (out.repartition(part_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target_path))
+    if emptied:
+        jvm = spark._jvm
+        for value in emptied:
+            p = jvm.org.apache.hadoop.fs.Path(f"{target_path}/{part_col}={value}")
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

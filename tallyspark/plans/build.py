@@ -65,6 +65,16 @@ class Inputs:
             w.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
+    def land_all(self) -> None:
+        """Derive and write every raw input (and the order/product/customer
+        API page files) now, so later queries only read them."""
+        from tallyspark.plans.landing_jobs import api_snapshot
+        for raw in (self.raw_orders, self.raw_products, self.raw_customers, self.ga_events):
+            raw.limit(0).collect()
+        for entity, raw in (("order", self.raw_orders), ("product", self.raw_products),
+                            ("customer", self.raw_customers)):
+            self.pages_path(entity, lambda raw=raw: api_snapshot(raw))
+
     @cached_property
     def raw_orders(self) -> DataFrame:
         return self._landed("raw_orders", lambda: fixtures.raw_orders(self.spark, self.sf_dir, self.params),

@@ -1,46 +1,71 @@
 """Incremental builds of the two facts (M12, M13 with O3 + O4).
 
-A run reads the current target version, takes the lookback bound from it
+The fact tables are stored partitioned by the order's creation month. A run
+reads the target, takes the lookback bound from it
 (``max(order_updated_at) - lookback``, quirk D1), rebuilds the rows of orders
-changed since then and merges them on the unique key into a *new* version
-location (the path being read is never overwritten).
+changed since then and merges them on the unique key, rewriting only the
+partitions the merge touches (dynamic partition overwrite). The first run
+writes the whole table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyspark.operators.incremental import lookback_bound, merge_into
+from tallyspark.operators.incremental import lookback_bound, merge_partitions
 from tallyspark.params import Params
 from tallyspark.plans import marts, staging
 
+PART_COL = "order_created_month"
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-def run_fct_orders(spark: SparkSession, raw_orders: DataFrame, target: DataFrame | None,
-                   out_path: str, params: Params | None = None) -> DataFrame:
+
+def _with_part(df: DataFrame) -> DataFrame:
+    return df.withColumn(PART_COL, F.date_format("order_created_at", "yyyy-MM"))
+
+
+def _write_full(df: DataFrame, path: str) -> None:
+    # One writer per partition value: no small-file explosion.
+    _with_part(df).repartition(PART_COL).write.partitionBy(PART_COL).parquet(path)
+
+
+def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    return spark.read.parquet(path).select(*columns)
+
+
+def run_fct_orders(spark: SparkSession, raw_orders: DataFrame, target_path: str,
+                   params: Params | None = None) -> DataFrame:
     params = params or Params()
     stg = staging.stg_orders(raw_orders, params)
-    if target is None:
-        return _write(marts.fct_orders(stg, params), out_path)
-    bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
-    updates = marts.fct_orders(stg, params, bound=bound)
-    return _write(merge_into(target, updates, ["order_id"]), out_path)
+    if not _exists(spark, f"{target_path}/_SUCCESS"):
+        _write_full(marts.fct_orders(stg, params), target_path)
+    else:
+        target = _read(spark, target_path, marts.FCT_ORDER_COLUMNS)
+        bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
+        updates = _with_part(marts.fct_orders(stg, params, bound=bound))
+        merge_partitions(target_path, updates, ["order_id"], PART_COL)
+    return _read(spark, target_path, marts.FCT_ORDER_COLUMNS)
 
 
-def run_fct_order_lines(spark: SparkSession, raw_orders: DataFrame, target: DataFrame | None,
-                        out_path: str, params: Params | None = None) -> DataFrame:
+def run_fct_order_lines(spark: SparkSession, raw_orders: DataFrame, target_path: str,
+                        params: Params | None = None) -> DataFrame:
     """The bound is read from the target's ``order_updated_at`` (the line
     fact carries its order's update time)."""
     params = params or Params()
     parsed = staging.stg_orders_parsed(raw_orders, params)
     wide = staging.order_lines_wide(parsed)
-    if target is None:
-        return _write(marts.fct_order_lines(wide, None, params), out_path)
-    stg = parsed.select(*staging.ORDER_COLUMNS)
-    bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
-    updates = marts.fct_order_lines(wide, stg, params, bound=bound)
-    return _write(merge_into(target, updates, ["order_item_id"]), out_path)
+    if not _exists(spark, f"{target_path}/_SUCCESS"):
+        _write_full(marts.fct_order_lines(wide, None, params), target_path)
+    else:
+        target = _read(spark, target_path, marts.FCT_LINE_COLUMNS)
+        stg = parsed.select(*staging.ORDER_COLUMNS)
+        bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
+        updates = _with_part(marts.fct_order_lines(wide, stg, params, bound=bound))
+        merge_partitions(target_path, updates, ["order_item_id"], PART_COL)
+    return _read(spark, target_path, marts.FCT_LINE_COLUMNS)

@@ -131,12 +131,12 @@ def _first_snapshot(m) -> DataFrame:
 def orders_merged(m) -> DataFrame:
     """O3 + O4 on the order fact: build from the first snapshot, then merge
     the orders changed within the lookback of the full raw table."""
-    base = fresh_path(m.spark, "fct_orders")
-    v1 = run_fct_orders(m.spark, _first_snapshot(m), None, f"{base}/v1", m.params)
-    return run_fct_orders(m.spark, m.inputs.raw_orders, v1, f"{base}/v2", m.params)
+    path = fresh_path(m.spark, "fct_orders")
+    run_fct_orders(m.spark, _first_snapshot(m), path, m.params)
+    return run_fct_orders(m.spark, m.inputs.raw_orders, path, m.params)
 
 
 def order_lines_merged(m) -> DataFrame:
-    base = fresh_path(m.spark, "fct_order_lines")
-    v1 = run_fct_order_lines(m.spark, _first_snapshot(m), None, f"{base}/v1", m.params)
-    return run_fct_order_lines(m.spark, m.inputs.raw_orders, v1, f"{base}/v2", m.params)
+    path = fresh_path(m.spark, "fct_order_lines")
+    run_fct_order_lines(m.spark, _first_snapshot(m), path, m.params)
+    return run_fct_order_lines(m.spark, m.inputs.raw_orders, path, m.params)

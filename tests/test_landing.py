@@ -100,3 +100,17 @@ def test_first_run_bound_is_floor(spark):
     p = Params()
     b = spark.range(1).select(lookback_bound(None, "x", p.lookback, p.lookback_floor).alias("b")).first().b
     assert b == dt.datetime(1900, 1, 1)
+
+
+def test_partition_merge_rewrites_touched_partitions_and_moves_keys(spark):
+    from tallyspark.operators.incremental import merge_partitions
+    path = fresh_path(spark, "t-merge") + "/t"
+    spark.createDataFrame([(1, "a", "2024-01"), (2, "a", "2024-01"), (3, "a", "2024-02"), (4, "a", "2024-03")],
+                          "k long, v string, p string").write.partitionBy("p").parquet(path)
+    # key 1 updated in place; key 3 moves from 2024-02 to 2024-03; key 5 is new
+    upd = spark.createDataFrame([(1, "b", "2024-01"), (3, "b", "2024-03"), (5, "b", "2024-04")],
+                                "k long, v string, p string")
+    merge_partitions(path, upd, ["k"], "p")
+    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "b", "2024-01"), (2, "a", "2024-01"), (3, "b", "2024-03"), (4, "a", "2024-03"),
+                   (5, "b", "2024-04")]
