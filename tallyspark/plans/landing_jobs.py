@@ -83,10 +83,8 @@ def state_after_landing(m) -> DataFrame:
     landing.write_state(m.spark, landing.state_of(m.spark, [
         ("order", ORDER_CHECKPOINT), ("product", PRODUCT_CHECKPOINT),
         ("customer", CUSTOMER_CHECKPOINT)]), state_path)
-    for entity in ("order", "product", "customer"):
-        recs = landing.unwrap_pages(landed_pages(m, entity))
-        landing.land_batch(m.spark, recs, entity, f"{root}/raw_{entity}s", state_path,
-                           m.params.shop_domain, 1, RUN_INGESTED_AT)
+    entities = {e: landing.unwrap_pages(landed_pages(m, e)) for e in ("order", "product", "customer")}
+    landing.land_entities(m.spark, entities, root, m.params.shop_domain, 1, RUN_INGESTED_AT)
     return landing.read_state(m.spark, state_path)
 
 

@@ -185,9 +185,12 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
 
 
 def land_entities(spark: SparkSession, entities: dict[str, DataFrame], root: str, shop_domain: str,
-                  batch_no: int) -> None:
+                  batch_no: int, ingested_at: _dt.datetime | None = None) -> None:
     """The same landing job for several entities (orders, products,
-    customers), each with its own raw table and checkpoint row."""
+    customers), each with its own raw table (``{root}/raw_{entity}s``) and
+    its own row in the shared checkpoint table (``{root}/landing_state``).
+    Entities run one after another; a failure stops the later ones, and a
+    rerun resumes from each entity's committed checkpoint."""
     for entity, records in entities.items():
         land_batch(spark, records, entity, f"{root}/raw_{entity}s", f"{root}/landing_state",
-                   shop_domain, batch_no)
+                   shop_domain, batch_no, ingested_at)
