@@ -58,8 +58,14 @@ def merge_partitions(target_path: str, updates: DataFrame, key: Sequence[str], p
     be -- are dropped after the write (a rerun after a crash in between finds
     and fixes them again). ``updates`` must carry ``part_col``.
     """
+    from tallyspark.session import fresh_path
     spark = updates.sparkSession
     keys = list(key)
+    # The delta (one lookback window: small in steady state) is computed once
+    # and staged as a table; the checks and the write below all read it.
+    staged = fresh_path(spark, "merge-updates")
+    updates.write.parquet(staged)
+    updates = spark.read.parquet(staged)
     target = spark.read.parquet(target_path)
     upd_keys = updates.select(*keys)
     upd_parts = updates.select(part_col)
