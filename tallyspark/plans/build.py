@@ -218,6 +218,24 @@ class Models:
         return marts.fct_funnel(self.stg_ga_sessions, self.purchase_reconciliation)
 
 
+class PersistedModels(Models):
+    """The graph with chosen hub models persisted (MEMORY_AND_DISK): a
+    persisted model is computed once per job and read by every consumer --
+    the cache is opaque to column pruning, so consumers no longer recompute
+    their own differently-pruned copy of the hub's shuffle. Lost blocks are
+    recomputed from lineage."""
+
+    def __init__(self, base: Models, hubs: set[str]):
+        super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
+        self.hubs = hubs
+
+    def _finish(self, name: str, df: DataFrame) -> DataFrame:
+        if name in self.hubs:
+            from pyspark import StorageLevel
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return df
+
+
 class MaterializedModels(Models):
     """The graph run the way the reference materialises it: each model,
     when first used, is written as a table under ``root`` and read back, so

@@ -22,6 +22,21 @@ _RUNTIME_CONF = {
 }
 
 
+# Suggested settings for a large cluster (100 TB class). Shuffle width is
+# left to AQE: start wide, coalesce to ~256 MB partitions at runtime, and
+# split skewed join partitions. Apply with ``build_session(extra=CLUSTER_CONF)``
+# or the cluster's defaults.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     for k, v in _RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
