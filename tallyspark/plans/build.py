@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +60,13 @@ class Inputs:
         if not self.landed:
             return build()
         path = f"{self._root}/{name}"
-        if not _exists(self.spark, f"{path}/_SUCCESS"):
-            w = build().write.mode("overwrite")
-            if partition_by:
-                w = w.partitionBy(partition_by)
-            w.parquet(path)
+        lock = self.__dict__.setdefault("_locks", {}).setdefault(name, threading.Lock())
+        with lock:
+            if not _exists(self.spark, f"{path}/_SUCCESS"):
+                w = build().write.mode("overwrite")
+                if partition_by:
+                    w = w.partitionBy(partition_by)
+                w.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def land_all(self) -> None:
@@ -76,7 +80,7 @@ class Inputs:
             self.pages_path(entity, lambda raw=raw: api_snapshot(raw))
 
     @cached_property
-    def raw_orders(self) -> DataFrame:
+    def raw_orders(self) -> DataFrame:  # (cached_property is not thread-safe; land_all runs first)
         return self._landed("raw_orders", lambda: fixtures.raw_orders(self.spark, self.sf_dir, self.params),
                             raw_entity_schema("order"))
 
@@ -118,8 +122,14 @@ def model(fn):
 
     def get(self) -> DataFrame:
         cache = self.__dict__.setdefault("_built", {})
-        if name not in cache:
-            cache[name] = self._finish(name, fn(self))
+        if name in cache:
+            return cache[name]
+        # One builder per model even when independent models are built from
+        # several driver threads (a shared upstream is written once).
+        lock = self.__dict__.setdefault("_locks", {}).setdefault(name, threading.Lock())
+        with lock:
+            if name not in cache:
+                cache[name] = self._finish(name, fn(self))
         return cache[name]
 
     get.__name__ = name
@@ -256,19 +266,28 @@ class MaterializedModels(Models):
         return self.spark.read.parquet(path)
 
 
-MODEL_NAMES = [
-    "stg_orders", "stg_order_line_items", "stg_customers", "stg_products", "stg_product_variants",
-    "stg_ga_events", "stg_ga_sessions", "stg_ga_purchases", "stg_ga_items",
-    "purchase_reconciliation", "fct_orders", "order_attribution", "fct_order_lines",
-    "fct_attributed_orders", "fct_channel_revenue", "fct_funnel",
+# The model graph by dependency level: models of one level only read raw
+# inputs or models of earlier levels, so a level's models are independent.
+MODEL_LEVELS = [
+    ["stg_orders", "stg_order_line_items", "stg_customers", "stg_products", "stg_product_variants",
+     "stg_ga_events", "fct_order_lines"],
+    ["stg_ga_sessions", "stg_ga_purchases", "stg_ga_items", "fct_orders"],
+    ["purchase_reconciliation", "order_attribution"],
+    ["fct_attributed_orders", "fct_funnel"],
+    ["fct_channel_revenue"],
 ]
+MODEL_NAMES = [n for level in MODEL_LEVELS for n in level]
 
 
-def build_all(models: Models, root: str) -> MaterializedModels:
-    """Write every model once, in dependency order (each model reads its
-    upstream's written table): the full run. Returns the graph over the
-    written tables for readers such as the quality suite and reports."""
+def build_all(models: Models, root: str, parallelism: int = 4) -> MaterializedModels:
+    """Write every model once, level by level (each model reads its
+    upstream's written table): the full run. Independent models of a level
+    are submitted from ``parallelism`` driver threads, so their Spark jobs
+    overlap on the cluster. Returns the graph over the written tables for
+    readers such as the quality suite and reports."""
+    models.inputs.land_all()
     mm = MaterializedModels(models, root)
-    for name in MODEL_NAMES:
-        getattr(mm, name)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for level in MODEL_LEVELS:
+            list(pool.map(lambda n: getattr(mm, n), level))
     return mm
