@@ -634,7 +634,7 @@ def report_sql(top_k: int = 10) -> dict[str, str]:
               count(*) FILTER (WHERE same_currency = false) AS currency_mismatches,
               count(*) FILTER (WHERE match_status = 'matched' AND abs(coalesce(revenue_difference, 0)) > 1)
                 AS large_revenue_differences,
-              {money("CASE WHEN match_status = 'matched' THEN ga4_purchase_revenue END")} AS matched_ga4_revenue,
+              {money("CASE WHEN match_status = 'matched' THEN ga4_purchase_revenue END")} AS matched_event_revenue,
               {money("CASE WHEN match_status = 'matched' THEN shopify_total_price END")} AS matched_order_revenue
             FROM reconciliation)""", "reconciliation"),
         "tieout_revenue": with_(f"""

@@ -120,7 +120,7 @@ def dash_reconciliation(reconciliation: DataFrame) -> DataFrame:
         F.count_if(F.col("same_currency") == F.lit(False)).alias("currency_mismatches"),
         F.count_if(matched & (F.abs(F.coalesce("revenue_difference", F.lit(0.0))) > 1))
          .alias("large_revenue_differences"),
-        money_sum(F.when(matched, F.col("ga4_purchase_revenue"))).cast("double").alias("matched_ga4_revenue"),
+        money_sum(F.when(matched, F.col("ga4_purchase_revenue"))).cast("double").alias("matched_event_revenue"),
         money_sum(F.when(matched, F.col("shopify_total_price"))).cast("double").alias("matched_order_revenue"))
     return t.select("*", ratio("matched_purchases", "purchase_events").alias("match_rate"))
 

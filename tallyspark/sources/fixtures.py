@@ -103,7 +103,7 @@ def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str, params: Params | None = None) -> DataFrame:
-    """``raw_shopify_orders``: one row per (order, landed version)."""
+    """The raw orders table: one row per (order, landed version)."""
     shop = (params or Params()).shop_domain
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
