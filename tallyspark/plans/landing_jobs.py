@@ -80,7 +80,7 @@ def state_after_landing(m) -> DataFrame:
     checkpoints; return the checkpoint table afterwards."""
     root = fresh_path(m.spark, "landing")
     state_path = f"{root}/landing_state"
-    landing.write_state(m.spark, landing.state_of(m.spark, [
+    landing.commit_state(landing.state_of(m.spark, [
         ("order", ORDER_CHECKPOINT), ("product", PRODUCT_CHECKPOINT),
         ("customer", CUSTOMER_CHECKPOINT)]), state_path)
     entities = {e: landing.unwrap_pages(landed_pages(m, e)) for e in ("order", "product", "customer")}

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.casts import safe_bigint, safe_timestamp
+from tallyspark.operators.dedup import dedup_latest
 from tallyspark.operators.incremental import merge_into
 from tallyspark.sources.schemas import STATE_SCHEMA, raw_entity_schema
 
@@ -140,18 +141,27 @@ def merge_state(state: DataFrame, watermark: DataFrame) -> DataFrame:
 # One landing run
 # ---------------------------------------------------------------------------
 
+# The checkpoint table is an append-only log: every commit appends one row
+# per source. Appends commit atomically, so a crash at any point leaves the
+# previous checkpoint readable (an overwrite would delete it first). The
+# current state is the latest row per source.
+STATE_LOG_SCHEMA = "source string, last_updated_at timestamp, committed_at timestamp"
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - first run: no state table yet (S9)
+    """Current checkpoint per source (latest committed row); empty before the
+    first commit (S9)."""
+    if not _exists(spark, path):
         return empty_state(spark)
+    log = spark.read.schema(STATE_LOG_SCHEMA).parquet(path)
+    latest = dedup_latest(log, ["source"], [F.col("committed_at").desc(), F.col("last_updated_at").desc()])
+    return latest.select("source", "last_updated_at")
 
 
-def write_state(spark: SparkSession, state: DataFrame, path: str) -> None:
-    """The state has one row per source (tiny by construction): it is
-    materialised before the path it was read from is replaced."""
-    rows = state.collect()
-    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+def commit_state(state: DataFrame, path: str) -> None:
+    """Append ``state`` rows to the checkpoint log (one row per source)."""
+    state.select("source", "last_updated_at", F.current_timestamp().alias("committed_at")) \
+        .coalesce(1).write.mode("append").parquet(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -192,7 +202,9 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
     wm = spark.range(1).select(
         F.lit(entity).alias("source"),
         F.timestamp_micros(F.lit(metrics["wm_us"]).cast("bigint")).alias("last_updated_at"))
-    write_state(spark, merge_state(state, wm), state_path)
+    # Only a non-NULL watermark moves the checkpoint (upsert on source =
+    # append to the log; the latest row per source wins).
+    commit_state(wm.where(F.col("last_updated_at").isNotNull()), state_path)
     return {"entity": entity, "batch_no": batch_no, "rows": metrics["rows"]}
 
 
