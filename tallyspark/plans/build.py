@@ -278,6 +278,29 @@ MODEL_LEVELS = [
 ]
 MODEL_NAMES = [n for level in MODEL_LEVELS for n in level]
 
+# Direct upstream models of each model (raw inputs omitted).
+MODEL_DEPS = {
+    "stg_ga_sessions": ["stg_ga_events"], "stg_ga_purchases": ["stg_ga_events"],
+    "stg_ga_items": ["stg_ga_events"], "fct_orders": ["stg_orders"],
+    "purchase_reconciliation": ["stg_ga_purchases", "stg_orders"],
+    "order_attribution": ["fct_orders", "stg_ga_purchases"],
+    "fct_attributed_orders": ["order_attribution"],
+    "fct_funnel": ["stg_ga_sessions", "purchase_reconciliation"],
+    "fct_channel_revenue": ["fct_attributed_orders"],
+}
+
+
+def upstream_closure(names) -> set[str]:
+    """The models ``names`` read, directly or transitively, plus themselves."""
+    seen: set[str] = set()
+    todo = list(names)
+    while todo:
+        n = todo.pop()
+        if n not in seen:
+            seen.add(n)
+            todo.extend(MODEL_DEPS.get(n, []))
+    return seen
+
 
 def build_all(models: Models, root: str, parallelism: int = 4) -> MaterializedModels:
     """Write every model once, level by level (each model reads its

@@ -92,7 +92,7 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 HUB_MODELS = {"stg_orders", "stg_ga_events", "purchase_reconciliation", "fct_funnel", "order_attribution"}
 
 
-def over_hubs(m):
+def over_hubs(m, reads=None):
     """Multi-model summaries read the hub models through written tables.
 
     As one plan, every test would carry its own differently-pruned copy of
@@ -103,31 +103,33 @@ def over_hubs(m):
     written.)"""
     from concurrent.futures import ThreadPoolExecutor
 
-    from tallyspark.plans.build import MODEL_LEVELS, MaterializedModels
+    from tallyspark.plans.build import MODEL_LEVELS, MaterializedModels, upstream_closure
     from tallyspark.session import fresh_path
     if isinstance(m, MaterializedModels):
         return m
-    mm = MaterializedModels(m, fresh_path(m.spark, "quality-hubs"), HUB_MODELS)
+    # Only the hubs the summary's models actually sit on.
+    hubs = HUB_MODELS & upstream_closure(reads) if reads is not None else set(HUB_MODELS)
+    mm = MaterializedModels(m, fresh_path(m.spark, "quality-hubs"), hubs)
     m.inputs.land_all()
     # Independent hubs are written concurrently (their jobs overlap).
     with ThreadPoolExecutor(max_workers=4) as pool:
         for level in MODEL_LEVELS:
-            list(pool.map(lambda n: getattr(mm, n), [n for n in level if n in HUB_MODELS]))
+            list(pool.map(lambda n: getattr(mm, n), [n for n in level if n in hubs]))
     return mm
 
 
 def dq_not_null(m) -> DataFrame:
-    m = over_hubs(m)
+    m = over_hubs(m, NOT_NULL)
     return _union([A.not_null_summary(getattr(m, model), model, cols) for model, cols in NOT_NULL.items()])
 
 
 def dq_unique(m) -> DataFrame:
-    m = over_hubs(m)
+    m = over_hubs(m, [model for model, _, _ in UNIQUE])
     return _union([A.unique_summary(getattr(m, model), model, col, sev) for model, col, sev in UNIQUE])
 
 
 def dq_accepted_values(m) -> DataFrame:
-    m = over_hubs(m)
+    m = over_hubs(m, [model for model, *_ in ACCEPTED_VALUES])
     return _union([A.accepted_values_summary(getattr(m, model), model, col, vals, sev, where)
                    for model, col, vals, sev, where in ACCEPTED_VALUES])
 
