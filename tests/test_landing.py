@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from tallyspark.operators.incremental import lookback_bound, merge_into
 from tallyspark.params import Params

@@ -3,7 +3,6 @@
 import datetime as dt
 import json
 
-from pyspark.sql import functions as F
 
 from tallyspark.params import Params
 from tallyspark.plans import marts, reconcile, staging
