@@ -196,3 +196,33 @@ def test_hot_session_aggregates_exactly(spark):
                                Params(event_suffix_floor="20240101"))
     s = {r.session_key: (r.event_count, r.page_view_count, r.source) for r in staging.stg_ga_sessions(ev).collect()}
     assert s == {"u1-1": (3000, 1500, "s"), "u2-7": (1, 1, "x")}
+
+
+def test_hot_transaction_id_is_split_by_adaptive_skew_join(spark):
+    """With the order side too large to broadcast, a transaction id holding
+    most purchases makes one skewed shuffle partition; AQE splits it (the
+    final plan shows a skew join) and every row is still reconciled."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        orders = staging.stg_orders(raw_orders(spark, [
+            (i, order_payload(i, "2024-01-02T00:00:00Z"), dt.datetime(2024, 1, 1), None) for i in range(200)]))
+        evs = [event("purchase", T0 + dt.timedelta(seconds=i), user=f"u{i}", txn="7" if i % 10 else str(i % 200),
+                     revenue=10.0) for i in range(4000)]
+        rec = reconcile.purchase_reconciliation(_purchases(spark, evs), orders)
+        rows = rec.collect()  # runs rec's own query execution -> final adaptive plan
+        final = rec._jdf.queryExecution().executedPlan().toString()
+        assert sum(r.match_status == "matched" for r in rows) == 4000
+        assert "skew=true" in final or "isSkewJoin=true" in final, final[:3000]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
