@@ -24,7 +24,7 @@ from tallyspark.sources import fixtures
 from tallyspark.sources.schemas import GA_EVENTS_SCHEMA, raw_entity_schema
 
 # Bump when a fixture rule changes (invalidates landed inputs).
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -34,12 +34,16 @@ API_PAGE_SIZE = 250
 # S1 / S2
 # ---------------------------------------------------------------------------
 
-def write_pages(records: DataFrame, entity: str, path: str, key: str = "id",
-                page_size: int = API_PAGE_SIZE) -> None:
+def write_pages(records: DataFrame, entity: str, path: str, page_size: int = API_PAGE_SIZE) -> None:
     """Land ``records`` (column ``payload_json``) as API pages of at most
-    ``page_size`` records, grouped by ``key div page_size`` (bounded groups;
-    no global numbering)."""
-    page_no = F.floor(F.get_json_object("payload_json", f"$.{key}").cast("bigint") / page_size)
+    ``page_size`` records. A page is (task partition, row index in the task
+    div ``page_size``) -- taken from ``monotonically_increasing_id``, whose
+    high bits are the partition and low 33 bits the row index -- so every
+    page group is bounded by ``page_size`` whatever the data, with no global
+    numbering pass."""
+    mid = F.monotonically_increasing_id()
+    page_no = F.struct(F.shiftright(mid, 33).alias("part"),
+                       F.floor((mid % F.lit(1 << 33)) / page_size).alias("n"))
     pages = records.groupBy(page_no.alias("_page")).agg(
         F.concat(F.lit('{"' + entity + 's": ['),
                  F.array_join(F.collect_list("payload_json"), ","), F.lit("]}")).alias("value"))

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 
 from tallyspark.operators.incremental import lookback_bound, merge_into
 from tallyspark.params import Params
@@ -113,3 +115,13 @@ def test_partition_merge_rewrites_touched_partitions_and_moves_keys(spark):
     got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
     assert got == [(1, "b", "2024-01"), (2, "a", "2024-01"), (3, "b", "2024-03"), (4, "a", "2024-03"),
                    (5, "b", "2024-04")]
+
+
+def test_pages_are_bounded_even_with_repeated_ids(spark):
+    root = fresh_path(spark, "t-pages")
+    recs = records(spark, [{"id": 1, "n": i} for i in range(1200)]).repartition(3)
+    landing.write_pages(recs, "order", root, page_size=250)
+    pages = landing.read_pages(spark, root)
+    sizes = [r.n for r in pages.select(F.size(F.from_json("value", "map<string,array<string>>")["orders"]).alias("n")).collect()]
+    assert sum(sizes) == 1200 and max(sizes) <= 250
+    assert landing.unwrap_pages(pages).count() == 1200
