@@ -262,7 +262,8 @@ class MaterializedModels(Models):
         if self.only is not None and name not in self.only:
             return df
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        # overwrite: a rerun after a failure replaces a partial directory.
+        df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
 

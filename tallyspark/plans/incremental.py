@@ -32,7 +32,9 @@ def _with_part(df: DataFrame) -> DataFrame:
 
 def _write_full(df: DataFrame, path: str) -> None:
     # One writer per partition value: no small-file explosion.
-    _with_part(df).repartition(PART_COL).write.partitionBy(PART_COL).parquet(path)
+    # overwrite: the first build has no _SUCCESS marker until it completes, so
+    # a rerun after a failure replaces the partial directory.
+    _with_part(df).repartition(PART_COL).write.mode("overwrite").partitionBy(PART_COL).parquet(path)
 
 
 def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

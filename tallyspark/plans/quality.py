@@ -87,9 +87,11 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 
 # Models most tests sit on top of (directly or through a downstream model):
-# the order dedup, the event extraction, the purchase-order join, and the
-# two marts read by many tests (funnel: 6 tests, attribution: 8).
-HUB_MODELS = {"stg_orders", "stg_ga_events", "purchase_reconciliation", "fct_funnel", "order_attribution"}
+# the order dedup, the event extraction, the purchase-order join, the line
+# items (3 tests; the heaviest parse), and the two marts read by many tests
+# (funnel: 6 tests, attribution: 8).
+HUB_MODELS = {"stg_orders", "stg_ga_events", "purchase_reconciliation", "stg_order_line_items",
+              "fct_funnel", "order_attribution"}
 
 
 def over_hubs(m, reads=None):
