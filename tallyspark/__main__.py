@@ -1,6 +1,14 @@
-"""Command line: build every model as a table, then run the quality suite.
+"""Command line.
 
     python -m tallyspark --sf-dir /root/testdata/sf0.01 [--out PATH] [--skip-tests]
+    python -m tallyspark land --root ROOT --pages order=DIR [--pages product=DIR ...]
+                              [--stream --checkpoint DIR]
+
+The first form builds every model as a table, then runs the quality suite.
+The ``land`` form lands API page files (one page object per line) into raw
+tables ``ROOT/raw_{entity}s`` with one checkpoint row per entity in
+``ROOT/landing_state`` -- as a batch run, or as an ``availableNow`` file
+stream that lands only page files it has not seen.
 
 Writes each model once under ``--out`` (default: a new folder under the
 shared folder named by ``spark.checkpoint.dir``), downstream models reading
@@ -18,7 +26,44 @@ import sys
 from pyspark.sql import functions as F
 
 
+def land(argv: list[str]) -> int:
+    ap = argparse.ArgumentParser(prog="tallyspark land")
+    ap.add_argument("--root", required=True)
+    ap.add_argument("--pages", action="append", required=True, help="entity=DIR (order, product, customer)")
+    ap.add_argument("--shop-domain", default="shop-a")
+    ap.add_argument("--batch-no", type=int, default=None, help="default: seconds since epoch")
+    ap.add_argument("--stream", action="store_true")
+    ap.add_argument("--checkpoint", help="stream checkpoint folder (default: ROOT/_stream_{entity})")
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args(argv)
+
+    import time
+
+    from tallyspark.session import build_session
+    from tallyspark.sources import landing
+    from tallyspark.streaming.landing_stream import land_stream
+
+    spark = build_session(a.master)
+    pages = dict(p.split("=", 1) for p in a.pages)
+    state = f"{a.root}/landing_state"
+    for entity, pages_dir in pages.items():
+        raw = f"{a.root}/raw_{entity}s"
+        if a.stream:
+            ckpt = a.checkpoint or f"{a.root}/_stream_{entity}"
+            land_stream(spark, pages_dir, entity, raw, state, ckpt, a.shop_domain)
+        else:
+            batch_no = a.batch_no if a.batch_no is not None else int(time.time())
+            recs = landing.unwrap_pages(landing.read_pages(spark, pages_dir))
+            print(json.dumps(landing.land_batch(spark, recs, entity, raw, state, a.shop_domain, batch_no)))
+    for r in landing.read_state(spark, state).collect():
+        print(json.dumps({"source": r.source, "last_updated_at": str(r.last_updated_at)}))
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
+    argv = sys.argv[1:] if argv is None else argv
+    if argv and argv[0] == "land":
+        return land(argv[1:])
     ap = argparse.ArgumentParser(prog="tallyspark")
     ap.add_argument("--sf-dir", required=True, help="testdata directory the raw inputs derive from")
     ap.add_argument("--out", help="where the model tables go (default: under spark.checkpoint.dir)")
