@@ -68,14 +68,20 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set -- local runs and tests -- a private folder is made and
-    registered, so later calls agree on it.
+    when neither is set *and* the master is local (local runs, tests) a private
+    folder is made and registered, so later calls agree on it. On a cluster a
+    machine-local folder would be invisible to executors, so an unset
+    directory is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = jdir.get() if jdir.isDefined() else None
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder shared by "
+                               "the driver and all executors (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
