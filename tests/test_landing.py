@@ -125,3 +125,13 @@ def test_pages_are_bounded_even_with_repeated_ids(spark):
     sizes = [r.n for r in pages.select(F.size(F.from_json("value", "map<string,array<string>>")["orders"]).alias("n")).collect()]
     assert sum(sizes) == 1200 and max(sizes) <= 250
     assert landing.unwrap_pages(pages).count() == 1200
+
+
+def test_cli_land_batch(spark, tmp_path):
+    from tallyspark.__main__ import main
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "p.json").write_text('{"orders": [{"id": 5, "updated_at": "2024-01-11T00:00:00Z"}]}\n')
+    root = fresh_path(spark, "t-cli")
+    assert main(["land", "--root", root, "--pages", f"order={pages}", "--batch-no", "1"]) == 0
+    assert landing.read_raw(spark, "order", f"{root}/raw_orders").count() == 1
