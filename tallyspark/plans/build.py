@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -24,7 +25,7 @@ from tallyspark.sources import fixtures
 from tallyspark.sources.schemas import GA_EVENTS_SCHEMA, raw_entity_schema
 
 # Bump when a fixture rule changes (invalidates landed inputs).
-FIXTURE_VERSION = "4"
+FIXTURE_VERSION = "4"  # bump when a fixture rule changes
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -33,6 +34,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _publish(spark: SparkSession, tmp: str, path: str) -> None:
+    """Move a finished table directory into place unless one already exists
+    there (a partial directory without ``_SUCCESS`` is replaced)."""
+    jvm = spark._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(tmp), jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        fs.delete(src, True)
+        return
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        fs.delete(src, True)
+
+
 class Inputs:
     """Raw inputs derived from a testdata directory.
 
@@ -63,10 +79,15 @@ class Inputs:
         lock = self.__dict__.setdefault("_locks", {}).setdefault(name, threading.Lock())
         with lock:
             if not _exists(self.spark, f"{path}/_SUCCESS"):
+                # Written under a unique name, then renamed into place: another
+                # process landing the same input concurrently never sees a
+                # half-written table, and the loser of the race drops its copy.
+                tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
                 w = build().write.mode("overwrite")
                 if partition_by:
                     w = w.partitionBy(partition_by)
-                w.parquet(path)
+                w.parquet(tmp)
+                _publish(self.spark, tmp, path)
         return self.spark.read.schema(schema).parquet(path)
 
     def land_all(self) -> None:
@@ -103,8 +124,12 @@ class Inputs:
         if not self.landed:
             from tallyspark.session import fresh_path
             path = fresh_path(self.spark, f"pages-{entity}")
-        if not _exists(self.spark, f"{path}/_SUCCESS"):
-            write_pages(snapshot(), entity, path)
+        lock = self.__dict__.setdefault("_locks", {}).setdefault(f"pages_{entity}", threading.Lock())
+        with lock:
+            if not _exists(self.spark, f"{path}/_SUCCESS"):
+                tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+                write_pages(snapshot(), entity, tmp)
+                _publish(self.spark, tmp, path)
         return path
 
     @cached_property
