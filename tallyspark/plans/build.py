@@ -340,3 +340,21 @@ def build_all(models: Models, root: str, parallelism: int = 4) -> MaterializedMo
         for level in MODEL_LEVELS:
             list(pool.map(lambda n: getattr(mm, n), level))
     return mm
+
+
+def with_written(models: Models, names, parallelism: int = 4) -> Models:
+    """``models`` with ``names`` written once to a fresh folder under the
+    shared folder (independent ones concurrently, in dependency order); every
+    other model is computed from those tables. Use when one job reads a shared
+    upstream through several differently-pruned paths, which Spark would
+    otherwise recompute (and re-shuffle) once per path."""
+    from tallyspark.session import fresh_path
+    if isinstance(models, MaterializedModels) or not names:
+        return models
+    names = set(names)
+    mm = MaterializedModels(models, fresh_path(models.spark, "written-models"), names)
+    models.inputs.land_all()
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for level in MODEL_LEVELS:
+            list(pool.map(lambda n: getattr(mm, n), [n for n in level if n in names]))
+    return mm
