@@ -177,6 +177,16 @@ class Models:
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         return df
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a session temp view (S14), so the models can
+        be queried by name with ``spark.sql`` -- lazily, like the reference's
+        staging and intermediate views."""
+        names = []
+        for name in MODEL_NAMES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     # staging ---------------------------------------------------------------
     @cached_property
     def stg_orders_parsed(self) -> DataFrame:

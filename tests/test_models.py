@@ -226,3 +226,12 @@ def test_hot_transaction_id_is_split_by_adaptive_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_models_as_sql_views(spark, sf_small):
+    from tallyspark.plans.build import MODEL_NAMES, Models
+    m = Models(spark, sf_small)
+    assert m.register_views("t_") == ["t_" + n for n in MODEL_NAMES]
+    total = spark.sql("SELECT sum(total_revenue) AS t FROM t_fct_channel_revenue").first().t
+    direct = m.fct_orders.agg({"total_price": "sum"}).first()[0]
+    assert abs(total - direct) < 0.01
