@@ -64,9 +64,10 @@ def merge_partitions(target_path: str, updates: DataFrame, key: Sequence[str], p
     # The delta (one lookback window: small in steady state) is computed once
     # and staged as a table; the checks and the write below all read it.
     staged = fresh_path(spark, "merge-updates")
+    schema = updates.schema
     updates.write.parquet(staged)
-    updates = spark.read.parquet(staged)
-    target = spark.read.parquet(target_path)
+    updates = spark.read.schema(schema).parquet(staged)
+    target = spark.read.schema(schema).parquet(target_path)
     upd_keys = updates.select(*keys)
     upd_parts = updates.select(part_col)
     # Only the key and partition columns of the target are scanned here.

@@ -37,22 +37,24 @@ def _write_full(df: DataFrame, path: str) -> None:
     _with_part(df).repartition(PART_COL).write.mode("overwrite").partitionBy(PART_COL).parquet(path)
 
 
-def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
+def _read(spark: SparkSession, path: str, schema, columns: list[str]) -> DataFrame:
+    # Explicit schema: an empty table (no partition directories) still reads.
+    return spark.read.schema(schema).parquet(path).select(*columns)
 
 
 def run_fct_orders(spark: SparkSession, raw_orders: DataFrame, target_path: str,
                    params: Params | None = None) -> DataFrame:
     params = params or Params()
     stg = staging.stg_orders(raw_orders, params)
+    schema = _with_part(marts.fct_orders(stg, params)).schema
     if not _exists(spark, f"{target_path}/_SUCCESS"):
         _write_full(marts.fct_orders(stg, params), target_path)
     else:
-        target = _read(spark, target_path, marts.FCT_ORDER_COLUMNS)
+        target = _read(spark, target_path, schema, marts.FCT_ORDER_COLUMNS)
         bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
         updates = _with_part(marts.fct_orders(stg, params, bound=bound))
         merge_partitions(target_path, updates, ["order_id"], PART_COL)
-    return _read(spark, target_path, marts.FCT_ORDER_COLUMNS)
+    return _read(spark, target_path, schema, marts.FCT_ORDER_COLUMNS)
 
 
 def run_fct_order_lines(spark: SparkSession, raw_orders: DataFrame, target_path: str,
@@ -62,12 +64,13 @@ def run_fct_order_lines(spark: SparkSession, raw_orders: DataFrame, target_path:
     params = params or Params()
     parsed = staging.stg_orders_parsed(raw_orders, params)
     wide = staging.order_lines_wide(parsed)
+    schema = _with_part(marts.fct_order_lines(wide, None, params)).schema
     if not _exists(spark, f"{target_path}/_SUCCESS"):
         _write_full(marts.fct_order_lines(wide, None, params), target_path)
     else:
-        target = _read(spark, target_path, marts.FCT_LINE_COLUMNS)
+        target = _read(spark, target_path, schema, marts.FCT_LINE_COLUMNS)
         stg = parsed.select(*staging.ORDER_COLUMNS)
         bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
         updates = _with_part(marts.fct_order_lines(wide, stg, params, bound=bound))
         merge_partitions(target_path, updates, ["order_item_id"], PART_COL)
-    return _read(spark, target_path, marts.FCT_LINE_COLUMNS)
+    return _read(spark, target_path, schema, marts.FCT_LINE_COLUMNS)

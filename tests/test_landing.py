@@ -135,3 +135,14 @@ def test_cli_land_batch(spark, tmp_path):
     root = fresh_path(spark, "t-cli")
     assert main(["land", "--root", root, "--pages", f"order={pages}", "--batch-no", "1"]) == 0
     assert landing.read_raw(spark, "order", f"{root}/raw_orders").count() == 1
+
+
+def test_incremental_fact_from_empty_first_run(spark):
+    from tallyspark.plans.incremental import run_fct_orders
+    from tallyspark.sources.schemas import raw_entity_schema
+    path = fresh_path(spark, "t-empty-fact")
+    empty = spark.createDataFrame([], raw_entity_schema("order"))
+    assert run_fct_orders(spark, empty, path).count() == 0
+    later = _orders(spark, [(1, "2024-01-10T00:00:00Z", "paid")])
+    got = run_fct_orders(spark, later, path).collect()
+    assert [(r.order_id, r.financial_status) for r in got] == [(1, "paid")]
