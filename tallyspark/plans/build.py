@@ -299,7 +299,7 @@ class MaterializedModels(Models):
         path = f"{self.root}/{name}"
         # overwrite: a rerun after a failure replaces a partial directory.
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 # The model graph by dependency level: models of one level only read raw
