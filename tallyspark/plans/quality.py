@@ -86,12 +86,13 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-# Models most tests sit on top of (directly or through a downstream model):
+# Models read by several tests (directly or through a downstream model):
 # the order dedup, the event extraction, the purchase-order join, the line
-# items (3 tests; the heaviest parse), and the two marts read by many tests
-# (funnel: 6 tests, attribution: 8).
+# items (3 tests; the heaviest parse), the product and customer dedups (4 and
+# 2 readers; dimension tables grow with the data too), and the two marts read
+# by many tests (funnel: 6 tests, attribution: 8).
 HUB_MODELS = {"stg_orders", "stg_ga_events", "purchase_reconciliation", "stg_order_line_items",
-              "fct_funnel", "order_attribution"}
+              "stg_products", "stg_customers", "fct_funnel", "order_attribution"}
 
 
 def over_hubs(m, reads=None):
