@@ -64,7 +64,9 @@ def test_product_branch_sizes(m):
     assert m.stg_product_variants.count() == 199
 
 
-def test_tieouts_hold(m):
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_tieouts_hold(spark, sf):
+    m = Models(spark, sf, CHECK_PARAMS)
     assert reports.tieout_revenue(m.fct_channel_revenue, m.fct_orders).first().tied
     assert reports.tieout_attribution_split(m.fct_channel_revenue).first().tied
     assert reports.tieout_purchases(m.purchase_reconciliation).first().tied
