@@ -31,3 +31,15 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "total_revenue" in df.columns
+
+
+def test_registered_names_follow_the_contract():
+    import re
+    names = list(E.queries())
+    assert len(names) == len(set(names)) == 53
+    assert not [n for n in names if "pipeline" in n or re.match(r"op\d+_", n)]
+
+
+def test_every_oracle_statement_binds(con):
+    for name, sql in E.oracle_sql().items():
+        con.execute(f"EXPLAIN {sql}")  # parses and binds against the testdata views
