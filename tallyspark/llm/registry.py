@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op3_site_style_tree, op6_prefix_targets, op9_dfa_secrets
+from . import (op1_line_frequency, op2_sainte_lague_mix, op3_site_style_tree, op6_prefix_targets, op7_gam_quality,
+               op8_simhash_decontam, op9_dfa_secrets)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_frequency": op1_line_frequency.query,
+    "op2_sainte_lague_mix": op2_sainte_lague_mix.query,
     "op3_site_style_tree": op3_site_style_tree.query,
     "op6_prefix_targets": op6_prefix_targets.query,
+    "op7_gam_quality": op7_gam_quality.query,
+    "op8_simhash_decontam": op8_simhash_decontam.query,
     "op9_dfa_secrets": op9_dfa_secrets.query,
 }
 
