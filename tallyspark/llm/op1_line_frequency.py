@@ -31,37 +31,39 @@ from .tables import SPACES, table, words_of, written
 POSITION_BITS = 24
 
 
-def repeated_window_words(words: Column, n: Column) -> Column:
-    """Words of the array that lie in a 3-word window found twice or more."""
-    def same(p: Column, q: Column) -> Column:
-        def at(i, k):
-            return F.element_at(words, (i + k).cast("int"))
-        return (at(p, 1) == at(q, 1)) & (at(p, 2) == at(q, 2)) & (at(p, 3) == at(q, 3))
+def with_repeated_window_words(rows: DataFrame) -> DataFrame:
+    """``rows`` (words, n_words) plus ``n_repeat_words``: words that lie in a
+    3-word window found twice or more. The sorted keys are a column of their
+    own, since the comparison with their neighbours reads them again."""
+    words, n = F.col("words"), F.col("n_words")
+    windows = F.when(n >= 3, F.sequence(F.lit(0), n.cast("int") - 3)).otherwise(F.array().cast("array<int>"))
+    brief = n < (1 << POSITION_BITS)
+    low = F.lit((1 << POSITION_BITS) - 1)
 
     def hashed(i: Column) -> Column:
         return F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
 
-    windows = F.sequence(F.lit(0), n.cast("int") - 3)
-    low = F.lit((1 << POSITION_BITS) - 1)
-    packed = F.sort_array(F.transform(windows, lambda i: hashed(i).bitwiseAND(F.lit(-1 << POSITION_BITS))
-                                      .bitwiseOR(i.cast("long"))))
+    def same(p: Column, q: Column) -> Column:
+        return ((F.get(words, p) == F.get(words, q)) & (F.get(words, p + 1) == F.get(words, q + 1))
+                & (F.get(words, p + 2) == F.get(words, q + 2)))
 
     def repeats(keys: Column, key, place) -> Column:
         def equal(x, y):
-            return (key(x) == key(y)) & same(place(x), place(y))
-        return F.transform(F.filter(keys, lambda x, i: F.coalesce(
-            equal(x, F.get(keys, i + 1)) | equal(x, F.get(keys, i - 1)),
-            equal(x, F.get(keys, i + 1)), equal(x, F.get(keys, i - 1)), F.lit(False))), place)
+            return F.coalesce((key(x) == key(y)) & same(place(x), place(y)), F.lit(False))
+        return F.transform(F.filter(keys, lambda x, i: equal(x, F.get(keys, i + 1)) | equal(x, F.get(keys, i - 1))), place)
 
-    short = repeats(packed, lambda x: F.shiftright(x, POSITION_BITS), lambda x: x.bitwiseAND(low).cast("int"))
+    packed = F.sort_array(F.transform(windows, lambda i: hashed(i).bitwiseAND(F.lit(-1 << POSITION_BITS))
+                                      .bitwiseOR(i.cast("long"))))
     wide = F.sort_array(F.transform(windows, lambda i: F.struct(hashed(i).alias("h"), i.alias("p"))))
-    long = repeats(wide, lambda x: x["h"], lambda x: x["p"])
-    places = F.sort_array(F.when(n < (1 << POSITION_BITS), short).otherwise(long))
+    keyed = rows.withColumn("packed", F.when(brief, packed)).withColumn("wide", F.when(~brief, wide))
+    found = keyed.withColumn("places", F.sort_array(F.coalesce(
+        repeats(F.col("packed"), lambda x: F.shiftright(x, POSITION_BITS), lambda x: x.bitwiseAND(low).cast("int")),
+        repeats(F.col("wide"), lambda x: x["h"], lambda x: x["p"]))))
     covered = F.aggregate(
-        places, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
+        "places", F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")),
         lambda a: a["n"])
-    return F.when(n >= 3, covered).otherwise(F.lit(0)).cast("long")
+    return found.withColumn("n_repeat_words", covered.cast("long")).drop("packed", "wide", "places")
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -74,13 +76,13 @@ def measure(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("source").alias("host"), text.alias("text"), words_of(F.col("text")).alias("words"),
         F.filter(F.split(text, "\n"), has_word).alias("raw_lines"),
         F.filter(F.split(normal, "\n"), has_word).alias("lines"))
-    counted = counted.withColumn("n_words", F.size("words").cast("long"))
+    counted = with_repeated_window_words(counted.withColumn("n_words", F.size("words").cast("long")))
     return counted.select(
         "doc_id", "host", F.xxhash64("text", F.lit(1)).alias("text_hash"), "n_words",
         F.char_length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
         (F.char_length("text") - F.char_length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         (F.size("raw_lines") - F.size(F.array_distinct("raw_lines"))).cast("long").alias("n_dup_lines"),
-        repeated_window_words(F.col("words"), F.col("n_words")).alias("n_repeat_words"),
+        "n_repeat_words",
         F.transform("lines", lambda x: F.struct(
             F.xxhash64(F.btrim(x)).alias("line"),
             F.size(F.split(F.btrim(x), " ")).alias("words"))).alias("lines"))
