@@ -36,19 +36,23 @@ def _remove(spark: SparkSession, paths: list[str]) -> None:
         pass
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: cuts
-    the lineage, gives the planner real sizes, and survives a lost executor.
-    The folders of an application are removed when its driver ends."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, removed when the driver ends."""
     app = spark.sparkContext.applicationId
     path = f"{shared_dir(spark)}/llm-{app}/{name}-{uuid.uuid4().hex[:12]}"
     if app not in _made:
         _made[app] = []
         atexit.register(_remove, spark, _made[app])
     _made[app].append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: cuts
+    the lineage, gives the planner real sizes, and survives a lost executor."""
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def words_of(text: Column) -> Column:
@@ -126,3 +130,36 @@ def slices(texts: list[bytes], limit: int):
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+# ------------------------------------------- occurrences, dealt out in blobs
+
+def bucket_count(docs: DataFrame, per_bucket: int = 4_000_000) -> int:
+    """Buckets for the occurrences of the texts' words: about ``per_bucket``
+    words each by the size of the texts, and no fewer than the session's
+    shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-size // (6 * per_bucket)))
+
+
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The array byte plane by byte plane: high planes are mostly zero and
+    shrink to nothing in the shuffle's compression."""
+    return x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
+def runs(sorted_keys: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    if not len(sorted_keys):
+        return np.empty(0, np.int64)
+    return np.concatenate([[0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1])
