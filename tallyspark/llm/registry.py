@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (op10_merkle_audit, op1_line_frequency, op2_sainte_lague_mix, op3_site_style_tree, op5_rlz_dedup, op6_prefix_targets, op7_gam_quality,
+from . import (op10_merkle_audit, op1_line_frequency, op2_sainte_lague_mix, op3_site_style_tree, op4_multi_order_join, op5_rlz_dedup, op6_prefix_targets, op7_gam_quality,
                op8_simhash_decontam, op9_dfa_secrets)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_frequency": op1_line_frequency.query,
     "op2_sainte_lague_mix": op2_sainte_lague_mix.query,
     "op3_site_style_tree": op3_site_style_tree.query,
+    "op4_multi_order_join": op4_multi_order_join.query,
     "op5_rlz_dedup": op5_rlz_dedup.query,
     "op6_prefix_targets": op6_prefix_targets.query,
     "op7_gam_quality": op7_gam_quality.query,
