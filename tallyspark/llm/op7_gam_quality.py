@@ -59,11 +59,9 @@ def features_of(text: bytes) -> tuple[float, ...]:
     if n > 2:
         tri = (codes[:-2] * len(seen) + codes[1:-1]) * len(seen) + codes[2:] if len(seen) < 2_000_000 else codes[:-2]
         repeated = 1.0 - len(np.unique(tri)) / len(tri)
-    last = text.replace(b"\n", b" ")
     lines = [x for x in text.split(b"\n") if x and not x.isspace()]
     ends = np.fromiter((w[-1] for w in words), np.uint8, n)
     heads = np.fromiter((w[0] for w in words), np.uint8, n)
-    del last
     return (
         float(np.log1p(n)), float(min(solid / n, 50.0)), float((lengths > 24).mean()),
         float(counts[_SYMBOLS].sum() / solid), float(np.isin(ends, _SYMBOLS).mean()),
@@ -210,18 +208,30 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(rows: DataFrame, labels: DataFrame, max_rows: int = 20_000, seed: int = 7) -> Gam:
-    """Fits the model on the labelled rows of ``rows`` (doc_id, x) outside the
-    test fold: a seeded sample of at most ``max_rows``."""
+def sampled(labels: DataFrame, max_rows: int = 20_000, seed: int = 7) -> DataFrame:
+    """(doc_id, y): a seeded sample of at most ``max_rows`` labels outside the
+    test fold, so small that it may be broadcast."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
-    sample = (known.filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-              .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "y").limit(max_rows))
-    got = (sample.join(rows, "doc_id").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "y").limit(max_rows)
-           .select("x", "y").toArrow())
+    return (known.filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+            .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "y").limit(max_rows))
+
+
+def train(rows: DataFrame, labels: DataFrame, max_rows: int = 20_000, seed: int = 7) -> Gam:
+    """Fits the model on at most ``max_rows`` labelled rows of ``rows``
+    (doc_id, x)."""
+    got = (rows.join(F.broadcast(sampled(labels, max_rows, seed)), "doc_id")
+           .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "y").limit(max_rows).select("x", "y").toArrow())
     x = np.array(got["x"].to_pylist(), np.float32).astype(np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array(got["y"].to_pylist(), np.float64))
 
 
+def train_on_texts(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, seed: int = 7) -> Gam:
+    """The same model, where only the sampled documents need features."""
+    ids = F.broadcast(sampled(labels, max_rows, seed).select("doc_id").distinct())
+    few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return train(featurise(few), labels, max_rows, seed)
+
+
 def _features_array(batch: pa.RecordBatch, column: str) -> np.ndarray:
     lists = batch.column(batch.schema.get_field_index(column))
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, len(FEATURES))
