@@ -48,7 +48,7 @@ def cents(x: str) -> str:
 
 
 def money(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 # ---------------------------------------------------------------------------
@@ -76,7 +76,7 @@ cte("order_typed", ["order_versions"], f"""
     CASE WHEN k % 37 = 0 THEN NULL ELSE {cents('o_totalprice * 0.9')} END AS subtotal_price,
     {cents('o_totalprice * 0.08')} AS total_tax,
     CASE WHEN k % 3 = 0 THEN 5.0 ELSE 0.0 END::DOUBLE AS total_discounts,
-    o_totalprice AS total_price,
+    o_totalprice + CASE WHEN k % 41 = 0 THEN 0.004 ELSE 0.0 END::DOUBLE AS total_price,
     ingested_at
   FROM (SELECT *,
           CASE WHEN v = 3 OR k % 31 = 0 THEN NULL
@@ -169,6 +169,10 @@ cte("stg_product_variants", ["stg_products"], """
 # ---------------------------------------------------------------------------
 # Analytics events
 # ---------------------------------------------------------------------------
+# The order a purchase names: one hot order for every twentieth event id, else
+# one order for each four ids (so the matched orders grow with the events).
+TXN_KEY = "(CASE WHEN {e} % 20 = 19 THEN 7 ELSE {e} // 4 END)"
+
 cte("ev", [], f"""
   SELECT e.event_id AS e, e.user_id AS u, e.ts, e.event_type, e.value,
     CASE e.event_type WHEN 'view' THEN CASE WHEN e.event_id % 2 = 0 THEN 'page_view' ELSE 'view_item' END
@@ -178,10 +182,10 @@ cte("ev", [], f"""
     o.o_totalprice
   FROM events e
   LEFT JOIN orders o ON e.event_type = 'purchase' AND e.event_id % 10 >= 5
-                     AND o.o_orderkey = e.event_id % 300
+                     AND o.o_orderkey = {TXN_KEY.format(e='e.event_id')}
   WHERE strftime(e.ts, '%Y%m%d') >= '{FLOOR}'""")
 
-cte("stg_events", ["ev"], """
+cte("stg_events", ["ev"], f"""
   SELECT
     'u' || CAST(u AS VARCHAR) || '-' || CAST(epoch_us(ts) AS VARCHAR) || '-' || event_name AS event_key,
     CAST(ts AS DATE) AS event_date, ts AS event_timestamp, event_name,
@@ -200,15 +204,15 @@ cte("stg_events", ["ev"], """
          WHEN e % 10 = 2 THEN 'Not_Set'
          WHEN e % 10 = 3 THEN '(not set)'
          WHEN e % 10 = 4 THEN CAST(e + 900000000 AS VARCHAR)
-         ELSE CAST(e % 300 AS VARCHAR) END AS transaction_id,
+         ELSE CAST({TXN_KEY.format(e='e')} AS VARCHAR) END AS transaction_id,
     CASE WHEN event_type <> 'purchase' THEN NULL
          WHEN e % 10 = 0 THEN NULL
          WHEN e % 10 = 1 THEN '  '
          WHEN e % 10 = 2 THEN 'Not_Set'
          WHEN e % 10 = 3 THEN '(not set)'
          WHEN e % 10 = 4 THEN CAST(e + 900000000 AS VARCHAR)
-         WHEN e % 10 = 5 THEN ' ' || CAST(e % 300 AS VARCHAR) || ' '
-         ELSE CAST(e % 300 AS VARCHAR) END AS raw_transaction_id,
+         WHEN e % 10 = 5 THEN ' ' || CAST({TXN_KEY.format(e='e')} AS VARCHAR) || ' '
+         ELSE CAST({TXN_KEY.format(e='e')} AS VARCHAR) END AS raw_transaction_id,
     CASE WHEN event_type <> 'purchase' OR e % 7 = 6 THEN NULL
          WHEN o_totalprice IS NOT NULL THEN
            o_totalprice + CASE e % 7 WHEN 0 THEN 5.0 WHEN 1 THEN 0.5 WHEN 2 THEN -25.0 ELSE 0.0 END::DOUBLE
@@ -348,7 +352,7 @@ cte("funnel", ["stg_sessions", "reconciliation"], f"""
           FROM stg_sessions) s
     LEFT JOIN (
       SELECT session_key, count(DISTINCT shopify_order_id) AS matched_orders,
-        SUM(CAST(shopify_total_price AS DECIMAL(18,2))) AS shopify_revenue
+        SUM(CAST(shopify_total_price AS DECIMAL(28,6))) AS shopify_revenue
       FROM reconciliation WHERE match_status = 'matched' GROUP BY 1
     ) o ON s.session_key = o.session_key
     GROUP BY 1, 2, 3, 4)""")
@@ -567,7 +571,7 @@ def _ratio(a: str, b: str) -> str:
 
 
 def report_sql(top_k: int = 10) -> dict[str, str]:
-    dec = "CAST({} AS DECIMAL(18,2))"
+    dec = "CAST({} AS DECIMAL(28,6))"
     return {
         "orders_daily_profile": with_(f"""
           SELECT *, {_ratio('total_price', 'orders')} AS average_order_value FROM (
@@ -727,6 +731,13 @@ def landing_sql() -> dict[str, str]:
             "SELECT order_id, updated_at, CAST(1 AS BIGINT) AS batch_no FROM api_orders "
             "UNION ALL SELECT order_id, updated_at, CAST(2 AS BIGINT) FROM api_orders WHERE updated_at IS NULL",
             "api_orders"),
+        "landing_second_snapshot": with_(
+            "SELECT order_id, updated_at, CAST(1 AS BIGINT) AS batch_no FROM api_orders UNION ALL "
+            "SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 THEN o_orderdate + INTERVAL 3 DAY END, CAST(2 AS BIGINT) "
+            "FROM orders WHERE o_orderkey % 7 = 0 AND (o_orderkey % 31 = 0 OR o_orderdate + INTERVAL 3 DAY > "
+            "(SELECT max(updated_at) FROM api_orders))", "api_orders"),
+        "landing_stream_batches": with_(
+            "SELECT order_id, updated_at, max(updated_at) OVER () AS last_updated_at FROM api_orders", "api_orders"),
         "landing_stream_idempotent": with_("SELECT order_id, updated_at FROM api_orders", "api_orders"),
         "source_freshness": with_("""
           SELECT 'raw_orders' AS source_name, 'ingested_at' AS loaded_at_field,

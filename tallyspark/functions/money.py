@@ -2,7 +2,8 @@
 
 Money is staged as DOUBLE (like the reference), but summed as DECIMAL so
 the result does not depend on partitioning or row order; the total is then
-returned as DOUBLE. Inputs are cent amounts, so scale 2 is exact.
+returned as DOUBLE. Six decimals keep amounts below a cent; 22 digits before
+the point hold any amount a shop can state.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_DECIMAL = "decimal(18,2)"
+MONEY_DECIMAL = "decimal(28,6)"
 
 
 def _c(col) -> Column:

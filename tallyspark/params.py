@@ -16,9 +16,8 @@ def batch_tag(now: _dt.datetime | None = None) -> str:
 @dataclass(frozen=True)
 class Params:
     # Event shards with suffix below this are not read (string compare, as in
-    # the reference). The reference's own floor is 20260401; the testdata
-    # events span 2024-01-01..2024-01-30, so the fixtures use 20240105.
-    event_suffix_floor: str = "20240105"
+    # the reference, whose floor this is).
+    event_suffix_floor: str = "20260401"
     # Only read daily shards (YYYYMMDD); off = reference behaviour.
     daily_shards_only: bool = False
     # Lookback for the incremental facts (O3).
@@ -39,6 +38,7 @@ class Params:
 
 
 # Fixed batch tag used by the registered check queries so results are
-# reproducible (a real run stamps the wall clock).
+# reproducible (a real run stamps the wall clock), and a floor inside the
+# testdata's events (2024-01-01..2024-01-30).
 CHECK_BATCH_NO = "20240131000000"
-CHECK_PARAMS = Params(transform_batch_no=CHECK_BATCH_NO)
+CHECK_PARAMS = Params(transform_batch_no=CHECK_BATCH_NO, event_suffix_floor="20240105")

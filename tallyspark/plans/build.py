@@ -25,7 +25,7 @@ from tallyspark.sources import fixtures
 from tallyspark.sources.schemas import GA_EVENTS_SCHEMA, raw_entity_schema
 
 # Bump when a fixture rule changes (invalidates landed inputs).
-FIXTURE_VERSION = "4"  # bump when a fixture rule changes
+FIXTURE_VERSION = "5"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -49,6 +49,21 @@ def _publish(spark: SparkSession, tmp: str, path: str) -> None:
         fs.delete(src, True)
 
 
+SOURCE_TABLES = ("customer", "events", "lineitem", "orders", "part")
+
+
+def _source_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for t in SOURCE_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        files = p.getFileSystem(conf).listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            out.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(out)
+
+
 class Inputs:
     """Raw inputs derived from a testdata directory.
 
@@ -68,8 +83,10 @@ class Inputs:
 
     @cached_property
     def _root(self) -> str:
-        key = hashlib.sha1(f"{os.path.abspath(self.sf_dir)}|{self.params.shop_domain}|{FIXTURE_VERSION}"
-                           .encode()).hexdigest()[:16]
+        # Keyed on the source files themselves (path, length, modification
+        # time): replaced files are derived anew.
+        source = "|".join(_source_files(self.spark, self.sf_dir))
+        key = hashlib.sha1(f"{source}|{self.params.shop_domain}|{FIXTURE_VERSION}".encode()).hexdigest()[:16]
         return f"{shared_dir(self.spark).rstrip('/')}/tallyspark-inputs/{key}"
 
     def _landed(self, name: str, build, schema, partition_by: str | None = None) -> DataFrame:
@@ -248,7 +265,7 @@ class Models:
 
     @model
     def fct_order_lines(self) -> DataFrame:
-        return marts.fct_order_lines(self.order_lines_wide, None, self.params)
+        return marts.fct_order_lines(self.order_lines_wide, self.params)
 
     @model
     def fct_attributed_orders(self) -> DataFrame:
@@ -263,24 +280,6 @@ class Models:
         return marts.fct_funnel(self.stg_ga_sessions, self.purchase_reconciliation)
 
 
-class PersistedModels(Models):
-    """The graph with chosen hub models persisted (MEMORY_AND_DISK): a
-    persisted model is computed once per job and read by every consumer --
-    the cache is opaque to column pruning, so consumers no longer recompute
-    their own differently-pruned copy of the hub's shuffle. Lost blocks are
-    recomputed from lineage."""
-
-    def __init__(self, base: Models, hubs: set[str]):
-        super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
-        self.hubs = hubs
-
-    def _finish(self, name: str, df: DataFrame) -> DataFrame:
-        if name in self.hubs:
-            from pyspark import StorageLevel
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
-        return df
-
-
 class MaterializedModels(Models):
     """The graph run the way the reference materialises it: each model,
     when first used, is written as a table under ``root`` and read back, so
@@ -288,19 +287,33 @@ class MaterializedModels(Models):
     scan the table instead of recomputing it. The written tables also cut
     lineage, so a lost executor costs one model's tasks, not the chain."""
 
-    def __init__(self, base: Models, root: str, only: set[str] | None = None):
+    def __init__(self, base: Models, root: str, only: set[str] | None = None, lean: bool = False):
         super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
         self.root = root
         self.only = only
+        self.base, self.lean = base, lean
 
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         if self.only is not None and name not in self.only:
             return df
         path = f"{self.root}/{name}"
+        if self.lean:
+            df = df.drop(*WIDE_COLUMNS)
         # overwrite: a rerun after a failure replaces a partial directory.
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @property
+    def stg_ga_items(self) -> DataFrame:
+        """From the unwritten events where the written ones have no items."""
+        if self.lean and "stg_ga_events" in (self.only or ()):
+            return self.base.stg_ga_items
+        return Models.stg_ga_items.__get__(self)
+
+
+# Columns that hold whole source records: left out of tables that are written
+# only to be counted or summed.
+WIDE_COLUMNS = ("payload_json", "items")
 
 # The model graph by dependency level: models of one level only read raw
 # inputs or models of earlier levels, so a level's models are independent.
@@ -352,17 +365,18 @@ def build_all(models: Models, root: str, parallelism: int = 4) -> MaterializedMo
     return mm
 
 
-def with_written(models: Models, names, parallelism: int = 4) -> Models:
+def with_written(models: Models, names, parallelism: int = 4, lean: bool = True) -> Models:
     """``models`` with ``names`` written once to a fresh folder under the
     shared folder (independent ones concurrently, in dependency order); every
     other model is computed from those tables. Use when one job reads a shared
     upstream through several differently-pruned paths, which Spark would
-    otherwise recompute (and re-shuffle) once per path."""
+    otherwise recompute (and re-shuffle) once per path. ``lean`` leaves the
+    raw payloads (``WIDE_COLUMNS``) out of the written tables."""
     from tallyspark.session import fresh_path
     if isinstance(models, MaterializedModels) or not names:
         return models
     names = set(names)
-    mm = MaterializedModels(models, fresh_path(models.spark, "written-models"), names)
+    mm = MaterializedModels(models, fresh_path(models.spark, "written-models"), names, lean)
     models.inputs.land_all()
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for level in MODEL_LEVELS:

@@ -31,10 +31,10 @@ def _with_part(df: DataFrame) -> DataFrame:
 
 
 def _write_full(df: DataFrame, path: str) -> None:
-    # One writer per partition value: no small-file explosion.
+    # Rebalanced by partition value: no small-file explosion, large months split.
     # overwrite: the first build has no _SUCCESS marker until it completes, so
     # a rerun after a failure replaces the partial directory.
-    _with_part(df).repartition(PART_COL).write.mode("overwrite").partitionBy(PART_COL).parquet(path)
+    _with_part(df).hint("rebalance", PART_COL).write.mode("overwrite").partitionBy(PART_COL).parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema, columns: list[str]) -> DataFrame:
@@ -64,13 +64,12 @@ def run_fct_order_lines(spark: SparkSession, raw_orders: DataFrame, target_path:
     params = params or Params()
     parsed = staging.stg_orders_parsed(raw_orders, params)
     wide = staging.order_lines_wide(parsed)
-    schema = _with_part(marts.fct_order_lines(wide, None, params)).schema
+    schema = _with_part(marts.fct_order_lines(wide, params)).schema
     if not _exists(spark, f"{target_path}/_SUCCESS"):
-        _write_full(marts.fct_order_lines(wide, None, params), target_path)
+        _write_full(marts.fct_order_lines(wide, params), target_path)
     else:
         target = _read(spark, target_path, schema, marts.FCT_LINE_COLUMNS)
-        stg = parsed.select(*staging.ORDER_COLUMNS)
         bound = lookback_bound(target, "order_updated_at", params.lookback, params.lookback_floor)
-        updates = _with_part(marts.fct_order_lines(wide, stg, params, bound=bound))
+        updates = _with_part(marts.fct_order_lines(wide, params, bound=bound))
         merge_partitions(target_path, updates, ["order_item_id"], PART_COL)
     return _read(spark, target_path, schema, marts.FCT_LINE_COLUMNS)

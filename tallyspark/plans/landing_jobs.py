@@ -24,10 +24,11 @@ CUSTOMER_CHECKPOINT = _dt.datetime(2001, 3, 1)
 RUN_INGESTED_AT = _dt.datetime(2024, 2, 1)
 
 
-def api_snapshot(raw: DataFrame) -> DataFrame:
-    """The API's answer for one entity: the first landed version of each
-    record (its payload), as a ``payload_json`` column."""
-    return raw.where(F.col("batch_no") == 1).select("payload_json")
+def api_snapshot(raw: DataFrame, version: int = 1) -> DataFrame:
+    """The API's answer for one entity at one time, as a ``payload_json``
+    column: the records of that landed version (the first has every record, a
+    later one those that changed)."""
+    return raw.where(F.col("batch_no") == version).select("payload_json")
 
 
 def _pages_dir(m, entity: str) -> str:
@@ -99,6 +100,32 @@ def append_twice(m) -> DataFrame:
     return landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at", "batch_no")
 
 
+def second_snapshot(m) -> DataFrame:
+    """S3-S8 over two snapshots: every record, then the changed ones. The
+    second run lands what was updated after the first run's watermark (and
+    records without ``updated_at``, D17)."""
+    root = fresh_path(m.spark, "landing-second")
+    changed = fresh_path(m.spark, "pages-second")
+    landing.write_pages(api_snapshot(m.inputs.raw_orders, 2), "order", changed)
+    for batch_no, pages in ((1, landed_pages(m)), (2, landing.read_pages(m.spark, changed))):
+        landing.land_batch(m.spark, landing.unwrap_pages(pages), "order", f"{root}/raw_orders",
+                           f"{root}/landing_state", m.params.shop_domain, batch_no, RUN_INGESTED_AT)
+    return landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at", "batch_no")
+
+
+def stream_in_batches(m) -> DataFrame:
+    """The streaming landing with one page file per micro-batch, over six
+    files: the same rows as in one batch, and one checkpoint at the end."""
+    root = fresh_path(m.spark, "landing-batches")
+    landed_pages(m).repartition(6).write.text(f"{root}/pages")
+    land_stream(m.spark, f"{root}/pages", "order", f"{root}/raw_orders", f"{root}/landing_state",
+                f"{root}/_checkpoint", m.params.shop_domain, max_files_per_trigger=1)
+    rows = landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at")
+    state = landing.read_state(m.spark, f"{root}/landing_state").select("last_updated_at")
+    # One row by construction: the run's one commit.
+    return rows.withColumn("last_updated_at", state.scalar())
+
+
 def stream_twice(m) -> DataFrame:
     """Streaming landing run twice over the same page files: the second run
     finds no new file and lands nothing."""

@@ -26,25 +26,20 @@ FCT_LINE_COLUMNS = [
 ]
 
 
-def _changed_ids(stg_orders: DataFrame, bound) -> DataFrame | None:
-    if bound is None:
-        return None
-    return changed_since(stg_orders, "updated_at", bound).select("order_id")
-
-
-def _restrict(df: DataFrame, changed: DataFrame | None) -> DataFrame:
-    """``order_id IN (changed ids)``. On a first run every id qualifies, so
-    the IN reduces to ``order_id IS NOT NULL`` (NULL never passes IN)."""
-    if changed is None:
-        return df.where(F.col("order_id").isNotNull())
-    return df.join(changed, "order_id", "left_semi")
+def _changed(df: DataFrame, updated: str, bound) -> DataFrame:
+    """Rows of orders changed since ``bound`` (``None``: all). Orders, and the
+    lines that carry their order's update time, are filtered where they stand:
+    the changed-id set of the reference is the same rows. A NULL id never
+    passes."""
+    kept = df.where(F.col("order_id").isNotNull())
+    return kept if bound is None else changed_since(kept, updated, bound)
 
 
 def fct_orders(stg_orders: DataFrame, params: Params | None = None, bound=None) -> DataFrame:
     """M12. ``bound`` (a timestamp column/literal) selects the incremental
     window; ``None`` is a full build."""
     params = params or Params()
-    o = _restrict(stg_orders, _changed_ids(stg_orders, bound))
+    o = _changed(stg_orders, "updated_at", bound)
     return o.select(
         "shop_domain", "order_id", "customer_id",
         F.col("created_at").alias("order_created_at"),
@@ -56,14 +51,12 @@ def fct_orders(stg_orders: DataFrame, params: Params | None = None, bound=None)
         F.lit(params.transform_batch_no).alias("transform_batch_no"))
 
 
-def fct_order_lines(lines_wide: DataFrame, stg_orders: DataFrame | None = None,
-                    params: Params | None = None, bound=None) -> DataFrame:
+def fct_order_lines(lines_wide: DataFrame, params: Params | None = None, bound=None) -> DataFrame:
     """M13 from the wide line rows (lines already carry their order's
     columns; see ``staging.order_lines_wide``). Incremental runs keep lines
-    of orders whose id is in the changed set (semi join: no fan-out, D3)."""
+    of orders changed since ``bound`` (no fan-out, D3)."""
     params = params or Params()
-    changed = _changed_ids(stg_orders, bound) if stg_orders is not None else None
-    li = _restrict(lines_wide, changed)
+    li = _changed(lines_wide, "order_updated_at", bound)
     return li.select(
         "shop_domain", "order_id", "order_item_id", "customer_id", "order_created_at",
         "order_updated_at", "financial_status", "fulfillment_status", "currency", "product_id",
@@ -177,7 +170,7 @@ def fct_funnel(sessions: DataFrame, reconciliation: DataFrame) -> DataFrame:
         *[F.max(f).alias(f) for f in flags],
         F.max(F.col("_matched_orders") > 0).alias("_had_match"),
         F.sum(F.coalesce("_matched_orders", F.lit(0))).alias("_mo"),
-        F.sum(F.coalesce("_revenue", F.lit(0).cast("decimal(28,2)"))).alias("_rev"))
+        F.sum(F.coalesce("_revenue", F.lit(0).cast("decimal(38,6)"))).alias("_rev"))
     key = F.col("session_key").isNotNull()
     f = per_session.groupBy(*FUNNEL_KEYS).agg(
         F.count("session_key").alias("sessions"),

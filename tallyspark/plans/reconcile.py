@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.dedup import first_per_key
-from tallyspark.operators.joins import left_join_split
+from tallyspark.operators.joins import left_join_spread
 
 # Match statuses, in the order they are tested.
 MATCH_STATUSES = ["matched", "missing_transaction_id", "not_set_transaction_id", "unmatched_transaction_id"]
@@ -28,7 +28,7 @@ def purchase_reconciliation(purchases: DataFrame, stg_orders: DataFrame) -> Data
 
     The order side is cast to text (casting the event side to a number
     would fail on ``'not_set'``). Events whose id is NULL or not an integer
-    literal can never match; they skip the shuffle (null-key split).
+    literal can never match; they are spread over the shuffle (one scan).
     """
     p = purchases.select(
         F.col("event_key").alias("ga4_event_key"),
@@ -48,7 +48,7 @@ def purchase_reconciliation(purchases: DataFrame, stg_orders: DataFrame) -> Data
         "customer_id", "financial_status", "fulfillment_status",
     ).where(F.col("_order_key").isNotNull())
     eligible = F.col("ga4_transaction_id").rlike("^-?[0-9]+$")
-    j = left_join_split(p, o, "ga4_transaction_id", "_order_key", eligible).drop("_order_key")
+    j = left_join_spread(p, o, "ga4_transaction_id", "_order_key", eligible, "ga4_event_key").drop("_order_key")
     txn = F.col("ga4_transaction_id")
     matched = F.col("shopify_order_id").isNotNull()
     return j.select(

@@ -8,6 +8,7 @@ checkpoint directory.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -89,5 +90,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, never-used location under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, never-used location under the shared folder; it is removed when
+    the driver ends (a lazy result may read it until then)."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    app = spark.sparkContext.applicationId
+    if app not in _fresh:
+        _fresh[app] = []
+        atexit.register(_remove, spark, _fresh[app])
+    _fresh[app].append(path)
+    return path
+
+
+_fresh: dict[str, list[str]] = {}
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    if spark.sparkContext._jsc is None:  # the session has ended: nothing can be deleted through it
+        return
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -111,6 +111,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, params: Params | None = None) -
     k = F.col("o_orderkey")
     od = F.col("o_orderdate").cast("timestamp")
     total = F.col("o_totalprice")
+    shown_total = total + F.when(k % 41 == 0, 0.004).otherwise(0.0)  # amounts below a cent
 
     versions = F.filter(F.array(*[F.lit(v) for v in (1, 2, 3, 4)]),
                         lambda v: (v == 1) | ((v == 2) & (k % 7 == 0))
@@ -146,7 +147,7 @@ def raw_orders(spark: SparkSession, sf_dir: str, params: Params | None = None) -
         F.when(k % 37 == 0, F.lit("n/a")).otherwise(cents(total * 0.9).cast("string")).alias("subtotal_price"),
         cents(total * 0.08).cast("string").alias("total_tax"),
         F.when(k % 3 == 0, F.lit("5.00")).otherwise(F.lit("0.00")).alias("total_discounts"),
-        total.cast("string").alias("total_price"),
+        shown_total.cast("string").alias("total_price"),
         F.coalesce(F.col("line_items"), F.when(k % 2 == 0, F.array())).alias("line_items"),
     )
     return o.select(
@@ -242,13 +243,14 @@ def ga_events(spark: SparkSession, sf_dir: str, suffix_floor: str | None = None)
     e, u, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     is_purchase = et == "purchase"
 
-    # Order totals for purchase revenue: transaction ids point at orders
-    # 0..299 only, so the looked-up side is bounded by 300 rows (order key is
-    # the primary key) and is broadcast.
-    totals = (read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-              .where((F.col("o_orderkey") >= 0) & (F.col("o_orderkey") < 300)))
-    ev = ev.withColumn("txn_order_key", F.when(is_purchase & (e % 10 >= 5), e % 300))
-    ev = ev.join(F.broadcast(totals), F.col("txn_order_key") == F.col("o_orderkey"), "left")
+    # Order totals for purchase revenue. A purchase names one hot order for
+    # every twentieth event id, else one order for each four ids: several
+    # purchases per order, and orders that grow with the events. Other events
+    # get keys of their own that match nothing, so they don't meet in one task.
+    totals = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    txn_key = F.when(e % 20 == 19, F.lit(7).cast("bigint")).otherwise(F.floor(e / 4).cast("bigint"))
+    ev = ev.withColumn("txn_order_key", F.when(is_purchase & (e % 10 >= 5), txn_key).otherwise(-1 - e))
+    ev = ev.join(totals, F.col("txn_order_key") == F.col("o_orderkey"), "left")
 
     name = F.when(et == "view", F.when(e % 2 == 0, F.lit("page_view")).otherwise(F.lit("view_item")))
     for src, dst in EVENT_NAME.items():
@@ -278,8 +280,8 @@ def ga_events(spark: SparkSession, sf_dir: str, suffix_floor: str | None = None)
            .when(kind == 2, F.lit("Not_Set"))
            .when(kind == 3, F.lit("(not set)"))
            .when(kind == 4, (e + 900000000).cast("string"))
-           .when(kind == 5, F.concat(F.lit(" "), (e % 300).cast("string"), F.lit(" ")))
-           .otherwise((e % 300).cast("string")))
+           .when(kind == 5, F.concat(F.lit(" "), txn_key.cast("string"), F.lit(" ")))
+           .otherwise(txn_key.cast("string")))
     adj = (F.when(e % 7 == 0, F.lit(5.0)).when(e % 7 == 1, F.lit(0.5))
            .when(e % 7 == 2, F.lit(-25.0)).otherwise(F.lit(0.0)))
     revenue = (F.when(e % 7 == 6, F.lit(None).cast("double"))

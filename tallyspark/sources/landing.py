@@ -47,18 +47,26 @@ def write_pages(records: DataFrame, entity: str, path: str, page_size: int = API
     pages = records.groupBy(page_no.alias("_page")).agg(
         F.concat(F.lit('{"' + entity + 's": ['),
                  F.array_join(F.collect_list("payload_json"), ","), F.lit("]}")).alias("value"))
-    pages.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
+    # Uncompressed: text lines are splittable, so a large file is many tasks.
+    pages.select("value").write.mode("overwrite").option("compression", "none").text(path)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed page files as text lines (splittable; one page per line)."""
-    return spark.read.text(path)
+def read_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Landed page files as text: one page per line (splittable), or with
+    ``whole_files`` one page per file, of any layout."""
+    return spark.read.text(path, wholetext=whole_files)
 
 
 def unwrap_pages(pages: DataFrame) -> DataFrame:
-    """One row per record (raw JSON text), from the first key's array."""
+    """One row per record (raw JSON text), from the first key's array. A
+    page that can't be read, or whose first value is no array, is an error:
+    its records must not vanish. Blank lines are no pages."""
     first = F.get(F.map_values(F.from_json("value", "map<string,string>")), 0)
-    return pages.select(F.explode(F.from_json(first, "array<string>")).alias("payload_json"))
+    records = F.from_json(first, "array<string>")
+    said = F.concat(F.lit("unreadable page: "), F.substring("value", 1, 200))
+    return (pages.where(F.trim(F.translate("value", "\t\r\n", "   ")) != "")
+            .select(F.explode(F.when(records.isNull() | ~F.ltrim(first).startswith("["), F.raise_error(said))
+                              .otherwise(records)).alias("payload_json")))
 
 
 def raw_rows(records: DataFrame, entity: str, shop_domain: str, batch_no: int,
@@ -191,10 +199,7 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
     """Run S2-S8 for one entity: filter by checkpoint, append, then commit the
     checkpoint. Returns the kept-row count and the new checkpoint."""
     ensure_raw_table(spark, entity, raw_path)
-    state = read_state(spark, state_path)
-    shaped = raw_rows(records, entity, shop_domain, batch_no, ingested_at)
-    kept = incremental_filter(source_window(shaped, state, entity), state, entity)
-    kept = kept.select(*raw_entity_schema(entity).fieldNames())
+    kept = _kept(records, read_state(spark, state_path), entity, shop_domain, batch_no, ingested_at)
     # The batch high watermark (S6) is observed while the append runs -- no
     # second pass over the source or the table. max() is idempotent, so task
     # retries cannot skew it.
@@ -203,15 +208,34 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
                         F.count(F.lit(1)).alias("rows"))
     kept.write.mode("append").partitionBy("batch_no").parquet(raw_path)
     metrics = obs.get
-    wm = spark.range(1).select(
-        F.lit(entity).alias("source"),
-        F.timestamp_micros(F.lit(metrics["wm_us"]).cast("bigint")).alias("last_updated_at"))
-    # Only a non-NULL watermark moves the checkpoint (upsert on source =
-    # append to the log; the latest row per source wins).
-    commit_state(wm.where(F.col("last_updated_at").isNotNull()), state_path)
+    commit_watermark(spark, entity, metrics["wm_us"], state_path)
     return {"entity": entity, "batch_no": batch_no, "rows": metrics["rows"]}
 
 
+def replace_batch(records: DataFrame, state: DataFrame, entity: str, raw_path: str, shop_domain: str,
+                  batch_no: int, ingested_at: _dt.datetime | None = None) -> None:
+    """S2-S5 and S8 for a batch that may be replayed: the rows that pass
+    ``state`` replace the batch's own partition. The checkpoint stays."""
+    (_kept(records, state, entity, shop_domain, batch_no, ingested_at).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_no").parquet(raw_path))
+
+
+def commit_watermark(spark: SparkSession, entity: str, wm_us: int | None, state_path: str) -> None:
+    """Only a non-NULL watermark moves the checkpoint (upsert on source =
+    append to the log; the latest row per source wins)."""
+    if wm_us is not None:
+        commit_state(spark.range(1).select(
+            F.lit(entity).alias("source"),
+            F.timestamp_micros(F.lit(wm_us).cast("bigint")).alias("last_updated_at")), state_path)
+
+
+def _kept(records: DataFrame, state: DataFrame, entity: str, shop_domain: str, batch_no: int,
+          ingested_at: _dt.datetime | None) -> DataFrame:
+    shaped = raw_rows(records, entity, shop_domain, batch_no, ingested_at)
+    kept = incremental_filter(source_window(shaped, state, entity), state, entity)
+    return kept.select(*raw_entity_schema(entity).fieldNames())
+
+
 def land_entities(spark: SparkSession, entities: dict[str, DataFrame], root: str, shop_domain: str,
                   batch_no: int, ingested_at: _dt.datetime | None = None) -> None:
     """The same landing job for several entities (orders, products,

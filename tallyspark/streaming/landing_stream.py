@@ -2,35 +2,63 @@
 
 New page files under ``pages_dir`` are picked up once each: the stream
 checkpoint remembers which files were processed, so a rerun over the same
-directory lands nothing. Each micro-batch runs the batch landing step
-(record-level checkpoint filter, append, watermark) via ``foreachBatch``.
-``trigger(availableNow=True)`` processes what is there and stops, which
-suits a scheduled job.
-
-Delivery is at-least-once per micro-batch (a replay after a failure appends
-again); the staging dedup (latest version per key) absorbs duplicates, as in
-the reference's own failure window.
+directory lands nothing. ``trigger(availableNow=True)`` processes what is
+there and stops, which suits a scheduled job.
+
+A run has one bound and one commit, however many micro-batches it takes: the
+checkpoint is read before the stream starts and moved after it has ended, so
+a micro-batch never drops records that are older than an earlier one's. Each
+micro-batch writes its own ``batch_no`` partition, numbered by the stream
+checkpoint and the epoch, and replaces it when it is replayed.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspark.sources.landing import (commit_watermark, ensure_raw_table, read_raw, read_state, replace_batch,
+                                        unwrap_pages)
+
+# Epochs that one stream checkpoint can number.
+EPOCHS = 10_000_000
 
-from tallyspark.sources.landing import land_batch, unwrap_pages
+
+def first_batch_no(checkpoint: str) -> int:
+    """Batches of a stream checkpoint are numbered from here."""
+    return (zlib.crc32(checkpoint.encode()) + 1) * EPOCHS
 
 
 def land_stream(spark: SparkSession, pages_dir: str, entity: str, raw_path: str, state_path: str,
-                checkpoint: str, shop_domain: str, max_files_per_trigger: int | None = None) -> None:
+                checkpoint: str, shop_domain: str, max_files_per_trigger: int | None = None,
+                whole_files: bool = False) -> None:
+    ensure_raw_table(spark, entity, raw_path)
+    # The bound as a value: the state table may be written while the run lasts.
+    rows = [tuple(r) for r in read_state(spark, state_path).where(F.col("source") == entity).collect()]
+    state = spark.createDataFrame(rows, "source string, last_updated_at timestamp")
+    first = first_batch_no(checkpoint)
+
     reader = spark.readStream.schema("value string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    records = unwrap_pages(reader.text(pages_dir))
+    records = unwrap_pages(reader.text(pages_dir, wholetext=whole_files))
 
     def one_batch(batch: DataFrame, epoch_id: int) -> None:
-        land_batch(spark, batch, entity, raw_path, state_path, shop_domain, batch_no=epoch_id + 1)
+        replace_batch(batch, state, entity, raw_path, shop_domain, first + epoch_id)
 
     q = (records.writeStream.foreachBatch(one_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+
+    # The watermark of everything this stream has landed (one column of its own
+    # partitions), so that also a run that broke off before its commit counts.
+    mine = read_raw(spark, entity, raw_path).where(F.col("batch_no").between(first, first + EPOCHS - 1))
+    wm = mine.agg(F.max(F.unix_micros("updated_at"))).first()[0]
+    before = [r[1] for r in rows if r[1] is not None]
+    moved = spark.range(1).select(F.unix_micros(F.lit(before[0]).cast("timestamp"))).first()[0] if before else None
+    if wm is not None and (moved is None or wm > moved):
+        commit_watermark(spark, entity, wm, state_path)

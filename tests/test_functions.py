@@ -57,3 +57,12 @@ def test_duplicate_param_keys_are_reported(spark):
     m = SimpleNamespace(inputs=SimpleNamespace(ga_events=spark.createDataFrame(rows, GA_EVENTS_SCHEMA)),
                         params=Params(event_suffix_floor="20240101"))
     assert [r.event_timestamp for r in dq_duplicate_param_keys(m).collect()] == [1]
+
+
+def test_money_sums_keep_small_and_large_amounts(spark):
+    from pyspark.sql import functions as F
+
+    from tallyspark.functions.money import money_sum
+    rows = spark.range(1000).select(F.lit(0.004).alias("x"), F.lit(1e17).alias("y"))
+    r = rows.agg(money_sum("x").cast("double").alias("x"), money_sum("y").cast("double").alias("y")).first()
+    assert (r.x, r.y) == (4.0, 1e20)

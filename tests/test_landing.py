@@ -127,6 +127,119 @@ def test_pages_are_bounded_even_with_repeated_ids(spark):
     assert landing.unwrap_pages(pages).count() == 1200
 
 
+def test_unreadable_page_is_an_error(spark):
+    import pytest
+    good = '{"orders": [{"id": 1}]}'
+    for bad in ['{"orders": [{"id": 2}', '{"orders": {"id": 2}}', "nonsense", "{}"]:
+        pages = spark.createDataFrame([(good,), (bad,)], "value string")
+        with pytest.raises(Exception, match="unreadable page"):
+            landing.unwrap_pages(pages).collect()
+    quiet = spark.createDataFrame([(good,), ("  ",), ('{"orders": []}',)], "value string")
+    assert landing.unwrap_pages(quiet).count() == 1
+
+
+def test_pages_of_several_lines(spark, tmp_path):
+    (tmp_path / "p.json").write_text(json.dumps({"orders": [{"id": 1}, {"id": 2}]}, indent=2))
+    assert landing.unwrap_pages(landing.read_pages(spark, str(tmp_path), whole_files=True)).count() == 2
+    root = fresh_path(spark, "t-whole")
+    land_stream(spark, str(tmp_path), "order", f"{root}/raw", f"{root}/state", f"{root}/ckpt", "shop-a", whole_files=True)
+    assert landing.read_raw(spark, "order", f"{root}/raw").count() == 2
+
+
+def _page_file(directory, name, ids_and_days):
+    directory.mkdir(exist_ok=True)
+    (directory / name).write_text(json.dumps(
+        {"orders": [{"id": i, "updated_at": f"2024-01-{d:02d}T00:00:00Z"} for i, d in ids_and_days]}) + "\n")
+
+
+def test_stream_in_micro_batches_loses_nothing(spark, tmp_path):
+    pages, root = tmp_path / "pages", fresh_path(spark, "t-micro")
+    _page_file(pages, "a.json", [(1, 20), (2, 25)])  # the newest records come first
+    _page_file(pages, "b.json", [(3, 12), (4, 11)])
+
+    def run():
+        land_stream(spark, str(pages), "order", f"{root}/raw", f"{root}/state", f"{root}/ckpt", "shop-a", max_files_per_trigger=1)
+        return sorted(r.order_id for r in landing.read_raw(spark, "order", f"{root}/raw").collect())
+
+    assert run() == [1, 2, 3, 4]
+    assert landing.read_state(spark, f"{root}/state").first().last_updated_at == dt.datetime(2024, 1, 25)
+    _page_file(pages, "c.json", [(5, 26), (6, 24)])  # the next run has the first run's bound
+    assert run() == [1, 2, 3, 4, 5]
+
+
+def test_replayed_micro_batch_replaces_itself(spark):
+    root = fresh_path(spark, "t-replay")
+    landing.ensure_raw_table(spark, "order", f"{root}/raw")
+    recs = records(spark, [{"id": 1, "updated_at": "2024-01-11T00:00:00Z"}])
+    for _ in range(2):
+        landing.replace_batch(recs, landing.empty_state(spark), "order", f"{root}/raw", "shop-a", 70)
+    landing.replace_batch(recs, landing.empty_state(spark), "order", f"{root}/raw", "shop-a", 71)
+    assert sorted(r.batch_no for r in landing.read_raw(spark, "order", f"{root}/raw").collect()) == [70, 71]
+
+
+def _merge(spark, target, updates, crash=False):
+    from tallyspark.operators import incremental
+    schema = "k long, v string, p string"
+    path = fresh_path(spark, "t-null-merge") + "/t"
+    spark.createDataFrame(target, schema).write.partitionBy("p").parquet(path)
+    if crash:
+        drop, calls = incremental._drop_noted, []
+        incremental._drop_noted = lambda *a: calls.append(1) or (drop(*a) if len(calls) == 1 else None)
+        try:
+            incremental.merge_partitions(path, spark.createDataFrame(updates, schema), ["k"], "p")
+        finally:
+            incremental._drop_noted = drop
+    incremental.merge_partitions(path, spark.createDataFrame(updates, schema), ["k"], "p")
+    return sorted(((r.k, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect()), key=str)
+
+
+def test_merge_keeps_and_moves_rows_of_the_null_partition(spark):
+    target = [(1, "a", None), (2, "a", None), (3, "a", "2024-01")]
+    assert _merge(spark, target, [(1, "b", None)]) == sorted([(1, "b", None), (2, "a", None), (3, "a", "2024-01")], key=str)
+    assert _merge(spark, target, [(1, "b", "2024-01")]) == sorted([(1, "b", "2024-01"), (2, "a", None), (3, "a", "2024-01")], key=str)
+    assert _merge(spark, target[:1] + target[2:], [(1, "b", "2024-01")]) == [(1, "b", "2024-01"), (3, "a", "2024-01")]
+    assert _merge(spark, target, [(3, "b", None)]) == sorted([(1, "a", None), (2, "a", None), (3, "b", None)], key=str)
+
+
+def test_merge_after_a_crash_before_the_drop(spark):
+    target = [(1, "a", "2024-01"), (2, "a", "2024-02")]
+    assert _merge(spark, target, [(1, "b", "2024-02")], crash=True) == [(1, "b", "2024-02"), (2, "a", "2024-02")]
+
+
+def test_unparseable_creation_time_survives_the_incremental_fact(spark):
+    from tallyspark.plans.incremental import run_fct_orders
+    from tallyspark.sources.schemas import raw_entity_schema
+
+    def raw(rows):
+        return spark.createDataFrame([("shop-a", i, None, dt.datetime(2024, 1, d), json.dumps(
+            {"id": i, "created_at": c, "updated_at": u, "financial_status": st, "currency": "USD", "total_price": "1.00"}), 1)
+            for i, c, u, st, d in rows], raw_entity_schema("order"))
+
+    path = fresh_path(spark, "t-null-fact")
+    first = [(1, "n/a", "2024-01-10T00:00:00Z", "paid", 1), (2, "n/a", "2024-01-10T00:00:00Z", "paid", 1),
+             (3, "2024-01-01T00:00:00Z", "2024-01-10T00:00:00Z", "paid", 1)]
+    run_fct_orders(spark, raw(first), path)
+    later = first + [(2, "n/a", "2024-01-20T00:00:00Z", "refunded", 2)]
+    got = {r.order_id: r.financial_status for r in run_fct_orders(spark, raw(later), path).collect()}
+    assert got == {1: "paid", 2: "refunded", 3: "paid"}
+
+
+def test_replaced_source_files_change_the_answer(spark, tmp_path, sf_small):
+    import os
+    import shutil
+    from tallyspark.params import CHECK_PARAMS
+    from tallyspark.plans.build import Models
+    sf = str(tmp_path / "sf")
+    shutil.copytree(sf_small, sf)
+    for d, _, names in os.walk(sf):
+        for n in [d, *(f"{d}/{x}" for x in names)]:
+            os.chmod(n, 0o755)
+    before = Models(spark, sf, CHECK_PARAMS).stg_orders.count()
+    few = spark.read.parquet(f"{sf_small}/orders.parquet").limit(before // 3)
+    few.toPandas().to_parquet(f"{sf}/orders.parquet", coerce_timestamps="us")
+    assert Models(spark, sf, CHECK_PARAMS).stg_orders.count() == before // 3
+
+
 def test_cli_land_batch(spark, tmp_path):
     from tallyspark.__main__ import main
     pages = tmp_path / "pages"
