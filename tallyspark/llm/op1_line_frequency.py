@@ -116,3 +116,43 @@ def judge(docs: DataFrame, min_docs: int = 10, min_share: float = 0.002, least_l
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over every whole text of ``documents``."""
     return judge(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "source"))
+
+
+ORACLE_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+         [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words
+  FROM documents),
+windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS win
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM texts)),
+covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, win) > 1), (SELECT unnest([0, 1, 2]) AS k)
+  GROUP BY r),
+lines AS (
+  SELECT r, source, text, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM (
+    SELECT r, source, text, unnest(string_split(regexp_replace(regexp_replace(lower(text), '[0-9]+', '0', 'g'),
+                                                               '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS line
+    FROM texts)),
+solid AS (SELECT *, len(string_split(line, ' ')) AS n FROM lines WHERE line <> ''),
+hosts AS (SELECT source, count(DISTINCT text) AS n FROM texts GROUP BY 1),
+frequent AS (
+  SELECT s.source, s.line FROM solid s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
+  GROUP BY s.source, s.line, h.n
+  HAVING count(DISTINCT s.text) >= 10 AND count(DISTINCT s.text) >= 0.002 * h.n),
+gone AS (
+  SELECT s.r, sum(s.n) AS n FROM solid s
+  WHERE EXISTS (SELECT 1 FROM frequent f WHERE f.line = s.line AND f.source IS NOT DISTINCT FROM s.source) GROUP BY 1),
+raw AS (
+  SELECT r, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS x FROM texts),
+counted AS (
+  SELECT t.doc_id, t.source AS host, CAST(len(t.words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum([length(w) FOR w IN t.words]), 0) AS BIGINT) AS word_chars,
+    CAST(length(t.text) - length(translate(t.text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(raw.x) - len(list_distinct(raw.x)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(g.n, 0) AS BIGINT) AS n_boilerplate_words
+  FROM texts t JOIN raw USING (r) LEFT JOIN covered c USING (r) LEFT JOIN gone g USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND NOT (n_words - n_boilerplate_words < 0.3 * n_words) AS kept FROM judged
+"""

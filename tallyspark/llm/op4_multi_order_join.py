@@ -283,3 +283,24 @@ def keep_smallest(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over every whole text of ``documents``: four words, 85 %."""
     return near_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, [w FOR w IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') IF w <> ''] AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(words[p:p + 3], ' ') AS s
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 2, 2))) AS p FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+links AS (
+  SELECT a.r AS x, b.r AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r
+  JOIN sizes m ON m.r = a.r JOIN sizes n ON n.r = b.r
+  GROUP BY a.r, b.r, m.n, n.n HAVING 185 * count(*) >= 85 * (m.n + n.n)),
+reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, least(t.doc_id, min(o.doc_id)) AS component_id
+FROM texts t LEFT JOIN sizes s USING (r) LEFT JOIN reach ON reach.x = t.r LEFT JOIN texts o ON o.r = reach.y
+GROUP BY t.r, t.doc_id, s.n
+"""

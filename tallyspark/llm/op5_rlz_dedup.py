@@ -201,3 +201,25 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over every whole text of ``documents``: runs of 13 words."""
     return parse_against_smaller(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", "n_factors")
+
+
+ORACLE_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         [w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> ''] AS words
+  FROM documents),
+windows AS (
+  SELECT r, doc_id, p, array_to_string(words[p:p + 12], ' ') AS win
+  FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - 11)) AS p FROM texts WHERE doc_id IS NOT NULL)),
+known AS (SELECT r, p FROM windows QUALIFY min(doc_id) OVER (PARTITION BY win) < doc_id),
+gone AS (SELECT DISTINCT r, p + k AS i FROM known, (SELECT unnest(range(0, 13)) AS k)),
+said AS (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM said ANTI JOIN gone USING (r, i) GROUP BY r),
+factors AS (SELECT r, count(*) AS n FROM (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS q FROM known) WHERE q IS NULL OR p > q + 13 GROUP BY r)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, CAST(len(t.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256, CAST(coalesce(f.n, 0) AS BIGINT) AS n_factors
+FROM texts t LEFT JOIN kept k USING (r) LEFT JOIN factors f USING (r)
+"""
