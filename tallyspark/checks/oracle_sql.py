@@ -731,6 +731,28 @@ def landing_sql() -> dict[str, str]:
             "SELECT order_id, updated_at, CAST(1 AS BIGINT) AS batch_no FROM api_orders "
             "UNION ALL SELECT order_id, updated_at, CAST(2 AS BIGINT) FROM api_orders WHERE updated_at IS NULL",
             "api_orders"),
+        "source_contract": with_("""
+          SELECT 'shop' AS source_name, 'raw_customers' AS table_name, 'ingested_at' AS loaded_at_field,
+                 count(*) + count(*) FILTER (WHERE c_custkey % 6 = 0) AS row_count,
+                 CAST(NULL AS VARCHAR) AS column_name, CAST(NULL AS BIGINT) AS missing FROM customer
+          UNION ALL SELECT 'shop', 'raw_products', 'ingested_at', count(*), NULL, NULL FROM product_versions
+          UNION ALL SELECT 'shop', 'raw_orders', 'ingested_at', count(*), unnest(['order_id', 'updated_at', 'payload_json']), 0
+                    FROM order_versions
+          UNION ALL SELECT 'analytics', 'events', NULL, n, c, CASE WHEN c = 'items' THEN no_items ELSE 0 END
+                    FROM (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 10 = 0) AS no_items FROM events),
+                         (SELECT unnest(['event_name', 'event_timestamp', 'event_date', 'user_pseudo_id', 'event_params',
+                                         'items']) AS c)""", "order_versions", "product_versions"),
+        # Columns and described columns are the tables' contract.
+        "published_marts": with_("""
+          SELECT 'fct_orders' AS table_name, count(*) AS row_count, CAST(16 AS BIGINT) AS columns,
+                 CAST(4 AS BIGINT) AS described_columns, 'One row per shop order, latest version' AS comment FROM fct_orders
+          UNION ALL SELECT 'fct_order_lines', (SELECT count(*) FROM stg_lines WHERE order_id IS NOT NULL), 18, 4, 'One row per order line'
+          UNION ALL SELECT 'fct_attributed_orders', (SELECT count(*) FROM attribution), 23, 3,
+                           'One row per order with its channel, or unattributed'
+          UNION ALL SELECT 'fct_channel_revenue', (SELECT count(*) FROM channel_revenue), 18, 3, 'Revenue per day, currency and channel'
+          UNION ALL SELECT 'fct_funnel', (SELECT count(*) FROM funnel), 19, 2,
+                           'Sessions per day and channel that reached each step'""",
+                                 "fct_orders", "stg_lines", "attribution", "channel_revenue", "funnel"),
         "landing_second_snapshot": with_(
             "SELECT order_id, updated_at, CAST(1 AS BIGINT) AS batch_no FROM api_orders UNION ALL "
             "SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 THEN o_orderdate + INTERVAL 3 DAY END, CAST(2 AS BIGINT) "
