@@ -37,12 +37,6 @@ def json_value(v, path: str) -> Column:
             .otherwise(F.try_variant_get(v, path, "string")))
 
 
-def json_array(v, path: str) -> Column:
-    """Elements of the JSON array at ``path`` of a VARIANT, as VARIANTs; NULL
-    when the value is missing, null or not an array."""
-    return F.try_variant_get(_c(v), path, "array<variant>")
-
-
 def parse_fields(doc, scalars: Sequence[str], arrays: Sequence[str] = ()) -> Column:
     """Parse ``doc`` once into a struct of top-level fields: ``scalars`` as raw
     text, ``arrays`` as arrays of raw element text (NULL unless an array)."""

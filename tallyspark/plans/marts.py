@@ -11,6 +11,7 @@ from tallyspark.operators.incremental import changed_since
 from tallyspark.params import Params
 from tallyspark.plans.reconcile import ATTRIBUTION_COLUMNS
 
+# The contract's column order.
 FCT_ORDER_COLUMNS = [
     "shop_domain", "order_id", "customer_id", "order_created_at", "order_created_date",
     "order_updated_date", "order_updated_at", "order_number", "order_name", "currency",
@@ -18,6 +19,7 @@ FCT_ORDER_COLUMNS = [
     "transform_batch_no",
 ]
 
+# The contract's column order.
 FCT_LINE_COLUMNS = [
     "shop_domain", "order_id", "order_item_id", "customer_id", "order_created_at",
     "order_updated_at", "financial_status", "fulfillment_status", "currency", "product_id",
@@ -64,6 +66,7 @@ def fct_order_lines(lines_wide: DataFrame, params: Params | None = None, bound=N
         "line_gross_sales", F.lit(params.transform_batch_no).alias("transform_batch_no"))
 
 
+# The contract's column order.
 FCT_ATTRIBUTED_COLUMNS = [
     "order_id", "customer_id", "order_created_at", "order_created_date", "ga4_purchase_date",
     "currency", "financial_status", "subtotal_price", "total_discounts", "total_tax",
@@ -80,6 +83,7 @@ def fct_attributed_orders(order_attribution: DataFrame) -> DataFrame:
     return order_attribution.select(*FCT_ATTRIBUTED_COLUMNS)
 
 
+# The mart's grain and columns.
 CHANNEL_KEYS = ["revenue_date", "currency", "attributed_source", "attributed_medium",
                 "attributed_campaign"]
 CHANNEL_COLUMNS = CHANNEL_KEYS + [
@@ -130,6 +134,7 @@ def fct_channel_revenue(attributed: DataFrame) -> DataFrame:
 
 
 NOT_SET = "(not set)"
+# The mart's grain.
 FUNNEL_KEYS = ["event_date", "source", "medium", "campaign"]
 FUNNEL_COLUMNS = FUNNEL_KEYS + [
     "sessions", "page_view_sessions", "view_item_sessions", "add_to_cart_sessions",

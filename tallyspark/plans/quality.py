@@ -79,6 +79,7 @@ ACCEPTED_VALUES: list[tuple[str, str, list[str], str, str | None]] = [
     ("order_attribution", "attribution_model", ["purchase_session"], E, None),
 ]
 
+# Declared unique combination.
 UNIQUE_COMBINATION: list[tuple[str, list[str], str]] = [("fct_channel_revenue", CHANNEL_KEYS, E)]
 
 
@@ -166,6 +167,7 @@ def dq_funnel_step_over_one(m) -> DataFrame:
     return m.fct_funnel.where(cond).select(*FUNNEL_GRAIN, *steps)
 
 
+# Metrics of the singular tests.
 FUNNEL_METRICS = ["sessions", "page_view_sessions", "view_item_sessions", "add_to_cart_sessions",
                   "checkout_sessions", "ga4_purchase_sessions", "matched_purchase_sessions",
                   "matched_orders", "shopify_revenue"]

@@ -13,6 +13,7 @@ MATCH_STATUSES = ["matched", "missing_transaction_id", "not_set_transaction_id",
 ATTRIBUTION_MODEL = "purchase_session"
 UNATTRIBUTED = "unattributed"
 
+# The contract's column order.
 RECONCILIATION_COLUMNS = [
     "ga4_event_key", "ga4_event_timestamp", "ga4_transaction_id", "ga4_purchase_revenue",
     "ga4_currency", "user_pseudo_id", "session_key", "source", "medium", "campaign",
@@ -63,6 +64,7 @@ def purchase_reconciliation(purchases: DataFrame, stg_orders: DataFrame) -> Data
     )
 
 
+# The contract's column order.
 ATTRIBUTION_COLUMNS = [
     "order_id", "customer_id", "order_created_at", "order_created_date", "currency",
     "financial_status", "subtotal_price", "total_discounts", "total_tax", "total_price",

@@ -20,6 +20,7 @@ from tallyspark.sources.schemas import EVENT_PARAM_KINDS, ITEM_STRING_FIELDS
 # Whitespace stripped by the warehouse TRIM.
 WHITESPACE = " \t\n\r\u000b\u000c"
 
+# The contract's column order.
 ORDER_COLUMNS = [
     "shop_domain", "order_id", "order_name", "order_number", "customer_id", "created_at",
     "processed_at", "updated_at", "cancelled_at", "financial_status", "fulfillment_status",
@@ -31,11 +32,14 @@ ORDER_COLUMNS = [
 def _latest(df: DataFrame, keys, sort_ts) -> DataFrame:
     """Latest version per key: payload timestamp desc nulls last, then
     ``ingested_at`` desc, then a hash of the payload text (deterministic
-    tiebreak for exact ties, D5)."""
+    tiebreak for exact ties, D5). The text itself doesn't follow the hash: it
+    would bring every payload into the exchange, to decide ties of versions
+    whose times and 64-bit hashes are equal and whose texts differ."""
     return dedup_latest(df, keys, [sort_ts.desc_nulls_last(), F.col("ingested_at").desc_nulls_last(),
                                    F.xxhash64("payload_json").desc()])
 
 
+# Fields of the payloads.
 ORDER_FIELDS = ["name", "order_number", "customer_id", "created_at", "processed_at", "updated_at",
                 "cancelled_at", "financial_status", "fulfillment_status", "currency", "subtotal_price",
                 "total_tax", "total_discounts", "total_price"]
@@ -91,6 +95,7 @@ def stg_orders(raw_orders: DataFrame, params: Params | None = None) -> DataFrame
     return stg_orders_parsed(raw_orders, params).select(*ORDER_COLUMNS)
 
 
+# The contract's column order.
 LINE_COLUMNS = [
     "shop_domain", "order_id", "order_created_at", "order_updated_at", "currency", "order_item_id",
     "product_id", "variant_id", "line_title", "sku", "quantity", "unit_price", "line_discount",
@@ -98,6 +103,7 @@ LINE_COLUMNS = [
 ]
 
 
+# Fields of the payloads.
 LINE_FIELDS = ["id", "product_id", "variant_id", "title", "sku", "quantity", "price", "total_discount"]
 
 
@@ -148,6 +154,7 @@ def stg_customers(raw_customers: DataFrame) -> DataFrame:
     return latest.select("shop_domain", "customer_id", "created_at", "ingested_at")
 
 
+# Fields of the payloads.
 PRODUCT_FIELDS = ["id", "created_at", "updated_at", "title", "vendor", "product_type", "status"]
 VARIANT_FIELDS = ["id", "title", "sku", "price", "position"]
 
@@ -229,6 +236,7 @@ def _session_key(user: str = "user_pseudo_id", sid: str = "ga_session_id"):
     return F.concat(F.col(user), F.lit("-"), F.col(sid).cast("string"))
 
 
+# Event names of the funnel.
 FUNNEL_STEPS = ["page_view", "view_item", "add_to_cart", "begin_checkout", "purchase"]
 
 
@@ -254,6 +262,7 @@ def stg_ga_sessions(stg_events: DataFrame) -> DataFrame:
     )
 
 
+# The contract's column order.
 PURCHASE_COLUMNS = ["event_key", "event_date", "event_timestamp", "user_pseudo_id", "session_key",
                     "ga_session_id", "transaction_id", "purchase_revenue", "currency", "source",
                     "medium", "campaign"]

@@ -235,3 +235,34 @@ def test_models_as_sql_views(spark, sf_small):
     total = spark.sql("SELECT sum(total_revenue) AS t FROM t_fct_channel_revenue").first().t
     direct = m.fct_orders.agg({"total_price": "sum"}).first()[0]
     assert abs(total - direct) < 0.01
+
+
+def test_declared_tests_are_all_there():
+    """The declarations counted by hand, apart from the engine's own lists."""
+    from collections import Counter
+
+    from tallyspark.plans import quality as q
+    assert sum(map(len, q.NOT_NULL.values())) == 83
+    assert Counter(s for cols in q.NOT_NULL.values() for _, s in cols).keys() <= {"error", "warn"}
+    assert len(q.UNIQUE) == 11 and [m for m, _, s in q.UNIQUE if s == "warn"] == ["stg_ga_events"]
+    assert [(m, c, len(v), s) for m, c, v, s, _ in q.ACCEPTED_VALUES] == [
+        ("stg_products", "status", 3, "warn"), ("purchase_reconciliation", "match_status", 4, "error"),
+        ("purchase_reconciliation", "match_type", 1, "error"), ("order_attribution", "attribution_model", 1, "error")]
+    assert [(m, len(c), s) for m, c, s in q.UNIQUE_COMBINATION] == [("fct_channel_revenue", 5, "error")]
+    assert len(q.SINGULAR) == 9
+
+
+def test_exact_ties_are_decided_alike_in_any_order(spark):
+    from tallyspark.sources.schemas import raw_entity_schema
+    now = dt.datetime(2024, 1, 1)
+    rows = [("shop-a", 1, None, now, json.dumps(order_payload(1, "2024-01-02T00:00:00Z", note=i)), 1) for i in range(6)]
+    picked = {staging.stg_orders(spark.createDataFrame(rows[::step], raw_entity_schema("order")).repartition(n), Params()).first().payload_json
+              for step in (1, -1) for n in (1, 3, 5)}
+    assert len(picked) == 1
+
+
+def test_reconciliation_scans_the_events_once(spark, sf_small):
+    from tallyspark.params import CHECK_PARAMS
+    from tallyspark.plans.build import Models
+    plan = Models(spark, sf_small, CHECK_PARAMS).purchase_reconciliation._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ga_events") <= 2 and plan.count("FileScan") == 2  # events and orders
