@@ -22,7 +22,7 @@ def test_without_an_article_the_rest_is_taken():
 
 def test_broken_markup():
     for html, want in [("", ""), ("<", "<"), ("<p", ""), ("a < b & c", "a < b & c"), ("</p></div>x", "x"),
-                       ("<script>x", ""), ("<!-- open", ""), ("<p class='x>text", ""), ("<b><p>a</b>b", "ab")]:
+                       ("<script>x", ""), ("<!-- open", ""), ("<p class='x>text", ""), ("<b><p>a</b>b", "a\nb")]:
         assert op.main_text(html) == want, html
     assert op.main_text("<div>" * 20_000 + "deep") == "deep"
 

@@ -36,7 +36,7 @@ def test_a_match_over_many_lanes():
 
 
 def test_more_rules():
-    text = "ghp_" + "a" * 36 + " xoxb-123456789012 sk_live_" + "Z" * 16 + " eyJhbGci.eyJzdWIi.abcdefghijkl -----BEGIN RSA PRIVATE KEY-----"
+    text = "ghp_" + "Z" * 36 + " xoxb-123456789012 sk_live_" + "Z" * 16 + " eyJhbGci.eyJzdWIi.abcdefghijkl -----BEGIN RSA PRIVATE KEY-----"
     assert [s[2] for s in op.find_spans([text.encode()])[0]] == ["github", "slack", "stripe", "jwt", "pem"]
 
 

@@ -1,0 +1,12 @@
+"""Queries with SQL against DuckDB on the smallest data."""
+
+import pytest
+
+from tallyspark.checks.compare import compare, duck
+from tallyspark.llm.registry import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_sql(spark, sf_small, name):
+    r = compare(QUERIES[name](spark, sf_small), duck(sf_small), ORACLES[name])
+    assert r["columns_match"] and r["hash_match"], r
