@@ -266,3 +266,17 @@ def test_reconciliation_scans_the_events_once(spark, sf_small):
     from tallyspark.plans.build import Models
     plan = Models(spark, sf_small, CHECK_PARAMS).purchase_reconciliation._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ga_events") <= 2 and plan.count("FileScan") == 2  # events and orders
+
+
+def test_incremental_orders_are_deduplicated_once(spark, sf_small):
+    """The changed orders are filtered where they stand: one window, one key
+    shuffle and one scan of the raw orders."""
+    from tallyspark.params import CHECK_PARAMS
+    from tallyspark.plans.build import Models
+    m = Models(spark, sf_small, CHECK_PARAMS)
+    bound = F.lit("1998-01-01").cast("timestamp")
+    for df in (marts.fct_orders(m.stg_orders, CHECK_PARAMS, bound=bound),
+               marts.fct_order_lines(m.order_lines_wide, CHECK_PARAMS, bound=bound)):
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        nodes = [line.strip(" +-:*()0123456789").split(" ")[0].split("(")[0] for line in plan.splitlines()]
+        assert nodes.count("Window") == 1 and nodes.count("Exchange") == 1 and nodes.count("FileScan") == 1, nodes
