@@ -162,3 +162,67 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over all of ``documents``."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text", "source")
     return mix(docs)
+
+
+# Every quotient listed and ranked, where the operator ranks only those next to the rounded votes.
+ORACLE_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source,
+         len([w FOR w IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF w <> '']) AS size
+  FROM documents),
+totals AS (SELECT source, sum(size) AS source_size FROM docs GROUP BY 1),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS rank,
+         CAST([3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+         2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS whole
+  FROM totals),
+levels AS (
+  SELECT *, (whole - coalesce(sum(most) OVER (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS height
+  FROM ranked),
+water AS (SELECT height FROM levels WHERE height <= most / weight ORDER BY most / weight, rank LIMIT 1),
+targets AS (
+  SELECT source, source_size, rank, least(most, coalesce((SELECT height FROM water) * weight, most)) AS target,
+         CAST(greatest(1, ceil(source_size / 524288.0)) AS BIGINT) AS shards
+  FROM ranked),
+seats AS (SELECT CAST(floor(sum(target) / 32 + 0.5) AS BIGINT) AS n, count(*) AS parties FROM targets),
+by_source AS (
+  SELECT rank, count(*) AS blocks FROM (
+    SELECT rank, row_number() OVER (ORDER BY target / (2 * s - 1) DESC, rank) AS place
+    FROM (SELECT rank, target, unnest(range(1, CAST(target / 32 AS BIGINT) + (SELECT parties FROM seats) + 3)) AS s
+          FROM targets WHERE target > 0))
+  WHERE place <= (SELECT n FROM seats) GROUP BY 1),
+placed AS (
+  SELECT d.*, t.source_size, t.target, t.rank,
+         ('0x' || substr(md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 8))::BIGINT % t.shards AS shard
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+streamed AS (
+  SELECT *, sum(size) OVER (PARTITION BY rank, shard ORDER BY doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM placed),
+shards AS (
+  SELECT p.rank, p.shard, sum(p.size) AS words, count(*) OVER (PARTITION BY p.rank) AS parties
+  FROM placed p GROUP BY 1, 2),
+quotas AS (
+  SELECT s.rank, s.shard, s.words, least(32 * count(q.s), 2 * s.words) AS wanted
+  FROM shards s LEFT JOIN (
+    SELECT x.*, row_number() OVER (PARTITION BY rank ORDER BY words / (2 * s - 1) DESC, shard) AS place, b.blocks
+    FROM (SELECT *, unnest(range(1, CAST(2 * words / 32 AS BIGINT) + parties + 3)) AS s FROM shards WHERE words > 0) x
+    JOIN by_source b USING (rank)) q ON q.rank = s.rank AND q.shard = s.shard AND q.place <= q.blocks
+  GROUP BY 1, 2, 3),
+blocks AS (
+  SELECT rank, shard, block, least(32, words - 32 * block) AS length, wanted % words AS rest
+  FROM (SELECT *, unnest(range(0, CAST(ceil(words / 32.0) AS BIGINT))) AS block FROM quotas WHERE words > 0)),
+drawn AS (
+  SELECT *, greatest(0, least(length, rest - coalesce(sum(length) OVER (
+    PARTITION BY rank, shard ORDER BY md5('11:' || rank || ':' || shard || ':' || block), block
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS take
+  FROM blocks),
+covered AS (
+  SELECT s.r, sum(greatest(0, least(s.upto, 32 * d.block + d.take) - greatest(s.upto - s.size, 32 * d.block))) AS n
+  FROM streamed s JOIN drawn d ON s.rank = d.rank AND s.shard = d.shard
+    AND 32 * d.block < s.upto AND 32 * d.block + d.take > s.upto - s.size
+  WHERE s.size > 0 GROUP BY 1)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, s.source, CAST(s.source_size AS BIGINT) AS source_size, s.target, s.shard,
+       CAST(CASE WHEN s.size = 0 THEN 0 ELSE (q.wanted // q.words) * s.size + coalesce(c.n, 0) END AS BIGINT) AS taken
+FROM streamed s JOIN quotas q USING (rank, shard) LEFT JOIN covered c USING (r)
+"""

@@ -23,9 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 # The others can't be expressed: markup, a boosted model, fingerprints, spans
-# of an automaton, a seeded selection. Their tests hold them against brute force.
+# of an automaton. Their tests hold them against brute force.
 ORACLES: dict[str, str] = {
     "op1_line_frequency": op1_line_frequency.ORACLE_SQL,
+    "op2_sainte_lague_mix": op2_sainte_lague_mix.ORACLE_SQL,
     "op4_multi_order_join": op4_multi_order_join.ORACLE_SQL,
     "op5_rlz_dedup": op5_rlz_dedup.ORACLE_SQL,
     "op6_prefix_targets": op6_prefix_targets.ORACLE_SQL,
