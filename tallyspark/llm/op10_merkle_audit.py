@@ -24,6 +24,7 @@ are missing; other columns are ignored; an empty table has no archives.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -33,7 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .tables import new_path, table, written
+from tallyspark.session import fresh_path
+
+from .tables import table, written
 
 EOR = "\r\n\r\n"
 LEAVES = "archive long, offset long, length long, digest string"
@@ -69,7 +72,6 @@ _HEAD = re.compile(rb"WARC/1\.0\r\n(?:[^\r\n]+\r\n)*?Content-Length: (\d+)\r\n(?
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import gzip
     for b in batches:
         for archive, content in zip(b.column(0).to_pylist(), b.column(1)):
             data, at, rows = gzip.decompress(content.as_buffer()), 0, []
@@ -170,7 +172,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All of ``pages`` archived; a damaged replica, written as WARC files and
     read back, is audited against it. One row per damaged record."""
     records = records_of(table(spark, sf_dir, "pages"))
-    path = new_path(spark, "warc")
+    path = fresh_path(spark, "llm-warc")
     write_archives(damaged(records), path)
     manifest = written(leaves_of(records, "page_id"), "warc-leaves")
     found = audit(manifest.drop("page_id"), written(read_archives(spark, path), "warc-replica"))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .tables import table, written
+from .tables import map_texts, table, written
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes".split())
@@ -244,7 +244,7 @@ def _collect_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def removable_paths(pages: DataFrame, threshold: float = 0.2, min_pages: int = 8) -> DataFrame:
     """(host, paths): the low-importance style paths of each host's tree, from
     ``pages`` (host, html not null)."""
-    seen = (pages.mapInArrow(_collect_paths, PATHS)
+    seen = (map_texts(pages, _collect_paths, PATHS)
             .groupBy("host", "path", "page").agg(F.min("presentation").alias("presentation"),
                                                  F.min("content").alias("content")))
 
@@ -277,7 +277,7 @@ def extract(pages: DataFrame, threshold: float = 0.2, min_pages: int = 8) -> Dat
                                              names=["page_id", "url", "text"])
 
     schema = StructType(pages.select("page_id", "url").schema.fields + StructType.fromDDL("text string").fields)
-    return whole.join(low, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(texts, schema)
+    return map_texts(whole.join(low, "host", "left").select("page_id", "url", "html", "paths"), texts, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

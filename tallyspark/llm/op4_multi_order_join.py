@@ -50,8 +50,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .components import components
-from .tables import (WordHashes, bucket_count, bucket_of, mix64, planes, from_planes, runs, sequence_hash, slices, table,
-                     utf8_lists, window_hashes, written)
+from .tables import (WordHashes, bucket_count, bucket_of, mix64, planes, from_planes, map_texts, runs, sequence_hash, table,
+                     text_blocks, utf8_lists, window_hashes, written)
 
 BLOCK_BYTES = 8 << 20
 PIECE = 256
@@ -123,24 +123,22 @@ def _read(rows: list[dict]):
 def _deal(k: int, buckets: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = WordHashes(), set()
-        for batch in batches:
-            texts = utf8_lists(batch, "text")
-            for a, b in slices(texts, BLOCK_BYTES):
-                sets, ids = [], []
-                for t in texts[a:b]:
-                    s = shingle_set(t, k, words)
-                    if len(s) and (i := set_id_of(s)) not in seen:
-                        seen.add(i)
-                        sets.append(s)
-                        ids.append(i)
-                if not sets:
-                    continue
-                n = np.array([len(s) for s in sets])
-                x = np.concatenate(sets)
-                rows = list(_rows_by(bucket_of(x << LOW, buckets), np.repeat(np.array(ids, np.int64), n),
-                                     np.repeat(n.astype(np.uint32), n), x, None))
-                for i in range(0, len(rows), 64):
-                    yield _batch(rows[i:i + 64])
+        for _, texts in text_blocks(batches, BLOCK_BYTES):
+            sets, ids = [], []
+            for t in texts:
+                s = shingle_set(t, k, words)
+                if len(s) and (i := set_id_of(s)) not in seen:
+                    seen.add(i)
+                    sets.append(s)
+                    ids.append(i)
+            if not sets:
+                continue
+            n = np.array([len(s) for s in sets])
+            x = np.concatenate(sets)
+            rows = list(_rows_by(bucket_of(x << LOW, buckets), np.repeat(np.array(ids, np.int64), n),
+                                 np.repeat(n.astype(np.uint32), n), x, None))
+            for i in range(0, len(rows), 64):
+                yield _batch(rows[i:i + 64])
     return deal
 
 
@@ -221,10 +219,10 @@ def _pair(a, b) -> list:
 def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = written(docs.mapInArrow(_sign(k), SIGNED), "shingle-sets")
+    signed = written(map_texts(docs, _sign(k), SIGNED), "shingle-sets")
     buckets = bucket_count(docs)
     classes = written(
-        docs.mapInArrow(_deal(k, buckets), BLOBS).groupBy("bucket").applyInArrow(_share(buckets), BLOBS)
+        map_texts(docs, _deal(k, buckets), BLOBS).groupBy("bucket").applyInArrow(_share(buckets), BLOBS)
         .groupBy("bucket").applyInArrow(_order(percent), CLASSES), "shingle-classes")
 
     lists = classes.select("set_id", "n", "alone", F.explode(F.arrays_zip("first", "codes")).alias("p"), "first").select(

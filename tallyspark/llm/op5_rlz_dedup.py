@@ -15,7 +15,7 @@ duplicates already, so a passage in a third of all documents is sent once per
 block), and deals them into buckets as byte blobs; (2) each bucket finds the
 smallest id per run and sends the places of the others to their documents'
 group; (3) groups of documents and places are brought together and parsed. A
-bucket holds about 4 million runs and a group 16 MB of text, whatever the size of
+bucket holds about 2 million runs and a group 12 MB of text, whatever the size of
 the corpus; hashes have 64 bits.
 
 Defined cases: a null text is empty; a null id is nobody's reference and is
@@ -37,11 +37,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import (WordHashes, bucket_count, bucket_of, from_planes, mix64, planes, runs, slices, table, utf8_lists,
-                     window_hashes)
+from .tables import (WordHashes, bucket_count, bucket_of, from_planes, map_texts, mix64, planes, runs, table, text_blocks,
+                     utf8_lists, window_hashes)
 
-BLOCK_BYTES = 8 << 20
-GROUP_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 BLOBS = "bucket int, owners binary, tags binary, counts binary, places binary, hashes binary"
 _FIELDS = ["bucket", "owners", "tags", "counts", "places", "hashes"]
 _SCHEMA = pa.schema([("bucket", pa.int32()), *((f, pa.binary()) for f in _FIELDS[1:])])
@@ -89,29 +88,27 @@ def _batch(rows) -> pa.RecordBatch:
 def _index_blocks(k: int, buckets: int, groups: int):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), utf8_lists(batch, "text")
-            for a, b in slices(texts, BLOCK_BYTES):
-                hs = [window_hashes(words.of(t.split()), k) if i is not None else np.empty(0, np.uint64)
-                      for i, t in zip(ids[a:b], texts[a:b])]
-                sizes = np.array([len(h) for h in hs])
-                if not sizes.sum():
-                    continue
-                h = np.concatenate(hs)
-                owner = np.repeat(np.array([i or 0 for i in ids[a:b]], np.int64), sizes)
-                tag = np.repeat(np.array([_tag(t) for t in texts[a:b]], np.uint32), sizes)
-                place = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.uint32)
-                # Of equal runs in this block, those of the smallest document go on.
-                order = np.argsort(h)
-                cut = runs(h[order])
-                least = np.minimum.reduceat(owner[order], cut)
-                known = np.empty(len(h), bool)
-                known[order] = owner[order] > np.repeat(least, np.diff(np.append(cut, len(h))))
-                new = ~known
-                rows = list(_deal(bucket_of(h[new], buckets), owner[new], tag[new], place[new], h[new], 0))
-                rows += _deal(_group_of(owner[known], groups), owner[known], tag[known], place[known], None, buckets)
-                for i in range(0, len(rows), 64):
-                    yield _batch(rows[i:i + 64])
+        for ids, texts in text_blocks(batches, BLOCK_BYTES):
+            hs = [window_hashes(words.of(t.split()), k) if i is not None else np.empty(0, np.uint64)
+                  for i, t in zip(ids, texts)]
+            sizes = np.array([len(h) for h in hs])
+            if not sizes.sum():
+                continue
+            h = np.concatenate(hs)
+            owner = np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)
+            tag = np.repeat(np.array([_tag(t) for t in texts], np.uint32), sizes)
+            place = (np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.uint32)
+            # Of equal runs in this block, those of the smallest document go on.
+            order = np.argsort(h)
+            cut = runs(h[order])
+            least = np.minimum.reduceat(owner[order], cut)
+            known = np.empty(len(h), bool)
+            known[order] = owner[order] > np.repeat(least, np.diff(np.append(cut, len(h))))
+            new = ~known
+            rows = list(_deal(bucket_of(h[new], buckets), owner[new], tag[new], place[new], h[new], 0))
+            rows += _deal(_group_of(owner[known], groups), owner[known], tag[known], place[known], None, buckets)
+            for i in range(0, len(rows), 64):
+                yield _batch(rows[i:i + 64])
     return index
 
 
@@ -189,10 +186,10 @@ def parse_against_smaller(docs: DataFrame, k: int = 13) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = bucket_count(docs)
     groups = max(buckets, 1)
-    known = (docs.mapInArrow(_index_blocks(k, buckets, groups), BLOBS)
+    known = (map_texts(docs, _index_blocks(k, buckets, groups), BLOBS)
              .groupBy("bucket").applyInArrow(_find_known(buckets, groups), BLOBS)
              .withColumn("bucket", F.col("bucket") - buckets))
-    packed = docs.mapInArrow(_pack(groups), "bucket int, doc_id long, packed binary")
+    packed = map_texts(docs, _pack(groups), "bucket int, doc_id long, packed binary")
     return (packed.groupBy("bucket").cogroup(known.groupBy("bucket"))
             .applyInArrow(_parse(k), PARSED))
 

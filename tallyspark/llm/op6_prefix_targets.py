@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import map_texts, table
 
 START, END = "<|im_start|>", "<|im_end|>"
 FLUSH_CHARS = 4 << 20
@@ -114,8 +114,8 @@ def prefix_targets(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long"), F.col("turn").cast("long"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return (turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-            .mapInArrow(_expand, EXAMPLES))
+    return map_texts(turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"),
+                     _expand, EXAMPLES)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +148,7 @@ def read_back(examples: DataFrame) -> DataFrame:
     """Digest per conversation of what :func:`prefix_targets` wrote: the turns
     are parsed from its last (longest) example, the loss text is cut out of
     every example by its mask and unescaped."""
-    return examples.mapInArrow(_digest, DIGEST)
+    return map_texts(examples, _digest, DIGEST)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table, utf8_lists, written
+from .tables import map_texts, table, utf8_lists, written
 
 FEATURES = ("log_words", "mean_word", "long_words", "symbols", "marked_words", "upper", "digits", "punctuation",
             "non_ascii", "distinct", "top_word", "echo", "repeated_trigrams", "line_words", "repeated_lines",
@@ -84,7 +84,7 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def featurise(docs: DataFrame) -> DataFrame:
     """(doc_id, x): the features of every row's whole text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_featurise, FEATURE_ROWS)
+    return map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _featurise, FEATURE_ROWS)
 
 
 # ------------------------------------------------------------------------- model
@@ -253,7 +253,7 @@ def keep_good(docs: DataFrame, model: Gam, threshold: float = 0.3) -> DataFrame:
             x = np.array([features_of(t) for t in utf8_lists(b, "text")], np.float32).astype(np.float64)
             good = model.score(x.reshape(-1, len(FEATURES))) >= threshold
             yield b.filter(pa.array(good, pa.bool_()))
-    return docs.mapInArrow(keep, docs.schema)
+    return map_texts(docs, keep, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import WordHashes, mix64, sequence_hash, table, utf8_lists, window_hashes
+from .tables import WordHashes, map_texts, mix64, sequence_hash, table, utf8_lists, window_hashes
 
 WORDS, BITS, BLOCKS = 5, 128, 16
 MATCHES = ("doc_id long, item_id long, similarity double, start_word long, n_words long, n_windows long")
@@ -207,7 +207,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
     similarity`` (of the best window), ``start_word`` (in normalised words),
     ``n_words`` (the item's), ``n_windows`` (at or above the similarity)."""
     return reduce(DataFrame.unionAll, [
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_matcher(index), MATCHES)
+        map_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), _matcher(index), MATCHES)
         for index in _indexes(benchmark, similarity, radius, block_items)])
 
 
@@ -249,7 +249,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float =
         return keep
 
     for index in _indexes(benchmark, similarity, radius, block_items):
-        docs = docs.mapInArrow(keeper(index), docs.schema)
+        docs = map_texts(docs, keeper(index), docs.schema)
     return docs
 
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .tables import slices, table, utf8_lists
+from .tables import map_texts, slices, table, utf8_lists
 
 # ------------------------------------------------------------------ regex trees
 
@@ -397,19 +397,18 @@ def scan_secrets(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
             spans = pa.array([[{"start": s, "end": e, "kind": k} for s, e, k in x] for x in found], pa.list_(SPAN))
             yield pa.RecordBatch.from_arrays([*b.columns, spans], names=[*b.schema.names, "secret_spans"])
 
-    return docs.mapInArrow(scan, schema)
+    return map_texts(docs, scan, schema)
 
 
-def _mask(text: str | None, spans: list[dict]) -> str | None:
+def _mask(text: str | None, spans: list[tuple[int, int, str]]) -> str | None:
     if not spans:
         return text
     parts, at = [], 0
-    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-        if s["end"] <= at:
+    for start, end, kind in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if end <= at:
             continue
-        start = max(s["start"], at)
-        parts += [text[at:start], f"[{s['kind']}]" if start == s["start"] else ""]
-        at = s["end"]
+        parts += [text[at:max(at, start)], f"[{kind}]" if start >= at else ""]
+        at = end
     return "".join([*parts, text[at:]])
 
 
@@ -419,14 +418,13 @@ def mask_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             i = b.schema.get_field_index("text")
-            texts = b.column(i).to_pylist()
-            new = [_mask(t, s) for t, s in zip(texts, b.column(b.schema.get_field_index("secret_spans")).to_pylist())]
-            columns = [c for c, n in zip(b.columns, b.schema.names) if n != "secret_spans"]
-            names = [n for n in b.schema.names if n != "secret_spans"]
+            found = find_spans(utf8_lists(b, "text"), rules)
+            new = [_mask(t, s) for t, s in zip(b.column(i).to_pylist(), found)]
+            columns = list(b.columns)
             columns[i] = pa.array(new, b.column(i).type)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    out = scan_secrets(docs, rules=rules).mapInArrow(mask, docs.schema)
+    out = map_texts(docs, mask, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out

@@ -3,16 +3,13 @@ and word hashing inside tasks."""
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.session import shared_dir
+from tallyspark.session import fresh_path
 
 # Words of every contract: maximal runs of anything but these six bytes.
 SPACES = " \t\n\x0b\f\r"
@@ -23,38 +20,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_made: dict[str, list[str]] = {}
-
-
-def _remove(spark: SparkSession, paths: list[str]) -> None:
-    try:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for p in paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
-    except Exception:  # the session has ended: nothing can be deleted through it
-        pass
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one, removed when the driver ends."""
-    app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/llm-{app}/{name}-{uuid.uuid4().hex[:12]}"
-    if app not in _made:
-        _made[app] = []
-        atexit.register(_remove, spark, _made[app])
-    _made[app].append(path)
-    return path
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts
     the lineage, gives the planner real sizes, and survives a lost executor."""
-    path = new_path(df.sparkSession, name)
+    path = fresh_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH = 1000
+
+
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` in small record batches: a row holds a whole text, so
+    Spark's 10,000 rows a batch cost each Python worker and its executor some
+    hundred MB. The session's limit is lowered, never raised."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ROWS_PER_BATCH:
+        conf.set(key, str(ROWS_PER_BATCH))
+    return df.mapInArrow(function, schema)
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of a text, as a native expression (null: empty)."""
     t = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
@@ -70,7 +56,7 @@ def n_words_of(text: Column) -> Column:
 class WordHashes(dict):
     """64-bit hash per word, remembered for up to ``limit`` distinct words."""
 
-    def __init__(self, clean=None, limit: int = 1 << 19):
+    def __init__(self, clean=None, limit: int = 1 << 18):
         super().__init__()
         self.clean, self.limit = clean, limit
 
@@ -132,9 +118,25 @@ def slices(texts: list[bytes], limit: int):
         yield start, len(texts)
 
 
+def text_blocks(batches, limit: int):
+    """(ids, texts) of the batches' rows (doc_id, text), regrouped to blocks of
+    about ``limit`` bytes of text."""
+    ids, texts, size = [], [], 0
+    for b in batches:
+        for i, t in zip(b.column(0).to_pylist(), utf8_lists(b, "text")):
+            ids.append(i)
+            texts.append(t)
+            size += len(t)
+            if size >= limit:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if texts:
+        yield ids, texts
+
+
 # ------------------------------------------- occurrences, dealt out in blobs
 
-def bucket_count(docs: DataFrame, per_bucket: int = 4_000_000) -> int:
+def bucket_count(docs: DataFrame, per_bucket: int = 2_000_000) -> int:
     """Buckets for the occurrences of the texts' words: about ``per_bucket``
     words each by the size of the texts, and no fewer than the session's
     shuffle partitions."""
