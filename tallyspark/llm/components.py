@@ -1,6 +1,7 @@
 """Connected components by alternating large and small stars, with written
-rounds: joins and partial minima only, so that no node's neighbours, however
-many, meet in one task."""
+rounds: joins and partial minima only. The minima are written before they are
+joined, so both sides of a join have shuffles of their own and adaptive
+execution can split the one that holds a node with very many neighbours."""
 
 from __future__ import annotations
 
@@ -23,11 +24,11 @@ def components(edges: DataFrame) -> DataFrame:
     while state != before and state[0]:
         # Large star: the larger neighbours of a node go to the smallest of all.
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         # Small star: a node and its smaller neighbours go to the smallest of those.
         large = written(large.distinct(), "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionAll(least.select("a", F.col("m").alias("b"))).filter("a <> b"))
         now = written(small.distinct(), "edges")

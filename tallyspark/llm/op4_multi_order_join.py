@@ -248,7 +248,8 @@ def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     # Second round: what may still connect two components.
     placed = written(lists.drop("code").join(known.withColumnRenamed("node", "set_id"), "set_id", "left")
                      .withColumn("root", F.coalesce("root", "set_id")), "lists")
-    open_ = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("shingle")
+    open_ = written(placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+                    .select("shingle"), "open-lists")
     still = placed.join(open_, "shingle", "left_semi")
     x, y = still.alias("x"), still.alias("y")
     least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
@@ -261,10 +262,10 @@ def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     roots = components(links.unionAll(more))
 
     # The smallest document of each class, then of each component.
-    least_doc = (signed.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-                 .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
-                 .withColumn("root", F.coalesce("root", "set_id")))
-    of_root = least_doc.groupBy("root").agg(F.min("least").alias("component_id"))
+    least_doc = written(signed.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
+                        .join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
+                        .withColumn("root", F.coalesce("root", "set_id")), "set-roots")
+    of_root = written(least_doc.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     of_set = written(least_doc.join(of_root, "root").select(F.col("set_id").alias("_set"), "component_id"), "set-components")
     return (signed.join(of_set, F.col("set_id") == F.col("_set"), "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
