@@ -43,8 +43,9 @@ LEAVES = "archive long, offset long, length long, digest string"
 
 
 def records_of(pages: DataFrame, pages_per_archive: int = 1024) -> DataFrame:
-    """``archive, page_id, offset, length, record`` (without its closing
-    EOR, which ``length`` counts)."""
+    """``archive, page_id, offset, length, digest, record`` (without its
+    closing EOR, which ``length`` counts). The digest is taken before the
+    offsets, so that leaves need no record in their shuffle."""
     html, url = F.coalesce("html", F.lit("")), F.coalesce("url", F.lit(""))
     lost = -1 - F.pmod(F.xxhash64(url, html), F.lit(4096))
     record = F.concat(
@@ -55,10 +56,11 @@ def records_of(pages: DataFrame, pages_per_archive: int = 1024) -> DataFrame:
     rows = pages.select(
         F.coalesce(F.floor(F.col("page_id") / pages_per_archive), lost).cast("long").alias("archive"),
         F.col("page_id").cast("long").alias("page_id"), record.alias("record"))
-    rows = rows.withColumn("length", (F.octet_length("record") + len(EOR)).cast("long"))
-    before = W.partitionBy("archive").orderBy("page_id", "record").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.select("archive", "page_id", (F.octet_length("record") + len(EOR)).cast("long").alias("length"),
+                       F.sha2(F.col("record").cast("binary"), 256).alias("digest"), "record")
+    before = W.partitionBy("archive").orderBy("page_id", "digest").rowsBetween(W.unboundedPreceding, -1)
     return rows.select("archive", "page_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"),
-                       "length", "record")
+                       "length", "digest", "record")
 
 
 def write_archives(records: DataFrame, path: str) -> None:
@@ -98,8 +100,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves_of(records: DataFrame, *more: str) -> DataFrame:
-    return records.select("archive", "offset", "length", F.sha2(F.col("record").cast("binary"), 256).alias("digest"),
-                          *more)
+    return records.select("archive", "offset", "length", "digest", *more)
 
 
 def tree_of(leaves: DataFrame, levels: int, range_bytes: int = 16 << 10, fanout: int = 16) -> DataFrame:
