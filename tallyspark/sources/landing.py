@@ -61,12 +61,13 @@ def unwrap_pages(pages: DataFrame) -> DataFrame:
     """One row per record (raw JSON text), from the first key's array. A
     page that can't be read, or whose first value is no array, is an error:
     its records must not vanish. Blank lines are no pages."""
-    first = F.get(F.map_values(F.from_json("value", "map<string,string>")), 0)
-    records = F.from_json(first, "array<string>")
     said = F.concat(F.lit("unreadable page: "), F.substring("value", 1, 200))
-    return (pages.where(F.trim(F.translate("value", "\t\r\n", "   ")) != "")
-            .select(F.explode(F.when(records.isNull() | ~F.ltrim(first).startswith("["), F.raise_error(said))
-                              .otherwise(records)).alias("payload_json")))
+    # Each parse is a column of its own: it is read more than once below.
+    parsed = (pages.where(F.trim(F.translate("value", "\t\r\n", "   ")) != "")
+              .select("value", F.get(F.map_values(F.from_json("value", "map<string,string>")), 0).alias("_first"))
+              .select("value", "_first", F.from_json("_first", "array<string>").alias("_records")))
+    unreadable = F.col("_records").isNull() | ~F.ltrim(F.substring("_first", 1, 100)).startswith("[")
+    return parsed.select(F.explode(F.when(unreadable, F.raise_error(said)).otherwise(F.col("_records"))).alias("payload_json"))
 
 
 def raw_rows(records: DataFrame, entity: str, shop_domain: str, batch_no: int,
