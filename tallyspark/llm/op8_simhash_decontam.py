@@ -4,7 +4,8 @@ Texts and items become words (lower-cased, letters and digits only) and
 shingles of five words; an item of fewer words is one shingle, the whole
 sequence. A shingle weighs 1 + ln(items / items that hold it).
 
-For every item the window of its length slides over the whole document:
+For every item the window of its length slides over the whole document; a
+document shorter than the item is one window:
 
 1. A document is looked at closer for an item only if it holds shingles worth
    ``similarity`` of the item's weight; any matching window has them, so
@@ -153,10 +154,8 @@ class Items:
                 plausible[self.lengths[i]].add(i)
         out = []
         for length, items in plausible.items():
-            m = length - size + 1  # shingles of a window
+            m = min(length - size + 1, len(sh))  # shingles of a window, the whole of a shorter document
             n = len(sh) - m + 1
-            if n <= 0:
-                continue
             # Windows that hold a hit, as runs of starts.
             mark = np.zeros(n + 1, np.int32)
             np.add.at(mark, np.clip(at - m + 1, 0, n), 1)

@@ -79,6 +79,40 @@ def test_edited_passages(spark):
     assert {k for k, v in want.items() if v > 0.999} <= blocks.keys()
 
 
+def brute_shorter(docs, items, similarity=0.8):
+    """brute() and, for documents shorter than an item, their whole text as the one window."""
+    out = brute(docs, items, similarity)
+    short = [(d, t, i, x) for d, t in docs for i, x in items if min(5, len(words(x))) <= len(words(t)) < len(words(x))]
+    held = [Counter(shingles(words(x), min(5, len(words(x))))) for _, x in items if words(x)]
+    df = Counter(s for c in held for s in c)
+    for d, t, i, x in short:
+        size = min(5, len(words(x)))
+        a, b = Counter(shingles(words(t), size)), Counter(shingles(words(x), size))
+        weight = {s: 1 + math.log(len(held) / df.get(s, 1)) for s in a.keys() | b.keys()}
+        v = sum(w * min(a[s], b[s]) for s, w in weight.items()) / sum(w * max(a[s], b[s]) for s, w in weight.items())
+        if v >= similarity:
+            out[d, i] = max(v, out.get((d, i), 0))
+    return out
+
+
+def test_documents_shorter_than_the_item(spark):
+    rnd = random.Random(5)
+    items = [(i, " ".join(f"w{rnd.randrange(50)}" for _ in range(n))) for i, n in enumerate([39, 39, 20, 8, 6, 5, 60])]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        for k in (0, 1, 2, 3, 6):
+            docs += [(len(docs), " ".join(w[k:])), (len(docs) + 1, " ".join(w[:len(w) - k]))]
+        docs += [(len(docs), " ".join(w[1:-1])), (len(docs) + 1, " ".join(w[:9] + w[10:])), (len(docs) + 2, "w1")]
+    a = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_shorter(docs, items)
+    assert len(want) > len(brute(docs, items)) and want[2, 0] >= 0.8  # item 0 less its first word
+    same(ours(a, b), want)
+    gone = {d for d, _ in want}
+    assert {r.doc_id for r in op.drop_contaminated(a, b).collect()} == {d for d, _ in docs} - gone
+
+
 def test_multi_index_returns_all_within_the_radius():
     import numpy as np
     rnd = np.random.default_rng(3)
