@@ -2,7 +2,8 @@
 
 Texts and items become words (lower-cased, letters and digits only) and
 shingles of five words; an item of fewer words is one shingle, the whole
-sequence. A shingle weighs 1 + ln(items / items that hold it).
+sequence. A shingle weighs 1 + ln(items / items that hold it), counted over
+the whole benchmark; one that no item holds weighs as one of a single item.
 
 For every item the window of its length slides over the whole document; a
 document shorter than the item is one window:
@@ -24,7 +25,10 @@ default radius of 40 is five standard deviations off.
 
 The benchmark is a stated query set: it is collected in blocks of at most
 ``block_items`` items and each block is one map over the documents, without a
-shuffle. The documents are never collected.
+shuffle. Of several blocks, the shingles of two items or more are counted with
+Spark first and collected too (16 bytes each), since a window in one block's
+scan can hold another block's shingles: results don't depend on the blocks.
+The documents are never collected.
 
 Defined cases: null texts are empty and match nothing; null ids are kept;
 items without words match nothing; repeated items and documents are reported
@@ -76,18 +80,24 @@ def _near_bytes(distance: int) -> np.ndarray:
     return pop[v[:, None] ^ v[None, :]] <= distance
 
 
+def _item_shingles(words: np.ndarray) -> np.ndarray:
+    return window_hashes(words, WORDS) if len(words) >= WORDS else sequence_hash(words)
+
+
 class Items:
-    """The index over one block of benchmark items."""
+    """The index over one block of benchmark items. ``common`` is (items,
+    shingles of two items or more, items that hold them) over all blocks;
+    without it the block is the whole benchmark."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], similarity: float, radius: int):
+    def __init__(self, items: list[tuple[int | None, str | None]], similarity: float, radius: int,
+                 common: tuple[int, np.ndarray, np.ndarray] | None = None):
         self.similarity, self.radius = similarity, radius
         hashes = WordHashes(clean_word)
         kept = []
         for item_id, text in items:
             h = _words((text or "").encode(), hashes)
             if len(h):
-                sh = window_hashes(h, WORDS) if len(h) >= WORDS else sequence_hash(h)
-                kept.append((item_id, len(h), sh))
+                kept.append((item_id, len(h), _item_shingles(h)))
         self.ids = [k[0] for k in kept]
         self.lengths = [k[1] for k in kept]
         self.counts = [Counter(k[2].tolist()) for k in kept]
@@ -95,12 +105,16 @@ class Items:
         for i, c in enumerate(self.counts):
             for s in c:
                 holders[s].append(i)
-        n = max(1, len(kept))
         self.holders = dict(holders)
-        self.weight = {s: 1 + math.log(n / len(x)) for s, x in holders.items()}
+        self.shingles = np.array(sorted(holders), np.uint64)
+        if common is None:
+            times = np.array([len(holders[s]) for s in self.shingles.tolist()], np.int64)
+            common = len(kept), self.shingles[times > 1], times[times > 1]
+        n = max(1, common[0])
+        self.common, self.common_weight = common[1], 1 + np.log(n / common[2])
         self.default = 1 + math.log(n)
+        self.weight = dict(zip(self.shingles.tolist(), self.weights(self.shingles).tolist()))
         self.total = [sum(self.weight[s] * m for s, m in c.items()) for c in self.counts]
-        self.shingles = np.array(sorted(holders), np.uint64)
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.shingles >> np.uint64(44)] = True
         self.short = sorted({x for x in self.lengths if x < WORDS})
@@ -120,6 +134,14 @@ class Items:
             tables = np.stack([near[:, prints[:, b]] for b in range(BLOCKS)])  # block, value, item
             self.groups[x] = (np.array(members), prints, tables)
 
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        out = np.full(len(shingles), self.default)
+        if len(self.common):
+            k = np.minimum(np.searchsorted(self.common, shingles), len(self.common) - 1)
+            held = self.common[k] == shingles
+            out[held] = self.common_weight[k[held]]
+        return out
+
     def hits(self, shingles: np.ndarray) -> np.ndarray:
         """Positions of the shingles that some item holds."""
         at = np.flatnonzero(self.maybe[shingles >> np.uint64(44)])
@@ -171,7 +193,8 @@ class Items:
     def _windows(self, sh, starts, m, length, items, best) -> None:
         lo = int(starts[0])
         part = sh[lo:int(starts[-1]) + m]
-        w = np.array([self.weight.get(s, self.default) for s in part.tolist()], np.float32)
+        weights = self.weights(part)
+        w = weights.astype(np.float32)
         sums = np.zeros((len(part) + 1, BITS), np.float64)
         np.cumsum(_signs(part) * w[:, None], axis=0, out=sums[1:])
         prints = np.packbits(sums[starts - lo + m] - sums[starts - lo] > 1e-3, axis=1)
@@ -184,16 +207,17 @@ class Items:
             if i not in items or np.unpackbits(prints[k] ^ own[j]).sum() > self.radius:
                 continue
             s = int(starts[k])
-            value = self._similarity(Counter(sh[s:s + m].tolist()), i)
+            window = sh[s:s + m].tolist()
+            value = self._similarity(Counter(window), dict(zip(window, weights[s - lo:s - lo + m].tolist())), i)
             if value >= self.similarity:
                 old = best.get(i, (-1.0, 0, 0))
                 best[i] = (value, s, old[2] + 1) if value > old[0] else (old[0], old[1], old[2] + 1)
 
-    def _similarity(self, window: Counter, i: int) -> float:
+    def _similarity(self, window: Counter, weight: dict[int, float], i: int) -> float:
         item = self.counts[i]
         shared = union = 0.0
         for s in window.keys() | item.keys():
-            w = self.weight.get(s, self.default)
+            w = weight[s] if s in weight else self.weight[s]
             a, b = window[s], item[s]
             shared += w * min(a, b)
             union += w * max(a, b)
@@ -213,10 +237,33 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, similarity: float
 def _indexes(benchmark: DataFrame, similarity: float, radius: int, block_items: int) -> Iterator[Items]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     blocks = max(1, -(-items.count() // block_items))
+    common = _common(items) if blocks > 1 else None
     for k in range(blocks):
         own = items if blocks == 1 else items.filter(
             F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        yield Items([tuple(r) for r in own.collect()], similarity, radius)
+        yield Items([tuple(r) for r in own.collect()], similarity, radius, common)
+
+
+def _common(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Items with words, and the ascending shingles that two of them or more
+    hold, with how many do."""
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(clean_word)
+        for b in batches:
+            parts = [w for t in utf8_lists(b, "text") if len(w := _words(t, hashes))]
+            if parts:
+                held = np.concatenate([np.unique(_item_shingles(w)) for w in parts])
+                # A null per item counts the items.
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.nulls(len(parts), pa.int64()), pa.array(held.view(np.int64))])], names=["shingle"])
+
+    counted = (map_texts(items, shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+               .filter("n > 1 or shingle is null").toArrow())
+    n = counted.column("n").to_numpy()
+    of_items = counted.column("shingle").is_null().to_numpy()
+    keys = counted.column("shingle").fill_null(0).to_numpy()[~of_items].astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return int(n[of_items].sum()), keys[order], n[~of_items][order]
 
 
 def _matcher(index: Items):

@@ -113,6 +113,30 @@ def test_documents_shorter_than_the_item(spark):
     assert {r.doc_id for r in op.drop_contaminated(a, b).collect()} == {d for d, _ in docs} - gone
 
 
+def test_results_do_not_depend_on_the_blocks(spark):
+    """Passages shared by items of different blocks, in the items and in the edits of the documents."""
+    rnd = random.Random(8)
+    shared = [[f"s{k}x{j}" for j in range(9)] for k in range(4)]
+    items = [(i, " ".join([f"i{i}x{j}" for j in range(rnd.choice([60, 70]))] + shared[i % 4])) for i in range(36)]
+    items += [(100, None), (101, " . "), (102, "s0x0 s0x1 s0x2"), (103, items[0][1])]
+    docs = []
+    for d in range(72):
+        w = items[d % 36][1].split()
+        at = rnd.randrange(50)
+        if d % 3:
+            w[at:at + d % 8] = rnd.choice(shared)[:d % 8]
+        docs.append((d, " ".join(w if d % 5 else shared[d % 4] + w + shared[1])))
+    a = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    one = {(r.doc_id, r.item_id): r for r in op.find_contamination(a, b).collect()}
+    assert any(r.similarity < 0.95 for r in one.values())
+    for block_items in (7, 20):
+        blocks = {(r.doc_id, r.item_id): r for r in op.find_contamination(a, b, block_items=block_items).collect()}
+        same({k: r.similarity for k, r in blocks.items()}, {k: r.similarity for k, r in one.items()})
+        assert all((r.start_word, r.n_windows) == (one[k].start_word, one[k].n_windows) for k, r in blocks.items())
+    same({k: r.similarity for k, r in one.items()}, brute_shorter(docs, items))
+
+
 def test_multi_index_returns_all_within_the_radius():
     import numpy as np
     rnd = np.random.default_rng(3)
