@@ -18,15 +18,20 @@ document's set size and the smallest id that links reach.
    order's prefix (with the length and position bounds), and must also share
    prefix shingles under the second and the third, before the sets are
    intersected.
-3. Links are needed only up to connection, so candidates come in two rounds.
+3. For components links are needed only up to connection, so candidates come
+   in two rounds.
    First every list of a prefix shingle is cut into pieces of about 256
    classes by its frequency, and a class meets the piece's first (least
    unshared shingles) and its neighbour. After the components of those links,
    lists that hold several components are joined with themselves across
    components only. Every pair that could link two components is verified;
    pairs inside one needn't be.
+4. :func:`near_links` is the whole join: every pair of classes that link, and
+   the number of links of each row. There the pieces of a list meet all its
+   other pieces, a pair of pieces being one key of an equi-join, and all
+   candidates within the bounds are verified. Its cost grows with the links.
 
-No list is emitted as all its pairs, copies and near copies cost a few
+For components no list is emitted as all its pairs, copies and near copies cost a few
 candidates each, and joins on hot shingles are plain equi-joins that adaptive
 execution splits.
 
@@ -216,8 +221,9 @@ def _pair(a, b) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+def _prepared(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their classes, the classes that may link, and the lists
+    of their prefix shingles."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(map_texts(docs, _sign(k), SIGNED), "shingle-sets")
     buckets = bucket_count(docs)
@@ -228,12 +234,64 @@ def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
     lists = classes.select("set_id", "n", "alone", F.explode(F.arrays_zip("first", "codes")).alias("p"), "first").select(
         "set_id", "n", "alone", F.col("p.first").alias("shingle"), F.col("p.codes").alias("code"),
         (F.col("alone") + F.array_position("first", F.col("p.first")) - 1).alias("place"))
+    return signed, classes, lists
 
-    # First round: pieces of the lists.
+
+def _in_pieces(lists: DataFrame) -> DataFrame:
+    """The lists, each cut into pieces of about PIECE classes by its frequency."""
     pieces = F.ceil(F.pow(F.lit(2.0), (F.col("code") + 1) / 8) / PIECE).cast("long")
+    return lists.withColumn("pieces", pieces).withColumn("piece", F.pmod(F.xxhash64("set_id"), F.col("pieces")))
+
+
+def _may_link(percent: int):
+    """Length and position bounds of the list rows ``x`` and ``y``."""
+    least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    return ((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+            & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
+            & (F.least(F.col("x.n") - F.col("x.alone"), F.col("y.n") - F.col("y.alone")) >= least))
+
+
+def _class_links(classes: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a < b) of classes that link. Each piece of a list meets
+    itself and every other piece of the list under a key of their own."""
+    cut = written(_in_pieces(lists).select("set_id", "n", "alone", "shingle", "place", "pieces", "piece"), "pieces")
+    met = (cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+           .withColumn("low", F.least("piece", "other")).withColumn("high", F.greatest("piece", "other")))
+    x, y = met.filter("piece = low").alias("x"), met.filter("piece = high").alias("y")
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.low") == F.col("y.low"))
+                   & (F.col("x.high") == F.col("y.high"))
+                   & ((F.col("x.low") < F.col("x.high")) | (F.col("x.set_id") < F.col("y.set_id")))
+                   & _may_link(percent)).select(*_pair(F.col("x.set_id"), F.col("y.set_id"))).distinct()
+    return written(_verified(written(pairs, "candidates"), classes, percent), "links")
+
+
+def near_links(docs: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """The whole join: ``a, b, a_rows, b_rows`` per pair (a < b) of linked
+    classes of different shingle sets, with the rows of ``docs`` in each (it
+    stands for a_rows * b_rows links); and ``doc_id, set_id, n_links`` for
+    every row: the other rows of its class and all rows of the linked ones."""
+    signed, classes, lists = _prepared(docs, k, percent)
+    links = _class_links(classes, lists, percent)
+    sizes = written(signed.filter("set_id is not null").groupBy("set_id").agg(F.count("*").alias("rows")), "class-sizes")
+    for side in ("a", "b"):
+        links = links.join(sizes.select(F.col("set_id").alias(side), F.col("rows").alias(f"{side}_rows")), side)
+    links = written(links.select("a", "b", "a_rows", "b_rows"), "sized-links")
+    others = (links.select(F.col("a").alias("set_id"), F.col("b_rows").alias("others"))
+              .unionAll(links.select(F.col("b").alias("set_id"), F.col("a_rows").alias("others")))
+              .groupBy("set_id").agg(F.sum("others").alias("others")))
+    counts = written(sizes.join(others, "set_id", "left").select(
+        F.col("set_id").alias("_set"), (F.col("rows") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "link-counts")
+    return links, signed.join(counts, F.col("set_id") == F.col("_set"), "left").select(
+        "doc_id", "set_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    signed, classes, lists = _prepared(docs, k, percent)
+
+    # First round: pieces of the lists.
     piece = W.partitionBy("shingle", "piece").orderBy("alone", "n", "set_id")
-    met = (lists.withColumn("pieces", pieces)
-           .withColumn("piece", F.pmod(F.xxhash64("set_id"), F.col("pieces")))
+    met = (_in_pieces(lists)
            .withColumn("head", F.first("set_id").over(piece)).withColumn("before", F.lag("set_id").over(piece)))
     heads = (met.filter("pieces > 1").groupBy("shingle", "piece").agg(F.min(F.struct("alone", "n", "set_id")).alias("h")))
     chain = W.partitionBy("shingle").orderBy("h")
@@ -252,11 +310,7 @@ def near_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame
                     .select("shingle"), "open-lists")
     still = placed.join(open_, "shingle", "left_semi")
     x, y = still.alias("x"), still.alias("y")
-    least = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
-    across = (x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") < F.col("y.root"))
-                     & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                     & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
-                     & (F.least(F.col("x.n") - F.col("x.alone"), F.col("y.n") - F.col("y.alone")) >= least))
+    across = (x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") < F.col("y.root")) & _may_link(percent))
               .select(*_pair(F.col("x.set_id"), F.col("y.set_id"))).distinct())
     more = written(_verified(written(across, "candidates"), classes, percent), "links")
     roots = components(links.unionAll(more))

@@ -90,6 +90,42 @@ def test_one_document_of_each_group_stays(awkward):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "1", "2", "3", "4", "None", "5", "6", "8", "9", "10"])
 
 
+def test_all_links_inside_a_component(spark, awkward, monkeypatch):
+    """Near copies of one base, copies, chains and a shared passage: every link
+    between different texts is returned, and each row has its number of links."""
+    monkeypatch.setattr(op, "PIECE", 8)
+    rnd = random.Random(6)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(50):
+        w = base[:]
+        for _ in range(rnd.randint(0, 4)):
+            w[rnd.randrange(80)] = f"edit{rnd.randrange(10 ** 6)}"
+        rows.append(" ".join(w))
+    rows += [rows[3]] * 5 + [None, "", "few words", "few words"]
+    rows += [" ".join(f"chain{j}" for j in range(i, i + 60)) for i in range(6)]
+    rows += [" ".join([f"own{i}x{j}" for j in range(9)] + base[:12]) for i in range(9)]
+    data = list(enumerate(rows)) + [(None, rows[5])]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    for k, percent in ((4, 85), (3, 60)):
+        sets = [shingles(t, k) for _, t in data]
+        n, between = [0] * len(data), 0
+        for i, j in combinations(range(len(data)), 2):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                n[i] += 1
+                n[j] += 1
+                between += a != b
+        links, counts = op.near_links(df, k, percent)
+        found = links.collect()
+        assert sorted(((r.doc_id, r.n_links) for r in counts.collect()), key=str) == sorted(
+            ((d, x) for (d, _), x in zip(data, n)), key=str)
+        assert sum(r.a_rows * r.b_rows for r in found) == between
+        assert all(r.a < r.b for r in found) and len({(r.a, r.b) for r in found}) == len(found)
+    links, counts = op.near_links(awkward)
+    assert {r.doc_id: r.n_links for r in counts.collect()}[1] == 1 and links.count() == 1
+
+
 def test_components(spark):
     rnd = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(rnd.randrange(2000, 2300), rnd.randrange(2000, 2300)) for _ in range(200)]
