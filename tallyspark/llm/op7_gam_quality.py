@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import map_texts, table, utf8_lists, written
+from .tables import map_texts, mix64, table, utf8_lists, window_hashes, written
 
 FEATURES = ("log_words", "mean_word", "long_words", "symbols", "marked_words", "upper", "digits", "punctuation",
             "non_ascii", "distinct", "top_word", "echo", "repeated_trigrams", "line_words", "repeated_lines",
@@ -57,7 +57,7 @@ def features_of(text: bytes) -> tuple[float, ...]:
     echo = float((codes[1:] == codes[:-1]).mean()) if n > 1 else 0.0
     repeated = 0.0
     if n > 2:
-        tri = (codes[:-2] * len(seen) + codes[1:-1]) * len(seen) + codes[2:] if len(seen) < 2_000_000 else codes[:-2]
+        tri = window_hashes(mix64(codes.view(np.uint64)), 3)
         repeated = 1.0 - len(np.unique(tri)) / len(tri)
     lines = [x for x in text.split(b"\n") if x and not x.isspace()]
     ends = np.fromiter((w[-1] for w in words), np.uint8, n)

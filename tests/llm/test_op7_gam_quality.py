@@ -50,3 +50,12 @@ def test_awkward_rows(spark, awkward, no_docs):
     assert all(abs(r.score - 0.5) < 1e-9 for r in op.score_rows(rows, empty).collect())
     same = op.train_on_texts(awkward, labels)
     assert same.intercept == model.intercept and all((a == b).all() for a, b in zip(same.tables, model.tables))
+
+
+def test_trigrams_of_very_many_different_words():
+    """Repeated words, no repeated trigram, and then a repeated passage."""
+    words = [b"%x" % i for i in range(2_000_001)]
+    at = op.FEATURES.index("repeated_trigrams")
+    assert op.features_of(b" ".join(words + words[::-1][:500_000]))[at] == 0.0
+    again = op.features_of(b" ".join(words + words[:500_000]))[at]
+    assert abs(again - 499_998 / 2_499_999) < 1e-12
