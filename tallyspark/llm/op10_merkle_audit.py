@@ -2,9 +2,16 @@
 
 :func:`records_of` lays pages out as WARC records with their byte offsets, an
 archive being a run of ``pages_per_archive`` page ids. :func:`write_archives`
-writes one gzipped WARC file per archive through Spark's text sink, and
-:func:`read_archives` reads such files back, each in one task, and hashes
-every record where it stands.
+writes one WARC file per archive through Spark's text sink, a gzip member per
+record, and :func:`read_archives` reads such files back, each in one task, and
+hashes every record.
+
+A member's header keeps the record's offset in the archive as it was written
+(extra field "TO", under the header's checksum), so records behind a lost,
+added, lengthened or shortened one stay at their place; members without it
+are counted on from the last. After a member that can't be read, reading goes
+on at the next one that can. A record of 16 MB or more continues in further
+members, marked "TC".
 
 The audit compares replicas by trees of hashes (:func:`tree_of`): leaves are
 the SHA-256 of the records; a node of level 0 hashes the records that begin
@@ -19,15 +26,19 @@ Every step groups or joins by (archive, range): no group holds more than
 Defined cases: null html and url are empty; a null page id goes to one of
 4096 archives below 0 by its content; repeated rows are records each; an
 unreadable stretch of a file is skipped to the next record, so its records
-are missing; other columns are ignored; an empty table has no archives.
+are missing, also if it is compressed bytes that are changed, cut or lost; of
+several records at one offset the intact one is the record, the others are
+extra; other columns are ignored; an empty table has no archives.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
+import struct
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +47,7 @@ from pyspark.sql.window import Window as W
 
 from tallyspark.session import fresh_path
 
-from .tables import table, written
+from .tables import map_texts, table, utf8_lists, written
 
 EOR = "\r\n\r\n"
 LEAVES = "archive long, offset long, length long, digest string"
@@ -63,30 +74,102 @@ def records_of(pages: DataFrame, pages_per_archive: int = 1024) -> DataFrame:
                        "length", "digest", "record")
 
 
+# A member holds less than this: the last byte of its size is zero, and is what
+# Spark's text sink puts behind each row as its line separator.
+MEMBER = (1 << 24) - 1
+_MAGIC = b"\x1f\x8b\x08\x06"  # deflate, with header checksum and extra field
+_TO = re.compile(rb"\x1f\x8b\x08\x06.{6}\x0c\x00T([OC])\x08\x00(.{8})", re.S)
+
+
+def _member(data: bytes, kind: bytes, offset: int) -> bytes:
+    head = _MAGIC + b"\0\0\0\0\0\xff" + struct.pack("<H2sHq", 12, kind, 8, offset)
+    press = zlib.compressobj(6, zlib.DEFLATED, -15)
+    return (head + struct.pack("<H", zlib.crc32(head) & 0xFFFF) + press.compress(data) + press.flush()
+            + struct.pack("<II", zlib.crc32(data), len(data)))
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for offset, record in zip(b.column(1).to_pylist(), utf8_lists(b, "record")):
+            data = record + EOR.encode()
+            out.append(b"".join(_member(data[i:i + MEMBER], b"TC" if i else b"TO", offset + i)
+                                for i in range(0, len(data), MEMBER))[:-1])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())],
+                                         names=["archive", "offset", "members"])
+
+
 def write_archives(records: DataFrame, path: str) -> None:
-    """One WARC file per archive: ``path/archive=N/*.txt.gz``."""
-    (records.select("archive", "offset", "record").repartition("archive").sortWithinPartitions("archive", "offset")
-     .select("archive", "record").write.partitionBy("archive")
-     .option("lineSep", EOR).option("compression", "gzip").text(path))
+    """One WARC file per archive, gzip members: ``path/archive=N/*.txt``."""
+    (map_texts(records.select("archive", "offset", "record"), _members, "archive long, offset long, members binary")
+     .repartition("archive").sortWithinPartitions("archive", "offset")
+     .select("archive", F.col("members").cast("string").alias("members")).write.partitionBy("archive")
+     .option("lineSep", "\0").option("compression", "none").text(path))
 
 
 _HEAD = re.compile(rb"WARC/1\.0\r\n(?:[^\r\n]+\r\n)*?Content-Length: (\d+)\r\n(?:[^\r\n]+\r\n)*\r\n")
 
 
+def _stretches(content: bytes) -> Iterator[tuple[int | None, bytes]]:
+    """(offset, data) of the readable members, continuations with their
+    first; None without a kept offset."""
+    at, start, parts = 0, None, []
+    while 0 <= at < len(content):
+        inflate = zlib.decompressobj(31)
+        try:
+            data = inflate.decompress(content[at:at + (1 << 16)])
+            more = at + (1 << 16)
+            while not inflate.eof and more < len(content):
+                data += inflate.decompress(content[more:more + (1 << 20)])
+                more += 1 << 20
+            whole = inflate.eof
+        except zlib.error:
+            whole = False
+        if not whole:
+            at = content.find(b"\x1f\x8b\x08", at + 1)
+            continue
+        m = _TO.match(content, at)
+        place = struct.unpack("<q", m[2])[0] if m else None
+        if m and m[1] == b"C" and parts and start is not None and place == start + sum(map(len, parts)):
+            parts.append(data)
+        else:
+            if parts:
+                yield start, b"".join(parts)
+            start, parts = place, [data]
+        at = min(more, len(content)) - len(inflate.unused_data)
+        while content[at:at + 1] == b"\0":  # padding between members
+            at += 1
+        if at < len(content) and content[at:at + 3] != b"\x1f\x8b\x08":
+            at = content.find(b"\x1f\x8b\x08", at)
+    if parts:
+        yield start, b"".join(parts)
+
+
+def _records(data: bytes) -> Iterator[tuple[int, int, str]]:
+    """(place, length, digest) of the records that stand in the stretch."""
+    at = 0
+    while at >= 0:
+        m = _HEAD.match(data, at)
+        end = m.end() + int(m[1]) + len(EOR) if m else len(data) + 1
+        if end <= len(data) and data[end - 4:end] == EOR.encode():
+            yield at, end - at, hashlib.sha256(data[at:end - 4]).hexdigest()
+            at = end
+        else:
+            at = data.find(b"WARC/1.0\r\n", at + 1)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for archive, content in zip(b.column(0).to_pylist(), b.column(1)):
-            data, at, rows = gzip.decompress(content.as_buffer()), 0, []
-            while True:
-                m = _HEAD.match(data, at)
-                end = m.end() + int(m[1]) + len(EOR) if m else len(data) + 1
-                if end <= len(data) and data[end - 4:end] == EOR.encode():
-                    rows.append((archive, at, end - at, hashlib.sha256(data[at:end - 4]).hexdigest()))
-                    at = end
+            rows, counted, plain = [], 0, b""
+            # Members without an offset of their own are one stream with their neighbours.
+            for offset, data in chain(_stretches(content.as_buffer().to_pybytes()), [(0, b"")]):
+                if offset is None:
+                    plain += data
                     continue
-                at = data.find(b"WARC/1.0\r\n", at + 1)
-                if at < 0:
-                    break
+                rows += [(archive, counted + at, n, digest) for at, n, digest in _records(plain)]
+                rows += [(archive, offset + at, n, digest) for at, n, digest in _records(data)]
+                counted, plain = offset + len(data), b""
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)],
                                                  names=["archive", "offset", "length", "digest"])
@@ -94,7 +177,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Leaves (archive, offset, length, digest) of the readable records."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,txt}").option("recursiveFileLookup", "true").load(path)
              .select(F.regexp_extract("path", r"archive=(-?\d+)/", 1).cast("long").alias("archive"), "content"))
     return files.mapInArrow(_parse, LEAVES)
 
@@ -149,7 +232,12 @@ def audit(left: DataFrame, right: DataFrame, range_bytes: int = 16 << 10, fanout
                 .select("archive", "offset", F.col("length").alias(f"length{side}"), F.col("digest").alias(f"digest{side}")))
 
     status = (F.when(F.col("digest_b").isNull(), "missing").when(F.col("digest_a").isNull(), "extra").otherwise("changed"))
-    return (under(left, "_a").join(under(right, "_b"), ["archive", "offset"], "full_outer")
+    kept = under(left, "_a").withColumn("nth", F.lit(1))
+    intact = F.coalesce(F.col("digest_b") == F.col("digest_a"), F.lit(False))
+    at = W.partitionBy("archive", "offset").orderBy(intact.desc(), "digest_b", "length_b")
+    held = (under(right, "_b").join(kept.select("archive", "offset", "digest_a"), ["archive", "offset"], "left")
+            .withColumn("nth", F.row_number().over(at)).drop("digest_a"))
+    return (kept.join(held, ["archive", "offset", "nth"], "full_outer")
             .filter(~F.col("digest_a").eqNullSafe(F.col("digest_b")))
             .select("archive", "offset", F.coalesce("length_a", "length_b").alias("length"), status.alias("status")))
 

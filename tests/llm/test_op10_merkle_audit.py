@@ -45,3 +45,47 @@ def test_awkward_rows(spark, tmp_path):
     assert op.audit(op.leaves_of(records), op.read_archives(spark, f"{tmp_path}/warc")).count() == 0
     none = op.records_of(spark.createDataFrame([], SCHEMA))
     assert op.audit(op.leaves_of(none), op.leaves_of(none)).count() == 0
+
+
+def test_damage_inside_an_archive(spark, tmp_path):
+    """Lost, added, lengthened and shortened records, and compressed bytes that
+    are flipped, cut out or cut off: only the records they meet are damaged."""
+    import gzip
+    import random
+    from pathlib import Path
+    rnd = random.Random(10)
+    pages = [(i, f"http://h/{i}", " ".join(str(rnd.randrange(10 ** 9)) for _ in range(60))) for i in range(240)]
+    records = op.records_of(spark.createDataFrame(pages, SCHEMA), pages_per_archive=40).cache()
+    kept = {r.page_id: (r.archive, r.offset) for r in records.collect()}
+    n = F.col("page_id")
+    replica = records.filter(~n.isin(5, 6, 45)).withColumn("record", F.when(
+        n.isin(10, 88), F.concat("record", F.lit("longer"))).otherwise(F.col("record")))
+    html = "short"
+    replica = replica.withColumn("record", F.when(n == 50, F.concat(F.regexp_replace(
+        F.expr("substring_index(record, '\\r\\n\\r\\n', 1)"), r"Content-Length: \d+", "Content-Length: 5"), F.lit(op.EOR + html)))
+        .otherwise(F.col("record")))
+    extra = records.filter("page_id = 60").withColumn("offset", F.col("offset") + 1)
+    twice = records.filter("page_id = 62")
+    op.write_archives(replica.unionByName(extra).unionByName(twice), f"{tmp_path}/warc")
+    files = {int(f.parent.name.split("=")[1]): f for f in Path(f"{tmp_path}/warc").rglob("*.txt")}
+    assert b"WARC/1.0" in gzip.decompress(files[5].read_bytes())  # a valid gzip file
+    starts = {a: [i for i in range(len(b)) if b[i:i + 4] == op._MAGIC and op._TO.match(b, i)] for a, b in
+              ((a, f.read_bytes()) for a, f in files.items())}
+    for archive, cut in ((3, lambda b, s: b[:s[7] + 60] + bytes([b[s[7] + 60] ^ 4]) + b[s[7] + 61:]),    # a bit flipped
+                         (4, lambda b, s: b[:s[9] + 100] + b[s[9] + 103:]),                          # three bytes lost
+                         (5, lambda b, s: b[:s[30] + 50])):                                          # cut off
+        f = files[archive]
+        f.write_bytes(cut(f.read_bytes(), starts[archive]))
+        for crc in f.parent.glob(".*.crc"):
+            crc.unlink()
+    got = sorted((r.archive, r.offset, r.status) for r in op.audit(op.leaves_of(records), op.read_archives(spark, f"{tmp_path}/warc")).collect())
+    want = [(*kept[i], "missing") for i in (5, 6, 45, 10, 88, 127, 169, *range(230, 240))]
+    want += [(*kept[50], "changed"), (kept[60][0], kept[60][1] + 1, "extra"), (*kept[62], "extra")]
+    assert got == sorted(want)
+
+
+def test_records_longer_than_a_member(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(op, "MEMBER", 100)
+    parts = [op._member(b"x" * 100, b"TO", 700), op._member(b"y" * 30, b"TC", 800), op._member(b"z", b"TO", 900)]
+    assert list(op._stretches(b"".join(parts))) == [(700, b"x" * 100 + b"y" * 30), (900, b"z")]
+    assert list(op._stretches(b"junk" + parts[0][:-5] + parts[2])) == [(900, b"z")]
