@@ -13,9 +13,20 @@ and its content (the text below it). With m pages,
 A branch whose importance is at or below ``threshold`` is removed from each
 page of the host, if at least ``min_pages`` different pages have it. Copies of
 a page count once, so copied articles aren't taken for a template. Elements
-whose style names a furniture role (navigation, footer, advert, form, ...)
-have importance 0 on every page: their texts may differ from page to page, as
-adverts and link lists do. What is left is cut to the outermost ``article``
+whose tag or ARIA role is furniture (navigation, footer, form, ...) have
+importance 0 on every page: their texts may differ from page to page, as
+adverts and link lists do. So have elements whose class or id merely has a
+word for it ("ad", "comments", "sidebar"), but not if the element
+
+- holds an ``article`` or ``main`` whose own class and id have no such word
+  (``<div class="container has-sidebar">`` around the article),
+- is a heading, heading group, header or paragraph inside one
+  (``<h1 class="entry-header">``), or
+- has more than half of the text outside furniture tags and roles, on a page
+  without such an ``article`` or ``main``.
+
+A high content entropy alone doesn't keep it: adverts differ from page to
+page. What is left is cut to the outermost ``article``
 or ``main`` elements with text, if the page has any.
 
 Statistics are counts by (host, style path, value), combined before each
@@ -74,16 +85,21 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
+# Elements of an article that a word of class or id doesn't make furniture.
+OWN_TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p".split())
+
+
 class Node:
-    __slots__ = ("tag", "style", "furniture", "children")
+    """``worded``: a word of class or id names a furniture role."""
+    __slots__ = ("tag", "style", "furniture", "worded", "children")
 
-    def __init__(self, tag: str, style: str, furniture: bool):
-        self.tag, self.style, self.furniture, self.children = tag, style, furniture, []
+    def __init__(self, tag: str, style: str, furniture: bool, worded: bool):
+        self.tag, self.style, self.furniture, self.worded, self.children = tag, style, furniture, worded, []
 
 
 def _element(tag: str, attrs: str, inside_article: bool) -> Node:
     furniture = tag in FURNITURE_TAGS or tag == "header" and not inside_article
-    style = tag
+    style, worded = tag, False
     if attrs.strip(" /\t\r\n"):
         named = {}
         for m in _ATTR.finditer(attrs):
@@ -91,16 +107,16 @@ def _element(tag: str, attrs: str, inside_article: bool) -> Node:
         label = f"{named.get('class', '')} {named.get('id', '')}".lower()
         if label != " ":
             style += "." + ".".join(label.split())
-            furniture |= tag not in ("html", "body", "article", "main") and not FURNITURE_WORDS.isdisjoint(_WORDS.findall(label))
+            worded = not FURNITURE_WORDS.isdisjoint(_WORDS.findall(label))
         furniture |= named.get("role", "").lower() in FURNITURE_ROLES
         furniture |= "hidden" in named or named.get("aria-hidden", "").lower() == "true"
         furniture |= "display:none" in named.get("style", "").lower().replace(" ", "")
-    return Node(tag, style, furniture)
+    return Node(tag, style, furniture, worded)
 
 
 def parse(html: str) -> Node:
     """A tolerant DOM: elements and raw text pieces in page order."""
-    root = Node("", "", False)
+    root = Node("", "", False, False)
     stack = [root]
     at = 0
 
@@ -178,10 +194,38 @@ def _paths(root: Node) -> dict[int, tuple[int, int]]:
                 sign(xxhash.xxh64_intdigest(",".join(format(x, "x") for x in c)))) for p, c in found.items()}
 
 
+def _spared(root: Node) -> set[int]:
+    """ids of the worded elements that hold the page's main text. Iterative,
+    children before their parents; branches of furniture tags and roles hold none."""
+    order: list[tuple[Node, Node]] = []
+    todo = [(c, root) for c in root.children if isinstance(c, Node)]
+    worded = False
+    while todo:
+        node, parent = todo.pop()
+        if node.furniture:
+            continue
+        order.append((node, parent))
+        worded |= node.worded
+        todo += [(c, node) for c in node.children if isinstance(c, Node)]
+    if not worded:
+        return set()
+    size, holds = {id(root): sum(len(c.split()) for c in root.children if isinstance(c, str))}, set()
+    for node, parent in reversed(order):
+        own = size.get(id(node), 0) + sum(len(c.split()) for c in node.children if isinstance(c, str))
+        size[id(node)] = own
+        size[id(parent)] = size.get(id(parent), 0) + own
+        if id(node) in holds or node.tag in ("article", "main") and not node.worded:
+            holds.add(id(parent))
+    if holds:
+        return holds
+    return {id(node) for node, _ in order if 2 * size[id(node)] > size[id(root)]}
+
+
 def main_text(html: str, removable: frozenset[int] = frozenset()) -> str:
     """Blocks of the page's main text, without furniture and without the
     branches at ``removable`` style paths (unsigned hashes)."""
     root = parse(html)
+    spared = _spared(root)
     whole: list[list[str]] = [[]]
     articles: list[list[str]] = [[]]
     # (node, path above, inside an article) or the end of a block
@@ -208,6 +252,9 @@ def main_text(html: str, removable: frozenset[int] = frozenset()) -> str:
             articles.append([])
         if item.furniture or path in removable:
             continue
+        if (item.worded and item.tag not in ("html", "body", "article", "main") and id(item) not in spared
+                and not (inside and item.tag in OWN_TEXT)):
+            continue
         inside = inside or item.tag in ("article", "main")
         if block:
             todo.append((None, 0, False))

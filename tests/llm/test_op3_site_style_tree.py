@@ -16,6 +16,20 @@ def test_blocks_references_and_furniture():
     assert op.main_text(page) == "A & B\none two three\nfour five\ni\nii"
 
 
+def test_role_words_around_and_inside_the_text():
+    article = "<article><h1 class='entry-header'>T</h1><p class=social>a b</p><div class=share>s</div></article>"
+    for around in ("div class='container has-sidebar'", "div id=content class='comments-open'", "section class='search-result'"):
+        tag = around.split()[0]
+        page = f"<{around}><div class=ad>Buy</div>{article}</{tag}><div class=sidebar>menu</div>"
+        assert op.main_text(page) == "T\na b", around
+        assert op.main_text(page.replace("article", "main")) == "T\na b", around
+        # Without an article, the branch with most of the text.
+        page = f"<div class=menu>x y</div><{around}><p>one two three four five</p><div class=ad>Buy</div></{tag}>"
+        assert op.main_text(page) == "one two three four five", around
+    comments = "<div id=comments>" + "<article id=comment-1><p>long reply to it and more</p></article>" * 9 + "</div>"
+    assert op.main_text(article + comments) == "T\na b"
+
+
 def test_without_an_article_the_rest_is_taken():
     assert op.main_text("<div>a <i>b</i></div>c<div role=navigation>n</div><div hidden>h</div>") == "a b\nc"
 
