@@ -1,13 +1,15 @@
-"""Operator 5, substring deduplication by relative Lempel-Ziv parsing.
+"""Operator 5, substring deduplication by known windows, in place of a relative
+Lempel-Ziv parse: where a run is copied from is not kept.
 
 The reference of a document is every document with a smaller id. It is
 indexed by all its runs of ``k`` words, in blocks by hash: each block of the
-index is one bucket, which holds the smallest document id per run. A document
-is parsed greedily against it: at each word the longest factor copied from
-the reference is taken, or one literal word. A factor goes on as long as the
-next run of ``k`` words stands in the reference as well, so also the runs
-across the place where the copied document changes are checked; factors have
-``k`` words or more, and their words are the duplicate spans.
+index is one bucket, which holds the smallest document id per run. A run that
+stands in the reference is known, and the words of known runs are the
+duplicate spans. What is called a factor here is a maximal stretch of known
+runs that overlap or touch: they may come from different documents, so a
+factor need not be a copy of one place, and a greedy parse along one source
+may have more factors. The words removed are the same for every choice of
+sources, since every known run is cut whole.
 
 The plan: (1) a map hashes the runs of each block of documents, keeps, of
 equal runs in the block, those of its smallest document (the others are
@@ -129,9 +131,9 @@ def _find_known(buckets: int, groups: int):
 
 
 def factorise(places: np.ndarray, k: int) -> list[tuple[int, int]]:
-    """Factors (start, words) of the greedy parse: ``places`` are the words at
-    which a run of ``k`` words stands in the reference. From such a word the
-    factor goes on while the next run is known too, or begins before its end."""
+    """Factors (start, words), the union of the known runs: ``places`` are the
+    words at which a run of ``k`` words stands in the reference. From such a word
+    the factor goes on while a known run begins before its end or at it."""
     out: list[tuple[int, int]] = []
     for p in np.unique(places).tolist():
         if out and p <= out[-1][0] + out[-1][1]:
