@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark.operators import versions
+from tallyspark.session import fresh_path
+
 
 def lookback_bound(target: DataFrame | None, ts_col: str, lookback: str, floor: str) -> Column:
     """``coalesce(max(target.ts_col) - lookback, floor)`` as a scalar column.
@@ -44,82 +47,34 @@ def merge_into(target: DataFrame | None, updates: DataFrame, key: Sequence[str])
     return updates.unionByName(kept.select(*updates.columns))
 
 
-def merge_partitions(target_path: str, updates: DataFrame, key: Sequence[str], part_col: str) -> None:
-    """O4 on a table partitioned by ``part_col`` (NULL is a partition as any
-    other), rewriting only the partitions the merge touches (dynamic partition
-    overwrite; untouched partitions are not read or written).
+def merge_partitions(path: str, updates: DataFrame, key: Sequence[str], part_col: str) -> versions.Version:
+    """O4 on a versioned table (``operators.versions``) partitioned by
+    ``part_col`` (NULL is a partition as any other): one new version, in which
+    only the partitions that the merge touches have new folders.
 
     Touched = partitions of the updates, plus partitions where an updated key
-    lives now (a key whose partition value changed is removed from its old
-    partition). Reading the target's touched partitions and overwriting them in
-    the same job is safe: the new files are committed through a staging
-    directory. A partition left with no rows is not rewritten by a dynamic
-    overwrite, so such partitions -- only those an updated key moved out of can
-    be -- are dropped after the write.
-
-    The drops are noted beside the table before the write. A run that finds
-    such a note drops them first: every row in them has a key that the noted
-    run moved away, and which the updates of the new run bring again (without
-    those rows the target's lookback bound can only be lower).
+    lives now (a key whose partition value changed leaves its old partition;
+    one left without rows is in the new version no more). A merge that breaks
+    off anywhere leaves the old version or the new one, and a rerun merges into that.
     """
-    from tallyspark.session import fresh_path
     spark = updates.sparkSession
-    keys = list(key)
-    _drop_noted(spark, target_path)
+    keys, schema = list(key), updates.schema
+    base = versions.current(spark, path)
+    if base is None:
+        return versions.replace(updates, path, part_col, None)
     # The delta (one lookback window: small in steady state) is computed once
     # and staged as a table; the checks and the write below all read it.
     staged = fresh_path(spark, "merge-updates")
-    schema = updates.schema
     updates.write.parquet(staged)
     updates = spark.read.schema(schema).parquet(staged)
-    target = spark.read.schema(schema).parquet(target_path)
     upd_keys = updates.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    upd_parts = updates.select(part_col).distinct()
+    value = versions.partition_value(part_col).alias("value")
     # Only the key and partition columns of the target are scanned here; one
-    # row per partition value (coarse time buckets) is left.
-    moved_path = fresh_path(spark, "merge-moved")
-    target.join(upd_keys, same_key, "left_semi").select(part_col).distinct().write.parquet(moved_path)
-    moved_from = spark.read.schema(upd_parts.schema).parquet(moved_path)
-    touched = upd_parts.unionByName(moved_from).distinct().withColumnRenamed(part_col, "_part")
-    current = target.join(touched, F.col(part_col).eqNullSafe(F.col("_part")), "left_semi")
-    kept = current.join(upd_keys, same_key, "left_anti")
-    # Partitions that may end up empty: keys moved out, nothing moved in.
-    candidates = moved_from.subtract(upd_parts)
-    still = kept.select(part_col).distinct()
-    emptied = [r[0] for r in candidates.subtract(still).collect()]
-    if emptied:
-        _note(spark, target_path, [_directory(part_col, v) for v in emptied])
-    out = updates.unionByName(kept.select(*updates.columns))
-    # Rebalanced by partition value: one file per small partition, and a large
-    # one is split over tasks.
-    (out.hint("rebalance", part_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target_path))
-    _drop_noted(spark, target_path)
-
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _directory(part_col: str, value) -> str:
-    return f"{part_col}={NULL_PARTITION if value is None else value}"
-
-
-def _fs(spark, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _note(spark, target_path: str, directories: list[str]) -> None:
-    spark.createDataFrame([(d,) for d in directories], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{target_path}/_emptied")
-
-
-def _drop_noted(spark, target_path: str) -> None:
-    fs, note = _fs(spark, f"{target_path}/_emptied")
-    if not fs.exists(note):
-        return
-    if _fs(spark, f"{target_path}/_emptied/_SUCCESS")[0].exists(_fs(spark, f"{target_path}/_emptied/_SUCCESS")[1]):
-        for row in spark.read.text(f"{target_path}/_emptied").collect():
-            fs.delete(_fs(spark, f"{target_path}/{row[0]}")[1], True)
-    fs.delete(note, True)
+    # row per partition value (coarse time buckets) reaches the driver.
+    lives_in = versions.read(spark, path, schema, base).join(upd_keys, same_key, "left_semi").select(value)
+    touched = {r.value for r in updates.select(value).unionByName(lives_in).distinct().collect()}
+    if not touched:
+        return base
+    kept = versions.read(spark, path, schema, base, touched).join(upd_keys, same_key, "left_anti")
+    return versions.replace(updates.unionByName(kept.select(*updates.columns)), path, part_col, base, touched)
