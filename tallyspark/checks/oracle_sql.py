@@ -760,6 +760,16 @@ def landing_sql() -> dict[str, str]:
             "(SELECT max(updated_at) FROM api_orders))", "api_orders"),
         "landing_stream_batches": with_(
             "SELECT order_id, updated_at, max(updated_at) OVER () AS last_updated_at FROM api_orders", "api_orders"),
+        # Read again: records without a time; of the later versions those past the first
+        # run's watermark or without a time (version 3 has none, version 4 repeats the first).
+        "landing_stream_new_checkpoint": with_(
+            "SELECT order_id, updated_at FROM api_orders "
+            "UNION ALL SELECT order_id, updated_at FROM api_orders WHERE updated_at IS NULL "
+            "UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 31 <> 0 THEN o_orderdate + INTERVAL 3 DAY END "
+            "FROM orders WHERE o_orderkey % 7 = 0 AND (o_orderkey % 31 = 0 OR o_orderdate + INTERVAL 3 DAY > "
+            "(SELECT max(updated_at) FROM api_orders)) "
+            "UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 13 = 0 "
+            "UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 31 = 0", "api_orders"),
         "landing_stream_idempotent": with_("SELECT order_id, updated_at FROM api_orders", "api_orders"),
         "source_freshness": with_("""
           SELECT 'raw_orders' AS source_name, 'ingested_at' AS loaded_at_field,

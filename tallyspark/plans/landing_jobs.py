@@ -12,6 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark import files
 from tallyspark.plans.incremental import run_fct_order_lines, run_fct_orders
 from tallyspark.session import fresh_path
 from tallyspark.sources import landing
@@ -137,6 +138,24 @@ def stream_twice(m) -> DataFrame:
     return landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at")
 
 
+def stream_new_checkpoint(m) -> DataFrame:
+    """The first snapshot streamed; then all later versions arrive and the
+    stream's checkpoint is replaced by a new one at the same path. The new
+    stream reads every page again, adds what is newer than the source's
+    checkpoint (and records without ``updated_at``, D17), and takes nothing away."""
+    root = fresh_path(m.spark, "landing-new-checkpoint")
+    pages, checkpoint = f"{root}/pages", f"{root}/_checkpoint"
+    landed_pages(m).write.text(pages)
+    for version in (1, 2):
+        land_stream(m.spark, pages, "order", f"{root}/raw_orders", f"{root}/landing_state", checkpoint, m.params.shop_domain)
+        if version == 1:
+            files.delete(m.spark, checkpoint)
+            later = fresh_path(m.spark, "pages-later")
+            landing.write_pages(m.inputs.raw_orders.where(F.col("batch_no") > 1).select("payload_json"), "order", later)
+            landing.read_pages(m.spark, later).write.mode("append").text(pages)
+    return landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at")
+
+
 def source_freshness(m) -> DataFrame:
     """Per raw source, the latest load time (``ingested_at``) and rows."""
     out = None

@@ -22,7 +22,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.files import exists
 from tallyspark.functions.casts import safe_bigint, safe_timestamp
+from tallyspark.functions.json import number_text, parse_fields
 from tallyspark.operators.dedup import dedup_latest
 from tallyspark.operators.incremental import merge_into
 from tallyspark.sources.schemas import STATE_SCHEMA, raw_entity_schema
@@ -76,10 +78,12 @@ def raw_rows(records: DataFrame, entity: str, shop_domain: str, batch_no: int,
     batch_no)``; one ``ingested_at`` and one ``batch_no`` per run."""
     ingested = (F.lit(ingested_at).cast("timestamp") if ingested_at is not None
                 else F.current_timestamp())
-    return records.select(
+    # One parse of a record for both fields; a field of a struct reads as its text.
+    parsed = records.select("payload_json", parse_fields("payload_json", ["id", "updated_at"]).alias("_p"))
+    return parsed.select(
         F.lit(shop_domain).alias("shop_domain"),
-        safe_bigint(F.get_json_object("payload_json", "$.id")).alias(f"{entity}_id"),
-        safe_timestamp(F.get_json_object("payload_json", "$.updated_at")).alias("updated_at"),
+        safe_bigint(number_text(F.col("_p"), "id")).alias(f"{entity}_id"),
+        safe_timestamp(number_text(F.col("_p"), "updated_at")).alias("updated_at"),
         ingested.alias("ingested_at"),
         F.col("payload_json"),
         F.lit(batch_no).cast("bigint").alias("batch_no"),
@@ -164,7 +168,7 @@ STATE_LOG_SCHEMA = "source string, last_updated_at timestamp, committed_at times
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """Current checkpoint per source (latest committed row); empty before the
     first commit (S9)."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return empty_state(spark)
     log = spark.read.schema(STATE_LOG_SCHEMA).parquet(path)
     latest = dedup_latest(log, ["source"], [F.col("committed_at").desc(), F.col("last_updated_at").desc()])
@@ -177,15 +181,10 @@ def commit_state(state: DataFrame, path: str) -> None:
         .coalesce(1).write.mode("append").parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def ensure_raw_table(spark: SparkSession, entity: str, path: str) -> None:
     """Create the raw table (explicit schema, partitioned by batch) if it
     is missing; a no-op when it exists."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         (spark.createDataFrame([], raw_entity_schema(entity)).write.mode("append")
          .partitionBy("batch_no").parquet(path))
 
@@ -200,7 +199,7 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
     """Run S2-S8 for one entity: filter by checkpoint, append, then commit the
     checkpoint. Returns the kept-row count and the new checkpoint."""
     ensure_raw_table(spark, entity, raw_path)
-    kept = _kept(records, read_state(spark, state_path), entity, shop_domain, batch_no, ingested_at)
+    kept = kept_rows(records, read_state(spark, state_path), entity, shop_domain, batch_no, ingested_at)
     # The batch high watermark (S6) is observed while the append runs -- no
     # second pass over the source or the table. max() is idempotent, so task
     # retries cannot skew it.
@@ -213,14 +212,6 @@ def land_batch(spark: SparkSession, records: DataFrame, entity: str, raw_path: s
     return {"entity": entity, "batch_no": batch_no, "rows": metrics["rows"]}
 
 
-def replace_batch(records: DataFrame, state: DataFrame, entity: str, raw_path: str, shop_domain: str,
-                  batch_no: int, ingested_at: _dt.datetime | None = None) -> None:
-    """S2-S5 and S8 for a batch that may be replayed: the rows that pass
-    ``state`` replace the batch's own partition. The checkpoint stays."""
-    (_kept(records, state, entity, shop_domain, batch_no, ingested_at).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_no").parquet(raw_path))
-
-
 def commit_watermark(spark: SparkSession, entity: str, wm_us: int | None, state_path: str) -> None:
     """Only a non-NULL watermark moves the checkpoint (upsert on source =
     append to the log; the latest row per source wins)."""
@@ -230,8 +221,9 @@ def commit_watermark(spark: SparkSession, entity: str, wm_us: int | None, state_
             F.timestamp_micros(F.lit(wm_us).cast("bigint")).alias("last_updated_at")), state_path)
 
 
-def _kept(records: DataFrame, state: DataFrame, entity: str, shop_domain: str, batch_no: int,
-          ingested_at: _dt.datetime | None) -> DataFrame:
+def kept_rows(records: DataFrame, state: DataFrame, entity: str, shop_domain: str, batch_no: int,
+              ingested_at: _dt.datetime | None = None) -> DataFrame:
+    """S2-S5 of one batch: the shaped rows that pass the checkpoint ``state``."""
     shaped = raw_rows(records, entity, shop_domain, batch_no, ingested_at)
     kept = incremental_filter(source_window(shaped, state, entity), state, entity)
     return kept.select(*raw_entity_schema(entity).fieldNames())

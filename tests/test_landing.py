@@ -103,20 +103,6 @@ def test_first_run_bound_is_floor(spark):
     assert b == dt.datetime(1900, 1, 1)
 
 
-def test_partition_merge_rewrites_touched_partitions_and_moves_keys(spark):
-    from tallyspark.operators.incremental import merge_partitions
-    path = fresh_path(spark, "t-merge") + "/t"
-    spark.createDataFrame([(1, "a", "2024-01"), (2, "a", "2024-01"), (3, "a", "2024-02"), (4, "a", "2024-03")],
-                          "k long, v string, p string").write.partitionBy("p").parquet(path)
-    # key 1 updated in place; key 3 moves from 2024-02 to 2024-03; key 5 is new
-    upd = spark.createDataFrame([(1, "b", "2024-01"), (3, "b", "2024-03"), (5, "b", "2024-04")],
-                                "k long, v string, p string")
-    merge_partitions(path, upd, ["k"], "p")
-    got = sorted((r.k, r.v, r.p) for r in spark.read.parquet(path).collect())
-    assert got == [(1, "b", "2024-01"), (2, "a", "2024-01"), (3, "b", "2024-03"), (4, "a", "2024-03"),
-                   (5, "b", "2024-04")]
-
-
 def test_pages_are_bounded_even_with_repeated_ids(spark):
     root = fresh_path(spark, "t-pages")
     recs = records(spark, [{"id": 1, "n": i} for i in range(1200)]).repartition(3)
@@ -167,30 +153,128 @@ def test_stream_in_micro_batches_loses_nothing(spark, tmp_path):
     assert run() == [1, 2, 3, 4, 5]
 
 
-def test_replayed_micro_batch_replaces_itself(spark):
-    root = fresh_path(spark, "t-replay")
+def _ids(spark, root):
+    return sorted(r.order_id for r in landing.read_raw(spark, "order", f"{root}/raw").collect())
+
+
+def test_a_new_checkpoint_at_the_same_path_adds(spark, tmp_path):
+    import shutil
+    pages, root, ckpt = tmp_path / "pages", fresh_path(spark, "t-new-ckpt"), tmp_path / "ckpt"
+    _page_file(pages, "a.json", [(1, 11), (2, 12)])
+
+    def run():
+        land_stream(spark, str(pages), "order", f"{root}/raw", f"{root}/state", str(ckpt), "shop-a")
+        return _ids(spark, root)
+
+    assert run() == [1, 2]
+    shutil.rmtree(ckpt)
+    _page_file(pages, "b.json", [(3, 13)])
+    assert run() == [1, 2, 3]  # the pages read again are at or before the checkpoint of the source
+    assert run() == [1, 2, 3]
+    assert landing.read_state(spark, f"{root}/state").first().last_updated_at == dt.datetime(2024, 1, 13)
+
+
+def _entity_rows(spark, ids):
+    return lambda batch_no: landing.kept_rows(records(spark, [{"id": i, "updated_at": f"2024-01-{i:02d}T00:00:00Z"} for i in ids]),
+                                              landing.empty_state(spark), "order", "shop-a", batch_no)
+
+
+def _ledger(spark, stream="one", root=None):
+    from tallyspark.sources.ledger import Ledger
+    root = root or fresh_path(spark, "t-ledger")
     landing.ensure_raw_table(spark, "order", f"{root}/raw")
-    recs = records(spark, [{"id": 1, "updated_at": "2024-01-11T00:00:00Z"}])
-    for _ in range(2):
-        landing.replace_batch(recs, landing.empty_state(spark), "order", f"{root}/raw", "shop-a", 70)
-    landing.replace_batch(recs, landing.empty_state(spark), "order", f"{root}/raw", "shop-a", 71)
-    assert sorted(r.batch_no for r in landing.read_raw(spark, "order", f"{root}/raw").collect()) == [70, 71]
+    return root, Ledger(spark, f"{root}/raw", stream)
+
+
+def test_a_replayed_epoch_lands_once_and_streams_stay_apart(spark):
+    root, one = _ledger(spark)
+    first = one.land(0, _entity_rows(spark, [1, 2]))
+    assert one.land(0, _entity_rows(spark, [1, 2])) == first and first["rows"] == 2
+    one.land(1, _entity_rows(spark, [3]))
+    _ledger(spark, "two", root)[1].land(0, _entity_rows(spark, [4]))
+    assert _ids(spark, root) == [1, 2, 3, 4]
+    assert landing.read_raw(spark, "order", f"{root}/raw").select("batch_no").distinct().count() == 3
 
 
-def _merge(spark, target, updates, crash=False):
-    from tallyspark.operators import incremental
+def test_empty_epoch_and_records_without_time(spark):
+    root, one = _ledger(spark)
+    e = one.land(0, _entity_rows(spark, []))
+    assert (e["rows"], e["watermark"]) == (0, None)
+    e = one.land(1, lambda n: landing.kept_rows(records(spark, [{"id": 9}]), landing.empty_state(spark), "order", "shop-a", n))
+    assert (e["rows"], e["watermark"]) == (1, None) and _ids(spark, root) == [9]
+    assert [x["epoch"] for x in one.uncommitted()] == [0, 1]
+    one.commit(1)
+    one.commit(3)
+    assert one.uncommitted() == [] and one._committed() == 3
+
+
+def test_a_batch_that_breaks_off_at_any_step(spark, monkeypatch):
+    import pytest
+    from tallyspark import files
+
+    def stop(*a, **kw):
+        raise RuntimeError("lost driver")
+
+    def only(real, part, late=False):
+        def run(s, path, *rest):
+            if part in path or (rest and isinstance(rest[0], str) and part in rest[0]):
+                if late:
+                    real(s, path, *rest)
+                stop()
+            return real(s, path, *rest)
+        return run
+
+    for name, part, late in (("write_json", "_ledger/", False), ("write_json", "_ledger/", True), ("write_json", "_batch.json", False),
+                             ("write_json", "_batch.json", True), ("rename", "batch_no=", False), ("rename", "batch_no=", True)):
+        root, one = _ledger(spark)
+        one.land(0, _entity_rows(spark, [1]))
+        with monkeypatch.context() as m:
+            m.setattr(files, name, only(getattr(files, name), part, late))
+            with pytest.raises(RuntimeError, match="lost driver"):
+                one.land(1, _entity_rows(spark, [2, 3]))
+        assert _ids(spark, root) in ([1], [1, 2, 3])  # never a part of the batch
+        one.land(1, _entity_rows(spark, [2, 3]))
+        assert _ids(spark, root) == [1, 2, 3], (name, part, late)
+
+
+def test_a_number_that_another_landing_took(spark):
+    from tallyspark import files
+    root, one = _ledger(spark)
+    files.write_json(spark, f"{one.folder}/000000000000.json", {"batch_no": 7})
+    landing.land_batch(spark, records(spark, [{"id": 5}]), "order", f"{root}/raw", f"{root}/state", "shop-a", 7)
+    assert one.land(0, _entity_rows(spark, [1]))["batch_no"] != 7
+    assert _ids(spark, root) == [1, 5]
+
+
+def test_watermark_of_a_run_that_broke_off_before_its_commit(spark, tmp_path, monkeypatch):
+    import pytest
+    from tallyspark.streaming import landing_stream
+    pages, root = tmp_path / "pages", fresh_path(spark, "t-late")
+    _page_file(pages, "a.json", [(1, 20)])
+
+    def run():
+        land_stream(spark, str(pages), "order", f"{root}/raw", f"{root}/state", f"{root}/ckpt", "shop-a")
+
+    def stop(*a):
+        raise RuntimeError("lost driver")
+    with monkeypatch.context() as m:
+        m.setattr(landing_stream, "commit_watermark", stop)
+        with pytest.raises(RuntimeError):
+            run()
+    assert landing.read_state(spark, f"{root}/state").collect() == []
+    run()  # no new page, but the landed epoch counts
+    assert landing.read_state(spark, f"{root}/state").first().last_updated_at == dt.datetime(2024, 1, 20)
+    assert _ids(spark, root) == [1]
+
+
+def _merge(spark, target, updates):
+    from tallyspark.operators import incremental, versions
     schema = "k long, v string, p string"
-    path = fresh_path(spark, "t-null-merge") + "/t"
-    spark.createDataFrame(target, schema).write.partitionBy("p").parquet(path)
-    if crash:
-        drop, calls = incremental._drop_noted, []
-        incremental._drop_noted = lambda *a: calls.append(1) or (drop(*a) if len(calls) == 1 else None)
-        try:
-            incremental.merge_partitions(path, spark.createDataFrame(updates, schema), ["k"], "p")
-        finally:
-            incremental._drop_noted = drop
+    path = fresh_path(spark, "t-null-merge")
+    df = spark.createDataFrame(target, schema)
+    versions.replace(df, path, "p", None)
     incremental.merge_partitions(path, spark.createDataFrame(updates, schema), ["k"], "p")
-    return sorted(((r.k, r.v, r.p) for r in spark.read.schema(schema).parquet(path).collect()), key=str)
+    return sorted((tuple(r) for r in versions.read(spark, path, df.schema, versions.current(spark, path)).collect()), key=str)
 
 
 def test_merge_keeps_and_moves_rows_of_the_null_partition(spark):
@@ -201,11 +285,6 @@ def test_merge_keeps_and_moves_rows_of_the_null_partition(spark):
     assert _merge(spark, target, [(3, "b", None)]) == sorted([(1, "a", None), (2, "a", None), (3, "b", None)], key=str)
 
 
-def test_merge_after_a_crash_before_the_drop(spark):
-    target = [(1, "a", "2024-01"), (2, "a", "2024-02")]
-    assert _merge(spark, target, [(1, "b", "2024-02")], crash=True) == [(1, "b", "2024-02"), (2, "a", "2024-02")]
-
-
 def test_unparseable_creation_time_survives_the_incremental_fact(spark):
     from tallyspark.plans.incremental import run_fct_orders
     from tallyspark.sources.schemas import raw_entity_schema
