@@ -10,6 +10,7 @@ cast back to BIGINT.
 
 from __future__ import annotations
 
+from tallyspark.checks import declared_tests as declared
 from tallyspark.params import CHECK_BATCH_NO
 
 FLOOR = "20240105"
@@ -429,20 +430,17 @@ def _wrap(parts: list[str], ctes: set[str]) -> str:
 
 
 def _not_null_parts():
-    from tallyspark.plans.quality import NOT_NULL
     parts, ctes = [], set()
-    for model, cols in NOT_NULL.items():
+    for model, c, sev in declared.columns(declared.NOT_NULL):
         t = MODEL_CTE[model]
         ctes.add(t)
-        for c, sev in cols:
-            parts.append(_summary(model, c, "not_null", sev, f"SELECT count(*) FROM {t} WHERE {c} IS NULL"))
+        parts.append(_summary(model, c, "not_null", sev, f"SELECT count(*) FROM {t} WHERE {c} IS NULL"))
     return parts, ctes
 
 
 def _unique_parts():
-    from tallyspark.plans.quality import UNIQUE
     parts, ctes = [], set()
-    for model, c, sev in UNIQUE:
+    for model, c, sev in declared.columns(declared.UNIQUE):
         t = MODEL_CTE[model]
         ctes.add(t)
         parts.append(_summary(model, c, "unique", sev,
@@ -452,22 +450,18 @@ def _unique_parts():
 
 
 def _accepted_parts():
-    from tallyspark.plans.quality import ACCEPTED_VALUES
     parts, ctes = [], set()
-    for model, c, vals, sev, where in ACCEPTED_VALUES:
+    for model, c, sev, where, values in declared.ACCEPTED_VALUES:
         t = MODEL_CTE[model]
         ctes.add(t)
-        lst = ", ".join(f"'{v}'" for v in vals)
-        cond = f"({where}) AND " if where else ""
         parts.append(_summary(model, c, "accepted_values", sev,
-                              f"SELECT count(*) FROM (SELECT DISTINCT {c} FROM {t} WHERE {cond}{c} NOT IN ({lst}))"))
+                              f"SELECT count(*) FROM (SELECT DISTINCT {c} FROM {t} WHERE ({where}) AND {c} NOT IN ({values}))"))
     return parts, ctes
 
 
 def _combination_parts():
-    from tallyspark.plans.quality import UNIQUE_COMBINATION
     parts, ctes = [], set()
-    for model, cols, sev in UNIQUE_COMBINATION:
+    for model, sev, cols in declared.UNIQUE_COMBINATION:
         t = MODEL_CTE[model]
         ctes.add(t)
         cl = ", ".join(cols)
@@ -476,7 +470,7 @@ def _combination_parts():
     return parts, ctes
 
 
-# Singular tests: failing-row SQL (from the test definitions).
+# The singular tests' failing-row SQL.
 SINGULAR_SQL = {
     "dq_purchase_missing_txn": ("stg_purchases",
         "SELECT event_key, event_date, event_timestamp, user_pseudo_id, session_key, transaction_id "

@@ -13,10 +13,11 @@ import hashlib
 import os
 import threading
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from tallyspark.params import Params
 from tallyspark.plans import marts, reconcile, staging
@@ -179,6 +180,11 @@ def model(fn):
     return property(get)
 
 
+def _present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Those of ``columns`` that ``df`` has: a lean table lacks the payload."""
+    return df.select(*[c for c in columns if c in df.columns])
+
+
 class Models:
     """The model graph over one set of inputs; every model is a lazy
     DataFrame until an action runs."""
@@ -205,13 +211,13 @@ class Models:
         return names
 
     # staging ---------------------------------------------------------------
-    @cached_property
+    @model
     def stg_orders_parsed(self) -> DataFrame:
         return staging.stg_orders_parsed(self.inputs.raw_orders, self.params)
 
     @model
     def stg_orders(self) -> DataFrame:
-        return self.stg_orders_parsed.select(*staging.ORDER_COLUMNS)
+        return _present(self.stg_orders_parsed, staging.ORDER_COLUMNS)
 
     @cached_property
     def order_lines_wide(self) -> DataFrame:
@@ -225,13 +231,17 @@ class Models:
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.inputs.raw_customers)
 
+    @model
+    def stg_products_parsed(self) -> DataFrame:
+        return staging.stg_products_parsed(self.inputs.raw_products)
+
     @model
     def stg_products(self) -> DataFrame:
-        return staging.stg_products(self.inputs.raw_products)
+        return _present(self.stg_products_parsed, staging.PRODUCT_COLUMNS)
 
     @model
     def stg_product_variants(self) -> DataFrame:
-        return staging.stg_product_variants(self.inputs.raw_products)
+        return staging.product_variants(self.stg_products_parsed)
 
     @model
     def stg_ga_events(self) -> DataFrame:
@@ -277,7 +287,11 @@ class Models:
 
     @model
     def fct_funnel(self) -> DataFrame:
-        return marts.fct_funnel(self.stg_ga_sessions, self.purchase_reconciliation)
+        return marts.funnel_of_matched(self.stg_ga_sessions, self._matched_purchases)
+
+    @property
+    def _matched_purchases(self) -> DataFrame:
+        return reconcile.matched_purchases(self.stg_ga_purchases, self.stg_orders)
 
 
 class MaterializedModels(Models):
@@ -287,26 +301,41 @@ class MaterializedModels(Models):
     scan the table instead of recomputing it. The written tables also cut
     lineage, so a lost executor costs one model's tasks, not the chain."""
 
-    def __init__(self, base: Models, root: str, only: set[str] | None = None, lean: bool = False):
+    def __init__(self, base: Models, root: str, only: set[str] | None = None, lean: bool = False,
+                 watch: dict[str, tuple[list[Column], Callable[[Observation], None]]] | None = None):
+        """``watch``: per written model, metrics to observe while it is written and who is told."""
         super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
         self.root = root
-        self.only = only
-        self.base, self.lean = base, lean
+        self.only = set(MODEL_NAMES) if only is None else only
+        self.base, self.lean, self.watch = base, lean, watch or {}
 
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
-        if self.only is not None and name not in self.only:
+        if name not in self.only:
             return df
         path = f"{self.root}/{name}"
         if self.lean:
             df = df.drop(*WIDE_COLUMNS)
+        rows, (metrics, tell) = df, self.watch.get(name, ([], None))
+        if metrics:
+            # On top of the write: its last stage, where a task that runs again counts once.
+            seen = Observation(f"{name}-{uuid.uuid4().hex}")
+            rows = df.observe(seen, *metrics)
         # overwrite: a rerun after a failure replaces a partial directory.
-        df.write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path)
+        if metrics:
+            tell(seen)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @property
+    def _matched_purchases(self) -> DataFrame:
+        if "purchase_reconciliation" in self.only:
+            return reconcile.matched_of(self.purchase_reconciliation)
+        return Models._matched_purchases.__get__(self)
+
     @property
     def stg_ga_items(self) -> DataFrame:
         """From the unwritten events where the written ones have no items."""
-        if self.lean and "stg_ga_events" in (self.only or ()):
+        if self.lean and "stg_ga_events" in self.only:
             return self.base.stg_ga_items
         return Models.stg_ga_items.__get__(self)
 
@@ -318,17 +347,22 @@ WIDE_COLUMNS = ("payload_json", "items")
 # The model graph by dependency level: models of one level only read raw
 # inputs or models of earlier levels, so a level's models are independent.
 MODEL_LEVELS = [
-    ["stg_orders", "stg_order_line_items", "stg_customers", "stg_products", "stg_product_variants",
-     "stg_ga_events", "fct_order_lines"],
+    ["stg_orders_parsed", "stg_products_parsed", "stg_ga_events", "stg_customers"],
+    ["stg_orders", "stg_order_line_items", "stg_products", "stg_product_variants", "fct_order_lines"],
     ["stg_ga_sessions", "stg_ga_purchases", "stg_ga_items", "fct_orders"],
     ["purchase_reconciliation", "order_attribution"],
     ["fct_attributed_orders", "fct_funnel"],
     ["fct_channel_revenue"],
 ]
-MODEL_NAMES = [n for level in MODEL_LEVELS for n in level]
+# Parsed once for two models each; written only where a job asks for it.
+SHARED = ("stg_orders_parsed", "stg_products_parsed")
+MODEL_NAMES = [n for level in MODEL_LEVELS for n in level if n not in SHARED]
 
 # Direct upstream models of each model (raw inputs omitted).
 MODEL_DEPS = {
+    "stg_orders": ["stg_orders_parsed"], "stg_order_line_items": ["stg_orders_parsed"],
+    "fct_order_lines": ["stg_orders_parsed"],
+    "stg_products": ["stg_products_parsed"], "stg_product_variants": ["stg_products_parsed"],
     "stg_ga_sessions": ["stg_ga_events"], "stg_ga_purchases": ["stg_ga_events"],
     "stg_ga_items": ["stg_ga_events"], "fct_orders": ["stg_orders"],
     "purchase_reconciliation": ["stg_ga_purchases", "stg_orders"],
@@ -361,7 +395,7 @@ def build_all(models: Models, root: str, parallelism: int = 4) -> MaterializedMo
     mm = MaterializedModels(models, root)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for level in MODEL_LEVELS:
-            list(pool.map(lambda n: getattr(mm, n), level))
+            list(pool.map(lambda n: getattr(mm, n), [n for n in level if n not in SHARED]))
     return mm
 
 

@@ -3,13 +3,13 @@ channel revenue (M15, the flagship) and the session funnel (M16)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.money import money_sum, ratio
 from tallyspark.operators.incremental import changed_since
 from tallyspark.params import Params
-from tallyspark.plans.reconcile import ATTRIBUTION_COLUMNS
+from tallyspark.plans.reconcile import ATTRIBUTION_COLUMNS, matched_of
 
 # The contract's column order.
 FCT_ORDER_COLUMNS = [
@@ -97,32 +97,39 @@ CHANNEL_COLUMNS = CHANNEL_KEYS + [
 def fct_channel_revenue(attributed: DataFrame) -> DataFrame:
     """Revenue by order date, currency and attributed channel.
 
-    One aggregation over the attributed orders. The three order counts are
-    ``count(DISTINCT order_id)`` with FILTER clauses, so they share one
-    distinct key: Spark's distinct rewrite expands each row into three
-    projections (order ids, customer ids, plain aggregates) in memory, and
-    partial aggregation runs before the single shuffle -- shuffle volume stays
-    about one row per order. Money is summed exactly (decimal).
+    Orders, then customers, then channels, each distinct count as a plain count of
+    the level before it; no row is copied per distinct count. The first level
+    groups by order id and keeps the partitioning of the join that made the
+    attributed orders, if that joined by key: the first shuffle then carries
+    one narrow row per order and customer, partially added up. An order id with
+    several rows (orders of several shops) counts once in a channel, its money
+    as often as it stands. Money is summed exactly (decimal).
     """
     a = attributed.select(
         F.col("order_created_date").alias("revenue_date"), "currency", "attributed_source",
         "attributed_medium", "attributed_campaign", "order_id", "customer_id", "is_attributed",
         "subtotal_price", "total_discounts", "total_tax", "total_price")
     att = F.col("is_attributed")
-    g = a.groupBy(*CHANNEL_KEYS).agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.expr("count(DISTINCT order_id) FILTER (WHERE is_attributed)").alias("attributed_orders"),
-        F.expr("count(DISTINCT order_id) FILTER (WHERE NOT is_attributed)").alias("unattributed_orders"),
-        money_sum("subtotal_price").cast("double").alias("subtotal_revenue"),
-        money_sum("total_discounts").cast("double").alias("discounts"),
-        money_sum("total_tax").cast("double").alias("tax"),
-        money_sum("total_price").cast("double").alias("total_revenue"),
-        money_sum(F.when(att, F.col("total_price")).otherwise(F.lit(0.0))).cast("double")
-        .alias("attributed_revenue"),
-        money_sum(F.when(~att, F.col("total_price")).otherwise(F.lit(0.0))).cast("double")
-        .alias("unattributed_revenue"),
-    )
+    money = ["subtotal_revenue", "discounts", "tax", "total_revenue", "attributed_revenue", "unattributed_revenue"]
+    counts = ["orders", "attributed_orders", "unattributed_orders"]
+    # One row per order and customer, almost always one per order.
+    per_order = a.groupBy("order_id", *CHANNEL_KEYS, "customer_id").agg(
+        F.max(att).alias("_any_attributed"), F.max(~att).alias("_any_unattributed"),
+        money_sum("subtotal_price").alias("subtotal_revenue"), money_sum("total_discounts").alias("discounts"),
+        money_sum("total_tax").alias("tax"), money_sum("total_price").alias("total_revenue"),
+        money_sum(F.when(att, F.col("total_price")).otherwise(F.lit(0.0))).alias("attributed_revenue"),
+        money_sum(F.when(~att, F.col("total_price")).otherwise(F.lit(0.0))).alias("unattributed_revenue"))
+    same = Window.partitionBy("order_id", *CHANNEL_KEYS)
+    first = F.row_number().over(same.orderBy("customer_id")) == 1
+    known = F.col("order_id").isNotNull()
+    flagged = per_order.select(
+        *CHANNEL_KEYS, "customer_id", *money, (first & known).cast("bigint").alias("orders"),
+        (first & known & F.max("_any_attributed").over(same)).cast("bigint").alias("attributed_orders"),
+        (first & known & F.max("_any_unattributed").over(same)).cast("bigint").alias("unattributed_orders"))
+    per_customer = flagged.groupBy(*CHANNEL_KEYS, "customer_id").agg(*[F.sum(c).alias(c) for c in counts + money])
+    g = per_customer.groupBy(*CHANNEL_KEYS).agg(
+        F.count("customer_id").alias("customers"), *[F.sum(c).alias(c) for c in counts],
+        *[F.sum(c).cast("double").alias(c) for c in money])
     return g.select(
         *CHANNEL_KEYS, "orders", "customers", "attributed_orders", "unattributed_orders",
         "subtotal_revenue", "discounts", "tax", "total_revenue", "attributed_revenue",
@@ -146,9 +153,16 @@ FUNNEL_COLUMNS = FUNNEL_KEYS + [
 
 
 def fct_funnel(sessions: DataFrame, reconciliation: DataFrame) -> DataFrame:
-    """Sessions and funnel steps by session date and traffic source.
+    """M16 from the sessions and the reconciliation."""
+    return funnel_of_matched(sessions, matched_of(reconciliation))
+
+
+def funnel_of_matched(sessions: DataFrame, matched: DataFrame) -> DataFrame:
+    """Sessions and funnel steps by session date and traffic source, from
+    the sessions and the matched purchases (session, order, order total).
 
-    Matched orders are pre-aggregated per session before the join. The
+    Matched orders are pre-aggregated per order and session under the
+    partitioning of the order join, then per session. The
     ``count(distinct if(flag, session_key))`` family is computed from a
     per-(group, session_key) aggregate; grouping by session_key first keeps
     the join's partitioning, so no extra shuffle is added.
@@ -165,10 +179,9 @@ def fct_funnel(sessions: DataFrame, reconciliation: DataFrame) -> DataFrame:
         (F.col("add_to_cart_count") > 0).alias("had_add_to_cart"),
         (F.col("begin_checkout_count") > 0).alias("had_begin_checkout"),
         (F.col("purchase_count") > 0).alias("had_ga4_purchase"))
-    m = (reconciliation.where((F.col("match_status") == "matched") & F.col("session_key").isNotNull())
-         .groupBy(F.col("session_key").alias("_m_session_key"))
-         .agg(F.count_distinct("shopify_order_id").alias("_matched_orders"),
-              money_sum("shopify_total_price").alias("_revenue")))
+    per_order = matched.groupBy("order_id", "session_key").agg(money_sum("total_price").alias("_revenue"))
+    m = per_order.groupBy(F.col("session_key").alias("_m_session_key")).agg(
+        F.count("order_id").alias("_matched_orders"), F.sum("_revenue").alias("_revenue"))
     j = s.join(m, s.session_key == m._m_session_key, "left")
     flags = ["had_page_view", "had_view_item", "had_add_to_cart", "had_begin_checkout", "had_ga4_purchase"]
     per_session = j.groupBy("session_key", *FUNNEL_KEYS).agg(

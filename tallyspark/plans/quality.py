@@ -1,22 +1,32 @@
 """The declared quality suite: 99 generic tests (83 not_null, 11 unique,
 4 accepted_values, 1 unique combination) and 9 singular failing-row tests.
 
-Generic tests are declared as data below and run through
-``tallyspark.operators.assertions``; all not_null tests of one model share a
-single aggregate pass. Summaries over many models read the hub models
-through written tables (``over_hubs``); after a full materialised run
-(``build.build_all``) pass its ``MaterializedModels`` and every test scans
-the written tables.
+Tests are declared as data below. A summary (:func:`audit`) counts them like this:
+
+* Tests on single rows (not_null, and seven of the singular ones) are counted
+  by ``DataFrame.observe`` while a model is written for its readers anyway, or,
+  if nothing reads it, while the keys that its other tests need are written.
+  The observation stands on top of the write, in its last stage, where a task
+  that runs again counts once.
+* Tests on groups (unique, unique combination, the funnel's grain) read those
+  keys, of all models together: one shuffle on (test, key).
+* Of accepted_values the rows outside the list are counted in the first way;
+  only where there are any do their different values join that shuffle.
+
+So no model is computed twice, and a model's rows are read again for its keys only.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyspark.operators import assertions as A
 from tallyspark.plans.marts import CHANNEL_KEYS
 
 E, W = "error", "warn"
@@ -83,126 +93,74 @@ ACCEPTED_VALUES: list[tuple[str, str, list[str], str, str | None]] = [
 UNIQUE_COMBINATION: list[tuple[str, list[str], str]] = [("fct_channel_revenue", CHANNEL_KEYS, E)]
 
 
-def _union(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)
-
-
-# Models read by several tests (directly or through a downstream model):
-# the order dedup, the event extraction, the purchase-order join, the line
-# items (3 tests; the heaviest parse), the product and customer dedups (4 and
-# 2 readers; dimension tables grow with the data too), and the two marts read
-# by many tests (funnel: 6 tests, attribution: 8).
-HUB_MODELS = {"stg_orders", "stg_ga_events", "purchase_reconciliation", "stg_order_line_items",
-              "stg_products", "stg_customers", "fct_funnel", "order_attribution"}
-
-
-def over_hubs(m, reads=None):
-    """Multi-model summaries read the hub models through written tables.
-
-    As one plan, every test would carry its own differently-pruned copy of
-    the hubs' shuffles (no exchange reuse): at scale the orders dedup would
-    run once per consumer. Written once in the shared folder, each hub
-    shuffles once and its lineage is cut. Only the hubs the summary's models
-    sit on are written. (Measured at sf0.1 this is also the fastest of:
-    nothing, persisted hubs, written hubs, all models written.)"""
-    from tallyspark.plans.build import with_written, upstream_closure
-    hubs = HUB_MODELS & upstream_closure(reads) if reads is not None else set(HUB_MODELS)
-    return with_written(m, hubs)
-
-
-def dq_not_null(m) -> DataFrame:
-    m = over_hubs(m, NOT_NULL)
-    return _union([A.not_null_summary(getattr(m, model), model, cols) for model, cols in NOT_NULL.items()])
-
-
-def dq_unique(m) -> DataFrame:
-    m = over_hubs(m, [model for model, _, _ in UNIQUE])
-    return _union([A.unique_summary(getattr(m, model), model, col, sev) for model, col, sev in UNIQUE])
-
-
-def dq_accepted_values(m) -> DataFrame:
-    m = over_hubs(m, [model for model, *_ in ACCEPTED_VALUES])
-    return _union([A.accepted_values_summary(getattr(m, model), model, col, vals, sev, where)
-                   for model, col, vals, sev, where in ACCEPTED_VALUES])
-
-
-def dq_unique_combination(m) -> DataFrame:
-    return _union([A.unique_combination_summary(getattr(m, model), model, cols, sev)
-                   for model, cols, sev in UNIQUE_COMBINATION])
-
-
 # ---------------------------------------------------------------------------
 # Singular tests: each returns its failing rows.
 # ---------------------------------------------------------------------------
 
-def dq_purchase_missing_txn(m) -> DataFrame:
-    """Purchases without a transaction id (warn)."""
-    return m.stg_ga_purchases.where(F.col("transaction_id").isNull()).select(
-        "event_key", "event_date", "event_timestamp", "user_pseudo_id", "session_key", "transaction_id")
-
-
 FUNNEL_GRAIN = ["event_date", "source", "medium", "campaign"]
-
-
-def dq_funnel_grain(m) -> DataFrame:
-    return (m.fct_funnel.groupBy(*FUNNEL_GRAIN).agg(F.count(F.lit(1)).alias("row_count"))
-            .where(F.col("row_count") > 1))
-
-
-def _outside_unit(c: str):
-    return ~F.col(c).between(0, 1)
-
-
-def dq_funnel_rates(m) -> DataFrame:
-    """Two rates outside [0, 1]; a NULL rate is not a failure."""
-    f = m.fct_funnel
-    cond = _outside_unit("session_to_view_item_rate") | _outside_unit("session_to_purchase_rate")
-    return f.where(cond).select(*FUNNEL_GRAIN, "session_to_view_item_rate", "session_to_purchase_rate")
-
-
-def dq_funnel_step_over_one(m) -> DataFrame:
-    """Step rates over 1 (warn: legitimate when sessions enter mid-funnel)."""
-    steps = ["view_item_to_cart_rate", "cart_to_checkout_rate", "checkout_to_purchase_rate"]
-    cond = reduce(lambda a, b: a | b, [F.col(c) > 1 for c in steps])
-    return m.fct_funnel.where(cond).select(*FUNNEL_GRAIN, *steps)
-
-
-# Metrics of the singular tests.
+# Rates and metrics of the singular tests.
+FUNNEL_RATES = ["session_to_view_item_rate", "session_to_purchase_rate"]
+FUNNEL_STEPS = ["view_item_to_cart_rate", "cart_to_checkout_rate", "checkout_to_purchase_rate"]
 FUNNEL_METRICS = ["sessions", "page_view_sessions", "view_item_sessions", "add_to_cart_sessions",
                   "checkout_sessions", "ga4_purchase_sessions", "matched_purchase_sessions",
                   "matched_orders", "shopify_revenue"]
+ORDER_MONEY = ["subtotal_price", "total_tax", "total_discounts", "total_price"]
+
+
+def _any(conditions) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+@dataclass(frozen=True)
+class FailingRows:
+    """A singular test: the rows of ``model`` for which ``fails`` holds."""
+    name: str
+    model: str
+    severity: str
+    fails: Callable[[], Column]
+    columns: list[str]
+
+    def __call__(self, m) -> DataFrame:
+        return getattr(m, self.model).where(self.fails()).select(*self.columns)
+
+
+# Purchases without a transaction id.
+dq_purchase_missing_txn = FailingRows(
+    "purchases_have_transaction_id", "stg_ga_purchases", W, lambda: F.col("transaction_id").isNull(),
+    ["event_key", "event_date", "event_timestamp", "user_pseudo_id", "session_key", "transaction_id"])
+# Two rates outside [0, 1]; a NULL rate is not a failure.
+dq_funnel_rates = FailingRows(
+    "funnel_rates_between_zero_and_one", "fct_funnel", E, lambda: _any(~F.col(c).between(0, 1) for c in FUNNEL_RATES),
+    FUNNEL_GRAIN + FUNNEL_RATES)
+# Step rates over 1 are legitimate when sessions enter mid-funnel.
+dq_funnel_step_over_one = FailingRows(
+    "funnel_step_rates_over_one", "fct_funnel", W, lambda: _any(F.col(c) > 1 for c in FUNNEL_STEPS), FUNNEL_GRAIN + FUNNEL_STEPS)
+dq_funnel_non_negative = FailingRows(
+    "funnel_metrics_are_non_negative", "fct_funnel", E, lambda: _any(F.col(c) < 0 for c in FUNNEL_METRICS),
+    FUNNEL_GRAIN + FUNNEL_METRICS)
+# Matched purchases whose revenue differs from the order's by more than 1.
+dq_large_revenue_difference = FailingRows(
+    "reconciliation_large_revenue_difference", "purchase_reconciliation", W,
+    lambda: (F.col("match_status") == "matched") & (F.abs(F.coalesce("revenue_difference", F.lit(0.0))) > 1),
+    ["ga4_event_key", "ga4_transaction_id", "shopify_order_id", "ga4_purchase_revenue", "shopify_total_price", "revenue_difference"])
+# Purchases not matched to an order.
+dq_unmatched_purchases = FailingRows(
+    "reconciliation_unmatched_purchases", "purchase_reconciliation", W, lambda: F.col("match_status") != "matched",
+    ["ga4_event_key", "ga4_event_timestamp", "ga4_transaction_id", "match_status"])
+dq_line_quantity = FailingRows(
+    "order_line_quantities_are_positive", "stg_order_line_items", E,
+    lambda: (F.col("quantity") <= 0) | F.col("quantity").isNull(), ["order_id", "order_item_id", "quantity"])
+dq_order_totals = FailingRows(
+    "order_totals_are_non_negative", "stg_orders", E, lambda: _any(F.coalesce(c, F.lit(0.0)) < 0 for c in ORDER_MONEY),
+    ["order_id"] + ORDER_MONEY)
+
+SINGULAR_ROWS = [dq_purchase_missing_txn, dq_funnel_rates, dq_funnel_step_over_one, dq_funnel_non_negative,
+                 dq_large_revenue_difference, dq_unmatched_purchases, dq_line_quantity, dq_order_totals]
 
 
-def dq_funnel_non_negative(m) -> DataFrame:
-    cond = reduce(lambda a, b: a | b, [F.col(c) < 0 for c in FUNNEL_METRICS])
-    return m.fct_funnel.where(cond).select(*FUNNEL_GRAIN, *FUNNEL_METRICS)
-
-
-def dq_large_revenue_difference(m) -> DataFrame:
-    """Matched purchases whose revenue differs from the order by more than 1 (warn)."""
-    r = m.purchase_reconciliation
-    return r.where((F.col("match_status") == "matched")
-                   & (F.abs(F.coalesce("revenue_difference", F.lit(0.0))) > 1)).select(
-        "ga4_event_key", "ga4_transaction_id", "shopify_order_id", "ga4_purchase_revenue",
-        "shopify_total_price", "revenue_difference")
-
-
-def dq_unmatched_purchases(m) -> DataFrame:
-    """Purchases not matched to an order (warn)."""
-    return m.purchase_reconciliation.where(F.col("match_status") != "matched").select(
-        "ga4_event_key", "ga4_event_timestamp", "ga4_transaction_id", "match_status")
-
-
-def dq_line_quantity(m) -> DataFrame:
-    li = m.stg_order_line_items
-    return li.where((F.col("quantity") <= 0) | F.col("quantity").isNull()).select(
-        "order_id", "order_item_id", "quantity")
-
-
-def dq_order_totals(m) -> DataFrame:
-    money = ["subtotal_price", "total_tax", "total_discounts", "total_price"]
-    cond = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(0.0)) < 0 for c in money])
-    return m.stg_orders.where(cond).select("order_id", *money)
+def dq_funnel_grain(m) -> DataFrame:
+    return (m.fct_funnel.groupBy(*FUNNEL_GRAIN).agg(F.count(F.lit(1)).alias("row_count"))
+            .where(F.col("row_count") > 1))
 
 
 def dq_duplicate_param_keys(m) -> DataFrame:
@@ -215,26 +173,163 @@ def dq_duplicate_param_keys(m) -> DataFrame:
         "user_pseudo_id", "event_timestamp", "event_name", "_table_suffix")
 
 
-# (test name, function, model it reads, severity)
-SINGULAR = [
-    ("purchases_have_transaction_id", dq_purchase_missing_txn, "stg_ga_purchases", W),
-    ("funnel_unique_grain", dq_funnel_grain, "fct_funnel", E),
-    ("funnel_rates_between_zero_and_one", dq_funnel_rates, "fct_funnel", E),
-    ("funnel_step_rates_over_one", dq_funnel_step_over_one, "fct_funnel", W),
-    ("funnel_metrics_are_non_negative", dq_funnel_non_negative, "fct_funnel", E),
-    ("reconciliation_large_revenue_difference", dq_large_revenue_difference, "purchase_reconciliation", W),
-    ("reconciliation_unmatched_purchases", dq_unmatched_purchases, "purchase_reconciliation", W),
-    ("order_line_quantities_are_positive", dq_line_quantity, "stg_order_line_items", E),
-    ("order_totals_are_non_negative", dq_order_totals, "stg_orders", E),
-]
+SINGULAR = [*SINGULAR_ROWS, dq_funnel_grain]
+
+# ---------------------------------------------------------------------------
+# Summaries: (model, column_name, test, severity, failures, status) per test.
+# ---------------------------------------------------------------------------
+
+RESULT = "model string, column_name string, test string, severity string, failures long, status string"
+
+
+@dataclass(frozen=True)
+class Test:
+    model: str
+    column: str
+    test: str
+    severity: str
+    #: A test on single rows: the rows that fail, or that may.
+    fails: Callable[[], Column] | None = None
+    #: A test on groups: the columns of the key.
+    key: tuple[str, ...] = ()
+    #: Failing groups: those of several rows, or (accepted_values) all.
+    repeated: bool = True
+    #: The key's rows (unique: those with a value).
+    where: Callable[[], Column] | None = None
+
+
+def _not_null() -> list[Test]:
+    return [Test(model, c, "not_null", sev, fails=lambda c=c: F.col(c).isNull())
+            for model, cols in NOT_NULL.items() for c, sev in cols]
+
+
+def _unique() -> list[Test]:
+    return [Test(model, c, "unique", sev, key=(c,), where=lambda c=c: F.col(c).isNotNull()) for model, c, sev in UNIQUE]
+
+
+def _accepted() -> list[Test]:
+    def outside(c, values, where):
+        bad = ~F.col(c).isin(list(values))
+        return F.expr(where) & bad if where else bad
+    return [Test(model, c, "accepted_values", sev, fails=lambda a=(c, vals, where): outside(*a), key=(c,), repeated=False,
+                 where=lambda a=(c, vals, where): outside(*a))
+            for model, c, vals, sev, where in ACCEPTED_VALUES]
+
+
+def _combinations() -> list[Test]:
+    return [Test(model, ",".join(cols), "unique_combination_of_columns", sev, key=tuple(cols)) for model, cols, sev in UNIQUE_COMBINATION]
+
+
+def _singular() -> list[Test]:
+    return [Test(t.model, "", t.name, t.severity, fails=t.fails) for t in SINGULAR_ROWS] + [
+        Test("fct_funnel", "", "funnel_unique_grain", E, key=tuple(FUNNEL_GRAIN))]
+
+
+# Models that several others or a later test read: written for those readers.
+# The parsed orders and products serve their lines and variants as well.
+HUBS = {"stg_orders_parsed", "stg_products_parsed", "stg_ga_events", "stg_ga_sessions", "stg_ga_purchases",
+        "purchase_reconciliation", "order_attribution"}
+# A model whose rows are those of a written one: counted there.
+ROWS_OF = {"stg_orders": "stg_orders_parsed", "stg_products": "stg_products_parsed", "fct_attributed_orders": "order_attribution"}
+
+
+def _keys(df: DataFrame, tests: dict[int, Test]) -> DataFrame:
+    """``test, key`` rows of the tests on groups of one model."""
+    parts = []
+    for i, t in tests.items():
+        rows = df.where(t.where()) if t.where else df
+        parts.append(rows.select(F.lit(i).alias("test"), F.array(*[F.col(c).cast("string") for c in t.key]).alias("key")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def audit(m, tests: list[Test], parallelism: int = 4) -> DataFrame:
+    """One summary row per test. The models that ``tests`` need are written,
+    once each and independent ones at a time; the result is one row per test."""
+    from tallyspark.plans.build import MODEL_LEVELS, MaterializedModels, upstream_closure
+    from tallyspark.session import fresh_path
+    spark = m.spark
+    numbered = dict(enumerate(tests))
+    built = isinstance(m, MaterializedModels)  # every model is a table already
+    home = {i: t.model if built else ROWS_OF.get(t.model, t.model) for i, t in numbered.items()}
+    hubs = set() if built else HUBS & upstream_closure(set(home.values()))
+    rows, groups = defaultdict(dict), defaultdict(dict)
+    for i, t in numbered.items():
+        if t.fails:
+            rows[home[i]][i] = t
+        elif t.key:
+            groups[home[i]][i] = t
+    counts: dict[int, int] = {}
+    folder = fresh_path(spark, "audit")
+    keys: list[DataFrame] = []
+
+    def metrics(name: str) -> list[Column]:
+        return [F.count(F.when(t.fails(), 1)).alias(f"t{i}") for i, t in rows[name].items()]
+
+    def counted(seen: Observation) -> None:
+        counts.update({int(k[1:]): v for k, v in seen.get.items()})
+
+    if built:
+        graph = m
+    else:
+        m.inputs.land_all()
+        graph = MaterializedModels(m, f"{folder}/models", hubs, lean=True,
+                                   watch={h: (metrics(h), counted) for h in hubs if rows[h]})
+
+    def run(name: str) -> None:
+        df = getattr(graph, name)
+        if name in hubs:
+            if groups[name]:
+                keys.append(_keys(df, groups[name]))
+        elif rows[name] or groups[name]:
+            seen = Observation(f"audit-{name}-{folder[-12:]}") if rows[name] else None
+            df = df.observe(seen, *metrics(name)) if seen else df
+            if groups[name]:
+                # Only what the tests on groups need is written.
+                columns = sorted({c for t in groups[name].values() for c in t.key})
+                kept = df.select(*columns)
+                kept.write.parquet(f"{folder}/keys/{name}")
+                keys.append(_keys(spark.read.schema(kept.schema).parquet(f"{folder}/keys/{name}"), groups[name]))
+            else:
+                df.write.format("noop").mode("overwrite").save()
+            if seen:
+                counted(seen)
+
+    needed = set(home.values()) | hubs
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        for level in MODEL_LEVELS:
+            list(pool.map(run, [n for n in level if n in needed]))
+
+    # Values outside an accepted list, where there are rows with any.
+    keys += [_keys(getattr(graph, home[i]), {i: t}) for i, t in numbered.items() if t.fails and t.key and counts.get(i)]
+    if keys:
+        sizes = reduce(DataFrame.unionAll, keys).groupBy("test", "key").count()
+        per_test = sizes.groupBy("test").agg(F.count_if(F.col("count") > 1).alias("repeated"), F.count(F.lit(1)).alias("groups"))
+        found = {r.test: r for r in per_test.collect()}
+        for i, t in numbered.items():
+            if t.key:
+                r = found.get(i)
+                counts[i] = 0 if r is None else r.repeated if t.repeated else r.groups
+    return spark.createDataFrame(
+        [(t.model, t.column, t.test, t.severity, counts.get(i, 0),
+          "pass" if not counts.get(i, 0) else "warn" if t.severity == W else "fail") for i, t in numbered.items()], RESULT)
+
+
+def dq_not_null(m) -> DataFrame:
+    return audit(m, _not_null())
 
 
-def dq_singular_summary(m) -> DataFrame:
-    return _union([A.failing_rows_summary(fn(m), name, model, sev) for name, fn, model, sev in SINGULAR])
+def dq_unique(m) -> DataFrame:
+    return audit(m, _unique())
+
+
+def dq_accepted_values(m) -> DataFrame:
+    return audit(m, _accepted())
+
+
+def dq_unique_combination(m) -> DataFrame:
+    return audit(m, _combinations())
 
 
 def dq_suite(m) -> DataFrame:
     """All 108 tests, one summary row each."""
-    m = over_hubs(m)
-    return _union([dq_not_null(m), dq_unique(m), dq_accepted_values(m), dq_unique_combination(m),
-                   dq_singular_summary(m)])
+    return audit(m, _not_null() + _unique() + _accepted() + _combinations() + _singular())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.dedup import first_per_key
@@ -75,6 +75,30 @@ ATTRIBUTION_COLUMNS = [
 ]
 
 
+def order_number_of(transaction_id) -> Column:
+    """The order id that a transaction id names: the integer whose text it is
+    exactly (``'007'`` and ``'-0'`` name none), else NULL."""
+    txn = F.col(transaction_id)
+    return F.when(txn.rlike("^(0|-?[1-9][0-9]*)$"), txn.try_cast("bigint"))
+
+
+def matched_purchases(purchases: DataFrame, stg_orders: DataFrame) -> DataFrame:
+    """``session_key, order_id, total_price`` per purchase event of a session
+    that M10 matches: its matched rows without the columns that nobody asked for.
+    Joined on the order id as a number, so that groupings by it (and more) keep
+    the join's partitioning."""
+    p = purchases.select("session_key", order_number_of("transaction_id").alias("_named")).where(
+        F.col("session_key").isNotNull() & F.col("_named").isNotNull())
+    o = stg_orders.select("order_id", "total_price")
+    return o.join(p, o.order_id == p._named).select("session_key", "order_id", "total_price")
+
+
+def matched_of(reconciliation: DataFrame) -> DataFrame:
+    """The same from the written M10."""
+    return reconciliation.where((F.col("match_status") == "matched") & F.col("session_key").isNotNull()).select(
+        "session_key", F.col("shopify_order_id").alias("order_id"), F.col("shopify_total_price").alias("total_price"))
+
+
 def order_attribution(fct_orders: DataFrame, purchases: DataFrame) -> DataFrame:
     """Every order, with its first matched purchase (by event time, then
     event key: the reference leaves ties arbitrary, D5) as the attribution
@@ -88,16 +112,17 @@ def order_attribution(fct_orders: DataFrame, purchases: DataFrame) -> DataFrame:
     order join. Same rows as the M10-based form while ``order_id`` is unique
     (D2); ``tests`` check the two forms agree.
     """
-    p = purchases.where(F.col("transaction_id").rlike("^-?[0-9]+$")).select(
+    p = purchases.select(
+        order_number_of("transaction_id").alias("_named"),
         "transaction_id", "event_timestamp", "event_key", "user_pseudo_id", "session_key",
         "source", "medium", "campaign", "purchase_revenue",
-        F.col("currency").alias("_ga_currency"))
-    first = first_per_key(p, "transaction_id", ["event_timestamp", "event_key"])
+        F.col("currency").alias("_ga_currency")).where(F.col("_named").isNotNull())
+    first = first_per_key(p, "_named", ["event_timestamp", "event_key"])
     o = fct_orders.select("order_id", "customer_id", "order_created_at", "order_created_date",
                           "currency", "financial_status", "subtotal_price", "total_discounts",
-                          "total_tax", "total_price",
-                          F.col("order_id").cast("string").alias("_order_key"))
-    j = o.join(first, o._order_key == first.transaction_id, "left")
+                          "total_tax", "total_price")
+    # On the number, not its text: groupings by order id keep the join's partitioning.
+    j = o.join(first, o.order_id == first._named, "left")
     matched = F.col("transaction_id").isNotNull()
     return j.select(
         "order_id", "customer_id", "order_created_at", "order_created_date", "currency",

@@ -159,7 +159,8 @@ PRODUCT_FIELDS = ["id", "created_at", "updated_at", "title", "vendor", "product_
 VARIANT_FIELDS = ["id", "title", "sku", "price", "position"]
 
 
-def _stg_products_parsed(raw_products: DataFrame) -> DataFrame:
+def stg_products_parsed(raw_products: DataFrame) -> DataFrame:
+    """M4 plus ``_variants`` (raw text of each variant, used by M5)."""
     raw = raw_products.select("shop_domain", "payload_json", "ingested_at",
                               parse_fields("payload_json", PRODUCT_FIELDS, ["variants"]).alias("_p"))
     p, doc = F.col("_p"), F.col("payload_json")
@@ -175,16 +176,19 @@ def _stg_products_parsed(raw_products: DataFrame) -> DataFrame:
     return _latest(typed, ["shop_domain", "product_id"], F.col("updated_at"))
 
 
+# The contract's column order.
+PRODUCT_COLUMNS = ["shop_domain", "product_id", "created_at", "updated_at", "product_title", "vendor",
+                   "product_type", "status", "payload_json", "ingested_at"]
+
+
 def stg_products(raw_products: DataFrame) -> DataFrame:
     """M4: latest product version per (shop_domain, payload id)."""
-    return _stg_products_parsed(raw_products).select(
-        "shop_domain", "product_id", "created_at", "updated_at", "product_title", "vendor",
-        "product_type", "status", "payload_json", "ingested_at")
+    return stg_products_parsed(raw_products).select(*PRODUCT_COLUMNS)
 
 
-def stg_product_variants(raw_products: DataFrame) -> DataFrame:
+def product_variants(products_parsed: DataFrame) -> DataFrame:
     """M5: one row per element of the latest product's ``$.variants``."""
-    v = _stg_products_parsed(raw_products).select(
+    v = products_parsed.select(
         "shop_domain", "product_id", "ingested_at", F.explode("_variants").alias("_doc"))
     v = v.withColumn("_p", parse_fields("_doc", VARIANT_FIELDS))
     p, doc = F.col("_p"), F.col("_doc")
@@ -197,6 +201,10 @@ def stg_product_variants(raw_products: DataFrame) -> DataFrame:
         safe_bigint(number_text(p, "position")).alias("position"), "ingested_at")
 
 
+def stg_product_variants(raw_products: DataFrame) -> DataFrame:
+    return product_variants(stg_products_parsed(raw_products))
+
+
 # --------------------------------------------------------------------------
 # Analytics events
 # --------------------------------------------------------------------------
