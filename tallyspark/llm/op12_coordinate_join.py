@@ -19,11 +19,12 @@ sets have ``100 * intersection >= percent * union``.
    pairs above the threshold leave it.
 4. Rounds. Links are needed up to connection. In a round the members of a
    list (long ones in pieces) propose a member of another component, every
-   class keeps its best proposal, and those are verified; rounds go on until
-   none brings a link. Then, in the lists that still hold several components, all
-   members outside the list's largest component meet the others across
-   components, and every candidate is verified. A list whose members are
-   connected is joined no more, so that a group of near copies costs a few proposals each.
+   class keeps its best proposal, and those are verified; rounds go on while
+   more than a tenth of the proposals link. Then, in the lists that still hold several
+   components, all members outside the list's largest component meet the others across
+   components, and every candidate is verified: what the rounds left open, however
+   much, is decided here. A list whose members are connected is joined no more,
+   so that a group of near copies costs a few proposals each.
 5. Verification. The whole shingle sets are computed anew for the classes of
    candidates only, from one text of each.
 
@@ -235,17 +236,18 @@ def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
     lists = _lists(classes)
 
     def links_of(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "candidates")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         return written(_verified(pairs, written(_shingle_sets(docs, classes, wanted, k), "sets"), percent), "links")
 
     placed, turn = lists.withColumn("root", F.col("set_id")), 0
-    while True:
-        found = links_of(_proposals(_open(placed), turn, percent))
-        if found.isEmpty():
-            break
+    fruitful = True
+    while fruitful:
+        proposed = written(_proposals(_open(placed), turn, percent), "candidates")
+        found = links_of(proposed)
         placed, turn = written(_joined(placed, found), "placed"), turn + 1
-    roots = written(_joined(placed.select("set_id", "root").distinct(), links_of(_across(placed, percent))), "roots")
+        fruitful = 10 * found.count() > proposed.count()
+    rest = links_of(written(_across(placed, percent), "candidates"))
+    roots = written(_joined(placed.select("set_id", "root").distinct(), rest), "roots")
 
     # The smallest document of each class, then of each component.
     least_doc = written(signed.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
