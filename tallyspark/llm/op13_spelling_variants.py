@@ -4,13 +4,15 @@
    and sends each different word with its count, once per about
    ``WORDS_HELD`` different words; counts are added by word.
 2. Chunks and grams. Of two words one edit apart, the longer one (of equally
-   long ones, either) is split into two disjoint chunks of half its length: one
-   edit leaves a chunk whole, moved by one place at most. The other word
-   contributes its positional grams of that length. Equal chunk and gram
-   within a shift of one meet, and a candidate is verified at once, by its
-   edit distance in code points. Grams further than one place from where a
-   longer or equally long word has a chunk can meet nothing and aren't made,
-   so a word yields at most fourteen rows, however long it is.
+   long ones, either) is split into two disjoint chunks of half its length, at
+   its start and at its end: one edit leaves a chunk whole, moved by one place at
+   most. The other word contributes its positional grams of that length. Equal
+   chunk and gram within a shift of one meet, and a candidate is verified at
+   once, by its edit distance in code points. The shift is known: none for a chunk at the
+   start, the difference of the lengths (none or one) for one at the end,
+   whose place is therefore the same counted from the end. Grams of other
+   places can meet nothing and aren't made, so a word yields at most six
+   rows, however long it is.
 3. Forms. A word's form is its near word of largest count, if that is at least
    ``dominance`` times its own. Counts grow by that factor along forms, so
    chains are short; roots are found by doubling the step.
@@ -96,22 +98,18 @@ def near_words(words: DataFrame) -> DataFrame:
     """``word, near``: every ordered pair of words of two code points or more
     (distinct in ``words``) exactly one insertion, deletion or replacement apart."""
     words = words.select("word", F.length("word").cast("int").alias("l"))
+    start, end = 0, 1  # a place counts from the start or from the end of its word
 
-    def part(start, size):  # a chunk or gram, as its hash
-        return F.xxhash64(F.substring("word", start + 1, size))
+    def parts(size):  # both ends of the word, as hashes
+        return F.inline(F.array(F.struct(F.lit(start).alias("side"), F.xxhash64(F.substring("word", F.lit(1), size)).alias("h")),
+                                F.struct(F.lit(end).alias("side"), F.xxhash64(F.substring("word", F.col("l") - size + 1, size)).alias("h"))))
 
-    q = F.expr("l div 2").cast("int")
-    places = F.array(F.struct(F.lit(0).alias("at"), part(F.lit(0), q).alias("h")), F.struct((F.col("l") - q).alias("at"), part(F.col("l") - q, q).alias("h")))
-    chunks = words.select("word", "l", q.alias("q"), F.inline(places))
-
-    # The chunks of a word of length m are m div 2 long and stand at 0 and m - m div 2.
-    grams = (words.withColumn("m", F.explode(F.array(F.col("l"), F.col("l") + 1)))
-             .withColumn("q", F.expr("m div 2").cast("int"))
-             .withColumn("at", F.explode(F.array_distinct(F.concat(F.array(F.lit(0), F.lit(1)), *[
-                 F.array(F.col("m") - F.col("q") + i) for i in (-1, 0, 1)]))))
-             .filter("at + q <= l").select("word", "l", "q", "at", part(F.col("at"), F.col("q")).alias("h")).distinct())
+    chunks = words.withColumn("q", F.expr("l div 2").cast("int")).select("word", "l", "q", parts(F.col("q")))
+    # The chunks of a word of length l or l + 1 are so long.
+    grams = (words.withColumn("q", F.explode(F.array_distinct(F.expr("array(int(l div 2), int((l + 1) div 2))"))))
+             .select("word", "l", "q", parts(F.col("q"))))
     c, g = chunks.alias("c"), grams.alias("g")
-    met = c.join(g, (F.col("c.q") == F.col("g.q")) & (F.col("c.h") == F.col("g.h")) & (F.abs(F.col("c.at") - F.col("g.at")) <= 1)
+    met = c.join(g, (F.col("c.q") == F.col("g.q")) & (F.col("c.side") == F.col("g.side")) & (F.col("c.h") == F.col("g.h"))
                  & ((F.col("c.l") == F.col("g.l") + 1) | ((F.col("c.l") == F.col("g.l")) & (F.col("c.word") < F.col("g.word"))))
                  & (F.levenshtein(F.col("c.word"), F.col("g.word"), 1) == 1))
     pairs = met.select(F.col("c.word").alias("a"), F.col("g.word").alias("b")).distinct()
