@@ -764,6 +764,11 @@ def landing_sql() -> dict[str, str]:
             "(SELECT max(updated_at) FROM api_orders)) "
             "UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 13 = 0 "
             "UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey % 31 = 0", "api_orders"),
+        # Shards before 20240115 have no items; the last day's is an intraday shard.
+        "ga_events_from_shards": with_(
+            "SELECT event_key, event_date, event_name, ga_session_id, source, transaction_id, purchase_revenue, "
+            "CASE WHEN source_table_suffix = '20240130' THEN 'intraday_20240130' ELSE source_table_suffix END AS source_table_suffix, "
+            "CASE WHEN source_table_suffix >= '20240115' THEN CAST(e % 5 AS BIGINT) ELSE 0 END AS n_items FROM stg_events", "stg_events"),
         "landing_stream_idempotent": with_("SELECT order_id, updated_at FROM api_orders", "api_orders"),
         "source_freshness": with_("""
           SELECT 'raw_orders' AS source_name, 'ingested_at' AS loaded_at_field,

@@ -20,6 +20,8 @@ class Params:
     event_suffix_floor: str = "20260401"
     # Only read daily shards (YYYYMMDD); off = reference behaviour.
     daily_shards_only: bool = False
+    # Folder of daily event shards (``events_<suffix>``); none: the one event relation.
+    event_shards_root: str | None = None
     # Lookback for the incremental facts (O3).
     lookback: str = "INTERVAL 1 DAY"
     # Floor when the target fact is empty (O3).

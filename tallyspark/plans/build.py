@@ -24,6 +24,7 @@ from tallyspark.plans import marts, reconcile, staging
 from tallyspark.session import prepare, shared_dir
 from tallyspark.sources import fixtures
 from tallyspark.sources.schemas import GA_EVENTS_SCHEMA, raw_entity_schema
+from tallyspark.sources.shards import read_shards
 
 # Bump when a fixture rule changes (invalidates landed inputs).
 FIXTURE_VERSION = "5"
@@ -152,6 +153,8 @@ class Inputs:
 
     @cached_property
     def ga_events(self) -> DataFrame:
+        if self.params.event_shards_root:
+            return read_shards(self.spark, self.params.event_shards_root, self.params.event_suffix_floor, self.params.daily_shards_only)
         if not self.landed:
             return fixtures.ga_events(self.spark, self.sf_dir, self.params.event_suffix_floor)
         return self._landed("ga_events", lambda: fixtures.ga_events(self.spark, self.sf_dir),

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark import files
+from tallyspark.plans import staging
 from tallyspark.plans.incremental import run_fct_order_lines, run_fct_orders
 from tallyspark.session import fresh_path
 from tallyspark.sources import landing
+from tallyspark.sources.shards import read_shards
 from tallyspark.streaming.landing_stream import land_stream
 
 # Checkpoints the check scenarios start from (parameters of the scenario).
@@ -156,6 +158,34 @@ def stream_new_checkpoint(m) -> DataFrame:
     return landing.read_raw(m.spark, "order", f"{root}/raw_orders").select("order_id", "updated_at")
 
 
+# From this day on the shards of the scenario have ``items`` (older ones lack the
+# column) and a column that the schema doesn't know.
+SHARDS_CHANGED = "20240115"
+
+
+def write_shards(events: DataFrame, root: str) -> None:
+    """The event export as daily folders of two layouts, one of them an intraday shard."""
+    spark, day = events.sparkSession, F.col("_table_suffix")
+    aside = f"{root}/_writing"
+    old, new = events.where(day < SHARDS_CHANGED).drop("items"), events.where(day >= SHARDS_CHANGED).withColumn("platform", F.lit("WEB"))
+    for name, part in (("old", old), ("new", new)):
+        part.hint("rebalance", "_table_suffix").write.partitionBy("_table_suffix").parquet(f"{aside}/{name}")
+        for folder in files.names(spark, f"{aside}/{name}"):
+            if folder.startswith("_table_suffix="):
+                suffix = folder.removeprefix("_table_suffix=")
+                files.rename(spark, f"{aside}/{name}/{folder}", f"{root}/events_{'intraday_' if suffix == '20240130' else ''}{suffix}")
+
+
+def events_from_shards(m) -> DataFrame:
+    """Events and items staged from separate daily shards of two layouts:
+    per event its shard, and its items with their prices."""
+    root = fresh_path(m.spark, "event-shards")
+    write_shards(m.inputs.ga_events, root)
+    events = staging.stg_ga_events(read_shards(m.spark, root, m.params.event_suffix_floor), m.params)
+    return events.select("event_key", "event_date", "event_name", "ga_session_id", "source", "transaction_id", "purchase_revenue",
+                         "source_table_suffix", F.coalesce(F.array_size("items"), F.lit(0)).cast("bigint").alias("n_items"))
+
+
 def source_freshness(m) -> DataFrame:
     """Per raw source, the latest load time (``ingested_at``) and rows."""
     out = None
