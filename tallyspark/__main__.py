@@ -75,6 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     from tallyspark.params import Params
     from tallyspark.plans.build import MODEL_NAMES, Models, build_all
     from tallyspark.plans.quality import dq_suite
+    from tallyspark.plans.reports import tieouts_of_run
     from tallyspark.session import build_session, fresh_path
 
     spark = build_session(a.master)
@@ -83,6 +84,8 @@ def main(argv: list[str] | None = None) -> int:
     root = a.out or fresh_path(spark, "run")
     built = build_all(models, root)
     print(json.dumps({"models": len(MODEL_NAMES), "root": root}))
+    for name, row in tieouts_of_run(spark, root).items():
+        print(json.dumps({name: row.first().asDict()}))
     if a.skip_tests:
         return 0
     results = dq_suite(built).where(F.col("status") != "pass").collect()

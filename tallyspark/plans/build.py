@@ -18,7 +18,10 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from tallyspark import files
+from tallyspark.functions.money import money_sum
 from tallyspark.params import Params
 from tallyspark.plans import marts, reconcile, staging
 from tallyspark.session import prepare, shared_dir
@@ -311,6 +314,8 @@ class MaterializedModels(Models):
         self.root = root
         self.only = set(MODEL_NAMES) if only is None else only
         self.base, self.lean, self.watch = base, lean, watch or {}
+        #: Per written model its rows and exact money sums, from the write itself.
+        self.totals: dict[str, dict] = {}
 
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         if name not in self.only:
@@ -318,13 +323,16 @@ class MaterializedModels(Models):
         path = f"{self.root}/{name}"
         if self.lean:
             df = df.drop(*WIDE_COLUMNS)
-        rows, (metrics, tell) = df, self.watch.get(name, ([], None))
-        if metrics:
-            # On top of the write: its last stage, where a task that runs again counts once.
-            seen = Observation(f"{name}-{uuid.uuid4().hex}")
-            rows = df.observe(seen, *metrics)
+        metrics, tell = self.watch.get(name, ([], None))
+        totals = [F.count(F.lit(1)).alias("_rows"), *[money_sum(c).alias(f"_{c}") for c in TOTALS.get(name, []) if c in df.columns]]
+        # On top of the write: its last stage, where a task that runs again counts once.
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
         # overwrite: a rerun after a failure replaces a partial directory.
-        rows.write.mode("overwrite").parquet(path)
+        df.observe(seen, *totals, *metrics).write.mode("overwrite").parquet(path)
+        values = seen.get
+        self.totals[name] = {k[1:]: v for k, v in values.items() if k.startswith("_")}
+        # Beside the table's files, under a name that readers of the table skip.
+        files.write_json(self.spark, f"{path}/_totals.json", {k: str(v) if v is not None else None for k, v in self.totals[name].items()})
         if metrics:
             tell(seen)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -343,6 +351,12 @@ class MaterializedModels(Models):
         return Models.stg_ga_items.__get__(self)
 
 
+# Money columns whose exact sums are kept beside a written model.
+TOTALS = {
+    "fct_orders": ["total_price"], "fct_attributed_orders": ["total_price"],
+    "fct_channel_revenue": ["total_revenue", "attributed_revenue", "unattributed_revenue"],
+}
+
 # Columns that hold whole source records: left out of tables that are written
 # only to be counted or summed.
 WIDE_COLUMNS = ("payload_json", "items")

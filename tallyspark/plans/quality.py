@@ -266,7 +266,7 @@ def audit(m, tests: list[Test], parallelism: int = 4) -> DataFrame:
         return [F.count(F.when(t.fails(), 1)).alias(f"t{i}") for i, t in rows[name].items()]
 
     def counted(seen: Observation) -> None:
-        counts.update({int(k[1:]): v for k, v in seen.get.items()})
+        counts.update({int(k[1:]): v for k, v in seen.get.items() if k.startswith("t")})
 
     if built:
         graph = m

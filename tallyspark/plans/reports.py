@@ -7,9 +7,12 @@ DOUBLE; tie-out differences are taken in decimal before conversion.
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyspark import files
 from tallyspark.functions.events import event_param
 from tallyspark.functions.money import money_sum, ratio
 from tallyspark.plans.staging import scan_shards
@@ -130,6 +133,49 @@ def _tie(a: str, b: str):
     return diff.cast("double").alias("difference"), (F.abs(diff) < TIE_TOLERANCE).alias("tied")
 
 
+def written_totals(spark, root: str, models) -> dict[str, dict[str, Decimal | None]]:
+    """The totals kept beside the written models of a full run (``build_all``)."""
+    return {n: {k: Decimal(v) if v is not None else None for k, v in files.read_json(spark, f"{root}/{n}/_totals.json").items()} for n in models}
+
+
+def _row(spark, schema: str, *values) -> DataFrame:
+    return spark.createDataFrame([values], schema)
+
+
+def _near(a: Decimal | None, b: Decimal | None) -> bool | None:
+    return None if a is None or b is None else abs(a - b) < Decimal(str(TIE_TOLERANCE))
+
+
+def _f(x: Decimal | None) -> float | None:
+    return None if x is None else float(x)
+
+
+def tieouts_of_run(spark, root: str) -> dict[str, DataFrame]:
+    """D-7, D-8 and D-10 of a full run, from its written totals alone: nothing is read but
+    one small file per model, and nothing is written."""
+    t = written_totals(spark, root, ("stg_orders", "fct_orders", "fct_attributed_orders", "fct_channel_revenue"))
+    channel, orders, attributed = t["fct_channel_revenue"], t["fct_orders"], t["fct_attributed_orders"]
+    cents = Decimal("0.01")
+
+    def less(a, b):
+        return None if a is None or b is None else float(a.quantize(cents, ROUND_HALF_UP) - b.quantize(cents, ROUND_HALF_UP))
+    a, b = channel["total_revenue"], orders["total_price"]
+    parts = [channel["attributed_revenue"], channel["unattributed_revenue"]]
+    split = None if None in parts else sum(parts)
+    counts = [int(t[n]["rows"]) for n in ("stg_orders", "fct_orders", "fct_attributed_orders")]
+    return {
+        "tieout_revenue": _row(spark, "channel_revenue_total double, order_revenue_total double, difference double, tied boolean",
+                               _f(a), _f(b), less(a, b), _near(a, b)),
+        "tieout_attribution_split": _row(
+            spark, "attributed_revenue double, unattributed_revenue double, total_revenue double, difference double, tied boolean",
+            *map(_f, parts), _f(a), less(split, a), _near(split, a)),
+        "tieout_layers": _row(
+            spark, "stg_orders long, fct_orders long, attributed_orders long, fct_orders_revenue double, "
+            "attributed_orders_revenue double, counts_tied boolean, revenue_tied boolean",
+            *counts, _f(b), _f(attributed["total_price"]), len(set(counts)) == 1, _near(b, attributed["total_price"])),
+    }
+
+
 def tieout_revenue(channel_revenue: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """D-7: channel-revenue total equals the order fact's total price."""
     a = channel_revenue.agg(money_sum("total_revenue").alias("_a"))

@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tallyspark.params import CHECK_PARAMS
-from tallyspark.plans import marts, quality, reconcile, staging
+from tallyspark.plans import marts, quality, reconcile, reports, staging
 from tallyspark.plans.build import Models, build_all
 from tallyspark.session import fresh_path
 
@@ -38,6 +38,22 @@ def test_a_built_run_gives_the_same_summary(spark, sf_small):
     fresh = _rows(quality.dq_suite(m))
     built = build_all(Models(spark, sf_small, CHECK_PARAMS), fresh_path(spark, "t-built"))
     assert _rows(quality.dq_suite(built)) == fresh and len(fresh) == 108
+    # The tie-outs of the run, from the totals of its writes.
+    got = reports.tieouts_of_run(spark, built.root)
+    for name, plain in (("tieout_revenue", reports.tieout_revenue(built.fct_channel_revenue, built.fct_orders)),
+                        ("tieout_attribution_split", reports.tieout_attribution_split(built.fct_channel_revenue)),
+                        ("tieout_layers", reports.tieout_layers(built.stg_orders, built.fct_orders, built.fct_attributed_orders))):
+        assert got[name].first().asDict() == plain.first().asDict(), name
+
+
+def test_published_marts_leave_no_database_behind(spark, sf_small):
+    from tallyspark.plans.catalog import MARTS, published_marts
+    before = {d.name for d in spark.catalog.listDatabases()}
+    assert published_marts(Models(spark, sf_small, CHECK_PARAMS)).count() == len(MARTS)
+    assert {d.name for d in spark.catalog.listDatabases()} == before
+    published_marts(Models(spark, sf_small, CHECK_PARAMS), "tally_kept")
+    assert spark.table("tally_kept.fct_orders").count() > 0
+    spark.sql("DROP DATABASE tally_kept CASCADE")
 
 
 def test_the_audit_leaves_the_failing_rows_queries_alone(spark, sf_small):
