@@ -7,8 +7,10 @@ a whole document count once, so a copied document is not boilerplate), lines
 above the limits are removed, and a document that keeps less than
 ``least_left`` of its words is rejected.
 
-A line is above the limits if at least ``min_docs`` documents of its host and
-at least ``min_share`` of them have it. The host is the column ``source``.
+A line is above the limit if at least ``min_docs`` different documents of its
+host have it, whatever the number of other documents there. A ``min_share`` of the host's
+documents can be asked for besides; by default there is none. The host is the
+column ``source``.
 
 Words in repeated 3-word windows, within one row and without exploding it:
 each window becomes one long, 40 bits of its hash above 24 bits of position;
@@ -88,7 +90,7 @@ def measure(docs: DataFrame) -> DataFrame:
             F.size(F.split(F.btrim(x), " ")).alias("words"))).alias("lines"))
 
 
-def judge(docs: DataFrame, min_docs: int = 10, min_share: float = 0.002, least_left: float = 0.3,
+def judge(docs: DataFrame, min_docs: int = 10, min_share: float = 0.0, least_left: float = 0.3,
           least_words: int = 50) -> DataFrame:
     """``doc_id``, the rule counts, ``n_boilerplate_words`` (of removed
     lines), ``base_failed`` and ``kept`` for every row of ``docs``."""
@@ -96,12 +98,13 @@ def judge(docs: DataFrame, min_docs: int = 10, min_share: float = 0.002, least_l
     lines = rows.select("row", "host", "text_hash", F.explode("lines").alias("l"))
     different = (lines.groupBy("host", F.col("l.line").alias("line"), "text_hash").agg(F.lit(1).alias("one"))
                  .groupBy("host", "line").agg(F.count("*").alias("n_docs")))
-    hosts = (rows.groupBy("host", "text_hash").agg(F.lit(1).alias("one"))
-             .groupBy("host").agg(F.count("*").alias("host_docs")))
-    frequent = (different.filter(F.col("n_docs") >= min_docs)
-                .join(hosts.withColumnRenamed("host", "_h"), F.col("host").eqNullSafe(F.col("_h")))
-                .filter(F.col("n_docs") >= min_share * F.col("host_docs"))
-                .select(F.col("host").alias("_host"), F.col("line").alias("_line")))
+    frequent = different.filter(F.col("n_docs") >= min_docs)
+    if min_share:
+        hosts = (rows.groupBy("host", "text_hash").agg(F.lit(1).alias("one"))
+                 .groupBy(F.col("host").alias("_h")).agg(F.count("*").alias("host_docs")))
+        frequent = (frequent.join(hosts, F.col("host").eqNullSafe(F.col("_h")))
+                    .filter(F.col("n_docs") >= min_share * F.col("host_docs")))
+    frequent = frequent.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
     removed = (lines.select("row", "host", "l.line", "l.words")
                .join(frequent, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")), "left_semi")
                .groupBy("row").agg(F.sum("words").alias("n_boilerplate_words")))
@@ -136,11 +139,7 @@ lines AS (
                                                                '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS line
     FROM texts)),
 solid AS (SELECT *, len(string_split(line, ' ')) AS n FROM lines WHERE line <> ''),
-hosts AS (SELECT source, count(DISTINCT text) AS n FROM texts GROUP BY 1),
-frequent AS (
-  SELECT s.source, s.line FROM solid s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
-  GROUP BY s.source, s.line, h.n
-  HAVING count(DISTINCT s.text) >= 10 AND count(DISTINCT s.text) >= 0.002 * h.n),
+frequent AS (SELECT source, line FROM solid GROUP BY source, line HAVING count(DISTINCT text) >= 10),
 gone AS (
   SELECT s.r, sum(s.n) AS n FROM solid s
   WHERE EXISTS (SELECT 1 FROM frequent f WHERE f.line = s.line AND f.source IS NOT DISTINCT FROM s.source) GROUP BY 1),

@@ -36,7 +36,7 @@ def check(docs, rows, **limits):
     got = sorted((tuple(r) for r in op.judge(docs, **limits).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_boilerplate_words",
         "base_failed", "kept").collect()), key=str)
-    removed = boilerplate([(r["source"], r["text"]) for r in rows], limits.get("min_docs", 10), limits.get("min_share", 0.002))
+    removed = boilerplate([(r["source"], r["text"]) for r in rows], limits.get("min_docs", 10), limits.get("min_share", 0))
     want = []
     for r, gone in zip(rows, removed):
         b = base(r["text"])
