@@ -16,6 +16,9 @@ rule the longest end.
 A found match is consumed; it is dropped afterwards if it is shorter than the
 rule's least length (leftmost, non-overlapping, then drop).
 
+A head whose tail fails is remembered with the states of that run, so the
+time is linear in the text also where heads follow one another without a match.
+
 Every rule is made of ASCII classes, without newline and NUL, so bytes of
 UTF-8 texts can be scanned and NUL can stand between texts. The earliest
 accept of a rule must belong to its leftmost match, which holds where no
@@ -32,6 +35,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -299,19 +303,31 @@ def scan_block(data: np.ndarray, dfa: Automaton) -> tuple[np.ndarray, np.ndarray
     return at[order], dfa.mask[st[order] // 256]
 
 
-def _longest(step, dfa: Automaton, data: bytes, positions) -> int:
-    """Last of the positions at which the anchored automaton accepts, or -1."""
+def _longest(step, dfa: Automaton, data: bytes, positions, failed: array | None = None) -> int:
+    """Last of the positions at which the anchored automaton accepts, or -1.
+    ``failed`` has the state, by position, of runs that accepted nothing from
+    there on: a run that meets one of them ends."""
     s, found = 0, -1
     dead, accepts = dfa.dead * 256, dfa.accepts_from * 256
     for p in positions:
         s = step[s + data[p]]
-        if s == dead:
+        if s == dead or failed is not None and failed[p] == s:
             break
         if s >= accepts:
             found = p
     return found
 
 
+def _note_failure(step, dfa: Automaton, data: bytes, start: int, failed: array) -> None:
+    """The states of a run from ``start`` that accepts nothing, up to where a noted one goes on."""
+    s, dead = 0, dfa.dead * 256
+    for p in range(start, len(data)):
+        s = step[s + data[p]]
+        if s == dead or failed[p] == s:
+            break
+        failed[p] = s
+
+
 @functools.cache
 def _lists(rule: Rule):
     ahead, back = single(rule)
@@ -324,15 +340,20 @@ def spans_of(data: bytes, hits: dict[int, list[int]], rules: tuple[Rule, ...]) -
     for k, ends in hits.items():
         rule = rules[k]
         step, ahead, step_back, back = _lists(rule)
-        done = 0
+        done, failed = 0, None
         for e in ends:
             if e < done:
                 continue
             start = _longest(step_back, back, data, range(e, done - 1, -1))
             if start < 0:
                 continue  # its start lies in a match already consumed
-            end = _longest(step, ahead, data, range(start, len(data))) + 1
+            end = _longest(step, ahead, data, range(start, len(data)), failed) + 1
             if not end:
+                # Tails are loops: the runs of later heads fall in with this one, and aren't
+                # run to its end again, so a text of heads alone takes linear time.
+                if failed is None:
+                    failed = array("i", [-1]) * len(data)
+                _note_failure(step, ahead, data, start, failed)
                 continue
             done = end
             counted = end - start

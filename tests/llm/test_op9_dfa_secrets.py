@@ -70,3 +70,17 @@ def test_masking_keeps_rows_and_removes_spans(awkward, spark):
 def test_awkward_documents(awkward, no_docs, write, spark):
     assert op.query(spark, write(documents=awkward)).count() == awkward.count()
     assert op.scan_secrets(no_docs).count() == 0
+
+
+def test_heads_without_a_match_take_linear_time():
+    import time
+    text = b"eyJ" * 350_000
+    began = time.time()
+    assert op.find_spans([text]) == [[]]
+    took = time.time() - began
+    assert took < 12, took
+    # Runs that fall in with a failed one, then a match behind them.
+    mixed = b"eyJ" * 50 + b" eyJabc.eyJdef " + b"eyJ" * 20 + b".eyJhbGciOiJIUzI1NiJ9.c2lnbmF0dXJlc2lnbmF0dXJl" + b" -----BEGIN " * 9 + b"-----BEGIN RSA PRIVATE KEY-----"
+    want = [(m.start(), m.end(), k) for k, r in (("jwt", rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+                                                 ("pem", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----")) for m in re.finditer(r, mixed)]
+    assert op.find_spans([mixed], op.MORE_RULES)[0] == sorted(want)
