@@ -11,8 +11,11 @@ and its content (the text below it). With m pages,
     importance               = 1 - (1 - presentation) * (1 - content)
 
 A branch whose importance is at or below ``threshold`` is removed from each
-page of the host, if at least ``min_pages`` different pages have it. Copies of
-a page count once, so copied articles aren't taken for a template. Elements
+page of the host, if at least ``min_pages`` different pages have it. Pages of
+one main text count once, whatever stands around it, so copied articles aren't
+taken for a template. The tree never removes an ``article`` or ``main``, an element
+around one, or a heading, paragraph, list or table inside one: inside
+it takes containers (div, section, ins) alone. Elements
 whose tag or ARIA role is furniture (navigation, footer, form, ...) have
 importance 0 on every page: their texts may differ from page to page, as
 adverts and link lists do. So have elements whose class or id merely has a
@@ -39,7 +42,8 @@ empty ones go, and the rest are joined by one newline.
 
 Defined cases: null or empty html, or html without text, gives an empty
 text; a null or malformed url has the host ""; unclosed, misnested and
-truncated markup is read as far as it goes; repeated rows are extracted each;
+truncated markup is read as far as it goes, in linear time; a quote that opens an
+attribute value and never ends takes the rest of the page, as in browsers; repeated rows are extracted each;
 extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -47,6 +51,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -80,13 +85,17 @@ FURNITURE_WORDS = frozenset(
     "notice notices alert popup modal overlay comment comments reply replies disqus share sharing social related "
     "recommended newsletter subscribe subscription signup login search widget".split())
 _WORDS = re.compile(r"[a-z]+")
+# A quote is special right after the "=" of an attribute only; elsewhere it is a character.
+_VALUE = r"""(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s"'>][^\s>]*+)"""
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+    rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:{_VALUE})?+)*+)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_ATTR = re.compile(r"""([^\s=/>]++)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>][^\s>]*+)))?""")
 
 
 # Elements of an article that a word of class or id doesn't make furniture.
 OWN_TEXT = frozenset("h1 h2 h3 h4 h5 h6 hgroup header p".split())
+# Elements of an article that the tree may remove: containers without a meaning of their own.
+CONTAINERS = frozenset("div section ins".split())
 
 
 class Node:
@@ -115,18 +124,22 @@ def _element(tag: str, attrs: str, inside_article: bool) -> Node:
 
 
 def parse(html: str) -> Node:
-    """A tolerant DOM: elements and raw text pieces in page order."""
+    """A tolerant DOM: elements and raw text pieces in page order. Of every tag
+    the places of its open elements are known, so an end tag costs no search."""
     root = Node("", "", False, False)
     stack = [root]
+    places: defaultdict[str, list[int]] = defaultdict(list)
     at = 0
 
+    def innermost(names) -> int:
+        return max((places[t][-1] for t in names if places[t]), default=0)
+
     def close(names, until) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                return
-            if stack[i].tag in until:
-                return
+        i = innermost(names)
+        if i > innermost(until):
+            for node in stack[i:]:
+                places[node.tag].pop()
+            del stack[i:]
 
     end = len(html)
     while at < end:
@@ -150,7 +163,7 @@ def parse(html: str) -> Node:
             close(("p",), HOLDS)
         if tag in SIBLINGS:
             close(SIBLINGS[tag], HOLDS - SIBLINGS[tag])
-        node = _element(tag, m[3], any(x.tag in ("article", "main") for x in stack))
+        node = _element(tag, m[3], bool(places["article"] or places["main"]))
         stack[-1].children.append(node)
         if tag in VOID:
             continue
@@ -159,6 +172,7 @@ def parse(html: str) -> Node:
             node.children.append(html[at:shut.start() if shut else end])
             at = shut.end() if shut else end
         else:
+            places[tag].append(len(stack))
             stack.append(node)
     return root
 
@@ -221,11 +235,34 @@ def _spared(root: Node) -> set[int]:
     return {id(node) for node, _ in order if 2 * size[id(node)] > size[id(root)]}
 
 
+def _around_articles(root: Node) -> set[int]:
+    """ids of the articles and mains that aren't worded, and of all elements around them."""
+    parents: dict[int, Node] = {}
+    found: set[int] = set()
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in ("article", "main") and not node.worded:
+            up: Node | None = node
+            while up is not None and id(up) not in found:
+                found.add(id(up))
+                up = parents.get(id(up))
+        for c in node.children:
+            if isinstance(c, Node) and not c.furniture:
+                parents[id(c)] = node
+                todo.append(c)
+    return found
+
+
 def main_text(html: str, removable: frozenset[int] = frozenset()) -> str:
     """Blocks of the page's main text, without furniture and without the
     branches at ``removable`` style paths (unsigned hashes)."""
-    root = parse(html)
+    return text_of(parse(html), removable)
+
+
+def text_of(root: Node, removable: frozenset[int] = frozenset()) -> str:
     spared = _spared(root)
+    guarded = _around_articles(root) if removable else set()
     whole: list[list[str]] = [[]]
     articles: list[list[str]] = [[]]
     # (node, path above, inside an article) or the end of a block
@@ -250,7 +287,7 @@ def main_text(html: str, removable: frozenset[int] = frozenset()) -> str:
         if block:
             whole.append([])
             articles.append([])
-        if item.furniture or path in removable:
+        if item.furniture or path in removable and id(item) not in guarded and (not inside or item.tag in CONTAINERS):
             continue
         if (item.worded and item.tag not in ("html", "body", "article", "main") and id(item) not in spared
                 and not (inside and item.tag in OWN_TEXT)):
@@ -280,8 +317,10 @@ def _collect_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for b in batches:
         cols: list[list] = [[], [], [], [], []]
         for host, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            page = xxhash.xxh64_intdigest(text) - (1 << 63)
-            for path, (presentation, content) in _paths(parse(text)).items():
+            root = parse(text)
+            # Pages of one text count once, whatever adverts stand around it.
+            page = xxhash.xxh64_intdigest(text_of(root) or text) - (1 << 63)
+            for path, (presentation, content) in _paths(root).items():
                 for c, v in zip(cols, (host, page, path - (1 << 64) if path >> 63 else path, presentation, content)):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
@@ -295,18 +334,19 @@ def removable_paths(pages: DataFrame, threshold: float = 0.2, min_pages: int = 8
             .groupBy("host", "path", "page").agg(F.min("presentation").alias("presentation"),
                                                  F.min("content").alias("content")))
 
-    def entropy(value: str) -> DataFrame:
-        n = F.col("n").cast("double")
-        return (seen.groupBy("host", "path", value).agg(F.count("*").alias("n"))
-                .groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(n * F.log(n)).alias("nlogn"))
-                .filter(F.col("m") >= max(min_pages, 2))
-                .select("host", "path", "m", ((F.log("m") - F.col("nlogn") / F.col("m"))
-                                              / F.log("m")).alias(value)))
-
-    importance = 1 - (1 - F.col("presentation")) * (1 - F.col("content"))
-    return (entropy("presentation")
-            .join(entropy("content").drop("m"), ["host", "path"])
-            .filter(importance <= threshold)
+    # Both distributions in one pass over the pages.
+    kinds = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("presentation", "content")])
+    counts = (seen.select("host", "path", F.inline(kinds)).groupBy("host", "path", "kind", "value").agg(F.count("*").cast("double").alias("n")))
+
+    def nlogn(kind: str) -> F.Column:
+        return F.sum(F.when(F.col("kind") == kind, F.col("n") * F.log("n")))
+
+    m = F.col("m")
+    stats = (counts.groupBy("host", "path").agg(F.sum(F.when(F.col("kind") == "content", F.col("n"))).alias("m"),
+                                                nlogn("presentation").alias("p"), nlogn("content").alias("c"))
+             .filter(m >= max(min_pages, 2)))
+    presentation, content = ((F.log("m") - F.col(x) / m) / F.log("m") for x in "pc")
+    return (stats.filter(1 - (1 - presentation) * (1 - content) <= threshold)
             .groupBy("host").agg(F.collect_set("path").alias("paths")))
 
 

@@ -77,3 +77,99 @@ def test_every_page_gives_its_article(spark, sf_small):
         article = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1].replace("<br>", " ")
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:h1|p)>", article)]
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_quotes_in_attributes():
+    for html, want in [("<p title=o'neil>Hello</p><p>More</p>", "Hello\nMore"), ("<p class=\"a\"\">one</p><p>two</p>", "one\ntwo"),
+                       ("<p title='a > b' x=\"<p>\">one</p>", "one"), ("<p a= b = 'c>d' =e>x", "x"), ("<p a=>x", "x"), ("<p ' \">x", "x"),
+                       ("<div class=nav\"x>n</div>t", "t"), ("<a href=http://e/?a=b&c='d'>x</a>", "x")]:
+        assert op.main_text(html) == want, html
+
+
+def test_long_flat_markup_takes_linear_time():
+    import time
+    n = 20_000
+    pages = ["<b>" * n, "<b>" * (n // 2) + "</i>" * (n // 2), "<span>" * n + "<p>" * n, "<li>" + "<ul>" + "<b>" * n + "<li></li>" * n,
+             "<p a=" * n, "<p '" * n, "<" * n, "<a b='" * n, "<!--" * n]
+    for page in pages:
+        began = time.time()
+        op.main_text(page)
+        op._paths(op.parse(page))
+        assert time.time() - began < 8, page[:20]
+
+
+def test_one_article_under_different_adverts(spark):
+    rows = [(i, "http://h.example/x", f"<div class=promo{i}x>Advert {i}</div><article><h1>T</h1><p>the same text</p></article>") for i in range(10)]
+    rows += [(50 + i, "http://k.example/x", f"<article><h2>Summary</h2><p>own words {i}</p><div class=box>Read on every day</div><p>The end.</p></article>")
+             for i in range(10)]
+    got = texts(spark, rows)
+    assert all(got[i] == "T\nthe same text" for i in range(10))
+    # Headings and paragraphs stay, a container that is the same in different articles goes.
+    assert all(got[50 + i] == f"Summary\nown words {i}\nThe end." for i in range(10))
+
+
+def brute_tree(pages, threshold, min_pages):
+    """Removable style paths of one host, plainly: different pages by main text, one
+    distribution each of child styles and of contents per path."""
+    import math
+    from collections import Counter, defaultdict
+    seen = defaultdict(dict)
+    for html in pages:
+        key = op.main_text(html) or html
+        found = defaultdict(lambda: ([], []))
+
+        def content(node):
+            return tuple(content(c) if isinstance(c, op.Node) else " ".join(c.split()) for c in node.children)
+
+        def walk(node, above):
+            for c in node.children:
+                if isinstance(c, op.Node):
+                    path = (*above, c.style)
+                    styles = [x.style for x in c.children if isinstance(x, op.Node)]
+                    found[path][0].append(tuple(s for i, s in enumerate(styles) if not i or styles[i - 1] != s))
+                    found[path][1].append(content(c))
+                    walk(c, path)
+        walk(op.parse(html), ())
+        for path, (below, inside) in found.items():
+            seen[path].setdefault(key, set()).add((frozenset(below), tuple(sorted(map(repr, inside)))))
+    out = set()
+    for path, by_page in seen.items():
+        m = len(by_page)
+        if m >= min_pages and all(len(v) == 1 for v in by_page.values()):
+            one = [next(iter(v)) for v in by_page.values()]
+            low = [sum(n * math.log(m / n) for n in Counter(x[i] for x in one).values()) / (m * math.log(m)) for i in (0, 1)]
+            if 1 - (1 - low[0]) * (1 - low[1]) <= threshold:
+                out.add(path)
+    return out
+
+
+def test_tree_matches_brute_force_on_random_hosts(spark):
+    import random
+
+    import xxhash
+    rnd = random.Random(3)
+    for case in range(3):
+        pages = []
+        for i in range(14):
+            blocks = [f"<div class=c{b}><span>{'fixed' if rnd.random() < 0.9 - 0.3 * b else f'own {i}'}</span>{'<i>x</i>' * rnd.randint(0, b)}</div>"
+                      for b in range(4)]
+            pages.append(f"<div class=w>{''.join(blocks)}<p>text {i}</p></div>")
+        df = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+        got = {p & 0xFFFFFFFFFFFFFFFF for r in op.removable_paths(df, 0.4, 8).collect() for p in r.paths}
+        want = set()
+        for path in brute_tree(pages, 0.4, 8):
+            h = 0
+            for style in path:
+                h = xxhash.xxh64_intdigest(style, h)
+            want.add(h)
+        assert got == want and want
+
+
+def test_pages_that_only_the_tree_decides(spark):
+    """Menus and notices without a telling tag, role or word: with the tree they go, without it they stay."""
+    pages = [f"<div class=xa>Home About Contact</div><div class=xb><h1>Title {i}</h1><p>Body {i} of the text</p></div><div class=xc>All rights kept</div>"
+             for i in range(12)]
+    rows = [(i, "http://plain.example/p", p) for i, p in enumerate(pages)]
+    got = texts(spark, rows)
+    assert all(got[i] == f"Title {i}\nBody {i} of the text" for i in range(12))
+    assert sum(got[i] != op.main_text(p) for i, p in enumerate(pages)) == 12
