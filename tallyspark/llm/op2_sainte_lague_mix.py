@@ -127,6 +127,9 @@ def mix(docs: DataFrame, block_words: int = 32, shard_words: int = 1 << 19, seed
               .select("rank", "shard", "words", F.expr("wanted div words").alias("passes"),
                       F.expr("wanted % words").alias("rest")))
 
+    # A row of a shard becomes all its blocks: the shards are dealt out first, over a
+    # number of tasks that adaptive execution doesn't lower for the few rows they still are.
+    quotas = quotas.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "shard")
     shard = W.partitionBy("rank", "shard")
     length = F.least(F.lit(block_words), F.col("words") - F.col("block") * block_words)
     before = W.unboundedPreceding, -1
