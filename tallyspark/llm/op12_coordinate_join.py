@@ -17,15 +17,18 @@ sets have ``100 * intersection >= percent * union``.
    longs, in which the matches over all lists are counted at most once each and
    never missed. The join's condition counts them as two postings meet, so that only
    pairs above the threshold leave it.
-4. Rounds. Links are needed up to connection. In a round the members of a
-   list (long ones in pieces) propose a member of another component, every
-   class keeps its best proposal, and those are verified; rounds go on while
-   more than a tenth of the proposals link. Then, in the lists that still hold several
-   components, all members outside the list's largest component meet the others across
-   components, and every candidate is verified: what the rounds left open, however
-   much, is decided here. A list whose members are connected is joined no more,
-   so that a group of near copies costs a few proposals each.
-5. Verification. The whole shingle sets are computed anew for the classes of
+4. Rounds. Links are needed up to connection. In a round every class has
+   proposals, of other components: the most central member of each of its lists (the one with
+   the longest lists: the text that the others are copies of) and a neighbour.
+   It keeps the best, which is verified; rounds go on while more than a tenth of
+   the proposals link.
+5. What the rounds left open, however much, is decided then. In the lists that
+   still hold several components, the members that have a candidate in another component are
+   found by semi joins, which make no pairs; they meet, by the largest component of their
+   lists, in blocks of ``BLOCK`` by ``BLOCK`` whole sets, and every pair across components is compared.
+   A list whose members are connected is joined no more, so that a group of
+   near copies costs a few proposals each and no pairs.
+6. Verification. The whole shingle sets are computed anew for the classes of
    candidates only, from one text of each.
 
 With 64 coordinates and 32 matches a pair of similarity 0.8 is missed with
@@ -57,6 +60,8 @@ from .tables import WordHashes, map_texts, sequence_hash, table, utf8_lists, win
 COORDINATES = 64
 MATCHES = 32
 PIECE = 256
+BLOCK = 128        # sets on either side of a block
+COLUMNS = 4096     # shingles of a block at a time
 SEED = 12
 BYTES = COORDINATES // 8
 SIGNED = "doc_id long, text_key long, set_id long, n_shingles long, signature array<int>"
@@ -144,17 +149,19 @@ def _may_link(x: str, y: str, percent: int) -> Column:
 
 def _lists(classes: DataFrame) -> DataFrame:
     """The prefix postings of the classes that may link: ``token, size`` (of the whole list),
-    ``set_id, n`` and the low bytes."""
+    ``set_id, n``, the low bytes, and ``central``: the lengths of all its lists, as logarithms. Of
+    a group of near copies the text that they are copies of is the most central."""
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     tokens = classes.select("set_id", F.posexplode("signature").alias("pos", "value")).select(
         "set_id", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(value).alias("token"))
     sizes = written(tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "posting-sizes")
     prefix = (tokens.join(sizes, "token").groupBy("set_id")
-              .agg(F.sort_array(F.collect_list(F.struct("size", F.xxhash64("token").alias("tie"), "token"))).alias("p"))
-              .filter(F.size("p") >= MATCHES).select("set_id", F.slice("p", 1, F.size("p") - MATCHES + 1).alias("p")))
+              .agg(F.sort_array(F.collect_list(F.struct("size", F.xxhash64("token").alias("tie"), "token"))).alias("p"),
+                   F.sum(F.log2("size")).alias("central"))
+              .filter(F.size("p") >= MATCHES).select("set_id", "central", F.slice("p", 1, F.size("p") - MATCHES + 1).alias("p")))
     return written(prefix.join(classes.select("set_id", "n", *_low_bytes()), "set_id")
-                   .select(F.explode("p").alias("p"), "set_id", "n", *LOW)
-                   .select("p.token", "p.size", "set_id", "n", *LOW), "postings")
+                   .select(F.explode("p").alias("p"), "set_id", "n", "central", *LOW)
+                   .select("p.token", "p.size", "set_id", "n", "central", *LOW), "postings")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -199,14 +206,16 @@ def _open(placed: DataFrame) -> DataFrame:
 
 
 def _proposals(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each class its best proposal: in a piece of a list, members of another
-    component next to it or at the front."""
+    """For each class its best proposal: the most central member of one of its lists,
+    or its neighbour in a piece of one, of another component."""
+    me = F.struct("set_id", "n", "root", *LOW)
+    hubs = written(placed.groupBy("token").agg(F.max(F.struct("central", me.alias("y"))).alias("top")).select("token", "top.y"), "hubs")
     pieces = F.ceil(F.col("size") / PIECE).cast("long")
     rows = placed.withColumn("piece", F.pmod(F.xxhash64(F.lit(turn), "set_id"), pieces))
-    me = F.struct("set_id", "n", "root", *LOW)
     by = W.partitionBy("token", "piece").orderBy("root", F.xxhash64(F.lit(turn), "set_id"))
-    met = rows.select("token", me.alias("x"), F.first(me).over(by).alias("head"), F.lag(me).over(by).alias("before"))
-    met = met.select("x", F.explode(F.array("head", "before")).alias("y")).filter("y is not null and x.root <> y.root")
+    met = (rows.select(me.alias("x"), F.lag(me).over(by).alias("y"))
+           .unionAll(placed.select("token", me.alias("x")).join(hubs, "token").select("x", "y"))
+           .filter("y is not null and x.root <> y.root"))
     met = met.filter(_may_link("x.", "y.", percent))
     best = met.groupBy(F.col("x.set_id").alias("x_set_id")).agg(
         F.max(F.struct(_matches("x.", "y.").alias("m"), F.col("y.set_id").alias("set_id"), F.col("y.root").alias("root"))).alias("y"),
@@ -214,17 +223,76 @@ def _proposals(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select("x_set_id", "x_root", F.col("y.set_id").alias("y_set_id"), F.col("y.root").alias("y_root")).select(*_pairs("x_", "y_")).distinct()
 
 
-def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """All candidates across components, in the lists that hold several."""
-    rows = written(_open(placed), "open-postings")
+def _open_pairs(placed: DataFrame, percent: int) -> DataFrame:
+    """``bulk, set_id, root`` of the members of open lists that have a candidate in another
+    component. Pairs are counted as their postings meet and leave no rows:
+    a member is in or out with its first candidate."""
+    rows = written(_open(placed).drop("central", "size"), "open-postings")
     counts = rows.groupBy("token", "root").count().groupBy("token").agg(F.max(F.struct("count", "root")).alias("m"))
     bulk = written(counts.select("token", F.col("m.root").alias("bulk")), "largest-components")
     rows = rows.join(bulk, "token")
-    x, y = rows.filter("root <> bulk").alias("x"), rows.alias("y")
-    return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-                   & ((F.col("y.root") == F.col("y.bulk")) | (F.col("x.set_id") < F.col("y.set_id")))
-                   & _may_link("x.", "y.", percent))
-            .select(*_pairs("x.", "y.")).distinct())
+    others = rows.filter("root <> bulk")
+    met = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & _may_link("x.", "y.", percent)
+    # Of a pair at least one is outside the largest component.
+    found = (others.alias("x").join(rows.alias("y"), met, "left_semi")
+             .unionAll(rows.filter("root = bulk").alias("x").join(others.alias("y"), met, "left_semi")))
+    return written(found.select("bulk", "set_id", "root").distinct(), "candidate-members")
+
+
+def _links_in_block(percent: int):
+    """Links between the components in a block of two sides' whole sets; of all that
+    connect the same components one is enough."""
+    def links(rows: pa.Table) -> pa.Table:
+        side = rows["side"].to_numpy()
+        root = rows["root"].to_numpy()
+        sets = rows["shingles"].combine_chunks()
+        if isinstance(sets, pa.ChunkedArray):
+            sets = sets.chunk(0)
+        starts = sets.offsets.to_numpy()
+        values = sets.values.to_numpy()
+        size = np.diff(starts)
+        row = np.repeat(np.arange(len(size)), size)
+        values = values[starts[0]:starts[-1]]
+        shingle, column, times = np.unique(values, return_inverse=True, return_counts=True)
+        keep = times[column] > 1
+        row, column = row[keep], column[keep]
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        place = np.empty(len(size), np.int64)
+        place[x], place[y] = np.arange(len(x)), np.arange(len(y))
+        common = np.zeros((len(x), len(y)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        new = np.concatenate([[0], np.cumsum(column[1:] != column[:-1])]) if len(column) else column
+        for low in range(0, int(new[-1]) + 1 if len(new) else 0, COLUMNS):
+            a, b = np.searchsorted(new, [low, low + COLUMNS])
+            r, c = row[a:b], new[a:b] - low
+            left, right = np.zeros((len(x), COLUMNS), np.float32), np.zeros((len(y), COLUMNS), np.float32)
+            on_x = side[r] == 0
+            left[place[r[on_x]], c[on_x]] = 1
+            right[place[r[~on_x]], c[~on_x]] = 1
+            common += left @ right.T
+        least = percent * (size[x][:, None] + size[y][None, :])
+        i, j = np.nonzero(((100 + percent) * common >= least) & (root[x][:, None] != root[y][None, :]))
+        found = np.unique(np.sort(np.stack([root[x][i], root[y][j]], 1), axis=1), axis=0) if len(i) else np.empty((0, 2), np.int64)
+        return pa.table({"a_root": pa.array(found[:, 0], pa.int64()), "b_root": pa.array(found[:, 1], pa.int64())})
+    return links
+
+
+def _across(placed: DataFrame, docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """``a_root, b_root``: all links between components, exactly. The members that have a candidate
+    meet by the largest component of their lists, block by block."""
+    members = _open_pairs(placed, percent)
+    sets = written(_shingle_sets(docs, classes, members.select("set_id").distinct(), k), "sets")
+    full = members.join(members.groupBy("bulk").agg(
+        F.ceil(F.count(F.when(F.col("root") != F.col("bulk"), 1)) / BLOCK).cast("int").alias("x_blocks"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("y_blocks")), "bulk").join(sets, "set_id")
+
+    def dealt(side: int, rows: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("set_id"), F.col(f"{own}_blocks")).cast("int")
+        return (rows.withColumn(f"{own}b", mine).withColumn(f"{other}b", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
+                .select("bulk", "xb", "yb", F.lit(side).alias("side"), "root", "shingles"))
+    both = dealt(0, full.filter("root <> bulk"), "x", "y").unionAll(dealt(1, full.filter("x_blocks > 0"), "y", "x"))
+    return both.groupBy("bulk", "xb", "yb").applyInArrow(_links_in_block(percent), "a_root long, b_root long").distinct()
 
 
 def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
@@ -246,7 +314,7 @@ def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
         found = links_of(proposed)
         placed, turn = written(_joined(placed, found), "placed"), turn + 1
         fruitful = 10 * found.count() > proposed.count()
-    rest = links_of(written(_across(placed, percent), "candidates"))
+    rest = written(_across(placed, docs, classes, k, percent), "links")
     roots = written(_joined(placed.select("set_id", "root").distinct(), rest), "roots")
 
     # The smallest document of each class, then of each component.
