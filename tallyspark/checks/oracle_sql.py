@@ -391,6 +391,7 @@ def model_sql() -> dict[str, str]:
               "stg_items"),
         "purchase_reconciliation": _all("reconciliation"),
         "order_attribution": _all("attribution"),
+        "order_attribution_bucketed": _all("attribution"),
         "fct_attributed_orders": _all("attribution"),
         "fct_orders": _all("fct_orders"),
         "fct_order_lines": with_(
