@@ -16,7 +16,8 @@ sets have ``100 * intersection >= percent * union``.
    every prefix posting goes the low byte of all the class's values, eight
    longs, in which the matches over all lists are counted at most once each and
    never missed. The join's condition counts them as two postings meet, so that only
-   pairs above the threshold leave it.
+   pairs above the threshold leave it. A first semi join on those counts drops
+   every class that has no candidate at all, which most classes haven't.
 4. Rounds. Links are needed up to connection. In a round every class has
    proposals, of other components: the most central member of each of its lists (the one with
    the longest lists: the text that the others are copies of) and a neighbour.
@@ -147,8 +148,8 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_matches(x, y) >= MATCHES)
 
 
-def _lists(classes: DataFrame) -> DataFrame:
-    """The prefix postings of the classes that may link: ``token, size`` (of the whole list),
+def _lists(classes: DataFrame, percent: int) -> DataFrame:
+    """The prefix postings of the classes that have a candidate: ``token, size`` (of the whole list),
     ``set_id, n``, the low bytes, and ``central``: the lengths of all its lists, as logarithms. Of
     a group of near copies the text that they are copies of is the most central."""
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -159,9 +160,15 @@ def _lists(classes: DataFrame) -> DataFrame:
               .agg(F.sort_array(F.collect_list(F.struct("size", F.xxhash64("token").alias("tie"), "token"))).alias("p"),
                    F.sum(F.log2("size")).alias("central"))
               .filter(F.size("p") >= MATCHES).select("set_id", "central", F.slice("p", 1, F.size("p") - MATCHES + 1).alias("p")))
-    return written(prefix.join(classes.select("set_id", "n", *_low_bytes()), "set_id")
-                   .select(F.explode("p").alias("p"), "set_id", "n", "central", *LOW)
-                   .select("p.token", "p.size", "set_id", "n", "central", *LOW), "postings")
+    postings = written(prefix.join(classes.select("set_id", "n", *_low_bytes()), "set_id")
+                       .select(F.explode("p").alias("p"), "set_id", "n", "central", *LOW)
+                       .select("p.token", "p.size", "set_id", "n", "central", *LOW), "postings")
+    # Most lists are chance meetings. A class without a candidate in any of its lists ends
+    # here; the join makes no pairs, only members that have one.
+    narrow = postings.select("token", "set_id", "n", *LOW)
+    met = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id")) & _may_link("x.", "y.", percent))
+    partnered = written(narrow.alias("x").join(narrow.alias("y"), met, "left_semi").select("set_id").distinct(), "partnered")
+    return written(postings.join(partnered, "set_id", "left_semi"), "near-postings")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -301,7 +308,7 @@ def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
     signed = written(map_texts(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), _sign(k, seed), SIGNED), "signatures")
     classes = written(signed.filter("set_id is not null").groupBy("set_id").agg(
         F.first("n_shingles").alias("n"), F.min("text_key").alias("text_key"), F.first("signature").alias("signature")), "classes")
-    lists = _lists(classes)
+    lists = _lists(classes, percent)
 
     def links_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
