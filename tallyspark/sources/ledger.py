@@ -67,7 +67,7 @@ class Ledger:
             aside = f"{self.raw_path}/_staging/{self.stream}-{epoch}"
             seen = Observation(f"landing-{self.stream}-{epoch}")
             (rows(number).drop("batch_no").observe(seen, F.max(F.unix_micros("updated_at")).alias("watermark"), F.count(F.lit(1)).alias("rows"))
-             .write.mode("overwrite").parquet(aside))
+             .write.mode("overwrite").option("compression", "zstd").parquet(aside))
             files.write_json(self.spark, f"{aside}/_batch.json", {"stream": self.stream, "epoch": epoch, "batch_no": number, **seen.get})
             files.rename(self.spark, aside, self._data(number))
         return self.entry(number)

@@ -74,3 +74,39 @@ def test_shuffles_start_with_partitions_for_the_source(spark):
         assert shuffle_width(spark) == 768
     finally:
         spark.conf.set(WIDTH, before) if before else spark.conf.unset(WIDTH)
+
+
+def test_page_files_are_bounded_and_compressed(spark, monkeypatch):
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 500)
+    root = fresh_path(spark, "t-page-files")
+    texts = [json.dumps({"id": i}, separators=(",", ":")) for i in range(2100)]
+    recs = spark.createDataFrame([(t,) for t in [*texts, None]], "payload_json string").coalesce(1)
+    landing.write_pages(recs, "order", root)
+    parts = [n for n in files.names(spark, root) if n.startswith("part-")]
+    assert len(parts) == 5 and all(n.endswith(".gz") for n in parts)
+    got = [r.payload_json for r in landing.unwrap_pages(landing.read_pages(spark, root)).collect()]
+    assert sorted(got) == sorted(texts)
+    landing.write_pages(recs, "order", root, mode="append")
+    assert landing.unwrap_pages(landing.read_pages(spark, root)).count() == 2 * 2100
+
+
+def test_micro_batches_of_many_page_files(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(landing, "RECORDS_PER_FILE", 100)
+    monkeypatch.setattr(landing, "API_PAGE_SIZE", 100)
+    monkeypatch.setattr(landing.write_pages, "__defaults__", (100, "overwrite"))
+    m = Models(spark, sf_small, CHECK_PARAMS, Inputs(spark, sf_small, CHECK_PARAMS, landed=False))
+    got = landing_jobs.stream_in_batches(m)
+    batches = {os.path.basename(os.path.dirname(f)) for f in got.select("order_id").inputFiles()}
+    assert 6 <= len(batches) < 12, batches
+    assert got.count() == m.inputs.raw_orders.where("batch_no = 1").count()
+    assert got.select("last_updated_at").distinct().count() == 1
+
+
+def test_pages_of_a_scenario_go_once_they_have_landed(spark, sf_small):
+    m = Models(spark, sf_small, CHECK_PARAMS)
+    for job, left in ((landing_jobs.stream_new_checkpoint, ("landing-new-checkpoint-", "/pages")), (landing_jobs.second_snapshot, ("pages-second-", ""))):
+        before = set(files.names(spark, shared_dir(spark)))
+        assert job(m).count() > m.inputs.raw_orders.where("batch_no = 1").count() * 0.9
+        new = [n for n in files.names(spark, shared_dir(spark)) if n not in before]
+        assert not any(files.exists(spark, f"{shared_dir(spark)}/{n}{left[1]}") for n in new if n.startswith(left[0])), new
+        assert not any(n.startswith("pages-later-") for n in new)
