@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tallyspark.plans.build import WIDE_COLUMNS, Models
-from tallyspark.session import fresh_path
+from tallyspark.session import fresh_path, shuffle_width
 
 # Tables and their bucket key.
 BUCKETED = {"stg_orders_parsed": "order_id", "fct_orders": "order_id", "fct_order_lines": "order_id"}
@@ -18,22 +18,24 @@ BUCKETED = {"stg_orders_parsed": "order_id", "fct_orders": "order_id", "fct_orde
 
 class BucketedModels(Models):
     """The model graph with the tables above in ``database``, written when first used.
-    ``buckets``: as many as a join of that size should have tasks (default: the session's
-    shuffle partitions, so that the other side of a join is dealt alike)."""
+    ``buckets``: as many as a join of that size should have tasks (default: those that a
+    shuffle starts with, so that the other side of a join is dealt alike).
+    ``lines``: whether the staged orders keep the text of their lines, which only the line fact reads."""
 
-    def __init__(self, base: Models, database: str, root: str, buckets: int | None = None):
+    def __init__(self, base: Models, database: str, root: str, buckets: int | None = None, lines: bool = True):
         super().__init__(base.spark, base.sf_dir, base.params, base.inputs)
         self.database, self.root = database, root
-        self.buckets = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or shuffle_width(self.spark)
+        self.dropped = WIDE_COLUMNS if lines else (*WIDE_COLUMNS, "_li")
 
     def _finish(self, name: str, df: DataFrame) -> DataFrame:
         key = BUCKETED.get(name)
         if key is None:
             return df
         # One file per bucket: the rows are dealt by the key as the buckets are.
-        (df.drop(*WIDE_COLUMNS).repartition(self.buckets, key)
+        (df.drop(*self.dropped).repartition(self.buckets, key)
          .write.mode("overwrite").bucketBy(self.buckets, key).sortBy(key)
-         .option("path", f"{self.root}/{name}").saveAsTable(f"{self.database}.{name}"))
+         .option("compression", "zstd").option("path", f"{self.root}/{name}").saveAsTable(f"{self.database}.{name}"))
         return self.spark.table(f"{self.database}.{name}")
 
 
@@ -44,7 +46,7 @@ def attribution_from_buckets(m: Models) -> DataFrame:
     database = "tally_" + root.rsplit("-", 1)[1]
     m.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
     try:
-        result = BucketedModels(m, database, root).order_attribution
+        result = BucketedModels(m, database, root, lines=False).order_attribution
         path = fresh_path(m.spark, "bucketed-attribution")  # the database's folder goes with it
         result.write.parquet(path)
         return m.spark.read.schema(result.schema).parquet(path)

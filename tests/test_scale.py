@@ -110,3 +110,15 @@ def test_pages_of_a_scenario_go_once_they_have_landed(spark, sf_small):
         new = [n for n in files.names(spark, shared_dir(spark)) if n not in before]
         assert not any(files.exists(spark, f"{shared_dir(spark)}/{n}{left[1]}") for n in new if n.startswith(left[0])), new
         assert not any(n.startswith("pages-later-") for n in new)
+
+
+def test_staged_buckets_without_lines(spark, sf_small):
+    root = fresh_path(spark, "t-lean-buckets")
+    spark.sql(f"CREATE DATABASE tally_lean LOCATION '{root}'")
+    try:
+        b = BucketedModels(Models(spark, sf_small, CHECK_PARAMS), "tally_lean", root, lines=False)
+        assert b.order_attribution.count() == 1500
+        staged = spark.table("tally_lean.stg_orders_parsed")
+        assert "_li" not in staged.columns and staged.count() == 1500
+    finally:
+        spark.sql("DROP DATABASE tally_lean CASCADE")
