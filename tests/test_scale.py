@@ -122,3 +122,17 @@ def test_staged_buckets_without_lines(spark, sf_small):
         assert "_li" not in staged.columns and staged.count() == 1500
     finally:
         spark.sql("DROP DATABASE tally_lean CASCADE")
+
+
+def test_marts_are_published_from_shared_tables(spark, sf_small):
+    root = fresh_path(spark, "t-publish")
+    before = set(files.names(spark, shared_dir(spark)))
+    ensure_namespace(spark, "tally_shared", root)
+    try:
+        publish(Models(spark, sf_small, CHECK_PARAMS), "tally_shared", root)
+        written = [n for n in files.names(spark, shared_dir(spark)) if n.startswith("written-models-") and n not in before]
+        assert len(written) == 1
+        assert {"stg_orders_parsed", "stg_ga_purchases", "order_attribution"} <= set(files.names(spark, f"{shared_dir(spark)}/{written[0]}"))
+        assert "payload_json" in spark.table("stg_orders").columns and spark.table("tally_shared.fct_orders").count() == 1500
+    finally:
+        spark.sql("DROP DATABASE tally_shared CASCADE")
