@@ -11,7 +11,7 @@ from tallyspark.plans import landing_jobs
 from tallyspark.plans.bucketed import BucketedModels
 from tallyspark.plans.build import Inputs, Models
 from tallyspark.plans.catalog import ensure_namespace, publish
-from tallyspark.session import fresh_path, shared_dir, shuffle_width, size_shuffles
+from tallyspark.session import fresh_path, prepare, shared_dir, shuffle_width, size_shuffles
 from tallyspark.sources import fixtures, landing
 
 WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -76,6 +76,22 @@ def test_shuffles_start_with_partitions_for_the_source(spark):
         spark.conf.set(WIDTH, before) if before else spark.conf.unset(WIDTH)
 
 
+def test_a_session_with_defaults_gets_smaller_task_shares(spark):
+    key, others = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k) for k in (key, others)}
+    try:
+        for k in before:
+            spark.conf.unset(k)
+        prepare(spark)
+        assert (spark.conf.get(key), spark.conf.get(others)) == ("8m", "32m")
+        spark.conf.set(key, "16m")  # somebody's choice stays
+        prepare(spark)
+        assert spark.conf.get(key) == "16m"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_page_files_are_bounded_and_compressed(spark, monkeypatch):
     monkeypatch.setattr(landing, "RECORDS_PER_FILE", 500)
     root = fresh_path(spark, "t-page-files")
@@ -132,7 +148,7 @@ def test_marts_are_published_from_shared_tables(spark, sf_small):
         publish(Models(spark, sf_small, CHECK_PARAMS), "tally_shared", root)
         written = [n for n in files.names(spark, shared_dir(spark)) if n.startswith("written-models-") and n not in before]
         assert len(written) == 1
-        assert {"stg_orders_parsed", "stg_ga_purchases", "order_attribution"} <= set(files.names(spark, f"{shared_dir(spark)}/{written[0]}"))
+        assert {"stg_orders", "stg_ga_purchases", "order_attribution"} <= set(files.names(spark, f"{shared_dir(spark)}/{written[0]}"))
         assert "payload_json" in spark.table("stg_orders").columns and spark.table("tally_shared.fct_orders").count() == 1500
     finally:
         spark.sql("DROP DATABASE tally_shared CASCADE")
