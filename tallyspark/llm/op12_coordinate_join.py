@@ -16,8 +16,8 @@ sets have ``100 * intersection >= percent * union``.
    every prefix posting goes the low byte of all the class's values, eight
    longs, in which the matches over all lists are counted at most once each and
    never missed. The join's condition counts them as two postings meet, so that only
-   pairs above the threshold leave it. A first semi join on those counts drops
-   every class that has no candidate at all, which most classes haven't.
+   pairs above the threshold leave it. A first semi join, on counts over the low four bits
+   alone, drops every class that has no candidate at all, which most classes haven't.
 4. Rounds. Links are needed up to connection. In a round every class has
    proposals, of other components: the most central member of each of its lists (the one with
    the longest lists: the text that the others are copies of) and a neighbour.
@@ -56,7 +56,7 @@ from pyspark.sql.window import Window as W
 
 from .components import components
 from .op4_multi_order_join import set_id_of
-from .tables import WordHashes, map_texts, sequence_hash, table, utf8_lists, window_hashes, written
+from .tables import WordHashes, map_texts, sequence_hash, stepped as written, table, used_up, utf8_lists, window_hashes
 
 COORDINATES = 64
 MATCHES = 32
@@ -130,6 +130,26 @@ def _low_bytes() -> list[Column]:
 
 LOW = [f"low{j}" for j in range(BYTES)]
 _LAST_BITS = 0x0101010101010101
+NIBBLES = [f"nibbles{j}" for j in range(BYTES // 2)]
+_LOW_NIBBLES = 0x0F0F0F0F0F0F0F0F
+_LAST_OF_NIBBLES = 0x1111111111111111
+
+
+def _low_nibbles() -> list[Column]:
+    """The low four bits of all values, sixteen to a long, from the low bytes."""
+    half = [F.col(c).bitwiseAND(F.lit(_LOW_NIBBLES)) for c in LOW]
+    return [half[j].bitwiseOR(F.shiftleft(half[j + len(NIBBLES)], 4)).alias(c) for j, c in enumerate(NIBBLES)]
+
+
+def _nibble_matches(x: str, y: str) -> Column:
+    """Equal nibbles: no fewer than ``_matches``."""
+    total = F.lit(0)
+    for c in NIBBLES:
+        d = F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))
+        for shift in (2, 1):
+            d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
+        total = total + (16 - F.bit_count(d.bitwiseAND(F.lit(_LAST_OF_NIBBLES))))
+    return total
 
 
 def _matches(x: str, y: str) -> Column:
@@ -143,9 +163,9 @@ def _matches(x: str, y: str) -> Column:
     return total
 
 
-def _may_link(x: str, y: str, percent: int) -> Column:
+def _may_link(x: str, y: str, percent: int, matches=_matches) -> Column:
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (_matches(x, y) >= MATCHES)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (matches(x, y) >= MATCHES)
 
 
 def _lists(classes: DataFrame, percent: int) -> DataFrame:
@@ -154,21 +174,25 @@ def _lists(classes: DataFrame, percent: int) -> DataFrame:
     a group of near copies the text that they are copies of is the most central."""
     value = F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
     tokens = classes.select("set_id", F.posexplode("signature").alias("pos", "value")).select(
-        "set_id", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(value).alias("token"))
+        "set_id", F.shiftleft(value, 6).bitwiseOR(F.col("pos").cast("long")).alias("token"))
     sizes = written(tokens.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "posting-sizes")
     prefix = (tokens.join(sizes, "token").groupBy("set_id")
-              .agg(F.sort_array(F.collect_list(F.struct("size", F.xxhash64("token").alias("tie"), "token"))).alias("p"),
+              .agg(F.sort_array(F.collect_list(F.struct("size", "token"))).alias("p"),
                    F.sum(F.log2("size")).alias("central"))
               .filter(F.size("p") >= MATCHES).select("set_id", "central", F.slice("p", 1, F.size("p") - MATCHES + 1).alias("p")))
-    postings = written(prefix.join(classes.select("set_id", "n", *_low_bytes()), "set_id")
-                       .select(F.explode("p").alias("p"), "set_id", "n", "central", *LOW)
-                       .select("p.token", "p.size", "set_id", "n", "central", *LOW), "postings")
+    # A row per class: what its postings share is written, and dealt by class, once.
+    prefixes = written(prefix.join(classes.select("set_id", "n", *_low_bytes()), "set_id"), "prefixes")
+    used_up(sizes)
     # Most lists are chance meetings. A class without a candidate in any of its lists ends
     # here; the join makes no pairs, only members that have one.
-    narrow = postings.select("token", "set_id", "n", *LOW)
-    met = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id")) & _may_link("x.", "y.", percent))
+    narrow = prefixes.select(F.explode("p.token").alias("token"), "set_id", "n", *_low_nibbles())
+    met = ((F.col("x.token") == F.col("y.token")) & (F.col("x.set_id") != F.col("y.set_id"))
+           & _may_link("x.", "y.", percent, _nibble_matches))
     partnered = written(narrow.alias("x").join(narrow.alias("y"), met, "left_semi").select("set_id").distinct(), "partnered")
-    return written(postings.join(partnered, "set_id", "left_semi"), "near-postings")
+    lists = written(prefixes.join(partnered, "set_id", "left_semi").select(F.explode("p").alias("p"), "set_id", "n", "central", *LOW)
+                    .select("p.token", "p.size", "set_id", "n", "central", *LOW), "near-postings")
+    used_up(prefixes, partnered)
+    return lists
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,14 +251,17 @@ def _proposals(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     best = met.groupBy(F.col("x.set_id").alias("x_set_id")).agg(
         F.max(F.struct(_matches("x.", "y.").alias("m"), F.col("y.set_id").alias("set_id"), F.col("y.root").alias("root"))).alias("y"),
         F.first("x.root").alias("x_root"))
-    return best.select("x_set_id", "x_root", F.col("y.set_id").alias("y_set_id"), F.col("y.root").alias("y_root")).select(*_pairs("x_", "y_")).distinct()
+    best = written(best.select("x_set_id", "x_root", F.col("y.set_id").alias("y_set_id"), F.col("y.root").alias("y_root"))
+                   .select(*_pairs("x_", "y_")).distinct(), "candidates")
+    used_up(hubs)
+    return best
 
 
 def _open_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """``bulk, set_id, root`` of the members of open lists that have a candidate in another
     component. Pairs are counted as their postings meet and leave no rows:
     a member is in or out with its first candidate."""
-    rows = written(_open(placed).drop("central", "size"), "open-postings")
+    open_postings = rows = written(_open(placed).drop("central", "size"), "open-postings")
     counts = rows.groupBy("token", "root").count().groupBy("token").agg(F.max(F.struct("count", "root")).alias("m"))
     bulk = written(counts.select("token", F.col("m.root").alias("bulk")), "largest-components")
     rows = rows.join(bulk, "token")
@@ -243,7 +270,9 @@ def _open_pairs(placed: DataFrame, percent: int) -> DataFrame:
     # Of a pair at least one is outside the largest component.
     found = (others.alias("x").join(rows.alias("y"), met, "left_semi")
              .unionAll(rows.filter("root = bulk").alias("x").join(others.alias("y"), met, "left_semi")))
-    return written(found.select("bulk", "set_id", "root").distinct(), "candidate-members")
+    members = written(found.select("bulk", "set_id", "root").distinct(), "candidate-members")
+    used_up(open_postings, bulk)
+    return members
 
 
 def _links_in_block(percent: int):
@@ -312,17 +341,23 @@ def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
 
     def links_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-        return written(_verified(pairs, written(_shingle_sets(docs, classes, wanted, k), "sets"), percent), "links")
+        sets = written(_shingle_sets(docs, classes, wanted, k), "sets")
+        links = written(_verified(pairs, sets, percent), "links")
+        used_up(sets)
+        return links
 
-    placed, turn = lists.withColumn("root", F.col("set_id")), 0
+    last, placed, turn = lists, lists.withColumn("root", F.col("set_id")), 0
     fruitful = True
     while fruitful:
-        proposed = written(_proposals(_open(placed), turn, percent), "candidates")
+        proposed = _proposals(_open(placed), turn, percent)
         found = links_of(proposed)
         placed, turn = written(_joined(placed, found), "placed"), turn + 1
         fruitful = 10 * found.count() > proposed.count()
+        used_up(last, proposed, found)
+        last = placed
     rest = written(_across(placed, docs, classes, k, percent), "links")
     roots = written(_joined(placed.select("set_id", "root").distinct(), rest), "roots")
+    used_up(classes, placed)
 
     # The smallest document of each class, then of each component.
     least_doc = written(signed.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))

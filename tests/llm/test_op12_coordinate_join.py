@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -109,3 +110,32 @@ def test_low_bytes_count_equal_values(spark):
     got = (sides[0].select("i", F.struct(*op.LOW).alias("x")).join(sides[1].select("i", F.struct(*op.LOW).alias("y")), "i")
            .select(op._matches("x.", "y.").alias("m")).collect())
     assert sorted(r.m for r in got) == sorted((a == b).sum(1).tolist())
+
+
+def test_low_nibbles_count_no_fewer_matches_than_low_bytes(spark):
+    rng = np.random.default_rng(7)
+    x = rng.integers(-2**31, 2**31, (60, op.COORDINATES))
+    y = np.where(rng.random(x.shape) < rng.random((60, 1)), x, rng.integers(-2**31, 2**31, x.shape))
+    df = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(x, y))], "i int, x array<int>, y array<int>")
+    sides = []
+    for c in "xy":
+        low = df.select("i", F.col(c).alias("signature")).select("i", *op._low_bytes())
+        sides.append(low.select("i", F.struct(*op.LOW, *op._low_nibbles()).alias(c)))
+    got = {r.i: (r.b, r.n) for r in sides[0].join(sides[1], "i").select(
+        "i", op._matches("x.", "y.").alias("b"), op._nibble_matches("x.", "y.").alias("n")).collect()}
+    assert [got[i] for i in range(60)] == [(int(((a ^ b) & 255 == 0).sum()), int(((a ^ b) & 15 == 0).sum())) for a, b in zip(x, y)]
+
+
+def test_steps_leave_no_shuffle_files_and_used_tables_no_files(spark, monkeypatch):
+    from tallyspark.llm import tables
+    texts = [f"a b c d e f g h i j k l m {i // 2} o p q r s t u v w x y z" for i in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept, cleaned = [], []
+    monkeypatch.setattr(tables, "fresh_path", lambda s, n, of=tables.fresh_path: kept.append(of(s, n)) or kept[-1])
+    monkeypatch.setattr(tables, "_read", lambda df, p, of=tables._read: cleaned.append(spark.conf.get(tables.SHUFFLE_CLEANUP)) or of(df, p))
+    before = spark.conf.get(tables.SHUFFLE_CLEANUP, "false")
+    got = {r.doc_id: r.component_id for r in op.near_components(docs).collect()}
+    assert len(got) == 40 and got[1] == got[0]
+    assert set(cleaned) >= {"true"} and spark.conf.get(tables.SHUFFLE_CLEANUP) == before
+    left = {p.rsplit("/llm-", 1)[1].rsplit("-", 1)[0] for p in kept if os.path.exists(p.removeprefix("file:"))}
+    assert not left & {"posting-sizes", "prefixes", "partnered", "near-postings", "hubs", "candidates", "placed", "classes", "open-postings"}
