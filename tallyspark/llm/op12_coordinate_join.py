@@ -62,6 +62,7 @@ COORDINATES = 64
 MATCHES = 32
 PIECE = 256
 BLOCK = 128        # sets on either side of a block
+BROADCAST_KEYS = 1_000_000  # 8 MB of longs
 COLUMNS = 4096     # shingles of a block at a time
 SEED = 12
 BYTES = COORDINATES // 8
@@ -207,7 +208,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _shingle_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """``set_id, shingles`` of the ``wanted`` classes, from one text of each."""
     keys = written(classes.join(wanted, "set_id", "left_semi").select("text_key").distinct(), "candidate-texts")
-    texts = (docs.select(F.xxhash64("text").alias("text_key"), "text").join(keys, "text_key", "left_semi")
+    # Few keys go to the texts; else every text is shuffled to meet them.
+    few = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    texts = (docs.select(F.xxhash64("text").alias("text_key"), "text").join(few, "text_key", "left_semi")
              .dropDuplicates(["text_key"]).select("text"))
     found = map_texts(texts, _sets(k), "set_id long, shingles array<long>")
     # Two texts of one key would both be read; a class that has several texts counts once.
