@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .components import components
+from .components import star_forest
 from .op4_multi_order_join import set_id_of
 from .tables import WordHashes, map_texts, sequence_hash, stepped as written, table, used_up, utf8_lists, window_hashes
 
@@ -207,14 +207,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _shingle_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """``set_id, shingles`` of the ``wanted`` classes, from one text of each."""
-    keys = written(classes.join(wanted, "set_id", "left_semi").select("text_key").distinct(), "candidate-texts")
+    keys = written(classes.join(wanted, "set_id", "left_semi").select("text_key"), "candidate-texts")
     # Few keys go to the texts; else every text is shuffled to meet them.
     few = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     texts = (docs.select(F.xxhash64("text").alias("text_key"), "text").join(few, "text_key", "left_semi")
              .dropDuplicates(["text_key"]).select("text"))
-    found = map_texts(texts, _sets(k), "set_id long, shingles array<long>")
-    # Two texts of one key would both be read; a class that has several texts counts once.
-    return found.filter("set_id is not null").dropDuplicates(["set_id"])
+    # A class has one key, and a key one text: the sets needn't be dealt to drop repeats.
+    return map_texts(texts, _sets(k), "set_id long, shingles array<long>").filter("set_id is not null")
 
 
 PAIR = ["a", "b", "a_root", "b_root"]
@@ -228,28 +227,24 @@ def _pairs(x: str, y: str) -> list[Column]:
 
 def _joined(placed: DataFrame, links: DataFrame) -> DataFrame:
     """``placed`` with the components that the links make of its components."""
-    up = components(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
-    return (placed.join(up.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
+    up = star_forest(links.select(F.col("a_root").alias("a"), F.col("b_root").alias("b")))
+    return (placed.join(up.select(F.col("a").alias("root"), F.col("b").alias("up")), "root", "left")
             .withColumn("root", F.coalesce("up", "root")).drop("up"))
 
 
-def _open(placed: DataFrame) -> DataFrame:
-    """The lists' rows where members of several components meet."""
-    open_ = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    return placed.join(written(open_, "open-lists"), "token", "left_semi")
-
-
 def _proposals(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     """For each class its best proposal: the most central member of one of its lists,
     or its neighbour in a piece of one, of another component."""
     me = F.struct("set_id", "n", "root", *LOW)
-    hubs = written(placed.groupBy("token").agg(F.max(F.struct("central", me.alias("y"))).alias("top")).select("token", "top.y"), "hubs")
+    # Only the lists where members of several components meet.
+    hubs = written(placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                               F.max(F.struct("central", me.alias("y"))).alias("top"))
+                   .filter("lo < hi").select("token", F.col("top.y").alias("hub")), "hubs")
     pieces = F.ceil(F.col("size") / PIECE).cast("long")
-    rows = placed.withColumn("piece", F.pmod(F.xxhash64(F.lit(turn), "set_id"), pieces))
     by = W.partitionBy("token", "piece").orderBy("root", F.xxhash64(F.lit(turn), "set_id"))
-    met = (rows.select(me.alias("x"), F.lag(me).over(by).alias("y"))
-           .unionAll(placed.select("token", me.alias("x")).join(hubs, "token").select("x", "y"))
-           .filter("y is not null and x.root <> y.root"))
+    met = (placed.join(hubs, "token").withColumn("piece", F.pmod(F.xxhash64(F.lit(turn), "set_id"), pieces))
+           .select(me.alias("x"), F.array("hub", F.lag(me).over(by)).alias("ys"))
+           .select("x", F.explode("ys").alias("y")).filter("y is not null and x.root <> y.root"))
     met = met.filter(_may_link("x.", "y.", percent))
     best = met.groupBy(F.col("x.set_id").alias("x_set_id")).agg(
         F.max(F.struct(_matches("x.", "y.").alias("m"), F.col("y.set_id").alias("set_id"), F.col("y.root").alias("root"))).alias("y"),
@@ -264,17 +259,17 @@ def _open_pairs(placed: DataFrame, percent: int) -> DataFrame:
     """``bulk, set_id, root`` of the members of open lists that have a candidate in another
     component. Pairs are counted as their postings meet and leave no rows:
     a member is in or out with its first candidate."""
-    open_postings = rows = written(_open(placed).drop("central", "size"), "open-postings")
-    counts = rows.groupBy("token", "root").count().groupBy("token").agg(F.max(F.struct("count", "root")).alias("m"))
+    counts = placed.groupBy("token", "root").agg(F.count("*").alias("count")).groupBy("token").agg(
+        F.max(F.struct("count", "root")).alias("m"), F.count("*").alias("roots")).filter("roots > 1")
     bulk = written(counts.select("token", F.col("m.root").alias("bulk")), "largest-components")
-    rows = rows.join(bulk, "token")
+    rows = written(placed.drop("central", "size").join(bulk, "token"), "open-postings")
     others = rows.filter("root <> bulk")
     met = (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & _may_link("x.", "y.", percent)
     # Of a pair at least one is outside the largest component.
     found = (others.alias("x").join(rows.alias("y"), met, "left_semi")
              .unionAll(rows.filter("root = bulk").alias("x").join(others.alias("y"), met, "left_semi")))
     members = written(found.select("bulk", "set_id", "root").distinct(), "candidate-members")
-    used_up(open_postings, bulk)
+    used_up(rows, bulk)
     return members
 
 
@@ -331,7 +326,7 @@ def _across(placed: DataFrame, docs: DataFrame, classes: DataFrame, k: int, perc
         return (rows.withColumn(f"{own}b", mine).withColumn(f"{other}b", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)))
                 .select("bulk", "xb", "yb", F.lit(side).alias("side"), "root", "shingles"))
     both = dealt(0, full.filter("root <> bulk"), "x", "y").unionAll(dealt(1, full.filter("x_blocks > 0"), "y", "x"))
-    return both.groupBy("bulk", "xb", "yb").applyInArrow(_links_in_block(percent), "a_root long, b_root long").distinct()
+    return both.groupBy("bulk", "xb", "yb").applyInArrow(_links_in_block(percent), "a_root long, b_root long")
 
 
 def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
@@ -352,21 +347,21 @@ def _judged(docs: DataFrame, k: int, percent: int, seed: int) -> DataFrame:
     last, placed, turn = lists, lists.withColumn("root", F.col("set_id")), 0
     fruitful = True
     while fruitful:
-        proposed = _proposals(_open(placed), turn, percent)
+        proposed = _proposals(placed, turn, percent)
         found = links_of(proposed)
         placed, turn = written(_joined(placed, found), "placed"), turn + 1
         fruitful = 10 * found.count() > proposed.count()
         used_up(last, proposed, found)
         last = placed
     rest = written(_across(placed, docs, classes, k, percent), "links")
-    roots = written(_joined(placed.select("set_id", "root").distinct(), rest), "roots")
-    used_up(classes, placed)
+    roots = _joined(placed.select("set_id", "root").distinct(), rest)
 
     # The smallest document of each class, then of each component.
     least_doc = written(signed.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("least"))
                         .join(roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "set-roots")
+    used_up(classes, placed)
     of_root = written(least_doc.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    of_set = written(least_doc.join(of_root, "root").select(F.col("set_id").alias("_set"), "component_id"), "set-components")
+    of_set = least_doc.join(of_root, "root").select(F.col("set_id").alias("_set"), "component_id")
     return (signed.drop("signature").join(of_set, F.col("set_id") == F.col("_set"), "left")
             .select("doc_id", "text_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyspark.llm import components as stars
 from tallyspark.llm import op12_coordinate_join as op
 from tallyspark.llm.tables import table
 from test_op4_multi_order_join import brute
@@ -139,3 +140,29 @@ def test_steps_leave_no_shuffle_files_and_used_tables_no_files(spark, monkeypatc
     assert set(cleaned) >= {"true"} and spark.conf.get(tables.SHUFFLE_CLEANUP) == before
     left = {p.rsplit("/llm-", 1)[1].rsplit("-", 1)[0] for p in kept if os.path.exists(p.removeprefix("file:"))}
     assert not left & {"posting-sizes", "prefixes", "partnered", "near-postings", "hubs", "candidates", "placed", "classes", "open-postings"}
+
+
+def test_links_that_form_stars_are_written_once(spark, monkeypatch):
+    """Every step costs a task per shuffle partition, however small: none only finds that nothing changes."""
+    names, plain = [], stars.written
+    monkeypatch.setattr(stars, "written", lambda df, name: names.append(name) or plain(df, name))
+
+    def found(edges):
+        names.clear()
+        return sorted(tuple(r) for r in stars.components(spark.createDataFrame(edges, "a long, b long")).collect()), len(names)
+    assert found([(9, 2), (2, 5), (2, 9), (7, 2), (4, 3), (6, 6)]) == ([(2, 2), (3, 3), (4, 3), (5, 2), (7, 2), (9, 2)], 1)
+    assert found([(1, 3), (5, 3)]) == ([(1, 1), (3, 1), (5, 1)], 5)  # one round
+    assert found([]) == ([], 1)
+    chain, steps = found([(i, i + 1) for i in range(20)])
+    assert chain == [(i, 0) for i in range(21)] and steps < 30
+
+
+def test_near_copies_take_few_steps(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [f"b{i}" for i in range(80)]
+    rows = [(i, " ".join(edited(rnd, base, 4))) for i in range(60)] + [(60 + i, f"alone{i} x{i} y{i}") for i in range(20)]
+    names = []
+    for module in (op, stars):
+        monkeypatch.setattr(module, "written", lambda df, name, plain=module.written: names.append(name) or plain(df, name))
+    assert ours(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows, 2, 80)
+    assert len(names) < 36, names
